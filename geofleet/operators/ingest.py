@@ -16,9 +16,8 @@ from geofleet import constants as K
 from geofleet.functions.time import epoch_millis_to_ntz, ntz_literal, reading_time_to_millis
 from geofleet.functions.topics import topic_filter_regex
 
-# Fields are parsed as text: a JSON parser gives NULL for "51.5" declared as
-# double, while the bridge accepts it. Text first, then an explicit cast.
-READING_SCHEMA = "device_id STRING, latitude STRING, longitude STRING, timestamp STRING"
+# Reading fields are taken as text: a typed JSON parse gives NULL for "51.5"
+# declared as double, while the bridge accepts it. Text first, then a cast.
 PAYLOAD_SCHEMA = "device_id STRING, latitude DOUBLE, longitude DOUBLE, timestamp BIGINT"
 ENVELOPE_SCHEMA = "payload STRUCT<device_id: STRING, latitude: DOUBLE, longitude: DOUBLE, timestamp: BIGINT>"
 
@@ -39,21 +38,28 @@ def normalise_readings(routed: DataFrame) -> DataFrame:
     ``reject_reason`` names the first field that cannot be converted, in the
     order the bridge converts them, or is NULL for a good reading.
     """
-    r = F.from_json(F.col("payload"), READING_SCHEMA)
-    lat = r["latitude"].try_cast("double")
-    lon = r["longitude"].try_cast("double")
-    ts = reading_time_to_millis(r["timestamp"])
-    reason = (
-        F.when(lat.isNull(), F.lit("latitude"))
-        .when(lon.isNull(), F.lit("longitude"))
-        .when(ts.isNull(), F.lit("timestamp"))
+    # json_tuple parses each payload once and yields every field as text (a
+    # number's text, a string's contents, NULL for null/absent). As a
+    # generator it is also a plan barrier: the reject filter cannot be pushed
+    # beneath it and re-parse the JSON per referenced field.
+    fields = routed.select(
+        "msg_id", "topic", "payload",
+        F.json_tuple(F.col("payload"), "device_id", "latitude", "longitude", "timestamp").alias(
+            "_device", "_lat", "_lon", "_ts"),
     )
-    return routed.select(
+    typed = fields.select(
         "msg_id", "topic", "payload",
-        F.coalesce(r["device_id"], F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
-        lat.alias("latitude"), lon.alias("longitude"), ts.alias("timestamp"),
-        reason.alias("reject_reason"),
+        F.coalesce(F.col("_device"), F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
+        F.col("_lat").try_cast("double").alias("latitude"),
+        F.col("_lon").try_cast("double").alias("longitude"),
+        reading_time_to_millis(F.col("_ts")).alias("timestamp"),
     )
+    reason = (
+        F.when(F.col("latitude").isNull(), F.lit("latitude"))
+        .when(F.col("longitude").isNull(), F.lit("longitude"))
+        .when(F.col("timestamp").isNull(), F.lit("timestamp"))
+    )
+    return typed.withColumn("reject_reason", reason)
 
 
 def accepted_readings(normalised: DataFrame) -> DataFrame:
@@ -85,13 +91,11 @@ def envelope(readings: DataFrame) -> DataFrame:
 
 def decode_envelope(records: DataFrame, value_col: str = "value") -> DataFrame:
     """Payload fields of enveloped records (msg_id kept when present)."""
-    payload = F.from_json(F.col(value_col), ENVELOPE_SCHEMA)["payload"]
     keep = [c for c in ("msg_id",) if c in records.columns]
-    return records.select(
-        *keep,
-        payload["device_id"].alias("device_id"), payload["latitude"].alias("latitude"),
-        payload["longitude"].alias("longitude"), payload["timestamp"].alias("timestamp"),
-    )
+    # Parse once into a column; the field projection above it is not collapsed
+    # into per-field parses because the parse is referenced several times.
+    parsed = records.select(*keep, F.from_json(F.col(value_col), ENVELOPE_SCHEMA)["payload"].alias("_p"))
+    return parsed.select(*keep, "_p.device_id", "_p.latitude", "_p.longitude", "_p.timestamp")
 
 
 def keyed_publish(records: DataFrame, partitions: int = K.EVENT_TOPIC_PARTITIONS) -> DataFrame:

@@ -25,12 +25,13 @@ def unwrap_cdc(messages: DataFrame, value_col: str = "value") -> DataFrame:
 
     Purely per-row (no shuffle): runs unchanged on a stream.
     """
-    after = F.from_json(F.col(value_col), AFTER_IMAGE_SCHEMA)
-    return messages.select(
-        after["id"].alias("id"),
-        after["device_id"].alias("device_id"),
-        after["latitude"].alias("latitude"),
-        after["longitude"].alias("longitude"),
-        instant_to_ntz(F.try_to_timestamp(after["event_ts"])).alias("event_ts"),
-        instant_to_ntz(F.try_to_timestamp(after["ingested_at"])).alias("ingested_at"),
+    # One parse per message: the struct is a column of its own projection.
+    parsed = messages.select(F.from_json(F.col(value_col), AFTER_IMAGE_SCHEMA).alias("_a"))
+    return parsed.select(
+        F.col("_a.id").alias("id"),
+        F.col("_a.device_id").alias("device_id"),
+        F.col("_a.latitude").alias("latitude"),
+        F.col("_a.longitude").alias("longitude"),
+        instant_to_ntz(F.try_to_timestamp(F.col("_a.event_ts"))).alias("event_ts"),
+        instant_to_ntz(F.try_to_timestamp(F.col("_a.ingested_at"))).alias("ingested_at"),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geofleet.functions.time import ntz_epoch_millis
-from geofleet.sources.tables import read_table
+from geofleet.sources.tables import read_table, spread
 
 # --- fixed values: fixture planting rules (event_id residues) --------------
 NULL_DEVICE_MOD = 97          # device_id NULL
@@ -81,15 +81,17 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     It doubles as the bronze table: the change feed mirrors it 1:1.
     """
-    return events_to_source(read_table(spark, sf_dir, "events"))
+    return events_to_source(spread(read_table(spark, sf_dir, "events"), "event_id"))
 
 
 def events_to_source(ev: DataFrame) -> DataFrame:
     return ev.select(*source_columns(ev))
 
 
-def _json_string(c: Column) -> Column:
-    return F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+def _json_member(name: str, c: Column) -> Column:
+    """'"name":<json of c>' (escaped by the JSON writer)."""
+    obj = F.to_json(F.struct(c.alias(name)))
+    return F.regexp_extract(obj, r"^\{(.*)\}$", 1)
 
 
 def events_to_messages(ev: DataFrame) -> DataFrame:
@@ -128,7 +130,7 @@ def events_to_messages(ev: DataFrame) -> DataFrame:
     )
     device_json = F.when(
         F.col("device_id").isNull(), F.lit("")
-    ).otherwise(F.concat(F.lit('"device_id": '), _json_string(F.col("device_id")), F.lit(", ")))
+    ).otherwise(F.concat(_json_member("device_id", F.col("device_id")), F.lit(", ")))
     payload = F.concat(
         F.lit("{"), device_json,
         F.lit('"latitude": '), lat_json,
@@ -140,7 +142,7 @@ def events_to_messages(ev: DataFrame) -> DataFrame:
 
 
 def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_messages(read_table(spark, sf_dir, "events"))
+    return events_to_messages(spread(read_table(spark, sf_dir, "events"), "event_id"))
 
 
 def _iso_zulu(c: Column) -> Column:
@@ -184,4 +186,4 @@ def source_to_cdc(src: DataFrame) -> DataFrame:
 
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_to_cdc(source_events(spark, sf_dir))
+    return source_to_cdc(events_to_source(spread(read_table(spark, sf_dir, "events"), "event_id")))

@@ -3,15 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Declared schemas of the tables geofleet reads: no footer-inference job per
+# read, and a changed upstream type fails at the scan instead of downstream.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Batch scan of one table; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the session has cores.
+
+    A small table stored as a single row group scans as one task, and
+    CPU-heavy per-row work above it (JSON encode/parse) then runs on one
+    core. Hashing on a unique key spreads it deterministically (safe to
+    recompute after a lost executor). At scale the scan already has more
+    splits than cores and this returns ``df`` unchanged: no extra shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.col(key))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -21,7 +47,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     as a one-character class glob; new files matching it are picked up as
     new micro-batches.
     """
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
+    schema = SCHEMAS.get(name) or spark.read.parquet(table_path(sf_dir, name)).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

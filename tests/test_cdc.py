@@ -1,0 +1,31 @@
+"""Change-feed unwrap: after-images, updates, tombstones."""
+
+from __future__ import annotations
+
+from geofleet.sources.cdc import BRONZE_COLUMNS, unwrap_cdc
+from geofleet.sources.fixtures import source_to_cdc
+from tests.conftest import ntz
+
+
+def test_unwrap_images_and_tombstones(spark):
+    msgs = spark.createDataFrame([
+        ('{"id":1}', '{"id":1,"device_id":"d","latitude":51.5,"longitude":0.1,'
+                     '"event_ts":"2024-01-01T10:00:00.5+02:00","ingested_at":"2024-01-01T08:01:00Z"}'),
+        ('{"id":1}', None),
+    ], "key string, value string")
+    rows = unwrap_cdc(msgs).collect()
+    assert list(rows[0].asDict()) == BRONZE_COLUMNS
+    assert rows[0].event_ts == ntz("2024-01-01 08:00:00.5") and rows[0].ingested_at == ntz("2024-01-01 08:01:00")
+    assert all(v is None for v in rows[1])
+
+
+def test_feed_roundtrip_from_source(spark):
+    t = ntz("2024-01-01 00:00:00.123456")
+    src = spark.createDataFrame([(211, "d", 1.0, 2.0, t, None), (307, None, None, 2.0, t, t), (5, "e", 3.0, 4.0, None, t)],
+                                "id bigint, device_id string, latitude double, longitude double, "
+                                "event_ts timestamp_ntz, ingested_at timestamp_ntz")
+    feed = source_to_cdc(src)
+    assert feed.count() == 5                      # 3 creates, 1 update, 1 tombstone
+    out = unwrap_cdc(feed.orderBy("position")).collect()
+    assert [r.id for r in out] == [5, 211, 211, 307, None]
+    assert out[2].latitude == 1.0 + 0.001 and out[1].event_ts == t and out[1].ingested_at is None
