@@ -41,11 +41,11 @@ def write_archive(partitioned: DataFrame, path: str, records_per_file: int = K.A
                   mode: str = "append") -> None:
     """Write JSON objects under hour partitions, ``records_per_file`` records per object at most.
 
-    Records are clustered by hour before the write so each task writes few
-    hour folders; a hot hour is spread over several tasks by the hash of the
-    message id, keeping tasks bounded.
+    Records are range-partitioned on (hour, msg_id) before the write: each
+    task writes one or a few hour folders, and an hour holding a third of all
+    records is cut into as many evenly sized tasks as its volume needs.
     """
-    clustered = partitioned.repartition(*PARTITION_COLUMNS, F.pmod(F.xxhash64("msg_id"), F.lit(16)))
+    clustered = partitioned.repartitionByRange(*PARTITION_COLUMNS, "msg_id")
     (
         clustered.drop("msg_id").write.mode(mode)
         .option("maxRecordsPerFile", records_per_file)

@@ -243,20 +243,28 @@ def q_retention_14d(spark, sf):
 
 
 def q_layer_counts(spark, sf):
-    def count(df: DataFrame, layer: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), "row_count")
-
-    src = source_events(spark, sf)
-    s = validate_events(stage_events(src))
-    parts = [
-        count(src, "iot_events"), count(stage_events(src), "stg_iot_events"), count(s, "iot_validated"),
-        count(device_daily(s), "device_daily"), count(serving_snapshot(spark, sf), "serving"),
-        count(archive_records(spark, sf), "archive_records"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows per layer. Source, staging and silver are counted in one pass over
+    the source (staging is 1:1, silver is its attributable rows); gold and
+    serving are their distinct keys over silver; the archive counts records."""
+    def one(df: DataFrame, layer: str) -> DataFrame:
+        name = F.col("layer") if "layer" in df.columns else F.lit(layer)
+        return df.select(name.alias("layer"), F.col("row_count").cast("bigint").alias("row_count"))
+
+    staged = stage_events(source_events(spark, sf))
+    kept = F.col("device_id").isNotNull() & F.col("event_ts").isNotNull()
+    firsts = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(kept).alias("s")).selectExpr(
+        "stack(3, 'iot_events', n, 'stg_iot_events', n, 'iot_validated', s) as (layer, row_count)")
+    s = validate_events(staged)
+    gold_keys = s.select("device_id", F.col("event_ts").cast("date")).distinct().agg(F.count(F.lit(1)).alias("row_count"))
+    serving_keys = S.serving_rows(s).select("device_id", "event_time").distinct().agg(
+        F.count(F.lit(1)).alias("row_count"))
+    archived = archive_records(spark, sf).agg(F.count(F.lit(1)).alias("row_count"))
+    return (
+        one(firsts, "")
+        .unionByName(one(gold_keys, "device_daily"))
+        .unionByName(one(serving_keys, "serving"))
+        .unionByName(one(archived, "archive_records"))
+    )
 
 
 QUERIES: dict[str, Query] = {

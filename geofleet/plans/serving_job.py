@@ -17,17 +17,24 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geofleet.functions.time import epoch_millis_to_ntz
+from geofleet.functions.time import ntz_literal
 from geofleet.operators.serving import (
     SERVING_COLUMNS,
+    device_series,
     first_run_watermark,
     latest_per_key,
+    recent_scan,
     serving_rows,
 )
-from geofleet.functions.time import ntz_literal
+
+VERSION_SCHEMA = ("device_id STRING, event_time BIGINT, latitude DECIMAL(38,12), longitude DECIMAL(38,12), "
+                  "event_ts STRING, event_id BIGINT, batch_id BIGINT, event_date DATE")
+PROGRESS_SCHEMA = "last_event_ts TIMESTAMP_NTZ, rows_written BIGINT, batch_id BIGINT"
 
 
 class ServingStore:
@@ -38,31 +45,35 @@ class ServingStore:
         self.progress_path = f"{self.root}/progress"
 
     # -- reads ------------------------------------------------------------
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
+    def _read(self, path: str, schema: str) -> DataFrame:
+        """Declared schema (no inference job); an absent folder reads as empty."""
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
 
     def versions(self) -> DataFrame:
-        """Every written version, with its batch_id."""
-        if not self._exists(self.data_path):
-            empty = "device_id STRING, event_time BIGINT, latitude DECIMAL(38,12), longitude DECIMAL(38,12), " \
-                    "event_ts STRING, event_id BIGINT, batch_id BIGINT"
-            return self.spark.createDataFrame([], empty)
-        df = self.spark.read.parquet(self.data_path)
-        return df.select(*SERVING_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id"))
+        """Every written version, with its batch_id and event_date partition values."""
+        return self._read(self.data_path, VERSION_SCHEMA)
 
     def table(self) -> DataFrame:
         """Current serving table: newest version of each key."""
-        return latest_per_key(self.versions())
+        return latest_per_key(self.versions()).select(*SERVING_COLUMNS, "batch_id")
+
+    def series(self, device_id: str) -> DataFrame:
+        """Key query. The device predicate is pushed below the newest-version
+        window (it is a window partition column) into the parquet scan, where
+        files sorted by device skip row groups."""
+        return device_series(self.table(), device_id)
+
+    def recent(self, since_ms: int) -> DataFrame:
+        """Range scan; the event_date bound prunes whole date folders first."""
+        since_day = (dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=since_ms)).date()
+        pruned = self.versions().where(F.col("event_date") >= F.lit(since_day))
+        return recent_scan(latest_per_key(pruned), since_ms)
 
     def progress(self) -> DataFrame:
-        schema = "batch_id BIGINT, last_event_ts TIMESTAMP_NTZ, rows_written BIGINT"
-        if not self._exists(self.progress_path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self.progress_path).select(
-            F.col("batch_id").cast("bigint"), "last_event_ts", "rows_written")
+        return self._read(self.progress_path, PROGRESS_SCHEMA).select("batch_id", "last_event_ts", "rows_written")
 
     def watermark(self) -> dt.datetime | None:
         """last_event_ts of the newest committed load (one scalar to the driver)."""
@@ -77,8 +88,12 @@ class ServingStore:
         """Append one load's serving rows (already projected) as version ``batch_id``."""
         out = rows.select(*SERVING_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
             "event_date", F.to_date(epoch_millis_to_ntz(F.col("event_time"))))
+        # Range partitioning on (event_date, device_id, event_time): a backfill
+        # whose rows crowd into one day or one device is still cut into
+        # evenly sized tasks.
         (
-            out.repartition("event_date").sortWithinPartitions("device_id", "event_time")
+            out.repartitionByRange("event_date", "device_id", "event_time")
+            .sortWithinPartitions("event_date", "device_id", "event_time")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id", "event_date").parquet(self.data_path)
         )

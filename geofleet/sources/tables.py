@@ -34,8 +34,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     recompute after a lost executor). At scale the scan already has more
     splits than cores and this returns ``df`` unchanged: no extra shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+    if df.isStreaming:
+        return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()     # planning only, no job
+    except Exception:                           # e.g. Spark Connect: no RDD view
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, F.col(key))
 
