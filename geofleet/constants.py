@@ -26,7 +26,7 @@ FIRST_RUN_LOOKBACK_HOURS = 24
 TREND_LOOKBACK_HOURS = 24
 TOP_N_DEVICES = 10
 DEVICE_PALETTE = ["#2a78d6", "#1baf7a", "#eda100", "#008300", "#4a3aa7", "#e34948", "#e87ba4", "#eb6834"]
-# Grafana panel: event count over the last hour.
+# Serving dashboard: event count over the last hour.
 RECENT_WINDOW_HOURS = 1
 # Hourly JSON archive: records per file, object lifetime.
 ARCHIVE_RECORDS_PER_FILE = 10
