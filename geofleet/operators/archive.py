@@ -37,9 +37,14 @@ def retained(records: DataFrame, clock: Column, as_of: dt.datetime, days: int =
     return records.where(clock >= cutoff)
 
 
+# Partition values are read back as text so 'hour=07' stays '07'.
+ARCHIVE_READ_SCHEMA = "value STRING, year STRING, month STRING, day STRING, hour STRING"
+
+
 def write_archive(partitioned: DataFrame, path: str, records_per_file: int = K.ARCHIVE_RECORDS_PER_FILE,
                   mode: str = "append") -> None:
-    """Write JSON objects under hour partitions, ``records_per_file`` records per object at most.
+    """Write each record's envelope as one JSON line under its hour folder,
+    ``records_per_file`` lines per object at most.
 
     Records are range-partitioned on (hour, msg_id) before the write: each
     task writes one or a few hour folders, and an hour holding a third of all
@@ -47,26 +52,31 @@ def write_archive(partitioned: DataFrame, path: str, records_per_file: int = K.A
     """
     clustered = partitioned.repartitionByRange(*PARTITION_COLUMNS, "msg_id")
     (
-        clustered.drop("msg_id").write.mode(mode)
+        clustered.select("value", *PARTITION_COLUMNS).write.mode(mode)
         .option("maxRecordsPerFile", records_per_file)
         .partitionBy(*PARTITION_COLUMNS)
-        .json(path)
+        .text(path)
     )
 
 
+def read_archive(spark, path: str) -> DataFrame:
+    """Archived envelope lines with their (text) hour partition values."""
+    return spark.read.schema(ARCHIVE_READ_SCHEMA).text(path)
+
+
+def hour_start(year: Column, month: Column, day: Column, hour: Column) -> Column:
+    return F.to_timestamp_ntz(F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), hour, F.lit(":00:00")))
+
+
 def expire_archive(spark, path: str, out_path: str, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS) -> None:
-    """Rewrite the archive keeping only hour partitions newer than the cutoff.
+    """Rewrite the archive keeping only hour folders newer than the cutoff.
 
-    The cutoff is applied to the hour partition values, so Spark prunes
-    expired folders at listing time and reads only what is kept; the result
-    is written to a new location (never over the path being read).
+    The predicate touches partition columns only, so expired folders are
+    pruned at listing time and never read; the result goes to a new location
+    (never over the path being read).
     """
-    cutoff = as_of - dt.timedelta(days=days)
-    hour_start = F.to_timestamp_ntz(F.format_string(
-        "%04d-%02d-%02d %02d:00:00", F.col("year").cast("int"), F.col("month").cast("int"),
-        F.col("day").cast("int"), F.col("hour").cast("int"),
-    ))
-    cutoff_hour = cutoff.replace(minute=0, second=0, microsecond=0)
-    kept = spark.read.json(path).where(hour_start >= ntz_literal(cutoff_hour))
+    cutoff_hour = (as_of - dt.timedelta(days=days)).replace(minute=0, second=0, microsecond=0)
+    kept = read_archive(spark, path).where(
+        hour_start(F.col("year"), F.col("month"), F.col("day"), F.col("hour")) >= ntz_literal(cutoff_hour))
     kept.write.mode("overwrite").option("maxRecordsPerFile", K.ARCHIVE_RECORDS_PER_FILE).partitionBy(
-        *PARTITION_COLUMNS).json(out_path)
+        *PARTITION_COLUMNS).text(out_path)

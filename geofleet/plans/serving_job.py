@@ -75,13 +75,21 @@ class ServingStore:
     def progress(self) -> DataFrame:
         return self._read(self.progress_path, PROGRESS_SCHEMA).select("batch_id", "last_event_ts", "rows_written")
 
+    def state(self, batch_id: int | None = None) -> tuple[dt.datetime | None, bool]:
+        """(watermark, is ``batch_id`` committed) from one aggregate over the
+        progress rows: a single row reaches the driver however many loads ran."""
+        row = self.progress().agg(
+            F.max_by("last_event_ts", "batch_id").alias("wm"),
+            F.count_if(F.col("batch_id") == F.lit(batch_id if batch_id is not None else -1)).alias("seen"),
+        ).first()
+        return row.wm, bool(row.seen)
+
     def watermark(self) -> dt.datetime | None:
-        """last_event_ts of the newest committed load (one scalar to the driver)."""
-        row = self.progress().orderBy(F.col("batch_id").desc()).select("last_event_ts").first()
-        return row[0] if row else None
+        """last_event_ts of the newest committed load."""
+        return self.state()[0]
 
     def is_committed(self, batch_id: int) -> bool:
-        return self.progress().where(F.col("batch_id") == batch_id).limit(1).count() > 0
+        return self.state(batch_id)[1]
 
     # -- writes -----------------------------------------------------------
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
@@ -117,9 +125,10 @@ def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime
 
     Returns False when ``batch_id`` is already committed (a repeated trigger is a no-op).
     """
-    if store.is_committed(batch_id):
+    watermark, committed = store.state(batch_id)
+    if committed:
         return False
-    watermark = store.watermark() or first_run_watermark(as_of)
+    watermark = watermark or first_run_watermark(as_of)
     newer = validated.where(F.col("event_ts") > ntz_literal(watermark))
     store.write_batch(serving_rows(newer), batch_id)
     store.commit(batch_id, watermark)

@@ -56,7 +56,7 @@ def silver_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str,
 
 def archive_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str, clock: str = "arrival",
                    available_now: bool = True) -> StreamingQuery:
-    """Enveloped events -> hourly JSON archive, ten records per object.
+    """Enveloped events -> hourly archive of envelope JSON lines, ten per object.
 
     ``clock='arrival'`` partitions on the micro-batch's processing time (the
     connector default), ``clock='event'`` on the reading's own timestamp.
@@ -64,9 +64,9 @@ def archive_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str,
     readings = accepted_readings(normalise_readings(route_topic(events_to_messages(stream_table(spark, sf_dir, "events")))))
     records = envelope(readings)
     t = instant_to_ntz(F.current_timestamp()) if clock == "arrival" else epoch_millis_to_ntz(F.col("timestamp"))
-    partitioned = A.with_archive_partition(records.select("key", "value", "timestamp"), t)
+    partitioned = A.with_archive_partition(records.select("value", "timestamp"), t).drop("timestamp")
     writer = (
-        partitioned.writeStream.format("json").option("checkpointLocation", checkpoint)
+        partitioned.writeStream.format("text").option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", K.ARCHIVE_RECORDS_PER_FILE).partitionBy(*A.PARTITION_COLUMNS)
     )
     return _trigger(writer, available_now, "1 minute").start(out)

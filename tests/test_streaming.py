@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import glob
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from geofleet import constants as K
+from geofleet.operators import archive as A
+from geofleet.operators.ingest import decode_envelope
 from geofleet.operators import serving as S
-from geofleet.plans.catalog import cdc_messages, silver
+from geofleet.plans.catalog import accepted, archive_records, cdc_messages, silver
 from geofleet.plans.serving_job import ServingStore
 from geofleet.sources.cdc import unwrap_cdc
 from geofleet.streaming import jobs as J
@@ -35,18 +40,34 @@ def test_bronze_stream_equals_batch(spark, workdir):
 
 def test_archive_stream_layout(spark, workdir):
     J.archive_stream(spark, SF_SMALL, f"{workdir}/arch", f"{workdir}/ck", clock="event").awaitTermination()
-    files = [f for f in glob.glob(f"{workdir}/arch/year=*/month=*/day=*/hour=*/*.json")]
+    files = [f for f in glob.glob(f"{workdir}/arch/year=*/month=*/day=*/hour=*/*.txt")]
     assert files
-    total = 0
     for f in files:
-        n = sum(1 for _ in open(f))
-        assert 0 < n <= K.ARCHIVE_RECORDS_PER_FILE
-        total += n
-        rec = json.loads(open(f).readline())
-        assert set(rec) >= {"key", "value"} and json.loads(rec["value"])["payload"]["device_id"] == rec["key"]
-    hour_dirs = {os.path.dirname(f) for f in files}
-    assert all(os.path.basename(d).startswith("hour=") and len(os.path.basename(d)) == 7 for d in hour_dirs)
-    assert total == spark.read.json(f"{workdir}/arch").count()
+        lines = open(f).read().splitlines()
+        assert 0 < len(lines) <= K.ARCHIVE_RECORDS_PER_FILE
+        env = json.loads(lines[0])
+        assert set(env) == {"schema", "payload"} and env["schema"]["name"] == "iot.GeoLocation"
+    hour_dirs = {os.path.basename(os.path.dirname(f)) for f in files}
+    assert all(len(d) == len("hour=07") for d in hour_dirs)
+    # restoring reads payload.* and gives back exactly the accepted readings
+    restored = decode_envelope(A.read_archive(spark, f"{workdir}/arch"))
+    want = accepted(spark, SF_SMALL).drop("msg_id")
+    assert _same(restored, want)
+
+
+def test_archive_retention_rewrite(spark, workdir):
+    rec = archive_records(spark, SF_SMALL)
+    A.write_archive(rec, f"{workdir}/arch")
+    files = glob.glob(f"{workdir}/arch/year=*/month=*/day=*/hour=*/*.txt")
+    assert all(sum(1 for _ in open(f)) <= K.ARCHIVE_RECORDS_PER_FILE for f in files)
+    as_of = dt.datetime(2024, 1, 30)
+    A.expire_archive(spark, f"{workdir}/arch", f"{workdir}/kept", as_of)
+    kept = A.read_archive(spark, f"{workdir}/kept")
+    hours = {(r.year, r.month, r.day, r.hour) for r in kept.select(*A.PARTITION_COLUMNS).distinct().collect()}
+    cutoff = ("2024", "01", "16", "00")
+    assert hours and min(hours) >= cutoff and all(len(h[3]) == 2 for h in hours)
+    want = rec.where(F.col("timestamp") >= S.epoch_ms(dt.datetime(2024, 1, 16)))
+    assert kept.count() == want.count()
 
 
 def test_serving_stream(spark, workdir):
