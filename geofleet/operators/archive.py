@@ -64,6 +64,14 @@ def read_archive(spark, path: str) -> DataFrame:
     return spark.read.schema(ARCHIVE_READ_SCHEMA).text(path)
 
 
+def archive_objects(spark, path: str) -> DataFrame:
+    """Objects and records per hour folder of a written archive, counted by
+    Spark from the file metadata column (no driver-side listing)."""
+    lines = read_archive(spark, path).select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("_file"))
+    return lines.groupBy(*PARTITION_COLUMNS).agg(
+        F.countDistinct("_file").alias("object_count"), F.count(F.lit(1)).alias("record_count"))
+
+
 def hour_start(year: Column, month: Column, day: Column, hour: Column) -> Column:
     return F.to_timestamp_ntz(F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), hour, F.lit(":00:00")))
 

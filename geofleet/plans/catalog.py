@@ -267,7 +267,18 @@ def q_layer_counts(spark, sf):
     )
 
 
-QUERIES: dict[str, Query] = {
+def _utc(fn: Query) -> Query:
+    """Pin the session zone before planning: NTZ text formatting at the edges
+    (ISO text, archive hour folders) must not shift with a caller's zone."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "stg_events": q_stg_events,
     "silver_validated": q_silver_validated,
     "device_daily": q_device_daily,
@@ -304,3 +315,5 @@ QUERIES: dict[str, Query] = {
     "retention_14d": q_retention_14d,
     "layer_counts": q_layer_counts,
 }
+
+QUERIES: dict[str, Query] = {name: _utc(fn) for name, fn in _QUERIES.items()}

@@ -68,6 +68,10 @@ def test_archive_retention_rewrite(spark, workdir):
     assert hours and min(hours) >= cutoff and all(len(h[3]) == 2 for h in hours)
     want = rec.where(F.col("timestamp") >= S.epoch_ms(dt.datetime(2024, 1, 16)))
     assert kept.count() == want.count()
+    per_hour = A.archive_objects(spark, f"{workdir}/arch").collect()
+    assert sum(r.object_count for r in per_hour) == len(files)
+    assert all(r.object_count * K.ARCHIVE_RECORDS_PER_FILE >= r.record_count for r in per_hour)
+    assert sum(r.record_count for r in per_hour) == rec.count()
 
 
 def test_serving_stream(spark, workdir):
