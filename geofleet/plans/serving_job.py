@@ -4,6 +4,8 @@ Layout under ``root``::
 
     data/batch_id=N/event_date=D/*.parquet   one folder set per load, append-only
     progress/batch_id=N/*.parquet            one row per committed load
+    base/through=N/event_date=D/*.parquet    compacted snapshot of all loads <= N
+    compaction/through=N/*.parquet           marker, written after its snapshot
 
 A load writes only its own rows (cost grows with the increment, not with the
 table); readers take the newest version per (device_id, event_time). A load
@@ -11,6 +13,11 @@ rewrites its own ``batch_id`` folders with dynamic partition overwrite, so a
 retried batch replaces its partial output instead of duplicating it, and the
 progress row is written after the data: a crash in between replays the
 batch, which the keyed read makes harmless.
+
+Compaction folds every load up to N into one snapshot (newest version per
+key) so reads stop growing with the number of loads. Readers take the newest
+committed snapshot plus the loads after it; older load folders are never read
+again and can be removed by a retention job.
 """
 
 from __future__ import annotations
@@ -35,6 +42,7 @@ from geofleet.operators.serving import (
 VERSION_SCHEMA = ("device_id STRING, event_time BIGINT, latitude DECIMAL(38,12), longitude DECIMAL(38,12), "
                   "event_ts STRING, event_id BIGINT, batch_id BIGINT, event_date DATE")
 PROGRESS_SCHEMA = "last_event_ts TIMESTAMP_NTZ, rows_written BIGINT, batch_id BIGINT"
+COMPACTION_SCHEMA = "rows_kept BIGINT, through BIGINT"
 
 
 class ServingStore:
@@ -43,6 +51,8 @@ class ServingStore:
         self.root = root.rstrip("/")
         self.data_path = f"{self.root}/data"
         self.progress_path = f"{self.root}/progress"
+        self.base_path = f"{self.root}/base"
+        self.compaction_path = f"{self.root}/compaction"
 
     # -- reads ------------------------------------------------------------
     def _read(self, path: str, schema: str) -> DataFrame:
@@ -52,9 +62,18 @@ class ServingStore:
         except AnalysisException:
             return self.spark.createDataFrame([], schema)
 
+    def compacted_through(self) -> int | None:
+        """Newest committed compaction point (one scalar to the driver)."""
+        return self._read(self.compaction_path, COMPACTION_SCHEMA).agg(F.max("through")).first()[0]
+
     def versions(self) -> DataFrame:
-        """Every written version, with its batch_id and event_date partition values."""
-        return self._read(self.data_path, VERSION_SCHEMA)
+        """Live versions: the newest snapshot plus every load after it."""
+        loads = self._read(self.data_path, VERSION_SCHEMA)
+        through = self.compacted_through()
+        if through is None:
+            return loads
+        base = self._read(f"{self.base_path}/through={through}", VERSION_SCHEMA)
+        return base.unionByName(loads.where(F.col("batch_id") > F.lit(through)))
 
     def table(self) -> DataFrame:
         """Current serving table: newest version of each key."""
@@ -120,6 +139,32 @@ class ServingStore:
         )
 
 
+def compact(store: ServingStore) -> int | None:
+    """Fold all committed loads into a new snapshot; returns its point, or None if nothing new.
+
+    The snapshot is written to its own folder (overwritten if a previous
+    attempt died) and the marker after it, so a crash leaves readers on the
+    previous snapshot.
+    """
+    committed = store.progress().agg(F.max("batch_id")).first()[0]
+    current = store.compacted_through()
+    if committed is None or (current is not None and committed <= current):
+        return None
+    snapshot = latest_per_key(store.versions().where(F.col("batch_id") <= F.lit(committed)))
+    (
+        snapshot.repartitionByRange("event_date", "device_id", "event_time")
+        .sortWithinPartitions("event_date", "device_id", "event_time")
+        .write.mode("overwrite").partitionBy("event_date").parquet(f"{store.base_path}/through={committed}")
+    )
+    kept = store._read(f"{store.base_path}/through={committed}", VERSION_SCHEMA).agg(
+        F.count(F.lit(1)).alias("rows_kept")).withColumn("through", F.lit(committed).cast("bigint"))
+    (
+        kept.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("through").parquet(store.compaction_path)
+    )
+    return committed
+
+
 def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime, batch_id: int) -> bool:
     """One scheduled load: watermark -> read newer silver rows -> write -> advance mark.
 

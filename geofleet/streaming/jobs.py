@@ -99,14 +99,18 @@ def serving_stream(spark: SparkSession, silver_path: str, store_root: str, check
     """Silver files -> serving table, one store version per micro-batch.
 
     The stream's own checkpoint replaces the high-water mark, so a row that
-    lands behind the newest event time is still loaded.
+    lands behind the newest event time is still loaded. Use one store per
+    load mode: stream epochs and scheduled loads share the batch_id space.
     """
     schema = spark.read.parquet(silver_path).schema
     silver = spark.readStream.schema(schema).parquet(silver_path)
     store = ServingStore(spark, store_root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Progress rows are kept for compaction and monitoring; the stream's
+        # checkpoint, not the mark, decides what is read next.
         store.write_batch(serving_rows(batch), batch_id)
+        store.commit(batch_id, store.watermark() or dt.datetime(1970, 1, 1))
 
     writer = silver.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, K.SERVING_LOAD_INTERVAL).start()

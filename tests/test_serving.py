@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from geofleet.functions.time import ntz_literal
 from geofleet.operators import serving as S
-from geofleet.plans.serving_job import ServingStore, load_increment
+from geofleet.plans.serving_job import ServingStore, compact, load_increment
 from tests.conftest import ntz
 
 SILVER = ("event_id bigint, device_id string, latitude double, longitude double, event_ts timestamp_ntz, "
@@ -73,3 +73,24 @@ def test_incremental_loads_and_restart(spark, workdir):
 def test_late_row_skipped_by_high_water_mark(spark):
     s = silver(spark, [(1, "d", 1.0, 1.0, ntz("2024-01-01 10:00:00")), (2, "d", 1.0, 1.0, ntz("2024-01-01 09:00:00"))])
     assert S.incremental_read(s, ntz("2024-01-01 09:30:00")).count() == 1
+
+
+def test_compaction_keeps_table_and_bounds_versions(spark, workdir):
+    base = ntz("2024-01-10 00:00:00")
+    rows = [(i, f"d{i % 3}", float(i), 0.0, base + dt.timedelta(hours=i)) for i in range(1, 13)]
+    s = silver(spark, rows)
+    store = ServingStore(spark, f"{workdir}/serving")
+    for k in range(1, 4):    # three loads, four new hours each
+        cut = base + dt.timedelta(hours=4 * k)
+        load_increment(store, s.where(F.col("event_ts") <= ntz_literal(cut)), cut, k)
+    # an upsert of an existing key in load 4, after compaction
+    before = sorted(map(tuple, store.table().drop("batch_id").collect()))
+    assert compact(store) == 3 and compact(store) is None
+    assert sorted(map(tuple, store.table().drop("batch_id").collect())) == before
+    assert store.versions().count() == 12
+    moved = s.where("event_id = 5").withColumn("latitude", F.lit(99.0))
+    store.write_batch(S.serving_rows(moved), 4)
+    store.commit(4, store.watermark())
+    t = {r.event_id: r for r in store.table().collect()}
+    assert float(t[5].latitude) == 99.0 and t[5].batch_id == 4 and len(t) == 12
+    assert compact(store) == 4 and store.versions().count() == 12
