@@ -19,6 +19,7 @@ from geofleet.functions.time import epoch_millis_to_ntz, instant_to_ntz
 from geofleet.operators import archive as A
 from geofleet.operators.ingest import (
     accepted_readings,
+    decode_envelope,
     envelope,
     normalise_readings,
     rejected_readings,
@@ -31,6 +32,7 @@ from geofleet.plans.serving_job import ServingStore
 from geofleet.sources.cdc import unwrap_cdc
 from geofleet.sources.fixtures import events_to_messages, events_to_source, source_to_cdc
 from geofleet.sources.tables import stream_table
+from geofleet.sources.topics import record_id
 
 
 def _trigger(writer, available_now: bool, interval: str):
@@ -94,6 +96,24 @@ def ingest_stream(spark: SparkSession, sf_dir: str, table_path: str, rejects_pat
     return _trigger(writer, available_now, "1 minute").start()
 
 
+def table_sink_stream(events_topic: DataFrame, table_path: str, checkpoint: str,
+                      available_now: bool = True) -> StreamingQuery:
+    """Event topic -> decoded envelope -> rows appended to the relational table.
+
+    ``id`` comes from the record's (partition, offset), so a replayed batch
+    produces the same ids; each batch overwrites only its own batch_id folder.
+    """
+    decoded = decode_envelope(events_topic.withColumn("msg_id", record_id()))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ingested_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = sink_rows(batch, ingested_at).withColumn("batch_id", F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table_path)
+
+    writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, "1 minute").start()
+
+
 def serving_stream(spark: SparkSession, silver_path: str, store_root: str, checkpoint: str,
                    available_now: bool = True) -> StreamingQuery:
     """Silver files -> serving table, one store version per micro-batch.

@@ -88,3 +88,28 @@ def test_ingest_stream(spark, workdir):
     rejects = spark.read.parquet(f"{workdir}/rejects")
     assert rows.count() > 0 and rejects.count() > 0
     assert rows.select("id").distinct().count() == rows.count()
+
+
+def test_topic_publish_and_table_sink(spark, workdir):
+    """Readings -> envelope -> 'iot-events' (landing topic, two publishes) -> table rows."""
+    from geofleet.operators import ingest as I
+    from geofleet.sources.topics import publish, read_topic
+
+    env = I.envelope(accepted(spark, SF_SMALL))
+    first, second = env.where("msg_id % 2 = 0"), env.where("msg_id % 2 = 1")
+    publish(first, K.EVENTS_TOPIC, landing_root=f"{workdir}/topics")
+    publish(second, K.EVENTS_TOPIC, landing_root=f"{workdir}/topics")
+    topic = read_topic(spark, K.EVENTS_TOPIC, landing_root=f"{workdir}/topics")
+    J.table_sink_stream(topic, f"{workdir}/table", f"{workdir}/ck").awaitTermination()
+    rows = spark.read.parquet(f"{workdir}/table")
+    want = I.sink_rows(I.decode_envelope(env), ingested_at=dt.datetime(2024, 1, 30))
+    cols = ["device_id", "latitude", "longitude", "event_ts"]
+    assert _same(rows.select(cols), want.select(cols))
+    assert rows.select("id").distinct().count() == rows.count()
+    # offsets: dense per partition across both publishes, each key in one partition
+    recs = spark.read.schema("key STRING, value STRING, partition INT, offset BIGINT, timestamp TIMESTAMP").json(
+        f"{workdir}/topics/{K.EVENTS_TOPIC}/*")
+    for r in recs.groupBy("partition").agg(F.count("*").alias("n"), F.max("offset").alias("mx"),
+                                           F.countDistinct("offset").alias("d")).collect():
+        assert r.n == r.d == r.mx + 1
+    assert recs.groupBy("key").agg(F.countDistinct("partition").alias("p")).where("p > 1").count() == 0
