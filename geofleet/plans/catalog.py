@@ -224,6 +224,23 @@ def _run_stream(spark, name: str, start) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def silver_over_cdc(spark, sf) -> DataFrame:
+    """Silver built the way the warehouse builds it: over the bronze table the
+    change feed fills (update images repeat an id; tombstones are all-NULL
+    rows, dropped by the null filter)."""
+    return validate_events(stage_events(unwrap_cdc(cdc_messages(spark, sf))))
+
+
+def q_silver_from_cdc(spark, sf):
+    return silver_over_cdc(spark, sf)
+
+
+def q_dq_unique_cdc(spark, sf):
+    """The unique(event_id) check over CDC-built silver: it fails once per updated row."""
+    return Q.run_checks({"iot_validated": silver_over_cdc(spark, sf)},
+                        tuple(c for c in Q.DEFAULT_CHECKS if c.kind == "unique"))
+
+
 def q_bronze_append(spark, sf):
     return _run_stream(spark, "bronze", lambda out, ck: J.bronze_append(spark, sf, out, ck))
 
@@ -310,6 +327,8 @@ _QUERIES: dict[str, Query] = {
     "ingest_events": q_ingest_events,
     "cdc_unwrap": q_cdc_unwrap,
     "bronze_append": q_bronze_append,
+    "silver_from_cdc": q_silver_from_cdc,
+    "dq_unique_cdc": q_dq_unique_cdc,
     "stream_silver": q_stream_silver,
     "archive_hourly": q_archive_hourly,
     "retention_14d": q_retention_14d,

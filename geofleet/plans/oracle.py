@@ -212,6 +212,23 @@ UNION ALL
 SELECT CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
   CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM src WHERE id % 307 = 0"""
     q["bronze_append"] = q["cdc_unwrap"]
+    bronze_cdc = """
+bronze AS (
+  SELECT id, device_id, latitude, longitude, event_ts, ingested_at FROM src
+  UNION ALL
+  SELECT id, device_id, latitude + CAST(0.001 AS DOUBLE), longitude, event_ts, ingested_at FROM src WHERE id % 211 = 0
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM src WHERE id % 307 = 0
+)"""
+    silver_cdc = SILVER.replace("FROM stg", "FROM stg_cdc").replace("silver AS", "silver_cdc AS")
+    stg_cdc = """
+stg_cdc AS (
+  SELECT CAST(id AS BIGINT) AS event_id, device_id, latitude, longitude, event_ts, ingested_at FROM bronze
+)"""
+    q["silver_from_cdc"] = _with(SRC, bronze_cdc, stg_cdc, silver_cdc) + "\nSELECT * FROM silver_cdc"
+    q["dq_unique_cdc"] = _with(SRC, bronze_cdc, stg_cdc, silver_cdc) + """
+SELECT 'unique' AS check_name, 'iot_validated' AS model, 'event_id' AS column_name, count(*) AS failures
+FROM (SELECT event_id FROM silver_cdc WHERE event_id IS NOT NULL GROUP BY event_id HAVING count(*) > 1)"""
     hour_cols = """strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day,
   strftime(t, '%H') AS hour"""
     q["archive_hourly"] = _with(SRC, ROUTED, ACCEPTED) + f""",
