@@ -78,7 +78,8 @@ def archive_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _round9(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[F.round(c, 9).alias(c) if c in cols else F.col(c) for c in df.columns])
+    """Round to 9 places; '+ 0.0' turns a rounded -0.0 into 0.0 so engines agree."""
+    return df.select(*[(F.round(c, 9) + F.lit(0.0)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 # --- medallion ----------------------------------------------------------------

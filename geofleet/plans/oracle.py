@@ -104,8 +104,8 @@ def build() -> dict[str, str]:
     q["silver_validated"] = _with(*BASE) + "\nSELECT * FROM silver"
     q["stream_silver"] = q["silver_validated"]
     q["device_daily"] = _with(*BASE, GOLD) + """
-SELECT device_id, event_date, event_count, round(avg_latitude, 9) AS avg_latitude,
-  round(avg_longitude, 9) AS avg_longitude, first_event_ts, last_event_ts, flagged_event_count FROM gold"""
+SELECT device_id, event_date, event_count, round(avg_latitude, 9) + 0.0 AS avg_latitude,
+  round(avg_longitude, 9) + 0.0 AS avg_longitude, first_event_ts, last_event_ts, flagged_event_count FROM gold"""
     q["latest_position"] = _with(*BASE, LATEST) + "\nSELECT * FROM latest"
     q["hourly_trend"] = _with(*BASE, TREND) + "\nSELECT * FROM trend ORDER BY event_hour, device_id"
     q["daily_listing"] = _with(*BASE, GOLD) + """
@@ -114,7 +114,8 @@ SELECT device_id, event_date, event_count FROM gold ORDER BY event_date DESC, de
 SELECT device_id, CAST(sum(event_count) AS BIGINT) AS event_count FROM gold
 GROUP BY device_id ORDER BY event_count DESC, device_id LIMIT 10"""
     q["map_center"] = _with(*BASE, LATEST) + """
-SELECT round(avg(latitude), 9) AS center_latitude, round(avg(longitude), 9) AS center_longitude FROM latest"""
+SELECT round(avg(latitude), 9) + 0.0 AS center_latitude, round(avg(longitude), 9) + 0.0 AS center_longitude
+FROM latest"""
     q["active_devices"] = _with(*BASE, LATEST, TREND) + """
 SELECT device_id FROM latest UNION SELECT device_id FROM trend"""
     q["device_palette"] = _with(*BASE, LATEST, TREND) + """,

