@@ -25,6 +25,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(table_path(sf_dir, name))
 
 
+_SPLITS: dict[tuple, int] = {}
+
+
+def _split_count(df: DataFrame) -> int:
+    """Scan splits of ``df`` (planning only), remembered per application and input file set."""
+    key = (df.sparkSession.sparkContext.applicationId, tuple(sorted(df.inputFiles())))
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    return _SPLITS[key]
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan that yields fewer splits than the session has cores.
 
@@ -41,7 +52,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
         return df
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()     # planning only, no job
+        splits = _split_count(df)
     except Exception:                           # e.g. Spark Connect: no RDD view
         return df
     if splits >= target:
