@@ -31,8 +31,8 @@ from geofleet.streaming import jobs as J
 
 AS_OF = dt.datetime(2024, 1, 30, 0, 0, 0)
 SERIES_DEVICE = "device-001"
-SERVING_UPDATE_MOD = 211          # rows re-sent with a moved latitude in the upsert query
-SERVING_UPDATE_SHIFT = 0.001
+SERVING_RELOAD_DAYS = 7           # the upsert query re-loads the last week ...
+SERVING_UPDATE_SHIFT = 0.001      # ... with corrected (moved) latitudes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,9 +148,12 @@ def q_serving_rows(spark, sf):
 
 
 def q_serving_upsert(spark, sf):
+    """Full load, then a re-load of the last week with corrected latitudes: the
+    re-loaded keys take batch 2's values, every other key keeps batch 1's."""
     s = silver(spark, sf)
     first = S.serving_rows(s).withColumn("batch_id", F.lit(1).cast("bigint"))
-    resent = s.where(F.col("event_id") % SERVING_UPDATE_MOD == 0).withColumn(
+    since = AS_OF - dt.timedelta(days=SERVING_RELOAD_DAYS)
+    resent = s.where(F.col("event_ts") >= ntz_literal(since)).withColumn(
         "latitude", F.col("latitude") + F.lit(SERVING_UPDATE_SHIFT))
     return S.upsert(first, S.serving_rows(resent), batch_id=2)
 

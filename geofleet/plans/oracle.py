@@ -165,7 +165,8 @@ v AS (
   UNION ALL
   SELECT device_id, epoch_us(event_ts) // 1000,
     CAST(latitude + CAST(0.001 AS DOUBLE) AS DECIMAL(38,12)), CAST(longitude AS DECIMAL(38,12)),
-    {ISO.format(c='event_ts')}, event_id, CAST(2 AS BIGINT) FROM silver WHERE event_id % 211 = 0
+    {ISO.format(c='event_ts')}, event_id, CAST(2 AS BIGINT) FROM silver
+  WHERE event_ts >= {AS_OF_SQL} - INTERVAL 7 DAY
 )
 SELECT * FROM v
 QUALIFY row_number() OVER (PARTITION BY device_id, event_time ORDER BY batch_id DESC, event_ts DESC, event_id DESC) = 1"""
