@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 MICROS_PER_MINUTE = 60_000_000
 MICROS_PER_HOUR = 3_600_000_000
-MICROS_PER_DAY = 86_400_000_000
 
 _EPOCH_NTZ = dt.datetime(1970, 1, 1)
 

@@ -18,7 +18,6 @@ from geofleet.functions.topics import topic_filter_regex
 
 # Reading fields are taken as text: a typed JSON parse gives NULL for "51.5"
 # declared as double, while the bridge accepts it. Text first, then a cast.
-PAYLOAD_SCHEMA = "device_id STRING, latitude DOUBLE, longitude DOUBLE, timestamp BIGINT"
 ENVELOPE_SCHEMA = "payload STRUCT<device_id: STRING, latitude: DOUBLE, longitude: DOUBLE, timestamp: BIGINT>"
 
 READING_COLUMNS = ["msg_id", "device_id", "latitude", "longitude", "timestamp"]

@@ -95,7 +95,7 @@ def run_checks(tables: dict[str, DataFrame], checks: tuple[Check, ...] = DEFAULT
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select(*RESULT_COLUMNS)
 
 
 def failing(results: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from geofleet.plans.serving_job import ServingStore
 from geofleet.sources.cdc import unwrap_cdc
 from geofleet.sources.fixtures import events_to_messages, events_to_source, source_to_cdc
 from geofleet.sources.tables import stream_table
-from geofleet.sources.topics import record_id
+from geofleet.sources.topics import read_topic, record_id
 
 
 def _trigger(writer, available_now: bool, interval: str):
@@ -48,6 +48,19 @@ def bronze_append(spark: SparkSession, sf_dir: str, out: str, checkpoint: str,
     return _trigger(writer, available_now, f"{K.BRONZE_FLUSH_SECONDS} seconds").start(out)
 
 
+def bronze_from_topic(spark: SparkSession, out: str, checkpoint: str, *, bootstrap: str | None = None,
+                      landing_root: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Subscribe to the change-feed topic and append unwrapped rows to bronze.
+
+    Flushes every 10 s; on Kafka at most 100 records per trigger (a landing
+    folder is bounded per file instead). There is no byte-size bound.
+    """
+    feed = read_topic(spark, K.CDC_TOPIC, bootstrap=bootstrap, landing_root=landing_root,
+                      max_records_per_trigger=K.BRONZE_FLUSH_RECORDS, max_files_per_trigger=1)
+    writer = unwrap_cdc(feed).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, f"{K.BRONZE_FLUSH_SECONDS} seconds").start(out)
+
+
 def silver_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
     """Source rows -> staging -> silver, appended as they arrive (stateless, so late rows are tagged, not dropped)."""

@@ -113,3 +113,13 @@ def test_topic_publish_and_table_sink(spark, workdir):
                                            F.countDistinct("offset").alias("d")).collect():
         assert r.n == r.d == r.mx + 1
     assert recs.groupBy("key").agg(F.countDistinct("partition").alias("p")).where("p > 1").count() == 0
+
+
+def test_bronze_from_cdc_topic(spark, workdir):
+    from geofleet.sources.topics import publish
+
+    feed = cdc_messages(spark, SF_SMALL).select("key", "value", F.col("position").alias("msg_id"),
+                                                F.col("position").alias("timestamp"))
+    publish(feed, K.CDC_TOPIC, landing_root=f"{workdir}/topics")
+    J.bronze_from_topic(spark, f"{workdir}/bronze", f"{workdir}/ck", landing_root=f"{workdir}/topics").awaitTermination()
+    assert _same(spark.read.parquet(f"{workdir}/bronze"), unwrap_cdc(cdc_messages(spark, SF_SMALL)))
