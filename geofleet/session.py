@@ -67,3 +67,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/geofleet/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+                   max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input on ``total_cores`` cores.
+
+    Input splits of ``partition_bytes`` keep every scan task's working set
+    small. Shuffles start from a partition count sized for the input (at
+    least two waves of the cluster) and AQE coalesces them down to the
+    advisory size, since partial aggregation and WindowGroupLimit shrink most
+    shuffles far below the input. The count is capped because shuffle
+    metadata grows with map x reduce blocks. Partitions several times the
+    advisory size are split by the skew handling.
+    """
+    initial = min(max(2 * total_cores, -(-input_bytes // partition_bytes)), max_shuffle_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }

@@ -68,3 +68,13 @@ def test_hot_hour_split_across_tasks(spark, workdir):
 def test_spread_is_noop_on_parallel_input(spark):
     wide = spark.range(0, 1000, numPartitions=64)
     assert spread(wide, "id") is wide
+
+
+def test_scale_settings():
+    from geofleet.session import scale_settings
+
+    big = scale_settings(100 * 2**40, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = scale_settings(10 * 2**20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
