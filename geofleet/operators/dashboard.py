@@ -36,7 +36,10 @@ def latest_position(validated: DataFrame) -> DataFrame:
 def trailing_window(validated: DataFrame, as_of: dt.datetime, hours: int = K.TREND_LOOKBACK_HOURS) -> DataFrame:
     """Rows with event_ts >= as_of - hours; no upper bound (later rows count too)."""
     lower = F.timestamp_add("HOUR", F.lit(-hours), ntz_literal(as_of))
-    return validated.where(F.col("event_ts") >= lower)
+    rows = validated.where(F.col("event_ts") >= lower)
+    if "event_date" in validated.columns:     # date-partitioned table: prune whole days
+        rows = rows.where(F.col("event_date") >= F.lit((as_of - dt.timedelta(hours=hours)).date()))
+    return rows
 
 
 def hourly_trend(validated: DataFrame, as_of: dt.datetime, hours: int = K.TREND_LOOKBACK_HOURS) -> DataFrame:

@@ -32,6 +32,7 @@ from geofleet.functions.time import epoch_millis_to_ntz
 from geofleet.functions.time import ntz_literal
 from geofleet.operators.serving import (
     SERVING_COLUMNS,
+    after_mark,
     device_series,
     first_run_watermark,
     latest_per_key,
@@ -174,7 +175,7 @@ def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime
     if committed:
         return False
     watermark = watermark or first_run_watermark(as_of)
-    newer = validated.where(F.col("event_ts") > ntz_literal(watermark))
+    newer = after_mark(validated, watermark)
     store.write_batch(serving_rows(newer), batch_id)
     store.commit(batch_id, watermark)
     return True

@@ -22,6 +22,9 @@ def test_incremental_read_pushes_bound_into_silver_scan(spark, workdir):
     rows = S.incremental_read(spark.table(names["silver"]), ntz("2024-01-29 00:00:00"))
     p = plan(rows)
     assert "PushedFilters: [IsNotNull(event_ts), GreaterThan(event_ts," in p
+    assert "PartitionFilters: [isnotnull(event_date" in p and "2024-01-29" in p
+    trend = plan(D.hourly_trend(spark.table(names["silver"]), ntz("2024-01-30 00:00:00")))
+    assert "PartitionFilters: [isnotnull(event_date" in trend
     # column pruning: severity and ingested_at are not read
     assert "ReadSchema: struct<event_id:bigint,device_id:string,latitude:double,longitude:double,event_ts:timestamp_ntz>" in p
 
