@@ -31,6 +31,9 @@ def build_medallion(spark: SparkSession, bronze: DataFrame, root: str) -> dict[s
     stage_events(bronze).createOrReplaceTempView(STAGING_VIEW)
     silver_name = f"{clean}.{SILVER_TABLE}"
     gold_name = f"{analytics}.{GOLD_TABLE}"
+    # Tables are external at explicit paths under ``root``: a database made
+    # by an earlier build in this session may point at another root.
+    spark.sql(f"DROP TABLE IF EXISTS {silver_name}")
     # Silver is partitioned by event_date, so time-bounded reads (the
     # incremental load, trailing windows) prune whole days, and clustered by
     # device and time inside a day, so key reads skip row groups by min/max
@@ -42,9 +45,15 @@ def build_medallion(spark: SparkSession, bronze: DataFrame, root: str) -> dict[s
         .withColumn("event_date", F.col("event_ts").cast("date"))
         .repartitionByRange("event_date", "device_id", "event_ts")
         .sortWithinPartitions("event_date", "device_id", "event_ts")
-        .write.mode("overwrite").format("parquet").partitionBy("event_date").saveAsTable(silver_name)
+        .write.mode("overwrite").format("parquet").partitionBy("event_date")
+        .option("path", f"{root}/{clean}/{SILVER_TABLE}").saveAsTable(silver_name)
+    )
+    spark.sql(f"DROP TABLE IF EXISTS {gold_name}")
+    (
+        device_daily(spark.table(silver_name).drop("event_date"))
+        .write.mode("overwrite").format("parquet")
+        .option("path", f"{root}/{analytics}/{GOLD_TABLE}").saveAsTable(gold_name)
     )
-    device_daily(spark.table(silver_name).drop("event_date")).write.mode("overwrite").format("parquet").saveAsTable(gold_name)
     return {"staging": f"{raw}.{STAGING_VIEW}", "silver": silver_name, "gold": gold_name}
 
 
