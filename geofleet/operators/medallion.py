@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from geofleet import constants as K
 from geofleet.functions.geo import severity
-from geofleet.functions.time import instant_to_ntz
 
 STAGING_COLUMNS = ["event_id", "device_id", "latitude", "longitude", "event_ts", "ingested_at"]
 SILVER_COLUMNS = STAGING_COLUMNS + ["severity"]
@@ -26,29 +25,36 @@ GOLD_COLUMNS = [
 ]
 
 
-def _as_ntz(df: DataFrame, name: str):
-    """A timestamp column as UTC wall-clock NTZ (zoned input converted, NTZ kept, text parsed)."""
-    dtype = df.schema[name].dataType
-    col = F.col(name)
+_EPOCH_NTZ_SQL = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _ntz_sql(name: str, dtype: T.DataType) -> str:
+    """SQL for a timestamp column as UTC wall-clock NTZ (zoned input converted
+    zone-free through its epoch micros, NTZ kept, text parsed as an instant)."""
     if isinstance(dtype, T.TimestampNTZType):
-        return col
+        return name
     if isinstance(dtype, T.TimestampType):
-        return instant_to_ntz(col)
+        return f"timestampadd(MICROSECOND, unix_micros({name}), {_EPOCH_NTZ_SQL})"
     if isinstance(dtype, T.StringType):
-        return instant_to_ntz(col.cast("timestamp"))
-    return col.cast("timestamp_ntz")
+        return f"timestampadd(MICROSECOND, unix_micros(CAST({name} AS TIMESTAMP)), {_EPOCH_NTZ_SQL})"
+    return f"CAST({name} AS TIMESTAMP_NTZ)"
+
+
+def staging_exprs(schema: T.StructType) -> list[str]:
+    """The six staging casts as SQL expressions, for the DataFrame and the view alike."""
+    return [
+        "CAST(id AS BIGINT) AS event_id",
+        "CAST(device_id AS STRING) AS device_id",
+        "CAST(latitude AS DOUBLE) AS latitude",
+        "CAST(longitude AS DOUBLE) AS longitude",
+        f"{_ntz_sql('event_ts', schema['event_ts'].dataType)} AS event_ts",
+        f"{_ntz_sql('ingested_at', schema['ingested_at'].dataType)} AS ingested_at",
+    ]
 
 
 def stage_events(bronze: DataFrame) -> DataFrame:
     """Typed staging over bronze: six casts, no filter (ANSI casts: bad input raises)."""
-    return bronze.select(
-        F.col("id").cast("bigint").alias("event_id"),
-        F.col("device_id").cast("string").alias("device_id"),
-        F.col("latitude").cast("double").alias("latitude"),
-        F.col("longitude").cast("double").alias("longitude"),
-        _as_ntz(bronze, "event_ts").alias("event_ts"),
-        _as_ntz(bronze, "ingested_at").alias("ingested_at"),
-    )
+    return bronze.selectExpr(*staging_exprs(bronze.schema))
 
 
 def validate_events(staged: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Materialise the three layers.
 
-staging is a view (Catalyst inlines it into silver's plan); silver and gold
-are full-rebuild tables in the databases ``clean`` and ``analytics``, names
-used verbatim. Gold is computed from the *written* silver table, so its job
-starts from files rather than re-running silver's lineage.
+bronze is the table ``raw.iot_events``; staging is the view
+``raw.stg_iot_events`` over it (Catalyst inlines it into silver's plan);
+silver and gold are full-rebuild tables ``clean.iot_validated`` and
+``analytics.device_daily``, names used verbatim. Gold is computed from the
+*written* silver table, so its job starts from files rather than re-running
+silver's lineage.
 """
 
 from __future__ import annotations
@@ -12,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geofleet import constants as K
-from geofleet.operators.medallion import device_daily, stage_events, validate_events
+from geofleet.operators.medallion import device_daily, staging_exprs, validate_events
 
+BRONZE_TABLE = "iot_events"
 STAGING_VIEW = "stg_iot_events"
 SILVER_TABLE = "iot_validated"
 GOLD_TABLE = "device_daily"
@@ -23,12 +26,25 @@ def _database(spark: SparkSession, name: str, root: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
 
 
-def build_medallion(spark: SparkSession, bronze: DataFrame, root: str) -> dict[str, str]:
-    """Build staging view, silver and gold tables; return their qualified names."""
+def build_medallion(spark: SparkSession, bronze: DataFrame | str, root: str) -> dict[str, str]:
+    """Build staging view, silver and gold tables; return their qualified names.
+
+    ``bronze`` is an existing table name, or a DataFrame that is first stored
+    as the table ``raw.iot_events`` (a view must rest on a table).
+    """
     raw, clean, analytics = (K.LAYER_SCHEMAS[k] for k in ("staging", "silver", "gold"))
     for db in (raw, clean, analytics):
         _database(spark, db, root)
-    stage_events(bronze).createOrReplaceTempView(STAGING_VIEW)
+    if isinstance(bronze, DataFrame):
+        bronze_name = f"{raw}.{BRONZE_TABLE}"
+        spark.sql(f"DROP TABLE IF EXISTS {bronze_name}")
+        bronze.write.mode("overwrite").format("parquet").option(
+            "path", f"{root}/{raw}/{BRONZE_TABLE}").saveAsTable(bronze_name)
+    else:
+        bronze_name = bronze
+    staging_name = f"{raw}.{STAGING_VIEW}"
+    exprs = ", ".join(staging_exprs(spark.table(bronze_name).schema))
+    spark.sql(f"CREATE OR REPLACE VIEW {staging_name} AS SELECT {exprs} FROM {bronze_name}")
     silver_name = f"{clean}.{SILVER_TABLE}"
     gold_name = f"{analytics}.{GOLD_TABLE}"
     # Tables are external at explicit paths under ``root``: a database made
@@ -41,7 +57,7 @@ def build_medallion(spark: SparkSession, bronze: DataFrame, root: str) -> dict[s
     # cuts a device holding a third of all rows into many tasks by time,
     # where hash partitioning on device_id would give it a single task.
     (
-        validate_events(spark.table(STAGING_VIEW))
+        validate_events(spark.table(staging_name))
         .withColumn("event_date", F.col("event_ts").cast("date"))
         .repartitionByRange("event_date", "device_id", "event_ts")
         .sortWithinPartitions("event_date", "device_id", "event_ts")
@@ -54,16 +70,13 @@ def build_medallion(spark: SparkSession, bronze: DataFrame, root: str) -> dict[s
         .write.mode("overwrite").format("parquet")
         .option("path", f"{root}/{analytics}/{GOLD_TABLE}").saveAsTable(gold_name)
     )
-    return {"staging": f"{raw}.{STAGING_VIEW}", "silver": silver_name, "gold": gold_name}
+    return {"bronze": bronze_name, "staging": staging_name, "silver": silver_name, "gold": gold_name}
 
 
 def table_counts(spark: SparkSession, names: dict[str, str]) -> DataFrame:
     """(table_name, row_count) of a built medallion, computed by Spark from the tables."""
-    parts = [
-        spark.table(STAGING_VIEW).agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(names["staging"]).alias("table_name"), "row_count"),
-    ]
-    for layer in ("silver", "gold"):
+    parts = []
+    for layer in ("staging", "silver", "gold"):
         parts.append(
             spark.table(names[layer]).agg(F.count(F.lit(1)).alias("row_count"))
             .select(F.lit(names[layer]).alias("table_name"), "row_count")
