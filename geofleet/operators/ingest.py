@@ -2,7 +2,7 @@
 
 route -> parse/normalise -> envelope -> keyed publish; and on the sink side
 envelope decode -> rename -> surrogate id and ingest time. All per-row
-expressions except the keyed publish, which hash-partitions on the key.
+expressions except the keyed publish, which numbers offsets with a range sort.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from geofleet import constants as K
 from geofleet.functions.time import epoch_millis_to_ntz, ntz_literal, reading_time_to_millis
 from geofleet.functions.topics import topic_filter_regex
+from geofleet.operators.ranking import ordinal
 
 # Reading fields are taken as text: a typed JSON parse gives NULL for "51.5"
 # declared as double, while the bridge accepts it. Text first, then a cast.
@@ -98,22 +99,24 @@ def decode_envelope(records: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def keyed_publish(records: DataFrame, partitions: int = K.EVENT_TOPIC_PARTITIONS) -> DataFrame:
-    """Lay records out as a keyed topic: one partition per key, key order kept inside.
-
-    Hash partitioning on the key puts every record of a device in one
-    partition; sorting within partitions by (key, timestamp, msg_id) keeps
-    per-device order. A hot device lands in one partition by design (that is
-    the ordering guarantee); the sort spills rather than failing.
+    """Lay records out as a keyed topic: ``partition`` and ``offset`` per record.
+
+    The topic partition is a hash of the key, so every record of a device
+    lands in one partition; offsets number each partition's records in
+    (key, timestamp, msg_id, value) order, which keeps per-device order. Both are
+    columns, not Spark partitions: the numbering is a range sort over many
+    tasks (``ordinal``), so a topic partition, or a device holding a third of
+    all records, is spread across tasks instead of landing in one.
     """
-    return records.repartition(partitions, F.col("key")).sortWithinPartitions("key", "timestamp", "msg_id")
+    keyed = records.withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int"))
+    return ordinal(keyed, ["key", "timestamp", "msg_id", "value"], out="offset", group="partition")
 
 
 def publish_layout(published: DataFrame) -> DataFrame:
     """Per key: messages and the number of partitions they landed in (1 when keyed correctly)."""
     return (
-        published.withColumn("_partition", F.spark_partition_id())
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("message_count"), F.countDistinct("_partition").alias("partition_count"))
+        published.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("message_count"), F.countDistinct("partition").alias("partition_count"))
     )
 
 

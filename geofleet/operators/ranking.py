@@ -6,31 +6,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sorted_position(df: DataFrame, key: str, out: str = "position", partitions: int | None = None) -> DataFrame:
-    """0-based position of each row of ``df`` in ascending ``key`` order.
+def ordinal(df: DataFrame, order: list[str], out: str = "position", group: str | None = None,
+            partitions: int | None = None) -> DataFrame:
+    """0-based position of each row in ``order``, restarting per ``group`` value.
 
-    ``row_number()`` over an unpartitioned window moves every row into one
-    task. Instead: range-partition on ``key`` and sort inside partitions,
-    number rows locally with ``monotonically_increasing_id`` (partition id in
-    the upper bits, row index in the lower 33), and add each partition's
-    offset. The offset table has one row per range partition, so
-    broadcasting it is bounded by the partition count, not by the data.
-    Ties on ``key`` are broken by the remaining columns so that positions are
-    stable when the stage is recomputed.
+    ``row_number()`` over an unpartitioned (or low-cardinality) window moves
+    every row of a group into one task. Instead: range-partition on
+    (group, order) and sort inside partitions, number rows locally with
+    ``monotonically_increasing_id`` (partition id in the upper bits, row
+    index in the lower 33), and add an offset per (range partition, group).
+    The offset table has one row per (range partition, group) pair, so
+    broadcasting it is bounded by partitions x groups, not by the data; a
+    group holding a third of all rows is spread over a third of the tasks.
+    ``order`` must make rows unique (it is the tie-break), so positions are
+    stable when a stage is recomputed.
     """
     args = [partitions] if partitions else []
-    others = [c for c in df.columns if c != key]
+    keys = ([group] if group else []) + list(order)
     ranged = (
-        df.repartitionByRange(*args, F.col(key))
-        .sortWithinPartitions(key, *others)
+        df.repartitionByRange(*args, *[F.col(k) for k in keys])
+        .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33))
     )
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    by = ["_part"] + ([group] if group else [])
+    sizes = ranged.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(*([group] if group else [])).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
     return (
-        ranged.join(F.broadcast(offsets), "_part")
+        ranged.join(F.broadcast(offsets), by)
         .withColumn(out, F.col("_offset") + F.col("_row"))
         .drop("_part", "_row", "_offset")
     )
+
+
+def sorted_position(df: DataFrame, key: str, out: str = "position", partitions: int | None = None) -> DataFrame:
+    """0-based position of each row of ``df`` in ascending ``key`` order.
+
+    Ties on ``key`` are broken by the remaining columns.
+    """
+    return ordinal(df, [key] + [c for c in df.columns if c != key], out=out, partitions=partitions)

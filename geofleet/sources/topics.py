@@ -82,11 +82,8 @@ def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, lan
     topic_dir = _landing(landing_root, topic)
     if "msg_id" not in records.columns:
         records = records.withColumn("msg_id", F.lit(0).cast("bigint"))
-    part = F.spark_partition_id()
     numbered = keyed_publish(records, partitions).select(
-        "key", "value", part.alias("partition"),
-        (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias("_local"),
-        F.current_timestamp().alias("timestamp"),
+        "key", "value", "partition", F.col("offset").alias("_local"), F.current_timestamp().alias("timestamp"),
     )
     ends = _partition_ends(spark, topic_dir)
     out = numbered.join(F.broadcast(ends), "partition", "left").select(

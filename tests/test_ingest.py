@@ -50,12 +50,15 @@ def test_envelope_round_trip_and_keyed_layout(spark):
     published = I.keyed_publish(env, partitions=3)
     layout = {r.key: (r.message_count, r.partition_count) for r in I.publish_layout(published).collect()}
     assert all(pc == 1 for _, pc in layout.values()) and sum(m for m, _ in layout.values()) == 40
-    # per-key order inside each partition
-    parts = published.withColumn("p", F.spark_partition_id()).select("p", "key", "timestamp").collect()
-    by_key: dict[str, list[int]] = {}
-    for r in parts:
-        by_key.setdefault(r.key, []).append(r.timestamp)
-    assert all(ts == sorted(ts) for ts in by_key.values())
+    # offsets: dense per topic partition, per-key order kept
+    rows = published.select("partition", "offset", "key", "timestamp", "msg_id").collect()
+    by_part: dict[int, list] = {}
+    for r in rows:
+        by_part.setdefault(r.partition, []).append(r)
+    for part_rows in by_part.values():
+        assert sorted(r.offset for r in part_rows) == list(range(len(part_rows)))
+        by_offset = sorted(part_rows, key=lambda r: r.offset)
+        assert [(r.key, r.timestamp, r.msg_id) for r in by_offset] == sorted((r.key, r.timestamp, r.msg_id) for r in part_rows)
 
 
 def test_sink_rows(spark):
