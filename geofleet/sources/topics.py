@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ RECORD_SCHEMA = "key STRING, value STRING, partition INT, offset BIGINT, timesta
 RECORD_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 # Offsets of a partition stay below 2**40, so (partition, offset) packs into one id.
 OFFSET_BITS = 40
+ENDS_SCHEMA = "partition INT, next_offset BIGINT"
 
 
 def record_id(partition: str = "partition", offset: str = "offset"):
@@ -53,13 +53,42 @@ def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None,
     return records.select("key", "value", F.lit(topic).alias("topic"), "partition", "offset", "timestamp")
 
 
-def _partition_ends(spark: SparkSession, topic_dir: str) -> DataFrame:
-    """Next free offset per partition of a landing topic (one row per partition)."""
-    try:
-        existing = spark.read.schema(RECORD_SCHEMA).json(f"{topic_dir}/*")
-    except AnalysisException:
-        return spark.createDataFrame([], "partition INT, next_offset BIGINT")
-    return existing.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+def _ends_dir(root: str, topic: str) -> str:
+    return f"{root.rstrip('/')}/_offsets/{topic}"
+
+
+def _subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (a metadata listing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def _partition_ends(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """Next free offset per partition of a landing topic (one row per partition).
+
+    Each publish leaves an end-offset marker (a few rows) after its data, so
+    this reads the markers, not the topic: cost grows with the number of
+    publishes, not with the records. Only a publish whose marker is missing
+    (it failed after writing its data) is scanned.
+    """
+    topic_dir, ends_dir = _landing(root, topic), _ends_dir(root, topic)
+    published = _subfolders(spark, topic_dir)
+    marked = set(_subfolders(spark, ends_dir))
+    parts = []
+    if marked & set(published):
+        parts.append(spark.read.schema(ENDS_SCHEMA).json([f"{ends_dir}/{m}" for m in sorted(marked & set(published))]))
+    unmarked = [f"{topic_dir}/{p}" for p in published if p not in marked]
+    if unmarked:
+        parts.append(spark.read.schema(RECORD_SCHEMA).json(unmarked)
+                     .groupBy("partition").agg((F.max("offset") + 1).alias("next_offset")))
+    if not parts:
+        return spark.createDataFrame([], ENDS_SCHEMA)
+    ends = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return ends.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
 
 
 def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, landing_root: str | None = None,
@@ -70,7 +99,8 @@ def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, lan
     same with a hash of the key: one partition per key, per-key order kept,
     and offsets continue each partition's sequence in that order. The
     per-partition ends table has one row per partition, so broadcasting it
-    is bounded by the partition count.
+    is bounded by the partition count; it is read from the end-offset
+    markers of earlier publishes, not from their records.
     """
     if bootstrap:
         (records.select(F.col("key").cast("string"), F.col("value").cast("string")).write.format("kafka")
@@ -85,9 +115,14 @@ def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, lan
     numbered = keyed_publish(records, partitions).select(
         "key", "value", "partition", F.col("offset").alias("_local"), F.current_timestamp().alias("timestamp"),
     )
-    ends = _partition_ends(spark, topic_dir)
+    ends = _partition_ends(spark, landing_root, topic)
     out = numbered.join(F.broadcast(ends), "partition", "left").select(
         "key", "value", "partition", (F.coalesce(F.col("next_offset"), F.lit(0)) + F.col("_local")).alias("offset"),
         "timestamp",
     )
-    out.write.mode("errorifexists").json(f"{topic_dir}/{uuid.uuid4().hex}")
+    publish_id = uuid.uuid4().hex
+    out.write.mode("errorifexists").json(f"{topic_dir}/{publish_id}")
+    # The marker is written after the data and reads back only this publish.
+    written = spark.read.schema(RECORD_SCHEMA).json(f"{topic_dir}/{publish_id}")
+    (written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset")).coalesce(1)
+     .write.mode("errorifexists").json(f"{_ends_dir(landing_root, topic)}/{publish_id}"))
