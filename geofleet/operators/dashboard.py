@@ -15,6 +15,7 @@ from geofleet import constants as K
 from geofleet.functions.geo import hex_channel
 from geofleet.functions.time import MICROS_PER_HOUR, floor_ntz, ntz_literal
 from geofleet.operators.ranking import sorted_position
+from geofleet.session import checkpoint_root
 
 
 def latest_position(validated: DataFrame) -> DataFrame:
@@ -81,9 +82,14 @@ def device_palette(device_ids: DataFrame, palette: list[str] = K.DEVICE_PALETTE)
     """Stable colour per device: position in sorted id order modulo the palette size.
 
     Returns device_id, slot, color ('#rrggbb') and its red/green/blue ints.
+    The distinct id set (one row per device) is checkpointed to the shared
+    checkpoint folder first: the numbering reads its input twice, and would
+    otherwise recompute the scans and aggregations under the ids twice.
     """
     colours = F.array(*[F.lit(c) for c in palette])
-    ranked = sorted_position(device_ids.select("device_id").distinct(), "device_id", out="_pos")
+    checkpoint_root(device_ids.sparkSession)
+    ids = device_ids.select("device_id").distinct().checkpoint(eager=True)
+    ranked = sorted_position(ids, "device_id", out="_pos")
     slot = F.pmod(F.col("_pos"), F.lit(len(palette))).cast("int")
     with_colour = ranked.select("device_id", slot.alias("slot")).withColumn(
         "color", F.element_at(colours, F.col("slot") + 1)
