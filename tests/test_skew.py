@@ -65,6 +65,35 @@ def test_hot_hour_split_across_tasks(spark, workdir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_hot_device_keyed_publish_split_across_tasks(spark):
+    """A device holding two thirds of the records keeps one topic partition and
+    exact per-device offsets, yet its records are numbered by many tasks."""
+    from geofleet.operators.ingest import keyed_publish
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rec = hot_bronze(spark).select(
+            F.col("id").alias("msg_id"), F.col("device_id").alias("key"), F.lit("{}").alias("value"),
+            F.col("id").alias("timestamp"))
+        published = keyed_publish(rec, partitions=3).withColumn("_task", F.spark_partition_id())
+        hot_rows = published.where(F.col("key") == "device-hot")
+        hot = hot_rows.agg(
+            F.countDistinct("partition").alias("parts"), F.countDistinct("_task").alias("tasks"),
+            F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n"),
+        ).first()
+        assert hot.parts == 1 and hot.tasks > 1
+        # every partition's offsets are dense ...
+        dense = published.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("mx"),
+                                                   F.countDistinct("offset").alias("d"))
+        assert dense.where("n != d OR mx + 1 != n").count() == 0
+        # ... and the hot device's offsets are consecutive, in time order
+        assert hot.hi - hot.lo + 1 == hot.n
+        ts = [r.timestamp for r in hot_rows.orderBy("offset").select("timestamp").collect()]
+        assert ts == sorted(ts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_spread_is_noop_on_parallel_input(spark):
     wide = spark.range(0, 1000, numPartitions=64)
     assert spread(wide, "id") is wide
