@@ -67,21 +67,22 @@ def _subfolders(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
-def _partition_ends(spark: SparkSession, root: str, topic: str) -> DataFrame:
+def _partition_ends(spark: SparkSession, root: str, topic: str, published: list[str]) -> DataFrame:
     """Next free offset per partition of a landing topic (one row per partition).
 
-    Each publish leaves an end-offset marker (a few rows) after its data, so
-    this reads the markers, not the topic: cost grows with the number of
-    publishes, not with the records. Only a publish whose marker is missing
-    (it failed after writing its data) is scanned.
+    Each publish writes, after its data, a marker holding the cumulative ends
+    of every partition. Publish folders are named in sequence, so the newest
+    marked publish's marker is all that is read, plus a scan of any publish
+    after it whose marker is missing (it failed after writing its data).
+    Cost stays flat as the topic and the number of publishes grow.
     """
     topic_dir, ends_dir = _landing(root, topic), _ends_dir(root, topic)
-    published = _subfolders(spark, topic_dir)
     marked = set(_subfolders(spark, ends_dir))
+    last = max((p for p in published if p in marked), default=None)
     parts = []
-    if marked & set(published):
-        parts.append(spark.read.schema(ENDS_SCHEMA).json([f"{ends_dir}/{m}" for m in sorted(marked & set(published))]))
-    unmarked = [f"{topic_dir}/{p}" for p in published if p not in marked]
+    if last is not None:
+        parts.append(spark.read.schema(ENDS_SCHEMA).json(f"{ends_dir}/{last}"))
+    unmarked = [f"{topic_dir}/{p}" for p in published if p not in marked and (last is None or p > last)]
     if unmarked:
         parts.append(spark.read.schema(RECORD_SCHEMA).json(unmarked)
                      .groupBy("partition").agg((F.max("offset") + 1).alias("next_offset")))
@@ -91,6 +92,12 @@ def _partition_ends(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return ends.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
 
 
+def _next_publish_id(published: list[str]) -> str:
+    """Sequence-numbered folder name: names sort in publish order."""
+    seq = max((int(p.split("-", 1)[0]) for p in published), default=-1) + 1
+    return f"{seq:012d}-{uuid.uuid4().hex[:12]}"
+
+
 def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, landing_root: str | None = None,
             partitions: int = K.EVENT_TOPIC_PARTITIONS) -> None:
     """Publish keyed records (key, value, timestamp[, msg_id]) to ``topic``.
@@ -99,8 +106,8 @@ def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, lan
     same with a hash of the key: one partition per key, per-key order kept,
     and offsets continue each partition's sequence in that order. The
     per-partition ends table has one row per partition, so broadcasting it
-    is bounded by the partition count; it is read from the end-offset
-    markers of earlier publishes, not from their records.
+    is bounded by the partition count; it is read from the newest end-offset
+    marker, not from the records.
     """
     if bootstrap:
         (records.select(F.col("key").cast("string"), F.col("value").cast("string")).write.format("kafka")
@@ -115,14 +122,17 @@ def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, lan
     numbered = keyed_publish(records, partitions).select(
         "key", "value", "partition", F.col("offset").alias("_local"), F.current_timestamp().alias("timestamp"),
     )
-    ends = _partition_ends(spark, landing_root, topic)
+    published = sorted(_subfolders(spark, topic_dir))
+    ends = _partition_ends(spark, landing_root, topic, published)
     out = numbered.join(F.broadcast(ends), "partition", "left").select(
         "key", "value", "partition", (F.coalesce(F.col("next_offset"), F.lit(0)) + F.col("_local")).alias("offset"),
         "timestamp",
     )
-    publish_id = uuid.uuid4().hex
+    publish_id = _next_publish_id(published)
     out.write.mode("errorifexists").json(f"{topic_dir}/{publish_id}")
-    # The marker is written after the data and reads back only this publish.
+    # The marker is written after the data: the previous ends merged with the
+    # ends of this publish, read back from its own folder only.
     written = spark.read.schema(RECORD_SCHEMA).json(f"{topic_dir}/{publish_id}")
-    (written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset")).coalesce(1)
+    mine = written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
+    (ends.unionByName(mine).groupBy("partition").agg(F.max("next_offset").alias("next_offset")).coalesce(1)
      .write.mode("errorifexists").json(f"{_ends_dir(landing_root, topic)}/{publish_id}"))

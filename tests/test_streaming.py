@@ -123,18 +123,20 @@ def test_publish_offsets_from_markers_and_unmarked_publishes(spark, workdir, mon
 
     env = I.envelope(accepted(spark, SF_SMALL))
     root = f"{workdir}/topics"
-    T.publish(env.where("msg_id % 3 = 0"), K.EVENTS_TOPIC, landing_root=root)
+    T.publish(env.where("msg_id % 4 = 0"), K.EVENTS_TOPIC, landing_root=root)
     real_ends_dir = T._ends_dir
     monkeypatch.setattr(T, "_ends_dir", lambda r, t: f"{workdir}/lost-markers/{t}")
-    T.publish(env.where("msg_id % 3 = 1"), K.EVENTS_TOPIC, landing_root=root)
+    T.publish(env.where("msg_id % 4 = 1"), K.EVENTS_TOPIC, landing_root=root)
     monkeypatch.setattr(T, "_ends_dir", real_ends_dir)
-    T.publish(env.where("msg_id % 3 = 2"), K.EVENTS_TOPIC, landing_root=root)
+    T.publish(env.where("msg_id % 4 = 2"), K.EVENTS_TOPIC, landing_root=root)
+    # the newest marker is cumulative: it covers the unmarked publish before it
+    T.publish(env.where("msg_id % 4 = 3"), K.EVENTS_TOPIC, landing_root=root)
     recs = spark.read.schema(T.RECORD_SCHEMA).json(f"{root}/{K.EVENTS_TOPIC}/*")
     assert recs.count() == env.count()
     for r in recs.groupBy("partition").agg(F.count("*").alias("n"), F.max("offset").alias("mx"),
                                            F.countDistinct("offset").alias("d")).collect():
         assert r.n == r.d == r.mx + 1
-    assert len(os.listdir(f"{root}/_offsets/{K.EVENTS_TOPIC}")) == 2
+    assert len(os.listdir(f"{root}/_offsets/{K.EVENTS_TOPIC}")) == 3
 
 
 def test_bronze_from_cdc_topic(spark, workdir):
