@@ -97,13 +97,18 @@ def ingest_stream(spark: SparkSession, sf_dir: str, table_path: str, rejects_pat
     normalised = normalise_readings(route_topic(events_to_messages(stream_table(spark, sf_dir, "events"))))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Two outputs read the batch: keep it (a lost block is recomputed
+        # from the source), and release it even when a write fails.
         batch.persist()
-        ingested_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = sink_rows(accepted_readings(batch), ingested_at).withColumn("batch_id", F.lit(batch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table_path)
-        rejected_readings(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_path)
-        batch.unpersist()
+        try:
+            ingested_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            rows = sink_rows(accepted_readings(batch), ingested_at).withColumn("batch_id", F.lit(batch_id))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "batch_id").parquet(table_path)
+            rejected_readings(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_path)
+        finally:
+            batch.unpersist()
 
     writer = normalised.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, "1 minute").start()
