@@ -22,7 +22,7 @@ from geofleet.functions.time import (
     reading_time_to_millis,
 )
 from geofleet.functions.topics import topic_filter_regex
-from geofleet.operators.ranking import sorted_position
+from geofleet.operators.ranking import ordinal, sorted_position
 
 EPOCH = dt.datetime(1970, 1, 1)
 times = st.datetimes(min_value=dt.datetime(2000, 1, 1), max_value=dt.datetime(2040, 1, 1))
@@ -107,3 +107,19 @@ def test_sorted_position(spark, keys, partitions):
     # Spark orders strings by UTF-8 bytes; the alphabet is ASCII so Python's order agrees.
     assert got == {k: i for i, k in enumerate(sorted(keys))}
     assert not any(math.isnan(v) for v in got.values())
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=0, max_value=3), st.integers(min_value=-5, max_value=5)),
+                min_size=1, max_size=300),
+       st.integers(min_value=1, max_value=9))
+def test_ordinal_within_group(spark, rows, partitions):
+    """Position inside each group in (k, id) order equals a brute-force per-group ranking."""
+    data = [(i, g, k) for i, (g, k) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id bigint, g int, k int")
+    got = {r.id: r.pos for r in ordinal(df, ["k", "id"], out="pos", group="g", partitions=partitions).collect()}
+    want = {}
+    for g in {g for _, g, _ in data}:
+        members = sorted((k, i) for i, gg, k in data if gg == g)
+        want.update({i: n for n, (_, i) in enumerate(members)})
+    assert got == want
