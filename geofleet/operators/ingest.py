@@ -113,10 +113,13 @@ def keyed_publish(records: DataFrame, partitions: int = K.EVENT_TOPIC_PARTITIONS
 
 
 def publish_layout(published: DataFrame) -> DataFrame:
-    """Per key: messages and the number of partitions they landed in (1 when keyed correctly)."""
+    """Per key: messages, the number of partitions they landed in (1 when keyed
+    correctly) and the span of their offsets (= messages: a key's records are
+    consecutive in its partition)."""
     return (
         published.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("message_count"), F.countDistinct("partition").alias("partition_count"))
+        .agg(F.count(F.lit(1)).alias("message_count"), F.countDistinct("partition").alias("partition_count"),
+             (F.max("offset") - F.min("offset") + 1).alias("offset_span"))
     )
 
 

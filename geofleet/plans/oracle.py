@@ -200,7 +200,7 @@ SELECT id AS msg_id, 'iot/' || coalesce(device_id, 'device-unknown') || '/geoloc
 SELECT id AS msg_id, CASE WHEN latitude IS NULL THEN 'latitude' ELSE 'timestamp' END AS reject_reason
 FROM routed WHERE latitude IS NULL OR event_ts IS NULL"""
     q["keyed_publish"] = _with(SRC, ROUTED, ACCEPTED) + """
-SELECT device_id AS key, count(*) AS message_count, CAST(1 AS BIGINT) AS partition_count
+SELECT device_id AS key, count(*) AS message_count, CAST(1 AS BIGINT) AS partition_count, count(*) AS offset_span
 FROM accepted GROUP BY device_id"""
     q["ingest_events"] = _with(SRC, ROUTED, ACCEPTED) + f"""
 SELECT msg_id AS id, device_id, latitude, longitude, make_timestamp("timestamp" * 1000) AS event_ts,
