@@ -76,7 +76,8 @@ def hour_start(year: Column, month: Column, day: Column, hour: Column) -> Column
     return F.to_timestamp_ntz(F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), hour, F.lit(":00:00")))
 
 
-def expire_archive(spark, path: str, out_path: str, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS) -> None:
+def expire_archive(spark, path: str, out_path: str, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS,
+                   records_per_file: int = K.ARCHIVE_RECORDS_PER_FILE) -> None:
     """Rewrite the archive keeping only hour folders newer than the cutoff.
 
     The predicate touches partition columns only, so expired folders are
@@ -86,5 +87,5 @@ def expire_archive(spark, path: str, out_path: str, as_of: dt.datetime, days: in
     cutoff_hour = (as_of - dt.timedelta(days=days)).replace(minute=0, second=0, microsecond=0)
     kept = read_archive(spark, path).where(
         hour_start(F.col("year"), F.col("month"), F.col("day"), F.col("hour")) >= ntz_literal(cutoff_hour))
-    kept.write.mode("overwrite").option("maxRecordsPerFile", K.ARCHIVE_RECORDS_PER_FILE).partitionBy(
+    kept.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).partitionBy(
         *PARTITION_COLUMNS).text(out_path)

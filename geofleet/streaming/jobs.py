@@ -70,7 +70,8 @@ def silver_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str,
 
 
 def archive_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str, clock: str = "arrival",
-                   available_now: bool = True) -> StreamingQuery:
+                   available_now: bool = True,
+                   records_per_file: int = K.ARCHIVE_RECORDS_PER_FILE) -> StreamingQuery:
     """Enveloped events -> hourly archive of envelope JSON lines, ten per object.
 
     ``clock='arrival'`` partitions on the micro-batch's processing time (the
@@ -82,7 +83,7 @@ def archive_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: str,
     partitioned = A.with_archive_partition(records.select("value", "timestamp"), t).drop("timestamp")
     writer = (
         partitioned.writeStream.format("text").option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", K.ARCHIVE_RECORDS_PER_FILE).partitionBy(*A.PARTITION_COLUMNS)
+        .option("maxRecordsPerFile", records_per_file).partitionBy(*A.PARTITION_COLUMNS)
     )
     return _trigger(writer, available_now, "1 minute").start(out)
 
