@@ -29,8 +29,12 @@ _SPLITS: dict[tuple, int] = {}
 
 
 def _split_count(df: DataFrame) -> int:
-    """Scan splits of ``df`` (planning only), remembered per application and input file set."""
-    key = (df.sparkSession.sparkContext.applicationId, tuple(sorted(df.inputFiles())))
+    """Scan splits of ``df`` (planning only), remembered per application and plan.
+
+    The key is the canonical plan's hash (it names the scanned location, not
+    each file), so no per-file list is built on the driver for a large table.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
     if key not in _SPLITS:
         _SPLITS[key] = df.rdd.getNumPartitions()
     return _SPLITS[key]
