@@ -5,7 +5,8 @@
   serve     --silver PATH --store DIR --batch-id N [--as-of TS]
                                                  one incremental serving load (no-op if N is committed)
   compact   --store DIR                          fold committed serving loads into a snapshot
-  expire    --archive DIR --out DIR [--as-of TS] archive copy without objects older than 14 days
+  expire    --archive DIR --out DIR [--as-of TS] [--records-per-file N]
+                                                 archive copy without objects older than 14 days
 
 The master and cluster sizing come from spark-submit; geofleet's session
 defaults are applied on top. ``--as-of`` defaults to the current UTC time.
@@ -20,6 +21,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from geofleet import constants as K  # noqa: E402
 from geofleet.operators import archive as A  # noqa: E402
 from geofleet.operators import quality as Q  # noqa: E402
 from geofleet.plans.medallion_build import build_medallion  # noqa: E402
@@ -52,6 +54,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     e.add_argument("--archive", required=True)
     e.add_argument("--out", required=True)
     e.add_argument("--as-of")
+    e.add_argument("--records-per-file", type=int, default=K.ARCHIVE_RECORDS_PER_FILE)
     return ap.parse_args(argv)
 
 
@@ -77,7 +80,7 @@ def main(argv: list[str], spark=None) -> int:
     elif args.command == "compact":
         print(f"compacted through {compact(ServingStore(spark, args.store))}")
     elif args.command == "expire":
-        A.expire_archive(spark, args.archive, args.out, _as_of(args.as_of))
+        A.expire_archive(spark, args.archive, args.out, _as_of(args.as_of), records_per_file=args.records_per_file)
     return 0
 
 
