@@ -36,3 +36,27 @@ def test_quality_reports_failure(spark, workdir):
     bad.write.parquet(f"{workdir}/bronze")
     jobs.main(["medallion", "--bronze", f"{workdir}/bronze", "--root", f"{workdir}/wh"], spark)
     assert jobs.main(["quality", "--root", f"{workdir}/wh"], spark) == 1
+
+
+def test_expire_keeps_recent_hours_and_honours_records_per_file(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from geofleet.operators import archive as A
+    from geofleet.plans.catalog import AS_OF, archive_records
+
+    A.write_archive(archive_records(spark, SF_SMALL).drop("key"), f"{workdir}/arch")
+    args = ["expire", "--archive", f"{workdir}/arch", "--as-of", AS_OF.isoformat()]
+    assert jobs.main(args + ["--out", f"{workdir}/one", "--records-per-file", "1"], spark) == 0
+    assert jobs.main(args + ["--out", f"{workdir}/big", "--records-per-file", "1000000"], spark) == 0
+    hour = A.hour_start(F.col("year"), F.col("month"), F.col("day"), F.col("hour"))
+    cutoff = F.lit(AS_OF.replace(day=16)).cast("timestamp_ntz")
+    want = {(r.year, r.month, r.day, r.hour): r.record_count
+            for r in A.archive_objects(spark, f"{workdir}/arch").where(hour >= cutoff).collect()}
+    one = A.archive_objects(spark, f"{workdir}/one").collect()
+    big = A.archive_objects(spark, f"{workdir}/big").collect()
+    # only hours inside the 14 days remain, with every record of them
+    assert want and {(r.year, r.month, r.day, r.hour): r.record_count for r in one} == want
+    assert {(r.year, r.month, r.day, r.hour): r.record_count for r in big} == want
+    # the object cap is honoured: one record per object, far fewer objects when raised
+    assert all(r.object_count == r.record_count for r in one)
+    assert sum(r.object_count for r in big) < sum(r.object_count for r in one)
