@@ -122,7 +122,8 @@ def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, lan
     numbered = keyed_publish(records, partitions).select(
         "key", "value", "partition", F.col("offset").alias("_local"), F.current_timestamp().alias("timestamp"),
     )
-    published = sorted(_subfolders(spark, topic_dir))
+    # Publish folders only ("<12-digit sequence>-<id>"); hidden or stray folders are ignored.
+    published = sorted(p for p in _subfolders(spark, topic_dir) if p[:12].isdigit() and p[12:13] == "-")
     ends = _partition_ends(spark, landing_root, topic, published)
     out = numbered.join(F.broadcast(ends), "partition", "left").select(
         "key", "value", "partition", (F.coalesce(F.col("next_offset"), F.lit(0)) + F.col("_local")).alias("offset"),
