@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import geofleet
 from geofleet.session import checkpoint_root
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -28,6 +31,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def for_workers(df: DataFrame) -> DataFrame:
+    """``df``, once Python workers look for this package where the driver found it.
+
+    Needed where the package is on a path (a checkout) and not installed; workers don't share the driver's sys.path.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(geofleet.__file__)))
+    env = df.sparkSession.sparkContext.environment
+    paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` stored in the shared checkpoint folder: lineage ends here and a lost executor loses nothing."""
     checkpoint_root(df.sparkSession)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geofleet.llm.common import cut
+from geofleet.llm.common import cut, for_workers
 from geofleet.llm.sampling import bounded_sample, held_out
 
 MAX_TRAIN = 20_000
@@ -75,7 +75,7 @@ def chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[list[str]]:
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndarray]:
     """(languages, log likelihoods [trigram bucket, language])."""
-    known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang")).where("_id is not null and lang is not null").where(~held_out(F.col("_id")))
+    known = for_workers(docs).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang")).where("_id is not null and lang is not null").where(~held_out(F.col("_id")))
     chosen = cut(bounded_sample(known.select("_id").distinct(), "_id", max_train))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geofleet.llm.common import for_workers
+
 END_ID = 2
 WINDOW = 4096
 
@@ -199,5 +201,5 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
         first = TaskContext.get().partitionId() << 32
         yield from _pack_partition(frames, tokenizer_at(tokenizer_path).encode, window, end_id, first)
 
-    narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = for_workers(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInPandas(run, PIECES)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geofleet.llm import exact_dedup, langid, mixing, packing, simhash, toxicity
+from geofleet.llm import cover_tree, exact_dedup, langid, mixing, packing, pii, secrets, simhash, toxicity, warc
 from geofleet.llm.common import table
 
 
@@ -23,6 +24,12 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(warc.captures(table(spark, sf_dir, "pages")))
+    listed = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return resolved.withColumn("headers", F.array_join(listed, ";"))
+
+
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -35,14 +42,68 @@ def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("findings")
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents")).drop("findings")
+
+
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_pack_sequences, op4_language_mixture, op5_toxicity, op6_exact_duplicates, op10_simhash_groups)}
+    op1_mix_sources, op2_pack_sequences, op3_warc_revisits, op4_language_mixture, op5_toxicity, op6_exact_duplicates,
+    op7_secret_ownership, op8_personal_data, op9_embedding_links, op10_simhash_groups)}
+
+#: Host and so on of a URL, as RE2 reads it.
+URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)(?:\?([^#]*))?"
 
 SQL = {
+    "op3_warc_revisits": f"""
+        WITH parts AS (
+            SELECT page_id, page_id % 5003 AS hour, page_id % 5003 + 1 + page_id * 31 % 1009 AS later, md5(html) AS digest, strlen(html) AS size,
+                   regexp_extract(url, '{URL}', 1) AS host, regexp_extract(url, '{URL}', 2) AS port,
+                   regexp_extract(url, '{URL}', 3) AS path, regexp_extract(url, '{URL}', 4) AS query
+            FROM pages),
+        captured AS (
+            SELECT *, 'day ' || (hour // 24) AS modified,
+                   regexp_replace(lower(host), '^www[0-9]*\\.|\\.$', '', 'g') || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END
+                   || rtrim(path, '/') || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(query, '&'),
+                       lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|gclid|fbclid|msclkid|ref|sessionid|sid|phpsessid)(=|$)'))), '&'), ''), '') AS site
+            FROM parts),
+        found AS (
+            SELECT v.page_id, max(struct_pack(h := r.hour, page := r.page_id)).page AS source
+            FROM captured v JOIN captured r ON r.site = v.site AND r.hour < v.later GROUP BY v.page_id),
+        judged AS (
+            SELECT v.*, f.source, r.digest AS r_digest, r.size AS r_size, r.modified AS r_modified, v.page_id % 10 AS kind,
+                   CASE WHEN f.source IS NULL THEN 'no_earlier_response' WHEN v.page_id % 10 = 9 THEN 'no_validator'
+                        WHEN v.page_id % 10 < 6 AND v.digest = r.digest OR v.page_id % 10 >= 6 AND v.modified = r.modified THEN 'resolved'
+                        ELSE 'validator_mismatch' END AS status
+            FROM captured v LEFT JOIN found f USING (page_id) LEFT JOIN captured r ON r.page_id = f.source)
+        SELECT page_id * 2 + 1 AS record_id, site AS canonical_url, source * 2 AS response_id, status,
+               CASE WHEN kind < 6 THEN 'etag' WHEN kind < 9 THEN 'last-modified' END AS validator,
+               CASE WHEN status = 'resolved' THEN r_digest END AS payload_digest,
+               CASE WHEN status = 'resolved' AND kind < 6
+                    THEN 'cache-control=max-age=3600;content-length=' || r_size || ';content-type=text/html;etag=W/"' || digest || '";last-modified=' || r_modified
+                    WHEN status = 'resolved'
+                    THEN 'cache-control=max-age=60;content-length=' || r_size || ';content-type=text/html;etag="' || r_digest || '";last-modified=' || modified
+                    WHEN kind < 6 THEN 'cache-control=max-age=3600;content-length=0;etag=W/"' || digest || '"'
+                    WHEN kind < 9 THEN 'age=5;connection=Age;last-modified=' || modified
+                    ELSE 'date=' || modified END AS headers
+        FROM judged""",
+    "op9_embedding_links": """
+        WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+        link AS (SELECT a.vec_id AS u, b.vec_id AS w FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+        reach AS (SELECT vec_id AS u, vec_id AS w FROM e UNION SELECT r.u, l.w FROM reach r JOIN link l ON l.u = r.w)
+        SELECT e.vec_id, (SELECT count(*) FROM link WHERE u = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+        FROM e JOIN (SELECT u, min(w) AS component_id FROM reach GROUP BY u) c ON c.u = e.vec_id""",
     "op6_exact_duplicates": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)

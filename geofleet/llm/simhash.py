@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geofleet.llm.common import components, cut, row_struct, salted_lookup
+from geofleet.llm.common import components, cut, for_workers, row_struct, salted_lookup
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -62,7 +62,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             fps = np.array([fingerprint(t if isinstance(t, str) else None, words) for t in frame["text"]], "u8").astype("i8")
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "fp": fps})
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return for_workers(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long")
 
 
 def _signed(bits: int) -> int:

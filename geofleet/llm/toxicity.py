@@ -31,7 +31,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geofleet.llm.common import cut, row_struct
+from geofleet.llm.common import cut, for_workers, row_struct
 from geofleet.llm.sampling import bounded_sample, held_out
 
 MAX_TRAIN = 20_000
@@ -162,7 +162,7 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_train: int = MAX_TRAIN) -> ToxicityModel:
-    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+    known = (for_workers(labels).where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.when(F.col(label_col) >= 1, 1).otherwise(0)).alias("label")))
     chosen = cut(bounded_sample(known, "_id", max_train))
     # A bounded sample of ids: it is broadcast, so the texts aren't shuffled.
