@@ -123,7 +123,7 @@ def votes(text: str, kind: int, start: int, end: int) -> list[int]:
     }[name]
     valid = {
         "email": ".." not in span and not span.endswith("-"), "ip": not span.startswith(("0.", "255.")), "card": luhn(digits) and len(set(digits)) > 2,
-        "phone": 10 <= len(digits) <= 13, "ssn": digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00" and digits[5:] != "0000",
+        "phone": 10 <= len(digits) <= 13, "ssn": digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000",
         "local": len(digits) == 10, "spelled": True, "name": len(span) >= 6,
     }[name]
     known = {

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from geofleet.llm import langid, toxicity
+from geofleet.llm.sampling import bounded_sample, held_out
+from tests.llm.helpers import by_id, documents
+
+LANGS = {"en": "the of and ing tion with that shall", "de": "der die und ung keit schaft über nicht", "fr": "le la et eau tion oui être vous"}
+
+
+def prose(rng: random.Random, lang: str, n: int) -> str:
+    return " ".join(rng.choice(LANGS[lang].split()) + rng.choice(["", "a", "er"]) for _ in range(n))
+
+
+def is_held_out(i: int) -> bool:
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(1)
+    rows = [(i, prose(rng, lang, rng.randint(5, 60)), "s", lang) for i in range(400) for lang in [rng.choice(list(LANGS))]]
+    rows += [(1000, None, "s", "en"), (1001, "", "s", "en"), (1002, "123 !! 45", "s", "fr"), (1003, prose(rng, "de", 20_000), "s", None), (None, prose(rng, "fr", 30), "s", "de"),
+             (5, rows[5][1], "s", rows[5][3]), (1004, prose(rng, "en", 200) + " " + prose(rng, "fr", 200), "s", None)]
+    return rows, documents(spark, rows, "score held_out languages lang_pred").repartition(3)
+
+
+def test_languages(corpus):
+    rows, df = corpus
+    out = langid.identify(df).collect()
+    assert len(out) == len(rows)
+    held = [r for r in out if r.held_out and r.doc_id < 400]
+    assert len(held) > 40 and all(is_held_out(r.doc_id) for r in held)
+    truth = {r[0]: r[3] for r in rows}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.95
+    by = {r.doc_id: r for r in out}
+    assert [(by[i].lang_pred, by[i].score) for i in (1000, 1001, 1002)] == [("und", 0.0)] * 3
+    assert by[1003].lang_pred == "de" and by[None].lang_pred == "fr" and not by[None].held_out
+    assert {x.lang for x in by[1004].languages} == {"en", "fr"} and 0.3 < by[1004].score < 0.7
+    assert all(0 <= r.score <= 1 for r in out)
+
+
+def test_mixture_shares_are_the_likeliest():
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet(np.ones(30), size=2).T
+    n = rng.multinomial(5000, p @ [0.3, 0.7]).astype(float)
+    share, like = langid._em(np.zeros(30, int), n, p, np.full(30, n.sum()), steps=200)
+    grid = [(n * np.log(p @ [a, 1 - a])).sum() for a in np.linspace(0.001, 0.999, 999)]
+    assert abs(share[0, 0] - np.linspace(0.001, 0.999, 999)[np.argmax(grid)]) < 0.01 and like[0] >= max(grid) - 1e-3
+
+
+def test_languages_without_labels_and_empty_input(spark):
+    assert [(r.lang_pred, r.score) for r in langid.identify(documents(spark, [(1, "abc", "s", None)])).collect()] == [("und", 0.0)]
+    assert langid.identify(documents(spark, [])).count() == 0
+
+
+def test_bounded_sample_is_exact_and_repeatable(spark):
+    ids = spark.range(5000).toDF("i")
+    a, b = (sorted(r.i for r in bounded_sample(ids.repartition(n), "i", 300).collect()) for n in (2, 7))
+    assert a == b and len(a) == 300
+    assert bounded_sample(ids, "i", 9000).count() == 5000
+    got = ids.select("i", held_out(ids.i).alias("h")).collect()
+    assert all(r.h == is_held_out(r.i) for r in got)
+
+
+BAD = ["idiot", "moron", "Stupid", "blörgel", "blörgels", "BLÖRGELIN"]
+
+
+@pytest.fixture(scope="module")
+def abuse(spark):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(600):
+        words, toxic = prose(rng, "en", rng.randint(20, 80)).split(), i % 4 == 0
+        if toxic:
+            for _ in range(rng.randint(2, 5)):
+                words.insert(rng.randint(0, len(words)), rng.choice(BAD))
+        rows.append((i, " ".join(words)))
+        if i < 560:
+            labels.append((i, 1, int(toxic)))
+    rows += [(1000, None), (1001, ""), (1002, prose(rng, "en", 20_000)), (None, "you idiot moron"), (3, rows[3][1])]
+    labels += [(0, 0, 0), (None, 1, 1), (1, None, None), (99999, 1, 1)]
+    return rows, documents(spark, rows, "score text2 row probability label"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_toxicity(abuse):
+    rows, docs, labels = abuse
+    out = toxicity.score(docs, labels).collect()
+    assert len(out) == len(rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
+    held = [r for r in out if r.held_out and r.doc_id < 600]
+    assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in held]) > 0.95
+    by = {r.doc_id: r for r in out}
+    assert by[1000].predicted == by[1001].predicted == by[1002].predicted == 0
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((r.doc_id for r in out if not r.predicted), key=str)
+
+
+def test_learned_stems_and_obfuscation(abuse):
+    _, docs, labels = abuse
+    model = toxicity.fit(docs, labels)
+    assert any("blörgelinchen".startswith(s) for s in model.lexicon.stems) or "blörgel" in model.lexicon.words
+    f = dict(zip(toxicity.FEATURES, toxicity.text_features("You are an 1d10t and a m*oron, IDIOT!!", model.lexicon)))
+    assert f["undone_hits"] >= 1 and f["obfuscated"] > 0 and f["near_second_person"] == 1 and f["capitals"] > 0 and f["marks_runs"] > 0
+    assert toxicity.text_features("", model.lexicon)[0] == 0.0
+
+
+def test_toxicity_without_labels_of_both_kinds(spark):
+    docs = documents(spark, [(i, "text") for i in range(30)])
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    ones = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
+    assert {r.score for r in toxicity.score(docs, ones).collect()} == {1.0}
+    assert toxicity.score(documents(spark, []), none).count() == 0 and by_id(toxicity.drop_toxic(docs, none))

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import math
+from collections import defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from geofleet.llm import mixing
+from tests.llm.helpers import documents
+
+
+def edf(jobs: dict[str, int]) -> list[tuple[str, int]]:
+    """Brute force over one cycle: (source, block) of each slot."""
+    total, given, out = sum(jobs.values()), dict.fromkeys(jobs, 0), []
+    for slot in range(total):
+        free = [(math.ceil(Fraction((given[s] + 1) * total, c)), s) for s, c in sorted(jobs.items())
+                if given[s] < c and math.floor(Fraction(given[s] * total, c)) <= slot]
+        _, s = min(free)
+        out.append((s, given[s]))
+        given[s] += 1
+    return out
+
+
+def schedule(a: dict[str, int], blocks: dict[str, int]) -> list[tuple[str, int]]:
+    """Brute force of the whole mix, cycle by cycle."""
+    out, done = [], dict.fromkeys(a, 0)
+    while any(done[s] < blocks[s] for s in a):
+        jobs = {s: min(a[s], blocks[s] - done[s]) for s in a if done[s] < blocks[s]}
+        out += [(s, done[s] + j) for s, j in edf(jobs)]
+        for s, c in jobs.items():
+            done[s] += c
+    return out
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rows = [(i, f"t{i}", "hot") for i in range(400)] + [(1000 + i, f"t{i}", "b") for i in range(130)] + [(2000 + i, "", None) for i in range(33)]
+    return documents(spark, rows, "slot mix_slot key h")
+
+
+def mixed(corpus, weights, **options):
+    spark = corpus.sparkSession
+    w = spark.createDataFrame(weights, "source string, weight double")
+    return mixing.mix(corpus, w, **options)
+
+
+def test_schedule_is_that_of_brute_force_and_keeps_every_row(corpus):
+    out = mixed(corpus, [("hot", 5.0), ("b", 3.0), (None, 2.0)], block_rows=4, cycle=10, bucket_rows=16).toPandas()
+    assert sorted(out.doc_id) == sorted(corpus.toPandas().doc_id)
+    assert set(corpus.columns) <= set(out.columns) and list(out.slot) == [f"x{i}" for i in out.doc_id]
+    key = out.source.map(lambda s: "+" + s if isinstance(s, str) else "-")
+    slots = {slot: (k, b) for slot, k, b in zip(out.mix_slot, key, out.source_block)}
+    assert [slots[i] for i in range(len(slots))] == schedule({"+hot": 5, "+b": 3, "-": 2}, {"+hot": 100, "+b": 33, "-": 9})
+    assert out.mix_position.is_unique and ((out.release <= out.mix_slot) & (out.mix_slot < out.deadline)).all()
+    per_block = out.groupby([key, "source_block"]).size()
+    assert (per_block <= 4).all() and (per_block < 4).sum() <= 3
+
+
+def test_deviation_is_below_one_block_until_a_source_ends(corpus):
+    out = mixed(corpus, [("hot", 7.0), ("b", 2.0), (None, 1.0)], block_rows=2, cycle=10).toPandas()
+    blocks = out.drop_duplicates(["source", "source_block"]).sort_values("mix_slot")
+    given = defaultdict(int)
+    for t, s in enumerate(blocks.source.fillna("-"), start=1):
+        given[s] += 1
+        if t <= 150:
+            assert all(abs(given[k] - w * t / 10) < 1 for k, w in (("hot", 7), ("b", 2), ("-", 1)))
+
+
+def test_weights_that_make_no_sense_get_one_slot(corpus):
+    out = mixed(corpus, [("hot", 1.0), ("b", float("nan")), ("unseen", 5.0), (None, -1.0)], block_rows=4, cycle=10).toPandas()
+    assert len(out) == corpus.count()
+    first = out[out.mix_slot < 12].drop_duplicates(["source", "source_block"])
+    assert (first.source == "b").sum() == 1 and first.source.isna().sum() == 1
+
+
+def test_repeated_rows_null_ids_and_empty_input(spark):
+    rows = [(None, "a", "s")] * 3 + [(1, "b", "s")] * 5 + [(2, None, None)]
+    out = mixed(documents(spark, rows), [("s", 1.0)], block_rows=2).toPandas()
+    assert len(out) == 9 and out.mix_position.is_unique
+    assert mixed(documents(spark, []), [("s", 1.0)]).count() == 0
+
+
+def test_too_many_sources_raise(spark):
+    docs = documents(spark, [(i, "", f"s{i}") for i in range(30)])
+    with pytest.raises(Exception, match="more than 20 sources"):
+        mixing.mix(docs, mixing.smoothed_weights(docs), cycle=20).collect()
+
+
+def test_mixed_order_keeps_columns_and_the_order_of_the_mix(corpus):
+    w = mixing.smoothed_weights(corpus)
+    ordered = [r.doc_id for r in mixing.in_mixed_order(corpus, w, block_rows=4).collect()]
+    expected = [r.doc_id for r in mixing.mix(corpus, w, block_rows=4).orderBy("mix_position").collect()]
+    assert ordered == expected
+    assert mixing.in_mixed_order(corpus, w).columns == corpus.columns
+
+
+def test_no_python_in_the_plan(corpus):
+    plan = mixing.mix(corpus, mixing.smoothed_weights(corpus))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_smoothed_weights(spark):
+    docs = documents(spark, [(i, "", "a") for i in range(16)] + [(99, "", "b")])
+    assert {r.source: r.weight for r in mixing.smoothed_weights(docs).collect()} == {"a": 4.0, "b": 1.0}
+    assert mixing.smoothed_weights(docs, exponent=1.0).agg(F.max("weight")).first()[0] == 16.0
