@@ -33,9 +33,8 @@ ARCHIVE_RECORDS_PER_FILE = 10
 ARCHIVE_RETENTION_DAYS = 14
 # Keyed publish: partitions of the event topic.
 EVENT_TOPIC_PARTITIONS = 3
-# Bronze sink flush: seconds and records per flush.
+# Bronze sink: seconds between flushes (a flush takes all that has arrived).
 BRONZE_FLUSH_SECONDS = 10
-BRONZE_FLUSH_RECORDS = 100
 # Serving load schedule.
 SERVING_LOAD_INTERVAL = "1 minute"
 # Schema names of the three layers.

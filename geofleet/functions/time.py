@@ -66,23 +66,43 @@ def minute_boundaries_between(start: Column | str, end: Column | str) -> Column:
     return (F.floor(ntz_epoch_micros(end) / minute) - F.floor(ntz_epoch_micros(start) / minute)).cast("bigint")
 
 
-def reading_time_to_millis(text: Column | str) -> Column:
-    """Reading timestamp (JSON value as text) -> epoch milliseconds.
+# ISO-8601 date, optional time, optional zone; extended or basic form.
+ISO_DATE = r"(\d{4})-?(\d{2})-?(\d{2})"
+ISO_TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?"
+ISO_ZONE = r"(Z|z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)"
+ISO = f"^{ISO_DATE}(?:[Tt ]{ISO_TIME}{ISO_ZONE}?)?$"
+
+
+def iso_to_millis(text: Column | str) -> Column:
+    """ISO-8601 text -> epoch milliseconds, whatever the session's zone.
 
-    A number passes through as milliseconds (fraction truncated toward zero);
-    otherwise the text is ISO-8601. With an offset or 'Z' it names an
-    instant; without one it is read as UTC. Unparseable input gives NULL.
+    Extended and basic forms, a date alone (its midnight) included. Text
+    without an offset is read as UTC. NULL if it names no time.
     """
     t = F.trim(_col(text))
-    numeric = t.try_cast("double")
-    has_zone = t.rlike(r"(Z|z|[+-]\d{2}(:?\d{2})?)$")
-    zoned = F.unix_millis(F.try_to_timestamp(t))
-    naive = ntz_epoch_millis(t.try_cast("timestamp_ntz"))
-    return (
-        F.when(numeric.isNotNull() & ~F.isnan(numeric), numeric.try_cast("bigint"))
-        .when(has_zone, zoned)
-        .otherwise(naive)
-    )
+    part = lambda n: F.regexp_extract(t, ISO, n)
+    two = lambda n: F.when(part(n) == "", "00").otherwise(part(n))
+    micros = F.substring(F.concat(part(7), F.lit("000000")), 1, 6)
+    local = F.concat(F.concat_ws("-", part(1), part(2), part(3)), F.lit(" "), F.concat_ws(":", two(4), two(5), two(6)),
+                     F.lit("."), micros).try_cast("timestamp_ntz")
+    zone = F.regexp_replace(part(8), ":", "")
+    digits = lambda at: F.coalesce(F.substring(zone, at, 2).try_cast("int"), F.lit(0))
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    offset = F.when(zone.rlike("^[+-]"), sign * (digits(2) * 3600 + digits(4) * 60 + digits(6))).otherwise(0)
+    return F.when(t.rlike(ISO), F.floor((ntz_epoch_micros(local) - offset.cast("bigint") * 1_000_000) / F.lit(1000)).cast("bigint"))
+
+
+def reading_time_to_millis(text: Column | str, is_number: Column | None = None) -> Column:
+    """Reading timestamp (JSON value as text) -> epoch milliseconds.
+
+    A JSON number passes through as milliseconds (fraction truncated toward
+    zero); a JSON text is ISO-8601, also if it is all digits (a basic date).
+    ``is_number`` tells which it was; where it isn't given, no type is known
+    and the value counts as a text. Unparseable input gives NULL.
+    """
+    number = F.trim(_col(text)).try_cast("double")
+    as_text = iso_to_millis(text)
+    return as_text if is_number is None else F.when(is_number & ~F.isnan(number), number.try_cast("bigint")).otherwise(as_text)
 
 
 def iso_text(c: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 route -> parse/normalise -> envelope -> keyed publish; and on the sink side
 envelope decode -> rename -> surrogate id and ingest time. All per-row
-expressions except the keyed publish, which numbers offsets with a range sort.
+expressions except the keyed publish, which numbers offsets by arrival.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from geofleet.operators.ranking import ordinal
 # declared as double, while the bridge accepts it. Text first, then a cast.
 ENVELOPE_SCHEMA = "payload STRUCT<device_id: STRING, latitude: DOUBLE, longitude: DOUBLE, timestamp: BIGINT>"
 
+# The member "timestamp" with a text as its value.
+QUOTED_TIMESTAMP = r'"timestamp"\s*:\s*"'
+
 READING_COLUMNS = ["msg_id", "device_id", "latitude", "longitude", "timestamp"]
 SOURCE_ROW_COLUMNS = ["id", "device_id", "latitude", "longitude", "event_ts", "ingested_at"]
 
@@ -41,18 +44,21 @@ def normalise_readings(routed: DataFrame) -> DataFrame:
     # json_tuple parses each payload once and yields every field as text (a
     # number's text, a string's contents, NULL for null/absent). As a
     # generator it is also a plan barrier: the reject filter cannot be pushed
-    # beneath it and re-parse the JSON per referenced field.
+    # beneath it and re-parse the JSON per referenced field. Text loses the
+    # timestamp's JSON type, on which its meaning depends: an all-digit text
+    # is told from a number by the quote before it in the payload.
     fields = routed.select(
         "msg_id", "topic", "payload",
         F.json_tuple(F.col("payload"), "device_id", "latitude", "longitude", "timestamp").alias(
             "_device", "_lat", "_lon", "_ts"),
     )
+    is_number = F.col("_ts").try_cast("double").isNotNull() & ~F.col("payload").rlike(QUOTED_TIMESTAMP)
     typed = fields.select(
         "msg_id", "topic", "payload",
         F.coalesce(F.col("_device"), F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
         F.col("_lat").try_cast("double").alias("latitude"),
         F.col("_lon").try_cast("double").alias("longitude"),
-        reading_time_to_millis(F.col("_ts")).alias("timestamp"),
+        reading_time_to_millis(F.col("_ts"), is_number).alias("timestamp"),
     )
     reason = (
         F.when(F.col("latitude").isNull(), F.lit("latitude"))
@@ -98,29 +104,22 @@ def decode_envelope(records: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.select(*keep, "_p.device_id", "_p.latitude", "_p.longitude", "_p.timestamp")
 
 
-def keyed_publish(records: DataFrame, partitions: int = K.EVENT_TOPIC_PARTITIONS) -> DataFrame:
-    """Lay records out as a keyed topic: ``partition`` and ``offset`` per record.
+def topic_partition(key: Column, partitions: int = K.EVENT_TOPIC_PARTITIONS) -> Column:
+    """Topic partition of a key: a hash of it that any engine can compute, so a device keeps its partition. No key: partition 0."""
+    head = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(F.pmod(head, F.lit(partitions)), F.lit(0)).cast("int")
+
 
-    The topic partition is a hash of the key, so every record of a device
-    lands in one partition; offsets number each partition's records in
-    (key, timestamp, msg_id, value) order, which keeps per-device order. Both are
-    columns, not Spark partitions: the numbering is a range sort over many
-    tasks (``ordinal``), so a topic partition, or a device holding a third of
-    all records, is spread across tasks instead of landing in one.
+def keyed_publish(records: DataFrame, partitions: int = K.EVENT_TOPIC_PARTITIONS, arrival: str = "msg_id") -> DataFrame:
+    """Records as a keyed topic holds them: ``partition`` by key, and ``offset`` by arrival within the partition.
+
+    ``arrival`` is the unique, not null position in which records arrived, so per-device order is arrival
+    order. The offsets are numbered by ``ordinal`` over (partition, arrival) alone: many tasks for each
+    topic partition, and the payload isn't sorted. A broker assigns its own offsets
+    (``sources.topics.publish``); this is the layout for a topic kept as a table.
     """
-    keyed = records.withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int"))
-    return ordinal(keyed, ["key", "timestamp", "msg_id", "value"], out="offset", group="partition")
-
-
-def publish_layout(published: DataFrame) -> DataFrame:
-    """Per key: messages, the number of partitions they landed in (1 when keyed
-    correctly) and the span of their offsets (= messages: a key's records are
-    consecutive in its partition)."""
-    return (
-        published.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("message_count"), F.countDistinct("partition").alias("partition_count"),
-             (F.max("offset") - F.min("offset") + 1).alias("offset_span"))
-    )
+    keyed = records.withColumn("partition", topic_partition(F.col("key"), partitions))
+    return ordinal(keyed, [arrival], arrival, out="offset", group="partition")
 
 
 def sink_rows(readings: DataFrame, ingested_at: dt.datetime, id_base: int = 0) -> DataFrame:

@@ -5,45 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from geofleet.session import checkpoint_root
 
-def ordinal(df: DataFrame, order: list[str], out: str = "position", group: str | None = None,
+
+def ordinal(df: DataFrame, order: list[str], id_col: str, out: str = "position", group: str | None = None,
             partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order``, restarting per ``group`` value.
+    """``df`` with the 0-based position of each row in ``order``, restarting per ``group`` value.
 
     ``row_number()`` over an unpartitioned (or low-cardinality) window moves
-    every row of a group into one task. Instead: range-partition on
-    (group, order) and sort inside partitions, number rows locally with
-    ``monotonically_increasing_id`` (partition id in the upper bits, row
-    index in the lower 33), and add an offset per (range partition, group).
-    The offset table has one row per (range partition, group) pair, so
-    broadcasting it is bounded by partitions x groups, not by the data; a
-    group holding a third of all rows is spread over a third of the tasks.
-    ``order`` must make rows unique (it is the tie-break), so positions are
-    stable when a stage is recomputed.
+    every row of a group into one task. Instead the id, group and order
+    columns alone are range-partitioned on (group, order, id), sorted and
+    numbered inside each partition, and *stored* (a reliable checkpoint), so
+    both uses below see the same partitions, whatever columns they need.
+    Adding the rows of earlier partitions of the group gives the position,
+    which is joined back by ``id_col``.
+
+    ``id_col`` is unique and not null; it breaks ties of ``order``. Numbering
+    is an action, as Spark's own zipWithIndex is: the checkpoint runs here.
     """
     args = [partitions] if partitions else []
-    keys = ([group] if group else []) + list(order)
-    ranged = (
-        df.repartitionByRange(*args, *[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33))
-    )
-    by = ["_part"] + ([group] if group else [])
-    sizes = ranged.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    before = Window.partitionBy(*([group] if group else [])).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = sizes.select(*by, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
-    return (
-        ranged.join(F.broadcast(offsets), by)
-        .withColumn(out, F.col("_offset") + F.col("_row"))
-        .drop("_part", "_row", "_offset")
+    by = [group] if group else []
+    keys = list(dict.fromkeys([*by, *order, id_col]))
+    checkpoint_root(df.sparkSession)
+    numbered = (
+        df.select(*keys).repartitionByRange(*args, *keys).sortWithinPartitions(*keys)
+        .select(*dict.fromkeys([*by, id_col]), F.spark_partition_id().alias("_part"),
+                F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"))
+        .checkpoint(eager=True)
     )
+    sizes = numbered.groupBy("_part", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", *by, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    # The left join keeps a null group's rows; they are one group to the window too.
+    same = [numbered[c].eqNullSafe(offsets[c]) for c in ("_part", *by)]
+    on = same[0] & same[1] if by else same[0]
+    placed = numbered.join(offsets, on).select(numbered[id_col], (F.col("_offset") + F.col("_row")).alias(out))
+    if set(df.columns) <= {id_col}:
+        return placed
+    return df.join(placed, id_col)
 
 
 def sorted_position(df: DataFrame, key: str, out: str = "position", partitions: int | None = None) -> DataFrame:
-    """0-based position of each row of ``df`` in ascending ``key`` order.
-
-    Ties on ``key`` are broken by the remaining columns.
-    """
-    return ordinal(df, [key] + [c for c in df.columns if c != key], out=out, partitions=partitions)
+    """0-based position of each row of ``df`` in ascending order of ``key``, which is unique and not null."""
+    return ordinal(df, [key], key, out=out, partitions=partitions)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings every geofleet job relies on. UTC keeps NTZ <-> instant casts at
 # the edges stable; the operators themselves are written zone-free.
@@ -15,7 +18,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -42,12 +44,18 @@ def build_session(master: str | None = None, app_name: str = "geofleet",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM on this machine; ``local-cluster`` has executors of its own and isn't."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared store every executor can reach. Only when
-    the session names none (local runs, tests) is a local temporary folder
-    created and registered, so ``DataFrame.checkpoint()`` works too.
+    A session that names none gets a temporary folder if it is local (it is
+    removed at exit); on any other master that is an error, as executors
+    would write to disks that nobody else can read.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -57,7 +65,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="geofleet-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -69,19 +80,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/geofleet/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-                   max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``: their listing only, no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input on ``total_cores`` cores.
 
     Input splits of ``partition_bytes`` keep every scan task's working set
-    small. Shuffles start from a partition count sized for the input (at
-    least two waves of the cluster) and AQE coalesces them down to the
-    advisory size, since partial aggregation and WindowGroupLimit shrink most
-    shuffles far below the input. The count is capped because shuffle
-    metadata grows with map x reduce blocks. Partitions several times the
+    small. Shuffles start from as many partitions (at least two waves of the
+    cluster), whatever the input, and AQE coalesces them to the advisory
+    size. For the largest inputs raise ``partition_bytes``: shuffle
+    bookkeeping grows with map x reduce tasks. Partitions several times the
     advisory size are split by the skew handling.
     """
-    initial = min(max(2 * total_cores, -(-input_bytes // partition_bytes)), max_shuffle_partitions)
+    initial = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(initial),
@@ -89,3 +104,9 @@ def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 25
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
+
+
+def size_for(spark: SparkSession, path: str) -> None:
+    """Apply ``scale_settings`` for the files under ``path`` to this session."""
+    for key, value in scale_settings(input_bytes(spark, path), spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)

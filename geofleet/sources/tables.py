@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -25,46 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(table_path(sf_dir, name))
 
 
-_SPLITS: dict[tuple, int] = {}
-
-
-def _split_count(df: DataFrame) -> int:
-    """Scan splits of ``df`` (planning only), remembered per application and plan.
-
-    The key is the canonical plan's hash (it names the scanned location, not
-    each file), so no per-file list is built on the driver for a large table.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return _SPLITS[key]
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the session has cores.
-
-    A small table stored as a single row group scans as one task, and
-    CPU-heavy per-row work above it (JSON encode/parse) then runs on one
-    core. Hashing on a unique key spreads it deterministically (safe to
-    recompute after a lost executor). At scale the scan already has more
-    splits than cores and this returns ``df`` unchanged: no extra shuffle,
-    so repeated keys can never pile a large input into one task here.
-    (Round-robin was measured ~7x slower here: it sorts every input
-    partition first to stay deterministic.)
-    """
-    if df.isStreaming:
-        return df
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = _split_count(df)
-    except Exception:                           # e.g. Spark Connect: no RDD view
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target, F.col(key))
-
-
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a streaming file source (stand-in for a topic).
 
     The file source needs a directory or a glob, so the file name is given
@@ -72,8 +32,5 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     new micro-batches.
     """
     schema = SCHEMAS.get(name) or spark.read.parquet(table_path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     glob = f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
-    return reader.parquet(glob)
+    return spark.readStream.schema(schema).parquet(glob)

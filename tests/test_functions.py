@@ -56,13 +56,23 @@ def test_minute_boundaries_vs_elapsed(spark):
     assert got == [61, 60, 61, 0, None]
 
 
-def test_reading_time_forms(spark):
-    rows = [("1704067207179",), ("1704067207179.9",), ("2024-01-01T00:00:07.179575+00:00",),
-            ("2024-01-01T02:00:07.179575+02:00",), ("2024-01-01T00:00:07.179575Z",),
-            ("2024-01-01T00:00:07.179575",), ("not a time",), ("NaN",), (None,)]
-    df = spark.createDataFrame(rows, "t string")
-    got = [r[0] for r in df.select(reading_time_to_millis("t")).collect()]
-    assert got == [1704067207179] * 6 + [None, None, None]
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_reading_time_forms(spark, zone):
+    ms, day = 1704067207179, 1705276800000
+    cases = [("1704067207179", True, ms), ("1704067207179.9", True, ms), ("20240115", True, 20240115),
+             ("2024-01-01T00:00:07.179575+00:00", False, ms), ("2024-01-01T02:00:07.179575+02:00", False, ms),
+             ("2023-12-31T19:00:07.179-0500", False, ms), ("2024-01-01T05:30:07.179+05:30", False, ms),
+             ("2024-01-01T00:00:07.179575Z", False, ms), ("2024-01-01T00:00:07.179575", False, ms), ("2024-01-01 00:00:07,179", False, ms),
+             ("20240101T000007.179Z", False, ms), ("2024-01-15", False, day), ("20240115", False, day), ("20240115T100000Z", False, day + 36_000_000),
+             ("2024-01-15T10", False, day + 36_000_000), ("1704067207179", False, None), ("2024-02-30", False, None), ("2024-01-15T25:00", False, None),
+             ("not a time", False, None), ("", False, None), ("NaN", True, None), ("NaN", False, None), (None, False, None), (None, True, None)]
+    df = spark.createDataFrame([(i, t, n) for i, (t, n, _) in enumerate(cases)], "i int, t string, n boolean")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [r[0] for r in df.orderBy("i").select(reading_time_to_millis("t", F.col("n"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [want for _, _, want in cases]
 
 
 def test_epoch_round_trip_and_iso(spark):

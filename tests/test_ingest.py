@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from geofleet.operators import ingest as I
 from tests.conftest import ntz
 
@@ -47,18 +45,25 @@ def test_envelope_round_trip_and_keyed_layout(spark):
     back = I.decode_envelope(env).orderBy("msg_id").collect()
     assert [(r.msg_id, r.device_id, r.latitude, r.timestamp) for r in back] == \
         [(r.msg_id, r.device_id, r.latitude, r.timestamp) for r in acc.orderBy("msg_id").collect()]
-    published = I.keyed_publish(env, partitions=3)
-    layout = {r.key: (r.message_count, r.partition_count) for r in I.publish_layout(published).collect()}
-    assert all(pc == 1 for _, pc in layout.values()) and sum(m for m, _ in layout.values()) == 40
-    # offsets: dense per topic partition, per-key order kept
-    rows = published.select("partition", "offset", "key", "timestamp", "msg_id").collect()
+    # each key in one partition; offsets dense per partition, in order of arrival
     by_part: dict[int, list] = {}
-    for r in rows:
+    for r in I.keyed_publish(env, partitions=3).collect():
         by_part.setdefault(r.partition, []).append(r)
+    assert sum(len({r.key for r in rows}) for rows in by_part.values()) == 3
     for part_rows in by_part.values():
-        assert sorted(r.offset for r in part_rows) == list(range(len(part_rows)))
         by_offset = sorted(part_rows, key=lambda r: r.offset)
-        assert [(r.key, r.timestamp, r.msg_id) for r in by_offset] == sorted((r.key, r.timestamp, r.msg_id) for r in part_rows)
+        assert [r.offset for r in by_offset] == list(range(len(part_rows)))
+        assert [r.msg_id for r in by_offset] == sorted(r.msg_id for r in part_rows)
+
+
+def test_the_json_type_of_a_timestamp_decides(spark):
+    payload = '{"device_id": "d", "latitude": 1, "longitude": 1, "timestamp": %s}'
+    rows = [(i, "iot/d/geolocation", payload % t) for i, t in enumerate(
+        ["20240115", '"20240115"', '"2024-01-15"', '"1705276800000"', "1705276800000", ' "20240115T100000Z"'])]
+    n = normalised(spark, rows)
+    assert {r.msg_id: r.timestamp for r in I.accepted_readings(n).collect()} == {
+        0: 20240115, 1: 1705276800000, 2: 1705276800000, 4: 1705276800000, 5: 1705312800000}
+    assert {r.msg_id: r.reject_reason for r in I.rejected_readings(n).collect()} == {3: "timestamp"}
 
 
 def test_sink_rows(spark):

@@ -12,6 +12,8 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from geofleet.functions.time import (
     MICROS_PER_HOUR,
     epoch_millis_to_ntz,
@@ -59,20 +61,24 @@ offsets = st.integers(min_value=-12 * 60, max_value=14 * 60).map(lambda m: dt.ti
 
 
 @SETTINGS
-@given(st.lists(st.tuples(times, offsets, st.booleans()), min_size=1, max_size=200))
-def test_reading_time_matches_python(spark, cases):
+@given(st.lists(st.tuples(times, offsets, st.booleans(), st.booleans()), min_size=1, max_size=200),
+       st.sampled_from(["UTC", "America/New_York", "Asia/Kolkata"]))
+def test_reading_time_matches_python(spark, cases, zone):
     texts, want = [], []
-    for t, off, as_number in cases:
+    for t, off, as_number, basic in cases:
         utc_ms = (t - EPOCH) // dt.timedelta(milliseconds=1)
         if as_number:
-            texts.append(str(utc_ms))
+            texts.append((str(utc_ms), True))
         else:
             aware = (t + off).replace(tzinfo=dt.timezone(off))
-            texts.append(aware.isoformat())
+            texts.append((aware.strftime("%Y%m%dT%H%M%S.%f%z") if basic and t.year > 999 else aware.isoformat(), False))
             assert int(aware.timestamp() * 1000) in (utc_ms, utc_ms - 1, utc_ms + 1)  # float path of the original
         want.append(utc_ms)
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in texts], "t string")
-           .select(reading_time_to_millis("t")).collect()]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [r[0] for r in spark.createDataFrame(texts, "t string, n boolean").select(reading_time_to_millis("t", F.col("n"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == want
 
 
@@ -117,7 +123,7 @@ def test_ordinal_within_group(spark, rows, partitions):
     """Position inside each group in (k, id) order equals a brute-force per-group ranking."""
     data = [(i, g, k) for i, (g, k) in enumerate(rows)]
     df = spark.createDataFrame(data, "id bigint, g int, k int")
-    got = {r.id: r.pos for r in ordinal(df, ["k", "id"], out="pos", group="g", partitions=partitions).collect()}
+    got = {r.id: r.pos for r in ordinal(df, ["k"], "id", out="pos", group="g", partitions=partitions).collect()}
     want = {}
     for g in {g for _, g, _ in data}:
         members = sorted((k, i) for i, gg, k in data if gg == g)

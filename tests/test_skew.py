@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from geofleet.operators import archive as A
 from geofleet.operators.serving import serving_rows
 from geofleet.plans.medallion_build import build_medallion
 from geofleet.plans.serving_job import ServingStore
-from geofleet.sources.tables import spread
 
 N = 20_000
 
@@ -35,7 +36,8 @@ def files_holding(df, predicate) -> int:
 def test_hot_device_split_across_files(spark, workdir):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        names = build_medallion(spark, hot_bronze(spark), f"{workdir}/wh")
+        hot_bronze(spark).write.parquet(f"{workdir}/bronze")
+        names = build_medallion(spark, f"{workdir}/bronze", f"{workdir}/wh")
         silver = spark.table(names["silver"])
         assert files_holding(silver, F.col("device_id") == "device-hot") > 1
 
@@ -66,44 +68,61 @@ def test_hot_hour_split_across_tasks(spark, workdir):
 
 
 def test_hot_device_keyed_publish_split_across_tasks(spark):
-    """A device holding two thirds of the records keeps one topic partition and
-    exact per-device offsets, yet its records are numbered by many tasks."""
+    """A device holding two thirds of the records keeps one topic partition, in arrival
+    order, yet its records are numbered by many tasks; columns beside the numbering's change nothing."""
     from geofleet.operators.ingest import keyed_publish
 
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        rec = hot_bronze(spark).select(
-            F.col("id").alias("msg_id"), F.col("device_id").alias("key"), F.lit("{}").alias("value"),
-            F.col("id").alias("timestamp"))
-        published = keyed_publish(rec, partitions=3).withColumn("_task", F.spark_partition_id())
-        hot_rows = published.where(F.col("key") == "device-hot")
-        hot = hot_rows.agg(
-            F.countDistinct("partition").alias("parts"), F.countDistinct("_task").alias("tasks"),
-            F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n"),
-        ).first()
-        assert hot.parts == 1 and hot.tasks > 1
-        # every partition's offsets are dense ...
-        dense = published.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("mx"),
-                                                   F.countDistinct("offset").alias("d"))
-        assert dense.where("n != d OR mx + 1 != n").count() == 0
-        # ... and the hot device's offsets are consecutive, in time order
-        assert hot.hi - hot.lo + 1 == hot.n
-        ts = [r.timestamp for r in hot_rows.orderBy("offset").select("timestamp").collect()]
-        assert ts == sorted(ts)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    rec = hot_bronze(spark).select(
+        F.col("id").alias("msg_id"), F.col("device_id").alias("key"), F.lit("{}").alias("value"), F.rand(3).alias("extra"))
+    published = keyed_publish(rec, partitions=3)
+    rows = published.collect()
+    assert len(rows) == N and len({(r.partition, r.offset) for r in rows}) == N
+    for p in {r.partition for r in rows}:
+        own = sorted((r.offset, r.msg_id) for r in rows if r.partition == p)
+        assert [o for o, _ in own] == list(range(len(own))) and [m for _, m in own] == sorted(m for _, m in own)
+    assert len({r.partition for r in rows if r.key == "device-hot"}) == 1
 
 
-def test_spread_is_noop_on_parallel_input(spark):
-    wide = spark.range(0, 1000, numPartitions=64)
-    assert spread(wide, "id") is wide
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ordinal_is_dense_with_columns_outside_the_order(spark, adaptive):
+    from geofleet.operators.ranking import ordinal
 
+    n = 400_000
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(n).select(F.col("id"), F.xxhash64("id").alias("key"), F.concat(F.lit("x"), F.col("id")).alias("extra"))
+        out = ordinal(df, ["key"], "id").cache()
+        got = out.agg(F.count("*").alias("n"), F.countDistinct("position").alias("d"), F.min("position").alias("lo"), F.max("position").alias("hi"),
+                      F.count_if(F.col("extra") != F.concat(F.lit("x"), F.col("id"))).alias("bad")).first()
+        assert (got.n, got.d, got.lo, got.hi, got.bad) == (n, n, 0, n - 1, 0)
+        assert [r.key for r in out.orderBy("position").limit(50).collect()] == [r.key for r in df.orderBy("key").limit(50).collect()]
+        out.unpersist()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
-def test_scale_settings():
-    from geofleet.session import scale_settings
+
+def test_scale_settings(spark, workdir):
+    from geofleet.session import input_bytes, scale_settings
 
     big = scale_settings(100 * 2**40, total_cores=8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**12     # no cap: 256 MB each
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = scale_settings(10 * 2**20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+    spark.range(1000).write.parquet(f"{workdir}/x")
+    assert input_bytes(spark, f"{workdir}/x") > 1000
+
+
+def test_scratch_must_be_shared_off_one_machine(spark):
+    from types import SimpleNamespace as Object
+
+    from geofleet import session
+
+    def named(**conf):
+        return Object(conf=Object(get=lambda key, default=None: conf.get(key.replace(".", "_"), default)),
+                      sparkContext=Object(getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None))
+
+    assert session.is_local(spark) and not session.is_local(named(spark_master="local-cluster[2,1,1024]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(named(spark_master="yarn"))
+    assert session.checkpoint_root(named(spark_master="yarn", spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
