@@ -16,7 +16,9 @@ from geofleet import constants as K
 from geofleet.functions.time import iso_text, ntz_epoch_millis, ntz_literal
 
 SERVING_COLUMNS = ["device_id", "event_time", "latitude", "longitude", "event_ts", "event_id"]
-COORD_DECIMAL = "decimal(38,12)"
+# Spark casts a double through its shortest decimal text, so the value is that
+# text's, exactly, as long as its digits end within 24 decimal places.
+COORD_DECIMAL = "decimal(38,24)"
 
 
 def first_run_watermark(as_of: dt.datetime) -> dt.datetime:

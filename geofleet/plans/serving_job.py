@@ -2,35 +2,32 @@
 
 Layout under ``root``::
 
-    data/batch_id=N/event_date=D/*.parquet   one folder set per load, append-only
-    progress/batch_id=N/*.parquet            one row per committed load
-    base/through=N/event_date=D/*.parquet    compacted snapshot of all loads <= N
-    compaction/through=N/*.parquet           marker, written after its snapshot
+    data/batch_id=N/event_date=D/*.parquet        rows of one load, append-only
+    progress/batch_id=N/*.parquet                 one row per committed load
+    base/through=N/event_date=D/*.parquet         compacted days, as of load N
+    compaction/through=N/*.parquet                manifest: which base folder holds each day
 
 A load writes only its own rows (cost grows with the increment, not with the
-table); readers take the newest version per (device_id, event_time). A load
-rewrites its own ``batch_id`` folders with dynamic partition overwrite, so a
-retried batch replaces its partial output instead of duplicating it, and the
-progress row is written after the data: a crash in between replays the
-batch, which the keyed read makes harmless.
-
-Compaction folds every load up to N into one snapshot (newest version per
-key) so reads stop growing with the number of loads. Readers take the newest
-committed snapshot plus the loads after it; older load folders are never read
-again and can be removed by a retention job.
+table). It replaces its whole ``batch_id`` folder, so a retry leaves nothing of
+an earlier attempt, and its progress row is written after the data. Readers see
+committed loads only, and take the newest version per (device_id, event_time).
+Batch ids only grow: an id at or below the newest committed one is refused.
+
+Compaction folds the loads since the last one into the days that they touch;
+other days keep their folder, which the new manifest names again. ``vacuum``
+deletes folders that no reader needs any more.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geofleet.functions.time import epoch_millis_to_ntz
-from geofleet.functions.time import ntz_literal
+from geofleet.functions.time import epoch_millis_to_ntz, ntz_literal
 from geofleet.operators.serving import (
+    COORD_DECIMAL,
     SERVING_COLUMNS,
     after_mark,
     device_series,
@@ -39,11 +36,14 @@ from geofleet.operators.serving import (
     recent_scan,
     serving_rows,
 )
+from geofleet.sources.files import delete_folders, read_or_empty
 
-VERSION_SCHEMA = ("device_id STRING, event_time BIGINT, latitude DECIMAL(38,12), longitude DECIMAL(38,12), "
-                  "event_ts STRING, event_id BIGINT, batch_id BIGINT, event_date DATE")
-PROGRESS_SCHEMA = "last_event_ts TIMESTAMP_NTZ, rows_written BIGINT, batch_id BIGINT"
-COMPACTION_SCHEMA = "rows_kept BIGINT, through BIGINT"
+ROW_SCHEMA = (f"device_id STRING, event_time BIGINT, latitude {COORD_DECIMAL}, longitude {COORD_DECIMAL}, "
+              "event_ts STRING, event_id BIGINT, event_date DATE")
+VERSION_SCHEMA = f"{ROW_SCHEMA}, batch_id BIGINT"
+BASE_SCHEMA = f"{VERSION_SCHEMA}, through BIGINT"
+PROGRESS_SCHEMA = "last_event_ts TIMESTAMP_NTZ, rows_written BIGINT, source STRING, batch_id BIGINT"
+MANIFEST_SCHEMA = "event_date DATE, folder BIGINT, through BIGINT"
 
 
 class ServingStore:
@@ -56,25 +56,33 @@ class ServingStore:
         self.compaction_path = f"{self.root}/compaction"
 
     # -- reads ------------------------------------------------------------
-    def _read(self, path: str, schema: str) -> DataFrame:
-        """Declared schema (no inference job); an absent folder reads as empty."""
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-
     def compacted_through(self) -> int | None:
         """Newest committed compaction point (one scalar to the driver)."""
-        return self._read(self.compaction_path, COMPACTION_SCHEMA).agg(F.max("through")).first()[0]
+        return read_or_empty(self.spark, self.compaction_path, MANIFEST_SCHEMA).agg(F.max("through")).first()[0]
+
+    def manifest(self, through: int | None) -> DataFrame:
+        """(event_date, folder) of the compacted days."""
+        if through is None:
+            return self.spark.createDataFrame([], "event_date DATE, folder BIGINT")
+        path = f"{self.compaction_path}/through={through}"
+        return self.spark.read.schema("event_date DATE, folder BIGINT").parquet(path)
+
+    def base(self, through: int | None) -> DataFrame:
+        """Compacted rows: of every day, those of the folder that the manifest names (both are partition columns)."""
+        rows, live = read_or_empty(self.spark, self.base_path, BASE_SCHEMA), self.manifest(through)
+        return rows.join(live, (rows["event_date"] == live["event_date"]) & (rows["through"] == live["folder"]), "left_semi").drop("through")
+
+    def loads_after(self, through: int | None) -> DataFrame:
+        """Rows of committed loads after a compaction point; the semi-join prunes batch folders."""
+        done = self.progress().select("batch_id").where(F.col("batch_id") > F.lit(-1 if through is None else through))
+        return read_or_empty(self.spark, self.data_path, VERSION_SCHEMA).join(done, "batch_id", "left_semi").select(
+            *SERVING_COLUMNS, "event_date", "batch_id")
 
     def versions(self) -> DataFrame:
-        """Live versions: the newest snapshot plus every load after it."""
-        loads = self._read(self.data_path, VERSION_SCHEMA)
+        """Live committed versions: the compacted days plus every load after them."""
         through = self.compacted_through()
-        if through is None:
-            return loads
-        base = self._read(f"{self.base_path}/through={through}", VERSION_SCHEMA)
-        return base.unionByName(loads.where(F.col("batch_id") > F.lit(through)))
+        loads = self.loads_after(through)
+        return loads if through is None else self.base(through).unionByName(loads)
 
     def table(self) -> DataFrame:
         """Current serving table: newest version of each key."""
@@ -93,85 +101,114 @@ class ServingStore:
         return recent_scan(latest_per_key(pruned), since_ms)
 
     def progress(self) -> DataFrame:
-        return self._read(self.progress_path, PROGRESS_SCHEMA).select("batch_id", "last_event_ts", "rows_written")
-
-    def state(self, batch_id: int | None = None) -> tuple[dt.datetime | None, bool]:
-        """(watermark, is ``batch_id`` committed) from one aggregate over the
-        progress rows: a single row reaches the driver however many loads ran."""
-        row = self.progress().agg(
-            F.max_by("last_event_ts", "batch_id").alias("wm"),
-            F.count_if(F.col("batch_id") == F.lit(batch_id if batch_id is not None else -1)).alias("seen"),
-        ).first()
-        return row.wm, bool(row.seen)
+        return read_or_empty(self.spark, self.progress_path, PROGRESS_SCHEMA).select(
+            "batch_id", "last_event_ts", "rows_written", "source")
+
+    def state(self, batch_id: int | None = None, source: str | None = None) -> tuple[dt.datetime | None, int | None, bool]:
+        """(watermark, newest committed batch, whether ``batch_id`` or ``source`` is committed): one row
+        reaches the driver however many loads ran."""
+        this = F.lit(False)
+        if batch_id is not None:
+            this = this | (F.col("batch_id") == F.lit(batch_id))
+        if source is not None:
+            this = this | F.coalesce(F.col("source") == F.lit(source), F.lit(False))
+        row = self.progress().agg(F.max_by("last_event_ts", "batch_id").alias("wm"), F.max("batch_id").alias("newest"),
+                                  F.count_if(this).alias("seen")).first()
+        return row.wm, row.newest, bool(row.seen)
 
     def watermark(self) -> dt.datetime | None:
         """last_event_ts of the newest committed load."""
         return self.state()[0]
 
     def is_committed(self, batch_id: int) -> bool:
-        return self.state(batch_id)[1]
+        return self.state(batch_id)[2]
 
     # -- writes -----------------------------------------------------------
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Append one load's serving rows (already projected) as version ``batch_id``."""
-        out = rows.select(*SERVING_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
-            "event_date", F.to_date(epoch_millis_to_ntz(F.col("event_time"))))
+        """Write one load's serving rows (already projected) as version ``batch_id``, in place of any earlier attempt."""
+        newest = self.state()[1]
+        if newest is not None and batch_id <= newest:
+            raise ValueError(f"batch {batch_id} isn't after the newest committed batch {newest}")
+        out = rows.select(*SERVING_COLUMNS).withColumn("event_date", F.to_date(epoch_millis_to_ntz(F.col("event_time"))))
         # Range partitioning on (event_date, device_id, event_time): a backfill
         # whose rows crowd into one day or one device is still cut into
         # evenly sized tasks.
         (
             out.repartitionByRange("event_date", "device_id", "event_time")
             .sortWithinPartitions("event_date", "device_id", "event_time")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "event_date").parquet(self.data_path)
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("event_date").parquet(f"{self.data_path}/batch_id={batch_id}")
         )
 
-    def commit(self, batch_id: int, watermark: dt.datetime) -> None:
-        """Record the load after its data: newest event_ts written, or the old mark."""
-        written = self.versions().where(F.col("batch_id") == batch_id)
+    def commit(self, batch_id: int, watermark: dt.datetime, source: str | None = None) -> None:
+        """Record the load after its data, from its own folder only: newest event_ts written, or the old mark."""
+        written = self.spark.read.schema(ROW_SCHEMA).parquet(f"{self.data_path}/batch_id={batch_id}")
         marker = written.agg(
             F.greatest(ntz_literal(watermark), F.max(F.to_timestamp_ntz("event_ts"))).alias("last_event_ts"),
             F.count(F.lit(1)).alias("rows_written"),
-        ).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        ).withColumn("source", F.lit(source).cast("string"))
         (
-            marker.select("batch_id", "last_event_ts", "rows_written").coalesce(1)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(self.progress_path)
+            marker.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .parquet(f"{self.progress_path}/batch_id={batch_id}")
         )
 
 
 def compact(store: ServingStore) -> int | None:
-    """Fold all committed loads into a new snapshot; returns its point, or None if nothing new.
+    """Fold the committed loads since the last point into the days they touch; the new point, or None if nothing is new.
 
-    The snapshot is written to its own folder (overwritten if a previous
-    attempt died) and the marker after it, so a crash leaves readers on the
-    previous snapshot.
+    Day folders are written first (again, if an earlier attempt died), the
+    manifest after them, so a crash leaves readers on the previous one.
     """
-    committed = store.progress().agg(F.max("batch_id")).first()[0]
+    committed = store.state()[1]
     current = store.compacted_through()
     if committed is None or (current is not None and committed <= current):
         return None
-    snapshot = latest_per_key(store.versions().where(F.col("batch_id") <= F.lit(committed)))
+    loads = store.loads_after(current).where(F.col("batch_id") <= F.lit(committed))
+    touched = loads.select("event_date").distinct()
+    merged = loads if current is None else loads.unionByName(store.base(current).join(touched, "event_date", "left_semi").select(loads.columns))
     (
-        snapshot.repartitionByRange("event_date", "device_id", "event_time")
+        latest_per_key(merged).repartitionByRange("event_date", "device_id", "event_time")
         .sortWithinPartitions("event_date", "device_id", "event_time")
-        .write.mode("overwrite").partitionBy("event_date").parquet(f"{store.base_path}/through={committed}")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("event_date").parquet(f"{store.base_path}/through={committed}")
     )
-    kept = store._read(f"{store.base_path}/through={committed}", VERSION_SCHEMA).agg(
-        F.count(F.lit(1)).alias("rows_kept")).withColumn("through", F.lit(committed).cast("bigint"))
+    new = touched.select("event_date", F.lit(committed).cast("bigint").alias("folder"))
+    kept = store.manifest(current).join(touched, "event_date", "left_anti").select("event_date", "folder")
     (
-        kept.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("through").parquet(store.compaction_path)
+        kept.unionByName(new).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .parquet(f"{store.compaction_path}/through={committed}")
     )
     return committed
 
 
+def vacuum(store: ServingStore) -> int:
+    """Delete what the newest manifest makes needless: load folders up to its point, base days that it
+    doesn't name, and older manifests. How many folders went.
+
+    To be run when no reader still uses an older manifest. The lists are names of folders, one
+    per load since the last vacuum and one per rewritten day.
+    """
+    through = store.compacted_through()
+    if through is None:
+        return 0
+    spark = store.spark
+    loads = store.progress().where(F.col("batch_id") <= F.lit(through)).select("batch_id")
+    folders = (read_or_empty(spark, store.base_path, BASE_SCHEMA).where(F.col("through") <= F.lit(through))
+               .select("event_date", F.col("through").alias("folder")).distinct())
+    stale = folders.join(store.manifest(through), ["event_date", "folder"], "left_anti")
+    older = read_or_empty(spark, store.compaction_path, MANIFEST_SCHEMA).where(F.col("through") < F.lit(through)).select("through").distinct()
+    paths = [f"{store.data_path}/batch_id={r.batch_id}" for r in loads.toLocalIterator()]
+    paths += [f"{store.base_path}/through={r.folder}/event_date={r.event_date}" for r in stale.toLocalIterator()]
+    paths += [f"{store.compaction_path}/through={r.through}" for r in older.toLocalIterator()]
+    return delete_folders(spark, paths)
+
+
 def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime, batch_id: int) -> bool:
     """One scheduled load: watermark -> read newer silver rows -> write -> advance mark.
 
     Returns False when ``batch_id`` is already committed (a repeated trigger is a no-op).
     """
-    watermark, committed = store.state(batch_id)
+    watermark, _, committed = store.state(batch_id)
     if committed:
         return False
     watermark = watermark or first_run_watermark(as_of)
@@ -179,3 +216,18 @@ def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime
     store.write_batch(serving_rows(newer), batch_id)
     store.commit(batch_id, watermark)
     return True
+
+
+def load_epoch(store: ServingStore, validated: DataFrame, source: str) -> bool:
+    """One micro-batch of a stream, named ``source`` (stream and epoch): committed once, under the next free batch id.
+
+    A new stream's epochs start at 0 again, and loads of other streams or
+    schedules may come between, so epochs aren't batch ids.
+    """
+    watermark, newest, committed = store.state(source=source)
+    if committed:
+        return False
+    batch_id = 0 if newest is None else newest + 1
+    store.write_batch(serving_rows(validated), batch_id)
+    store.commit(batch_id, watermark or dt.datetime(1970, 1, 1), source)
+    return True

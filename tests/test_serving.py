@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from geofleet.functions.time import ntz_literal
 from geofleet.operators import serving as S
-from geofleet.plans.serving_job import ServingStore, compact, load_increment
+from geofleet.plans.serving_job import ServingStore, compact, load_epoch, load_increment, vacuum
 from tests.conftest import ntz
 
 SILVER = ("event_id bigint, device_id string, latitude double, longitude double, event_ts timestamp_ntz, "
@@ -24,7 +24,7 @@ def test_projection(spark):
     s = silver(spark, [(1, "d1", 51.5036, -0.000569, ntz("2024-01-01 00:00:07.179575"))])
     r = S.serving_rows(s).first()
     assert r.event_time == 1704067207179 and r.event_ts == "2024-01-01T00:00:07.179575"
-    assert r.latitude == decimal.Decimal("51.503600000000") and r.longitude == decimal.Decimal("-0.000569000000")
+    assert r.latitude == decimal.Decimal("51.5036") and r.longitude == decimal.Decimal("-0.000569")
 
 
 def test_last_write_wins(spark):
@@ -36,7 +36,7 @@ def test_last_write_wins(spark):
     assert snap[("d1", 1704067200100)].event_id == 2          # newer event_ts inside one batch wins
     again = S.serving_rows(silver(spark, [(3, "d2", 9.0, 1.0, t)]))
     upd = {(r.device_id, r.event_time): r for r in S.upsert(first, again, batch_id=2).collect()}
-    assert upd[("d2", 1704067200100)].latitude == decimal.Decimal("9.000000000000") and len(upd) == 2
+    assert upd[("d2", 1704067200100)].latitude == decimal.Decimal("9") and len(upd) == 2
 
 
 def test_watermark_marker(spark):
@@ -94,3 +94,72 @@ def test_compaction_keeps_table_and_bounds_versions(spark, workdir):
     t = {r.event_id: r for r in store.table().collect()}
     assert float(t[5].latitude) == 99.0 and t[5].batch_id == 4 and len(t) == 12
     assert compact(store) == 4 and store.versions().count() == 12
+
+
+def test_decimals_are_the_doubles_own_text(spark):
+    values = [51.5036, 0.1 + 0.2, -0.000569, 1e-7, 179.99999999999997, 5e-324, None]
+    s = silver(spark, [(i, f"d{i}", v, v, ntz("2024-01-01 00:00:00")) for i, v in enumerate(values)])
+    got = {r.event_id: r.latitude for r in S.serving_rows(s).collect()}
+    for i, v in enumerate(values):
+        if v is None:
+            assert got[i] is None
+        elif abs(v) > 1e-8:
+            assert got[i] == decimal.Decimal(repr(v))
+    assert got[5] == 0       # digits beyond 24 places
+
+
+def test_retry_leaves_nothing_of_a_dead_attempt(spark, workdir):
+    days = [ntz("2024-01-10 00:00:00"), ntz("2024-01-11 00:00:00")]
+    first = silver(spark, [(i, f"d{i}", 1.0, 1.0, days[0]) for i in range(5)])
+    second = silver(spark, [(i, f"d{i}", 2.0, 1.0, days[1]) for i in range(3)])
+    store = ServingStore(spark, f"{workdir}/serving")
+    store.write_batch(S.serving_rows(first), 1)
+    assert store.table().count() == 0                      # not committed, not visible
+    store.write_batch(S.serving_rows(second), 1)
+    store.commit(1, days[0])
+    assert store.table().count() == 3 and store.progress().first().rows_written == 3
+
+
+def test_batch_ids_only_grow(spark, workdir):
+    import pytest
+
+    day = ntz("2024-01-10 00:00:00")
+    rows = [S.serving_rows(silver(spark, [(i, f"d{i}", 1.0, 1.0, day) for i in range(k, k + 8)])) for k in (0, 8)]
+    store = ServingStore(spark, f"{workdir}/serving")
+    store.write_batch(rows[0], 6)
+    store.commit(6, day)
+    compact(store)
+    with pytest.raises(ValueError, match="isn't after the newest"):
+        store.write_batch(rows[1], 0)
+    assert load_epoch(store, silver(spark, [(i, f"d{i}", 1.0, 1.0, day) for i in range(8, 15)]), "stream#0")
+    assert not load_epoch(store, silver(spark, [(99, "x", 1.0, 1.0, day)]), "stream#0")   # a replayed epoch
+    assert store.table().count() == 15
+    assert {(r.batch_id, r.source) for r in store.progress().collect()} == {(6, None), (7, "stream#0")}
+
+
+def test_compaction_rewrites_touched_days_only_and_vacuum_deletes_the_rest(spark, workdir):
+    import glob
+    import os
+
+    base = ntz("2024-01-10 00:00:00")
+    store = ServingStore(spark, f"{workdir}/serving")
+    for k in range(3):     # a day each, then the first day once more
+        store.write_batch(S.serving_rows(silver(spark, [(i, f"d{i}", float(k), 0.0, base + dt.timedelta(days=k % 2)) for i in range(4)])), k)
+        store.commit(k, base)
+        compact(store)
+    folders = lambda p: sorted(os.path.relpath(x, store.root) for x in glob.glob(f"{store.root}/{p}"))
+    assert folders("base/through=2/event_date=*") == ["base/through=2/event_date=2024-01-10"]
+    before = sorted(map(tuple, store.table().collect()))
+    assert vacuum(store) == 3 + 1 + 2
+    assert folders("data/*") == [] and folders("base/*/event_date=*") == ["base/through=1/event_date=2024-01-11", "base/through=2/event_date=2024-01-10"]
+    assert folders("compaction/*") == ["compaction/through=2"]
+    assert sorted(map(tuple, store.table().collect())) == before and len(before) == 8
+    assert float(store.series("d1").first().latitude) == 2.0
+
+
+def test_other_errors_than_a_missing_path_are_raised(spark, workdir):
+    import pytest
+
+    store = ServingStore(spark, f"nosuchscheme://{workdir}/serving")
+    with pytest.raises(Exception, match="nosuchscheme"):
+        store.watermark()
