@@ -1,8 +1,10 @@
 """Hourly JSON archive of the event topic.
 
-Objects are laid out ``year=YYYY/month=MM/day=dd/hour=HH`` in UTC, at most
-ten records per object, and expire after fourteen days. The partition clock
-is the record's arrival time by default; event time is an option.
+Objects are laid out ``year=YYYY/month=MM/day=dd/hour=HH`` in UTC and expire
+after fourteen days. The partition clock is the record's arrival time by
+default; event time is an option. How many records an object holds at most
+is always the caller's choice: ``K.ARCHIVE_RECORDS_PER_FILE`` is the layout
+being reproduced, and far too small for large runs.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from geofleet import constants as K
 from geofleet.functions.time import ntz_literal
+from geofleet.sources.files import delete_folders
 
 PARTITION_COLUMNS = ["year", "month", "day", "hour"]
 
@@ -31,18 +34,11 @@ def hourly_counts(partitioned: DataFrame) -> DataFrame:
     return partitioned.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def retained(records: DataFrame, clock: Column, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS) -> DataFrame:
-    """Records younger than ``days`` at ``as_of`` (age measured on the partition clock)."""
-    cutoff = F.timestamp_add("DAY", F.lit(-days), ntz_literal(as_of))
-    return records.where(clock >= cutoff)
-
-
 # Partition values are read back as text so 'hour=07' stays '07'.
 ARCHIVE_READ_SCHEMA = "value STRING, year STRING, month STRING, day STRING, hour STRING"
 
 
-def write_archive(partitioned: DataFrame, path: str, records_per_file: int = K.ARCHIVE_RECORDS_PER_FILE,
-                  mode: str = "append") -> None:
+def write_archive(partitioned: DataFrame, path: str, records_per_file: int, mode: str = "append") -> None:
     """Write each record's envelope as one JSON line under its hour folder,
     ``records_per_file`` lines per object at most.
 
@@ -65,27 +61,25 @@ def read_archive(spark, path: str) -> DataFrame:
 
 
 def archive_objects(spark, path: str) -> DataFrame:
-    """Objects and records per hour folder of a written archive, counted by
+    """Objects, records and the largest object's records per hour folder of a written archive, counted by
     Spark from the file metadata column (no driver-side listing)."""
-    lines = read_archive(spark, path).select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("_file"))
+    lines = read_archive(spark, path).groupBy(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("_file")).agg(
+        F.count(F.lit(1)).alias("_n"))
     return lines.groupBy(*PARTITION_COLUMNS).agg(
-        F.countDistinct("_file").alias("object_count"), F.count(F.lit(1)).alias("record_count"))
+        F.count(F.lit(1)).alias("object_count"), F.sum("_n").alias("record_count"), F.max("_n").alias("largest_object"))
 
 
 def hour_start(year: Column, month: Column, day: Column, hour: Column) -> Column:
     return F.to_timestamp_ntz(F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), hour, F.lit(":00:00")))
 
 
-def expire_archive(spark, path: str, out_path: str, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS,
-                   records_per_file: int = K.ARCHIVE_RECORDS_PER_FILE) -> None:
-    """Rewrite the archive keeping only hour folders newer than the cutoff.
+def expire_archive(spark, path: str, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS) -> int:
+    """Delete the hour folders that ended ``days`` or more before ``as_of``; how many there were.
 
-    The predicate touches partition columns only, so expired folders are
-    pruned at listing time and never read; the result goes to a new location
-    (never over the path being read).
+    Only the expired folders are touched: the predicate is on partition
+    columns, so the others aren't read, and what is kept isn't rewritten.
     """
-    cutoff_hour = (as_of - dt.timedelta(days=days)).replace(minute=0, second=0, microsecond=0)
-    kept = read_archive(spark, path).where(
-        hour_start(F.col("year"), F.col("month"), F.col("day"), F.col("hour")) >= ntz_literal(cutoff_hour))
-    kept.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).partitionBy(
-        *PARTITION_COLUMNS).text(out_path)
+    ended = hour_start(*[F.col(c) for c in PARTITION_COLUMNS]) + F.expr("INTERVAL 1 HOUR")
+    expired = read_archive(spark, path).where(ended <= ntz_literal(as_of - dt.timedelta(days=days))).select(*PARTITION_COLUMNS).distinct()
+    folders = ["/".join(f"{c}={r[c]}" for c in PARTITION_COLUMNS) for r in expired.toLocalIterator()]
+    return delete_folders(spark, [f"{path.rstrip('/')}/{x}" for x in folders])

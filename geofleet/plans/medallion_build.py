@@ -1,15 +1,17 @@
 """Materialise the three layers.
 
-bronze is the table ``raw.iot_events``; staging is the view
-``raw.stg_iot_events`` over it (Catalyst inlines it into silver's plan);
-silver and gold are full-rebuild tables ``clean.iot_validated`` and
-``analytics.device_daily``, names used verbatim. Gold is computed from the
-*written* silver table, so its job starts from files rather than re-running
-silver's lineage.
+bronze is an existing table or Parquet folder; staging is a view over it
+(Catalyst inlines it into silver's plan); silver and gold are full rebuilds.
+A build writes its tables into folders of its own beside those in use, then
+points the catalog names, and the ``_current`` file under the root, at them. Gold
+is computed from the *written* silver table, so its job starts from files
+rather than re-running silver's lineage.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,66 +24,66 @@ SILVER_TABLE = "iot_validated"
 GOLD_TABLE = "device_daily"
 
 
-def _database(spark: SparkSession, name: str, root: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
+def _external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    """Point a catalog name at a folder of Parquet files. Metadata only: the files stay as they are."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if partitioned:
+        spark.catalog.recoverPartitions(name)
 
 
-def build_medallion(spark: SparkSession, bronze: DataFrame | str, root: str) -> dict[str, str]:
-    """Build staging view, silver and gold tables; return their qualified names.
+def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[str, str] | None = None) -> dict[str, str]:
+    """Build staging view, silver and gold; their qualified names by layer.
 
-    ``bronze`` is an existing table name, or a DataFrame that is first stored
-    as the table ``raw.iot_events`` (a view must rest on a table).
+    ``bronze`` is a table name, or the path of a Parquet folder (it has a
+    slash), which is registered where it lies and not copied. ``schemas``
+    gives the catalog's database of each layer: runs at the same time on one
+    catalog need different ones.
     """
-    raw, clean, analytics = (K.LAYER_SCHEMAS[k] for k in ("staging", "silver", "gold"))
+    schemas, root, build = schemas or K.LAYER_SCHEMAS, root.rstrip("/"), uuid.uuid4().hex[:12]
+    raw, clean, analytics = (schemas[k] for k in ("staging", "silver", "gold"))
     for db in (raw, clean, analytics):
-        _database(spark, db, root)
-    if isinstance(bronze, DataFrame):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}'")
+    if "/" in bronze:
         bronze_name = f"{raw}.{BRONZE_TABLE}"
-        spark.sql(f"DROP TABLE IF EXISTS {bronze_name}")
-        bronze.write.mode("overwrite").format("parquet").option(
-            "path", f"{root}/{raw}/{BRONZE_TABLE}").saveAsTable(bronze_name)
+        _external(spark, bronze_name, bronze)
     else:
         bronze_name = bronze
-    staging_name = f"{raw}.{STAGING_VIEW}"
+    names = {"bronze": bronze_name, "staging": f"{raw}.{STAGING_VIEW}", "silver": f"{clean}.{SILVER_TABLE}", "gold": f"{analytics}.{GOLD_TABLE}"}
     exprs = ", ".join(staging_exprs(spark.table(bronze_name).schema))
-    spark.sql(f"CREATE OR REPLACE VIEW {staging_name} AS SELECT {exprs} FROM {bronze_name}")
-    silver_name = f"{clean}.{SILVER_TABLE}"
-    gold_name = f"{analytics}.{GOLD_TABLE}"
-    # Tables are external at explicit paths under ``root``: a database made
-    # by an earlier build in this session may point at another root.
-    spark.sql(f"DROP TABLE IF EXISTS {silver_name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {names['staging']} AS SELECT {exprs} FROM {bronze_name}")
     # Silver is partitioned by event_date, so time-bounded reads (the
     # incremental load, trailing windows) prune whole days, and clustered by
     # device and time inside a day, so key reads skip row groups by min/max
     # statistics. Range partitioning on (event_date, device_id, event_ts)
     # cuts a device holding a third of all rows into many tasks by time,
     # where hash partitioning on device_id would give it a single task.
+    silver_path, gold_path = (f"{root}/{x}/build={build}" for x in (SILVER_TABLE, GOLD_TABLE))
     (
-        validate_events(spark.table(staging_name))
+        validate_events(spark.table(names["staging"]))
         .withColumn("event_date", F.col("event_ts").cast("date"))
         .repartitionByRange("event_date", "device_id", "event_ts")
         .sortWithinPartitions("event_date", "device_id", "event_ts")
-        .write.mode("overwrite").format("parquet").partitionBy("event_date")
-        .option("path", f"{root}/{clean}/{SILVER_TABLE}").saveAsTable(silver_name)
-    )
-    spark.sql(f"DROP TABLE IF EXISTS {gold_name}")
-    (
-        device_daily(spark.table(silver_name).drop("event_date"))
-        .write.mode("overwrite").format("parquet")
-        .option("path", f"{root}/{analytics}/{GOLD_TABLE}").saveAsTable(gold_name)
+        .write.partitionBy("event_date").parquet(silver_path)
     )
-    return {"bronze": bronze_name, "staging": staging_name, "silver": silver_name, "gold": gold_name}
+    device_daily(spark.read.parquet(silver_path).drop("event_date")).write.parquet(gold_path)
+    _external(spark, names["silver"], silver_path, partitioned=True)
+    _external(spark, names["gold"], gold_path)
+    current = spark.createDataFrame([("silver", silver_path), ("gold", gold_path)], "layer STRING, path STRING")
+    current.coalesce(1).write.mode("overwrite").parquet(f"{root}/_current")
+    return names
+
+
+def built_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """silver and gold of the last build under ``root``, by location: a separate run has a catalog of its own."""
+    paths = {r.layer: r.path for r in spark.read.parquet(f"{root.rstrip('/')}/_current").collect()}  # two rows
+    return {layer: spark.read.parquet(path) for layer, path in paths.items()}
 
 
 def table_counts(spark: SparkSession, names: dict[str, str]) -> DataFrame:
-    """(table_name, row_count) of a built medallion, computed by Spark from the tables."""
-    parts = []
-    for layer in ("staging", "silver", "gold"):
-        parts.append(
-            spark.table(names[layer]).agg(F.count(F.lit(1)).alias("row_count"))
-            .select(F.lit(names[layer]).alias("table_name"), "row_count")
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(table_name, row_count) of a built medallion, computed by Spark from the tables, under the layers' usual names."""
+    usual = {"staging": f"{K.LAYER_SCHEMAS['staging']}.{STAGING_VIEW}", "silver": f"{K.LAYER_SCHEMAS['silver']}.{SILVER_TABLE}",
+             "gold": f"{K.LAYER_SCHEMAS['gold']}.{GOLD_TABLE}"}
+    parts = [spark.table(names[layer]).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(shown).alias("table_name"), "row_count")
+             for layer, shown in usual.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -14,24 +14,45 @@ from geofleet.functions.time import instant_to_ntz
 
 # Flattened after-image; timestamps are ISO-8601 text with a zone.
 AFTER_IMAGE_SCHEMA = (
-    "id BIGINT, device_id STRING, latitude DOUBLE, longitude DOUBLE, event_ts STRING, ingested_at STRING"
+    "id BIGINT, device_id STRING, latitude DOUBLE, longitude DOUBLE, event_ts STRING, ingested_at STRING, _corrupt STRING"
 )
 
 BRONZE_COLUMNS = ["id", "device_id", "latitude", "longitude", "event_ts", "ingested_at"]
 
 
-def unwrap_cdc(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """After-image columns of each change message; a tombstone becomes an all-NULL row.
+def cdc_images(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """key, value, BRONZE_COLUMNS and reject_reason of each change message.
 
+    A tombstone is an all-NULL row without a reason. An image that isn't JSON
+    of these types, or whose times can't be read, has a reason and may have NULL columns.
     Purely per-row (no shuffle): runs unchanged on a stream.
     """
     # One parse per message: the struct is a column of its own projection.
-    parsed = messages.select(F.from_json(F.col(value_col), AFTER_IMAGE_SCHEMA).alias("_a"))
-    return parsed.select(
-        F.col("_a.id").alias("id"),
-        F.col("_a.device_id").alias("device_id"),
-        F.col("_a.latitude").alias("latitude"),
-        F.col("_a.longitude").alias("longitude"),
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    keep = [c for c in ("key",) if c in messages.columns]
+    parsed = messages.select(*keep, F.col(value_col).alias("value"), F.from_json(F.col(value_col), AFTER_IMAGE_SCHEMA, options).alias("_a"))
+    timed = parsed.select(
+        *keep, "value", "_a",
         instant_to_ntz(F.try_to_timestamp(F.col("_a.event_ts"))).alias("event_ts"),
         instant_to_ntz(F.try_to_timestamp(F.col("_a.ingested_at"))).alias("ingested_at"),
     )
+    unread = lambda c: F.col(f"_a.{c}").isNotNull() & F.col(c).isNull()
+    reason = (F.when(F.col("value").isNull(), None).when(F.col("_a").isNull() | F.col("_a._corrupt").isNotNull(), "malformed")
+              .when(unread("event_ts"), "event_ts").when(unread("ingested_at"), "ingested_at"))
+    return timed.select(*keep, "value", "_a.id", "_a.device_id", "_a.latitude", "_a.longitude", "event_ts", "ingested_at",
+                        reason.alias("reject_reason"))
+
+
+def cdc_rows(images: DataFrame) -> DataFrame:
+    """Bronze rows of readable images and tombstones."""
+    return images.where(F.col("reject_reason").isNull()).select(*BRONZE_COLUMNS)
+
+
+def cdc_rejects(images: DataFrame) -> DataFrame:
+    """Messages whose image can't be read, with the reason."""
+    return images.where(F.col("reject_reason").isNotNull()).select(*[c for c in ("key", "value", "reject_reason") if c in images.columns])
+
+
+def unwrap_cdc(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """After-image columns of each readable change message; a tombstone becomes an all-NULL row."""
+    return cdc_rows(cdc_images(messages, value_col))

@@ -1,139 +1,80 @@
 """Topic edge: publish to and subscribe to a named topic.
 
-With ``bootstrap`` set, Spark's Kafka source/sink is used (the connector jar
-must be on the classpath). Without it, a landing folder per topic stands in:
-records are JSON lines with (key, value, partition, offset, timestamp), one
-sub-folder per publish, read back with the streaming file source.
-Either way a subscriber sees the same columns.
+With ``bootstrap`` set, Spark's Kafka source and sink are used (the connector
+jar must be on the classpath); partitions and offsets are the broker's.
+Without it a folder of JSON lines (key, value, timestamp) for each topic
+stands in, written and read by Spark's plain file sink and source.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geofleet import constants as K
-from geofleet.operators.ingest import keyed_publish
-
-RECORD_SCHEMA = "key STRING, value STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
-RECORD_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
+RECORD_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP, msg_id BIGINT"
 # Offsets of a partition stay below 2**40, so (partition, offset) packs into one id.
 OFFSET_BITS = 40
-ENDS_SCHEMA = "partition INT, next_offset BIGINT"
 
 
-def record_id(partition: str = "partition", offset: str = "offset"):
-    """Stable surrogate id of a topic record (survives task retries and replays)."""
+def record_id(partition: str = "partition", offset: str = "offset") -> Column:
+    """Stable surrogate id of a broker's record (survives task retries and replays)."""
     return F.shiftleft(F.col(partition).cast("bigint"), OFFSET_BITS) + F.col(offset)
 
 
-def _landing(root: str, topic: str) -> str:
-    return f"{root.rstrip('/')}/{topic}"
-
-
-def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None, landing_root: str | None = None,
-               max_records_per_trigger: int | None = None, max_files_per_trigger: int | None = None,
+def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None, folder: str | None = None,
                starting_offsets: str = "earliest") -> DataFrame:
-    """Streaming subscription to ``topic`` with RECORD_COLUMNS."""
+    """Streaming subscription to ``topic``: key, value, topic, timestamp, msg_id (unique per record). No rate limit."""
     if bootstrap:
-        reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-                  .option("subscribe", topic).option("startingOffsets", starting_offsets))
-        if max_records_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_records_per_trigger))
-        return reader.load().select(
-            F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition", "offset", "timestamp")
-    if not landing_root:
-        raise ValueError("either bootstrap or landing_root is required")
-    reader = spark.readStream.schema(RECORD_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    records = reader.json(f"{_landing(landing_root, topic)}/*")
-    return records.select("key", "value", F.lit(topic).alias("topic"), "partition", "offset", "timestamp")
-
-
-def _ends_dir(root: str, topic: str) -> str:
-    return f"{root.rstrip('/')}/_offsets/{topic}"
-
-
-def _subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly under ``path`` (a metadata listing)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        records = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+                   .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+        return records.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "timestamp",
+                              record_id().alias("msg_id"))
+    if not folder:
+        raise ValueError("either bootstrap or folder is required")
+    records = spark.readStream.schema(RECORD_SCHEMA).json(f"{folder.rstrip('/')}/{topic}")
+    return records.select("key", "value", F.lit(topic).alias("topic"), "timestamp", "msg_id")
 
 
-def _partition_ends(spark: SparkSession, root: str, topic: str, published: list[str]) -> DataFrame:
-    """Next free offset per partition of a landing topic (one row per partition).
+def time_slices(records: DataFrame, slice_rows: int) -> list[tuple[int | None, int | None]]:
+    """Consecutive ranges [from, to) of msg_id (open at the ends), so that no key has much more than ``slice_rows`` rows in one.
 
-    Each publish writes, after its data, a marker holding the cumulative ends
-    of every partition. Publish folders are named in sequence, so the newest
-    marked publish's marker is all that is read, plus a scan of any publish
-    after it whose marker is missing (it failed after writing its data).
-    Cost stays flat as the topic and the number of publishes grow.
+    One number, the rows of the largest key, decides how many; the bounds are quantiles of that key's msg_id.
     """
-    topic_dir, ends_dir = _landing(root, topic), _ends_dir(root, topic)
-    marked = set(_subfolders(spark, ends_dir))
-    last = max((p for p in published if p in marked), default=None)
-    parts = []
-    if last is not None:
-        parts.append(spark.read.schema(ENDS_SCHEMA).json(f"{ends_dir}/{last}"))
-    unmarked = [f"{topic_dir}/{p}" for p in published if p not in marked and (last is None or p > last)]
-    if unmarked:
-        parts.append(spark.read.schema(RECORD_SCHEMA).json(unmarked)
-                     .groupBy("partition").agg((F.max("offset") + 1).alias("next_offset")))
-    if not parts:
-        return spark.createDataFrame([], ENDS_SCHEMA)
-    ends = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return ends.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
-
-
-def _next_publish_id(published: list[str]) -> str:
-    """Sequence-numbered folder name: names sort in publish order."""
-    seq = max((int(p.split("-", 1)[0]) for p in published), default=-1) + 1
-    return f"{seq:012d}-{uuid.uuid4().hex[:12]}"
-
-
-def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, landing_root: str | None = None,
-            partitions: int = K.EVENT_TOPIC_PARTITIONS) -> None:
-    """Publish keyed records (key, value, timestamp[, msg_id]) to ``topic``.
-
-    Kafka assigns partitions from the key itself. The landing folder does the
-    same with a hash of the key: one partition per key, per-key order kept,
-    and offsets continue each partition's sequence in that order. The
-    per-partition ends table has one row per partition, so broadcasting it
-    is bounded by the partition count; it is read from the newest end-offset
-    marker, not from the records.
+    top = records.groupBy("key").count().orderBy(F.desc("count"), "key").first()
+    if top is None or top["count"] <= slice_rows:
+        return [(None, None)]
+    n = -(-top["count"] // slice_rows)
+    own = records.where(F.col("key").eqNullSafe(F.lit(top["key"])))
+    cuts = sorted({int(x) for x in own.approxQuantile("msg_id", [i / n for i in range(1, n)], 0.1 / n)})
+    return list(zip([None, *cuts], [*cuts, None]))
+
+
+def publish(records: DataFrame, topic: str, *, bootstrap: str | None = None, folder: str | None = None,
+            slice_rows: int = 1_000_000, write: Callable[[DataFrame], None] | None = None) -> int:
+    """Publish records(key, value, timestamp, msg_id) to ``topic``, each key's in order of msg_id; how many slices it took.
+
+    A key's records go through one task, sorted, so they reach the topic in
+    order. A key with more than ``slice_rows`` records is published in
+    consecutive slices, one job after another: no task holds it all.
     """
-    if bootstrap:
-        (records.select(F.col("key").cast("string"), F.col("value").cast("string")).write.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
-        return
-    if not landing_root:
-        raise ValueError("either bootstrap or landing_root is required")
-    spark = records.sparkSession
-    topic_dir = _landing(landing_root, topic)
-    if "msg_id" not in records.columns:
-        records = records.withColumn("msg_id", F.lit(0).cast("bigint"))
-    numbered = keyed_publish(records, partitions).select(
-        "key", "value", "partition", F.col("offset").alias("_local"), F.current_timestamp().alias("timestamp"),
-    )
-    # Publish folders only ("<12-digit sequence>-<id>"); hidden or stray folders are ignored.
-    published = sorted(p for p in _subfolders(spark, topic_dir) if p[:12].isdigit() and p[12:13] == "-")
-    ends = _partition_ends(spark, landing_root, topic, published)
-    out = numbered.join(F.broadcast(ends), "partition", "left").select(
-        "key", "value", "partition", (F.coalesce(F.col("next_offset"), F.lit(0)) + F.col("_local")).alias("offset"),
-        "timestamp",
-    )
-    publish_id = _next_publish_id(published)
-    out.write.mode("errorifexists").json(f"{topic_dir}/{publish_id}")
-    # The marker is written after the data: the previous ends merged with the
-    # ends of this publish, read back from its own folder only.
-    written = spark.read.schema(RECORD_SCHEMA).json(f"{topic_dir}/{publish_id}")
-    mine = written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
-    (ends.unionByName(mine).groupBy("partition").agg(F.max("next_offset").alias("next_offset")).coalesce(1)
-     .write.mode("errorifexists").json(f"{_ends_dir(landing_root, topic)}/{publish_id}"))
+    if write is None:
+        if bootstrap:
+            def write(part: DataFrame) -> None:
+                (part.select(F.col("key").cast("string"), F.col("value").cast("string")).write.format("kafka")
+                 .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+        elif folder:
+            def write(part: DataFrame) -> None:
+                part.select("key", "value", "timestamp", "msg_id").write.mode("append").json(f"{folder.rstrip('/')}/{topic}")
+        else:
+            raise ValueError("either bootstrap or folder is required")
+    slices = time_slices(records, slice_rows)
+    for low, high in slices:
+        part = records
+        if low is not None:
+            part = part.where(F.col("msg_id") >= low)
+        if high is not None:
+            part = part.where(F.col("msg_id") < high)
+        write(part.repartition("key").sortWithinPartitions("key", "msg_id"))
+    return len(slices)

@@ -4,12 +4,27 @@
   quality   --root DIR                           the nine data tests; exit status 1 on any failure
   serve     --silver PATH --store DIR --batch-id N [--as-of TS]
                                                  one incremental serving load (no-op if N is committed)
-  compact   --store DIR                          fold committed serving loads into a snapshot
-  expire    --archive DIR --out DIR [--as-of TS] [--records-per-file N]
-                                                 archive copy without objects older than 14 days
+  compact   --store DIR                          fold committed serving loads into the days they touch
+  vacuum    --store DIR                          delete serving folders that compaction made needless
+  expire    --archive DIR [--as-of TS]           delete archive hours older than 14 days
+
+Streams, each until stopped, or with --once over what is there now:
+
+  ingest    --topic T --out DIR --rejects DIR    raw messages -> source table
+  append    --topic T --out DIR                  event topic -> relational table
+  bronze    --topic T --out DIR --rejects DIR    change feed -> bronze, every 10 s
+  silver    --bronze DIR --out DIR               bronze -> silver, every minute
+  archive   --topic T --out DIR --records-per-file N [--clock arrival|event]
+                                                 event topic -> hourly JSON archive
+  serving   --silver DIR --store DIR             silver -> serving table, every minute
+
+A topic comes from --bootstrap BROKERS (Kafka), or from --folder DIR with a
+folder of JSON lines for each topic; --checkpoint DIR is the stream's own.
+For raw messages a record's key is the MQTT topic and its value the payload.
 
 The master and cluster sizing come from spark-submit; geofleet's session
-defaults are applied on top. ``--as-of`` defaults to the current UTC time.
+defaults are applied on top, and partitions are sized from the input's bytes.
+``--as-of`` defaults to the current UTC time.
 """
 
 from __future__ import annotations
@@ -21,12 +36,15 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from geofleet import constants as K  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from geofleet.operators import archive as A  # noqa: E402
 from geofleet.operators import quality as Q  # noqa: E402
-from geofleet.plans.medallion_build import build_medallion  # noqa: E402
-from geofleet.plans.serving_job import ServingStore, compact, load_increment  # noqa: E402
-from geofleet.session import build_session  # noqa: E402
+from geofleet.plans.medallion_build import build_medallion, built_tables  # noqa: E402
+from geofleet.plans.serving_job import ServingStore, compact, load_increment, vacuum  # noqa: E402
+from geofleet.session import build_session, size_for  # noqa: E402
+from geofleet.sources.topics import read_topic  # noqa: E402
+from geofleet.streaming import jobs as J  # noqa: E402
 
 
 def _as_of(text: str | None) -> dt.datetime:
@@ -35,52 +53,74 @@ def _as_of(text: str | None) -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+BATCH = {"medallion": "bronze root", "quality": "root", "serve": "silver store", "compact": "store", "vacuum": "store", "expire": "archive"}
+STREAMS = {"ingest": "topic out rejects", "append": "topic out", "bronze": "topic out rejects", "silver": "bronze out", "archive": "topic out",
+           "serving": "silver store"}
+
+
 def parse(argv: list[str]) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="jobs.py")
     sub = ap.add_subparsers(dest="command", required=True)
-    m = sub.add_parser("medallion")
-    m.add_argument("--bronze", required=True)
-    m.add_argument("--root", required=True)
-    q = sub.add_parser("quality")
-    q.add_argument("--root", required=True)
-    s = sub.add_parser("serve")
-    s.add_argument("--silver", required=True)
-    s.add_argument("--store", required=True)
-    s.add_argument("--batch-id", type=int, required=True)
-    s.add_argument("--as-of")
-    c = sub.add_parser("compact")
-    c.add_argument("--store", required=True)
-    e = sub.add_parser("expire")
-    e.add_argument("--archive", required=True)
-    e.add_argument("--out", required=True)
-    e.add_argument("--as-of")
-    e.add_argument("--records-per-file", type=int, default=K.ARCHIVE_RECORDS_PER_FILE)
+    parsers = {name: sub.add_parser(name) for name in (*BATCH, *STREAMS)}
+    for name, options in (BATCH | STREAMS).items():
+        for option in options.split():
+            parsers[name].add_argument(f"--{option}", required=True)
+    parsers["serve"].add_argument("--batch-id", type=int, required=True)
+    for name in ("serve", "expire"):
+        parsers[name].add_argument("--as-of")
+    for name, options in STREAMS.items():
+        parsers[name].add_argument("--checkpoint", required=True)
+        parsers[name].add_argument("--once", action="store_true")
+        if "topic" in options:
+            edge = parsers[name].add_mutually_exclusive_group(required=True)
+            edge.add_argument("--bootstrap")
+            edge.add_argument("--folder")
+    parsers["archive"].add_argument("--records-per-file", type=int, required=True)
+    parsers["archive"].add_argument("--clock", choices=("arrival", "event"), default="arrival")
     return ap.parse_args(argv)
 
 
+def _stream(args: argparse.Namespace, spark):
+    if hasattr(args, "topic"):
+        records = read_topic(spark, args.topic, bootstrap=args.bootstrap, folder=args.folder)
+    if args.command == "ingest":
+        messages = records.select("msg_id", F.col("key").alias("topic"), F.col("value").alias("payload"))
+        return J.ingest_stream(messages, args.out, args.rejects, args.checkpoint, args.once)
+    if args.command == "append":
+        return J.table_sink_stream(records, args.out, args.checkpoint, args.once)
+    if args.command == "bronze":
+        return J.bronze_stream(records, args.out, args.rejects, args.checkpoint, args.once)
+    if args.command == "archive":
+        return J.archive_stream(records, args.out, args.checkpoint, args.records_per_file, args.clock, args.once)
+    if args.command == "silver":
+        return J.silver_stream(J.table_stream(spark, args.bronze), args.out, args.checkpoint, args.once)
+    return J.serving_stream(J.table_stream(spark, args.silver), ServingStore(spark, args.store), args.checkpoint, args.once)
+
+
 def main(argv: list[str], spark=None) -> int:
     args = parse(argv)
     spark = spark or build_session(app_name=f"geofleet-{args.command}")
-    if args.command == "medallion":
-        names = build_medallion(spark, spark.read.parquet(args.bronze), args.root)
-        print(names)
+    if args.command in STREAMS:
+        _stream(args, spark).awaitTermination()
+    elif args.command == "medallion":
+        size_for(spark, args.bronze)
+        print(build_medallion(spark, args.bronze, args.root))
     elif args.command == "quality":
-        # By location, not by catalog name: a separate run has its own (empty) session catalog.
-        root = args.root.rstrip("/")
-        tables = {"iot_validated": spark.read.parquet(f"{root}/clean/iot_validated").drop("event_date"),
-                  "device_daily": spark.read.parquet(f"{root}/analytics/device_daily")}
-        failing = Q.failing(Q.run_checks(tables)).collect()     # at most nine rows
+        size_for(spark, args.root)
+        built = built_tables(spark, args.root)
+        failing = Q.failing(Q.run_checks({"iot_validated": built["silver"], "device_daily": built["gold"]})).collect()  # at most nine rows
         for row in failing:
             print(f"FAIL {row.check_name} {row.model}.{row.column_name}: {row.failures}")
         return 1 if failing else 0
     elif args.command == "serve":
-        done = load_increment(ServingStore(spark, args.store), spark.read.parquet(args.silver),
-                              _as_of(args.as_of), args.batch_id)
+        done = load_increment(ServingStore(spark, args.store), spark.read.parquet(args.silver), _as_of(args.as_of), args.batch_id)
         print("loaded" if done else "already committed")
     elif args.command == "compact":
         print(f"compacted through {compact(ServingStore(spark, args.store))}")
+    elif args.command == "vacuum":
+        print(f"deleted {vacuum(ServingStore(spark, args.store))} folders")
     elif args.command == "expire":
-        A.expire_archive(spark, args.archive, args.out, _as_of(args.as_of), records_per_file=args.records_per_file)
+        print(f"deleted {A.expire_archive(spark, args.archive, _as_of(args.as_of))} hours")
     return 0
 
 

@@ -29,3 +29,17 @@ def test_feed_roundtrip_from_source(spark):
     out = unwrap_cdc(feed.orderBy("position")).collect()
     assert [r.id for r in out] == [5, 211, 211, 307, None]
     assert out[2].latitude == 1.0 + 0.001 and out[1].event_ts == t and out[1].ingested_at is None
+
+
+def test_images_that_cannot_be_read_are_rejected_with_a_reason(spark):
+    from geofleet.sources.cdc import cdc_images, cdc_rejects, cdc_rows
+
+    good = '{"id":%d,"device_id":"d","latitude":51.5,"longitude":0.1,"event_ts":"%s","ingested_at":%s}'
+    msgs = spark.createDataFrame([
+        ("a", good % (1, "2024-01-01T00:00:00Z", "null")), ("b", None), ("c", "{"), ("d", ""), ("e", '{"id":"x"}'),
+        ("f", good % (2, "noon", "null")), ("g", good % (3, "2024-01-01T00:00:00Z", '"soon"')), ("h", "[1]"),
+    ], "key string, value string")
+    images = cdc_images(msgs)
+    assert {r.key: r.reject_reason for r in cdc_rejects(images).collect()} == {
+        "c": "malformed", "d": "malformed", "e": "malformed", "f": "event_ts", "g": "ingested_at", "h": "malformed"}
+    assert sorted(str(r.id) for r in cdc_rows(images).collect()) == ["1", "None"]
