@@ -15,7 +15,6 @@ from geofleet import constants as K
 from geofleet.functions.geo import hex_channel
 from geofleet.functions.time import MICROS_PER_HOUR, floor_ntz, ntz_literal
 from geofleet.operators.ranking import sorted_position
-from geofleet.session import checkpoint_root
 
 
 def latest_position(validated: DataFrame) -> DataFrame:
@@ -45,11 +44,15 @@ def trailing_window(validated: DataFrame, as_of: dt.datetime, hours: int = K.TRE
 
 def hourly_trend(validated: DataFrame, as_of: dt.datetime, hours: int = K.TREND_LOOKBACK_HOURS) -> DataFrame:
     """Events per device and hour over the trailing window, ordered by hour then device."""
+    return hourly_counts(validated, as_of, hours).orderBy("event_hour", "device_id")
+
+
+def hourly_counts(validated: DataFrame, as_of: dt.datetime, hours: int = K.TREND_LOOKBACK_HOURS) -> DataFrame:
+    """The trend's rows in no order."""
     return (
         trailing_window(validated, as_of, hours)
         .groupBy("device_id", floor_ntz("event_ts", MICROS_PER_HOUR).alias("event_hour"))
         .agg(F.count(F.lit(1)).alias("event_count"))
-        .orderBy("event_hour", "device_id")
     )
 
 
@@ -78,17 +81,21 @@ def active_devices(latest: DataFrame, trend: DataFrame) -> DataFrame:
     return latest.select("device_id").union(trend.select("device_id")).distinct()
 
 
+def devices_shown(validated: DataFrame) -> DataFrame:
+    """``active_devices`` of the latest positions and the trend of one silver table, in one pass over it.
+
+    Every silver row's device has a latest position, so the trend adds none.
+    """
+    return validated.select("device_id").distinct()
+
+
 def device_palette(device_ids: DataFrame, palette: list[str] = K.DEVICE_PALETTE) -> DataFrame:
     """Stable colour per device: position in sorted id order modulo the palette size.
 
     Returns device_id, slot, color ('#rrggbb') and its red/green/blue ints.
-    The distinct id set (one row per device) is checkpointed to the shared
-    checkpoint folder first: the numbering reads its input twice, and would
-    otherwise recompute the scans and aggregations under the ids twice.
     """
     colours = F.array(*[F.lit(c) for c in palette])
-    checkpoint_root(device_ids.sparkSession)
-    ids = device_ids.select("device_id").distinct().checkpoint(eager=True)
+    ids = device_ids.select("device_id").where(F.col("device_id").isNotNull()).distinct()
     ranked = sorted_position(ids, "device_id", out="_pos")
     slot = F.pmod(F.col("_pos"), F.lit(len(palette))).cast("int")
     with_colour = ranked.select("device_id", slot.alias("slot")).withColumn(

@@ -84,11 +84,3 @@ def device_daily(validated: DataFrame) -> DataFrame:
         F.max("event_ts").alias("last_event_ts"),
         F.sum(flagged).cast("bigint").alias("flagged_event_count"),
     )
-
-
-def silver_from_bronze(bronze: DataFrame) -> DataFrame:
-    return validate_events(stage_events(bronze))
-
-
-def gold_from_bronze(bronze: DataFrame) -> DataFrame:
-    return device_daily(silver_from_bronze(bronze))

@@ -1,7 +1,6 @@
 """Declarative data-quality checks.
 
-A check returns the number of failing rows/groups; zero means pass. All
-not-null checks of one table run in a single aggregate pass.
+A check returns the number of failing rows/groups; zero means pass.
 """
 
 from __future__ import annotations
@@ -13,8 +12,6 @@ from pyspark.sql import functions as F
 
 from geofleet import constants as K
 
-RESULT_COLUMNS = ["check_name", "model", "column_name", "failures"]
-
 
 @dataclass(frozen=True)
 class Check:
@@ -28,7 +25,7 @@ class Check:
         return ",".join(self.columns)
 
 
-# The nine checks declared on the silver and gold models.
+# The nine checks declared on the silver and gold models.
 DEFAULT_CHECKS: tuple[Check, ...] = (
     Check("unique", "iot_validated", ("event_id",)),
     Check("not_null", "iot_validated", ("event_id",)),
@@ -42,60 +39,53 @@ DEFAULT_CHECKS: tuple[Check, ...] = (
 )
 
 
-def _row(check: Check, failures) -> DataFrame:
-    return failures.select(
-        F.lit(check.kind).alias("check_name"), F.lit(check.model).alias("model"),
-        F.lit(check.column_name).alias("column_name"), F.col("failures").cast("bigint").alias("failures"),
-    )
-
+def _null(col: str):
+    return F.col(col).isNull()
 
-def _not_null(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    counts = df.agg(*[
-        F.sum(F.when(F.col(c.columns[0]).isNull(), 1).otherwise(0)).alias(f"_f{i}") for i, c in enumerate(checks)
-    ])
-    stacked = ", ".join(f"'{c.columns[0]}', coalesce(_f{i}, 0)" for i, c in enumerate(checks))
-    return counts.selectExpr(f"stack({len(checks)}, {stacked}) as (column_name, failures)").select(
-        F.lit("not_null").alias("check_name"), F.lit(model).alias("model"),
-        "column_name", F.col("failures").cast("bigint").alias("failures"),
-    )
 
+def _table_pass(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
+    """All not_null and accepted_values checks of one table in one aggregate over it."""
+    def failures(c: Check):
+        col = F.col(c.columns[0])
+        if c.kind == "not_null":
+            return F.count_if(_null(c.columns[0]))
+        return F.count_distinct(F.when(col.isNotNull() & ~col.isin(*c.values), col))
 
-def _duplicate_groups(df: DataFrame, cols: tuple[str, ...], skip_nulls: bool) -> DataFrame:
-    rows = df.select(*cols)
-    if skip_nulls:
-        rows = rows.where(F.col(cols[0]).isNotNull())
-    dup = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("failures"))
+    counts = df.agg(*[failures(c).alias(f"_f{i}") for i, c in enumerate(checks)])
+    stacked = ", ".join(f"'{c.kind}', '{c.column_name}', _f{i}" for i, c in enumerate(checks))
+    return counts.selectExpr(f"stack({len(checks)}, {stacked}) as (check_name, column_name, failures)").select(
+        "check_name", F.lit(model).alias("model"), "column_name", "failures")
 
 
-def _not_accepted(df: DataFrame, col: str, values: tuple[str, ...]) -> DataFrame:
-    bad = df.select(col).where(F.col(col).isNotNull() & ~F.col(col).isin(*values)).distinct()
-    return bad.agg(F.count(F.lit(1)).alias("failures"))
+def _grouped_pass(df: DataFrame, c: Check) -> DataFrame:
+    """Groups of equal key with more than one row. ``unique`` skips null keys, a combination counts them."""
+    rows = df.select(*c.columns)
+    if c.kind == "unique":
+        rows = rows.where(~_null(c.columns[0]))
+    groups = rows.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return groups.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(c.kind).alias("check_name"), F.lit(c.model).alias("model"), F.lit(c.column_name).alias("column_name"), "failures")
 
 
 def run_checks(tables: dict[str, DataFrame], checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
-    """One row per check: (check_name, model, column_name, failures)."""
+    """One row per check: (check_name, model, column_name, failures).
+
+    A table is read once for all its column checks, and once for each key that must be unique.
+    """
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
-        df = tables[model]
-        nn = [c for c in checks if c.model == model and c.kind == "not_null"]
-        if nn:
-            parts.append(_not_null(df, model, nn))
-        for c in checks:
-            if c.model != model or c.kind == "not_null":
-                continue
-            if c.kind == "unique":
-                parts.append(_row(c, _duplicate_groups(df, c.columns, skip_nulls=True)))
-            elif c.kind == "unique_combination":
-                parts.append(_row(c, _duplicate_groups(df, c.columns, skip_nulls=False)))
-            elif c.kind == "accepted_values":
-                parts.append(_row(c, _not_accepted(df, c.columns[0], c.values)))
-            else:
+        own = [c for c in checks if c.model == model]
+        if columns := [c for c in own if c.kind in ("not_null", "accepted_values")]:
+            parts.append(_table_pass(tables[model], model, columns))
+        for c in own:
+            if c.kind in ("unique", "unique_combination"):
+                parts.append(_grouped_pass(tables[model], c))
+            elif c not in columns:
                 raise ValueError(f"unknown check kind {c.kind!r}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(*RESULT_COLUMNS)
+    return out.select("check_name", "model", "column_name", F.col("failures").cast("bigint").alias("failures"))
 
 
 def failing(results: DataFrame) -> DataFrame:

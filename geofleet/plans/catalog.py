@@ -9,6 +9,7 @@ float summation order differs between engines.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,20 @@ from geofleet.operators import quality as Q
 from geofleet.operators import serving as S
 from geofleet.operators.medallion import device_daily, stage_events, validate_events
 from geofleet.plans.medallion_build import build_medallion, table_counts
-from geofleet.plans.serving_job import ServingStore, load_increment
+from geofleet.plans.serving_job import ServingStore, compact, load_increment, vacuum
 from geofleet.session import scratch_path
-from geofleet.sources.cdc import unwrap_cdc
-from geofleet.sources.fixtures import cdc_messages, device_messages, source_events
+from geofleet.sources.cdc import cdc_images, cdc_rejects, unwrap_cdc
+from geofleet.sources.fixtures import (
+    broken_tables,
+    cdc_messages,
+    damaged_cdc_messages,
+    device_messages,
+    events_to_messages,
+    events_to_source,
+    source_events,
+    source_to_cdc,
+)
+from geofleet.sources.tables import stream_table
 from geofleet.functions.time import epoch_millis_to_ntz, ntz_literal
 from geofleet.streaming import jobs as J
 
@@ -33,6 +44,7 @@ AS_OF = dt.datetime(2024, 1, 30, 0, 0, 0)
 SERIES_DEVICE = "device-001"
 SERVING_RELOAD_DAYS = 7           # the upsert query re-loads the last week ...
 SERVING_UPDATE_SHIFT = 0.001      # ... with corrected (moved) latitudes
+ARCHIVE_OBJECT_RECORDS = 100_000  # objects of tens of MB, where the ten-record layout isn't the point
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,13 +62,9 @@ def latest(spark: SparkSession, sf: str) -> DataFrame:
     return D.latest_position(silver(spark, sf))
 
 
-def trend(spark: SparkSession, sf: str) -> DataFrame:
-    return D.hourly_trend(silver(spark, sf), AS_OF)
-
-
 def serving_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """Serving table after one full load of silver."""
-    return S.latest_per_key(S.serving_rows(S.incremental_read(silver(spark, sf), None)))
+    return S.latest_per_key(S.serving_rows(silver(spark, sf)))
 
 
 def routed(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,8 +104,15 @@ def q_device_daily(spark, sf):
 
 
 def q_medallion_build(spark, sf):
-    names = build_medallion(spark, source_events(spark, sf), scratch_path(spark, "medallion"))
-    return table_counts(spark, names)
+    return table_counts(spark, built_medallion(spark, sf))
+
+
+def built_medallion(spark: SparkSession, sf: str) -> dict[str, str]:
+    """The three layers built from a bronze folder, under databases of this run's own."""
+    root = scratch_path(spark, "medallion")
+    source_events(spark, sf).write.parquet(f"{root}/bronze")
+    run = root.rsplit("-", 1)[1]
+    return build_medallion(spark, f"{root}/bronze", root, {k: f"{v}_{run}" for k, v in K.LAYER_SCHEMAS.items()})
 
 
 # --- dashboard ----------------------------------------------------------------
@@ -106,7 +121,7 @@ def q_latest_position(spark, sf):
 
 
 def q_hourly_trend(spark, sf):
-    return trend(spark, sf)
+    return D.hourly_trend(silver(spark, sf), AS_OF)
 
 
 def q_daily_listing(spark, sf):
@@ -122,11 +137,11 @@ def q_map_center(spark, sf):
 
 
 def q_active_devices(spark, sf):
-    return D.active_devices(latest(spark, sf), trend(spark, sf))
+    return D.devices_shown(silver(spark, sf))
 
 
 def q_device_palette(spark, sf):
-    return D.device_palette(D.active_devices(latest(spark, sf), trend(spark, sf)))
+    return D.device_palette(D.devices_shown(silver(spark, sf)))
 
 
 # --- data quality -------------------------------------------------------------
@@ -138,13 +153,18 @@ def _checks(kind: str) -> Query:
     return run
 
 
+def q_dq_broken(spark, sf):
+    """All nine checks over tables that break each of them."""
+    return Q.run_checks(broken_tables(spark, sf))
+
+
 # --- serving ------------------------------------------------------------------
 def q_incremental_read(spark, sf):
     return S.incremental_read(silver(spark, sf), S.first_run_watermark(AS_OF))
 
 
 def q_serving_rows(spark, sf):
-    return S.serving_rows(S.incremental_read(silver(spark, sf), None))
+    return S.serving_rows(silver(spark, sf))
 
 
 def q_serving_upsert(spark, sf):
@@ -159,19 +179,23 @@ def q_serving_upsert(spark, sf):
 
 
 def q_serving_load(spark, sf):
-    """Two scheduled loads through the file-backed store: data known at 01-29, then everything."""
+    """Two scheduled loads through the file-backed store: data known at 01-29, then everything. The second is
+    tried once before with other rows and dies before its commit; afterwards the store is compacted and vacuumed."""
     s = silver(spark, sf)
     store = ServingStore(spark, scratch_path(spark, "serving"))
     first_as_of = AS_OF - dt.timedelta(days=1)
     load_increment(store, s.where(F.col("event_ts") <= ntz_literal(first_as_of)), first_as_of, 1)
+    store.write_batch(S.serving_rows(s), 2)
     load_increment(store, s, AS_OF, 2)
     load_increment(store, s, AS_OF, 2)   # repeated trigger: no-op
+    compact(store)
+    vacuum(store)
     return store.table()
 
 
 def q_advance_watermark(spark, sf):
     wm = S.first_run_watermark(AS_OF)
-    return S.advance_watermark(S.incremental_read(silver(spark, sf), wm), wm)
+    return S.advance_watermark(S.after_mark(silver(spark, sf), wm), wm)
 
 
 def q_device_series(spark, sf):
@@ -208,12 +232,26 @@ def q_envelope_roundtrip(spark, sf):
 
 
 def q_keyed_publish(spark, sf):
-    return I.publish_layout(I.keyed_publish(I.envelope(accepted(spark, sf))))
+    """The event topic kept as a table: each record's partition, and its place there by arrival."""
+    return I.keyed_publish(I.envelope(accepted(spark, sf))).select("msg_id", "key", "partition", "offset")
 
 
 def q_ingest_events(spark, sf):
-    decoded = I.decode_envelope(I.envelope(accepted(spark, sf)))
-    return I.sink_rows(decoded, ingested_at=AS_OF)
+    """Raw messages through the ingest stream into the relational table, and back."""
+    return _run_stream(spark, "ingest", lambda out, ck: J.ingest_stream(
+        events_to_messages(stream_table(spark, sf, "events")), out, f"{out}-rejects", ck, ingested_at=AS_OF), "batch_id")
+
+
+def q_append_rows(spark, sf):
+    """The event topic through the append sink, once more into a table that holds a first load."""
+    records = I.envelope(accepted(spark, sf))
+
+    def start(out: str, ck: str):
+        I.sink_rows(I.decode_envelope(records.where("msg_id < 100")), AS_OF).write.parquet(f"{out}/batch_id=-1")
+        later = I.envelope(I.accepted_readings(I.normalise_readings(I.route_topic(events_to_messages(stream_table(spark, sf, "events"))))))
+        return J.table_sink_stream(later.where("msg_id >= 100"), out, ck, ingested_at=AS_OF)
+
+    return _run_stream(spark, "append", start, "batch_id")
 
 
 # --- change feed, bronze, streams ----------------------------------------------
@@ -221,11 +259,16 @@ def q_cdc_unwrap(spark, sf):
     return unwrap_cdc(cdc_messages(spark, sf))
 
 
-def _run_stream(spark, name: str, start) -> DataFrame:
+def q_cdc_rejects(spark, sf):
+    """Images of a damaged feed that can't be read."""
+    return cdc_rejects(cdc_images(damaged_cdc_messages(spark, sf))).select("key", "reject_reason")
+
+
+def _run_stream(spark, name: str, start, *dropped: str) -> DataFrame:
     root = scratch_path(spark, name)
     query = start(f"{root}/out", f"{root}/checkpoint")
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop(*dropped)
 
 
 def silver_over_cdc(spark, sf) -> DataFrame:
@@ -246,46 +289,52 @@ def q_dq_unique_cdc(spark, sf):
 
 
 def q_bronze_append(spark, sf):
-    return _run_stream(spark, "bronze", lambda out, ck: J.bronze_append(spark, sf, out, ck))
+    feed = source_to_cdc(events_to_source(stream_table(spark, sf, "events")))
+    return _run_stream(spark, "bronze", lambda out, ck: J.bronze_stream(feed, out, f"{out}-rejects", ck), "batch_id")
 
 
 def q_stream_silver(spark, sf):
-    return _run_stream(spark, "silver-stream", lambda out, ck: J.silver_stream(spark, sf, out, ck))
+    bronze = events_to_source(stream_table(spark, sf, "events"))
+    return _run_stream(spark, "silver-stream", lambda out, ck: J.silver_stream(bronze, out, ck))
 
 
 # --- archive and counts ---------------------------------------------------------
+def _written_archive(spark, sf, records_per_file: int = ARCHIVE_OBJECT_RECORDS) -> str:
+    path = scratch_path(spark, "archive")
+    A.write_archive(archive_records(spark, sf), path, records_per_file)
+    return path
+
+
 def q_archive_hourly(spark, sf):
-    return A.hourly_counts(archive_records(spark, sf))
+    """The archive written in the ten-record layout and read back: records per hour, and whether its objects keep to the limit."""
+    objects = A.archive_objects(spark, _written_archive(spark, sf, K.ARCHIVE_RECORDS_PER_FILE))
+    return objects.select(*A.PARTITION_COLUMNS, "record_count", (F.col("largest_object") <= K.ARCHIVE_RECORDS_PER_FILE).alias("within_limit"),
+                          (F.col("object_count") * K.ARCHIVE_RECORDS_PER_FILE >= F.col("record_count")).alias("enough_objects"))
+
+
+def q_archive_restore(spark, sf):
+    """The archive written, read back and decoded."""
+    return I.decode_envelope(A.read_archive(spark, _written_archive(spark, sf)))
 
 
 def q_retention_14d(spark, sf):
-    rec = archive_records(spark, sf)
-    return A.hourly_counts(A.retained(rec, epoch_millis_to_ntz(F.col("timestamp")), AS_OF))
+    """The archive written, expired as of now, and counted by hour."""
+    path = _written_archive(spark, sf)
+    A.expire_archive(spark, path, AS_OF)
+    return A.hourly_counts(A.read_archive(spark, path))
 
 
 def q_layer_counts(spark, sf):
-    """Rows per layer. Source, staging and silver are counted in one pass over
-    the source (staging is 1:1, silver is its attributable rows); gold and
-    serving are their distinct keys over silver; the archive counts records."""
-    def one(df: DataFrame, layer: str) -> DataFrame:
-        name = F.col("layer") if "layer" in df.columns else F.lit(layer)
-        return df.select(name.alias("layer"), F.col("row_count").cast("bigint").alias("row_count"))
-
-    staged = stage_events(source_events(spark, sf))
-    kept = F.col("device_id").isNotNull() & F.col("event_ts").isNotNull()
-    firsts = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(kept).alias("s")).selectExpr(
-        "stack(3, 'iot_events', n, 'stg_iot_events', n, 'iot_validated', s) as (layer, row_count)")
-    s = validate_events(staged)
-    gold_keys = s.select("device_id", F.col("event_ts").cast("date")).distinct().agg(F.count(F.lit(1)).alias("row_count"))
-    serving_keys = S.serving_rows(s).select("device_id", "event_time").distinct().agg(
-        F.count(F.lit(1)).alias("row_count"))
-    archived = archive_records(spark, sf).agg(F.count(F.lit(1)).alias("row_count"))
-    return (
-        one(firsts, "")
-        .unionByName(one(gold_keys, "device_daily"))
-        .unionByName(one(serving_keys, "serving"))
-        .unionByName(one(archived, "archive_records"))
-    )
+    """Rows per stored layer, each counted where it is stored: a built medallion, a loaded serving store, a written archive."""
+    names = built_medallion(spark, sf)
+    store = ServingStore(spark, scratch_path(spark, "serving"))
+    store.write_batch(S.serving_rows(spark.table(names["silver"])), 1)
+    store.commit(1, AS_OF)
+    archive = A.read_archive(spark, _written_archive(spark, sf))
+    layers = {"iot_events": spark.table(names["bronze"]), "stg_iot_events": spark.table(names["staging"]), "iot_validated": spark.table(names["silver"]),
+              "device_daily": spark.table(names["gold"]), "serving": store.table(), "archive_records": archive}
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), "row_count") for layer, df in layers.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 def _utc(fn: Query) -> Query:
@@ -315,6 +364,7 @@ _QUERIES: dict[str, Query] = {
     "dq_unique": _checks("unique"),
     "dq_accepted": _checks("accepted_values"),
     "dq_unique_combo": _checks("unique_combination"),
+    "dq_broken": q_dq_broken,
     "incremental_read": q_incremental_read,
     "serving_rows": q_serving_rows,
     "serving_upsert": q_serving_upsert,
@@ -329,12 +379,15 @@ _QUERIES: dict[str, Query] = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "keyed_publish": q_keyed_publish,
     "ingest_events": q_ingest_events,
+    "append_rows": q_append_rows,
     "cdc_unwrap": q_cdc_unwrap,
+    "cdc_rejects": q_cdc_rejects,
     "bronze_append": q_bronze_append,
     "silver_from_cdc": q_silver_from_cdc,
     "dq_unique_cdc": q_dq_unique_cdc,
     "stream_silver": q_stream_silver,
     "archive_hourly": q_archive_hourly,
+    "archive_restore": q_archive_restore,
     "retention_14d": q_retention_14d,
     "layer_counts": q_layer_counts,
 }

@@ -31,38 +31,44 @@ stg AS (
   SELECT id AS event_id, device_id, latitude, longitude, event_ts, ingested_at FROM src
 )"""
 
+# A NULL coordinate makes BETWEEN unknown, so both are asked to be true; a NULL lag isn't over the limit.
+# Whole minutes since the epoch differ by the minute boundaries that lie between.
 SILVER = """
+tagged AS (
+  SELECT *, (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) IS TRUE AS inside,
+    (epoch_us(ingested_at) // 60000000 - epoch_us(event_ts) // 60000000 > 60) IS TRUE AS late
+  FROM stg
+),
 silver AS (
   SELECT event_id, device_id, latitude, longitude, event_ts, ingested_at,
-    CASE WHEN latitude IS NULL OR longitude IS NULL
-              OR latitude < -90 OR latitude > 90 OR longitude < -180 OR longitude > 180 THEN 'out_of_bounds'
-         WHEN datediff('minute', event_ts, ingested_at) > 60 THEN 'stale'
-         ELSE 'ok' END AS severity
-  FROM stg
-  WHERE device_id IS NOT NULL AND event_ts IS NOT NULL
+    if(inside, if(late, 'stale', 'ok'), 'out_of_bounds') AS severity
+  FROM tagged WHERE NOT (device_id IS NULL OR event_ts IS NULL)
 )"""
 
 GOLD = """
+dated AS (SELECT *, event_ts::DATE AS event_date FROM silver),
 gold AS (
-  SELECT device_id, CAST(event_ts AS DATE) AS event_date, count(*) AS event_count,
-    avg(latitude) AS avg_latitude, avg(longitude) AS avg_longitude,
-    min(event_ts) AS first_event_ts, max(event_ts) AS last_event_ts,
-    CAST(sum(CASE WHEN severity != 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS flagged_event_count
-  FROM silver GROUP BY device_id, CAST(event_ts AS DATE)
+  SELECT device_id, event_date, count(event_id) AS event_count, avg(latitude) AS avg_latitude, avg(longitude) AS avg_longitude,
+    arg_min(event_ts, event_ts) AS first_event_ts, arg_max(event_ts, event_ts) AS last_event_ts,
+    count(event_id) FILTER (severity <> 'ok') AS flagged_event_count
+  FROM dated GROUP BY ALL
 )"""
 
 LATEST = """
+newest AS (SELECT device_id, max(struct_pack(t := event_ts, e := event_id)) AS top FROM silver GROUP BY device_id),
 latest AS (
-  SELECT device_id, latitude, longitude, event_ts FROM silver
-  QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY event_ts DESC, event_id DESC) = 1
+  SELECT s.device_id, s.latitude, s.longitude, s.event_ts FROM silver s JOIN newest n ON s.device_id = n.device_id AND s.event_id = n.top.e
 )"""
 
 TREND = f"""
-trend AS (
-  SELECT device_id, date_trunc('hour', event_ts) AS event_hour, count(*) AS event_count
-  FROM silver WHERE event_ts >= {AS_OF_SQL} - INTERVAL 24 HOUR
-  GROUP BY device_id, date_trunc('hour', event_ts)
-)"""
+hours AS (
+  SELECT device_id, time_bucket(INTERVAL 1 HOUR, event_ts) AS event_hour FROM silver WHERE {AS_OF_SQL} - event_ts <= INTERVAL 24 HOUR
+),
+trend AS (SELECT device_id, event_hour, count(*) AS event_count FROM hours GROUP BY ALL)"""
+
+# The decimal that a double's own text names.
+DECIMAL = "CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,24))"
+LAT, LON = DECIMAL.format(c="latitude"), DECIMAL.format(c="longitude")
 
 ISO = ("CASE WHEN strftime({c}, '%f') = '000000' THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "
        "ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END")
@@ -70,7 +76,7 @@ ISO = ("CASE WHEN strftime({c}, '%f') = '000000' THEN strftime({c}, '%Y-%m-%dT%H
 SERVING = f"""
 serving AS (
   SELECT device_id, epoch_us(event_ts) // 1000 AS event_time,
-    CAST(latitude AS DECIMAL(38,12)) AS latitude, CAST(longitude AS DECIMAL(38,12)) AS longitude,
+    {LAT} AS latitude, {LON} AS longitude,
     {ISO.format(c='event_ts')} AS event_ts, event_id
   FROM silver
   QUALIFY row_number() OVER (PARTITION BY device_id, epoch_us(event_ts) // 1000
@@ -154,17 +160,17 @@ SELECT device_id, latitude, longitude, event_ts, event_id FROM silver
 WHERE event_ts > TIMESTAMP '2024-01-29 00:00:00' ORDER BY event_ts, event_id"""
     q["serving_rows"] = _with(*BASE) + f"""
 SELECT device_id, epoch_us(event_ts) // 1000 AS event_time,
-  CAST(latitude AS DECIMAL(38,12)) AS latitude, CAST(longitude AS DECIMAL(38,12)) AS longitude,
+  {LAT} AS latitude, {LON} AS longitude,
   {ISO.format(c='event_ts')} AS event_ts, event_id
 FROM silver"""
     q["serving_upsert"] = _with(*BASE) + f""",
 v AS (
   SELECT device_id, epoch_us(event_ts) // 1000 AS event_time,
-    CAST(latitude AS DECIMAL(38,12)) AS latitude, CAST(longitude AS DECIMAL(38,12)) AS longitude,
+    {LAT} AS latitude, {LON} AS longitude,
     {ISO.format(c='event_ts')} AS event_ts, event_id, CAST(1 AS BIGINT) AS batch_id FROM silver
   UNION ALL
   SELECT device_id, epoch_us(event_ts) // 1000,
-    CAST(latitude + CAST(0.001 AS DOUBLE) AS DECIMAL(38,12)), CAST(longitude AS DECIMAL(38,12)),
+    {DECIMAL.format(c='(latitude + CAST(0.001 AS DOUBLE))')}, {LON},
     {ISO.format(c='event_ts')}, event_id, CAST(2 AS BIGINT) FROM silver
   WHERE event_ts >= {AS_OF_SQL} - INTERVAL 7 DAY
 )
@@ -173,7 +179,7 @@ QUALIFY row_number() OVER (PARTITION BY device_id, event_time ORDER BY batch_id
     q["serving_load"] = _with(*BASE) + f""",
 v AS (
   SELECT device_id, epoch_us(event_ts) // 1000 AS event_time,
-    CAST(latitude AS DECIMAL(38,12)) AS latitude, CAST(longitude AS DECIMAL(38,12)) AS longitude,
+    {LAT} AS latitude, {LON} AS longitude,
     {ISO.format(c='event_ts')} AS event_ts, event_id,
     CAST(CASE WHEN event_ts <= TIMESTAMP '2024-01-29 00:00:00' THEN 1 ELSE 2 END AS BIGINT) AS batch_id
   FROM silver WHERE event_ts > TIMESTAMP '2024-01-28 00:00:00'
@@ -199,13 +205,36 @@ SELECT id AS msg_id, 'iot/' || coalesce(device_id, 'device-unknown') || '/geoloc
     q["reject_readings"] = _with(SRC, ROUTED) + """
 SELECT id AS msg_id, CASE WHEN latitude IS NULL THEN 'latitude' ELSE 'timestamp' END AS reject_reason
 FROM routed WHERE latitude IS NULL OR event_ts IS NULL"""
-    q["keyed_publish"] = _with(SRC, ROUTED, ACCEPTED) + """
-SELECT device_id AS key, count(*) AS message_count, CAST(1 AS BIGINT) AS partition_count, count(*) AS offset_span
-FROM accepted GROUP BY device_id"""
+    q["keyed_publish"] = _with(SRC, ROUTED, ACCEPTED) + """,
+placed AS (SELECT msg_id, device_id AS key, CAST(('0x' || substr(md5(device_id), 1, 8))::BIGINT % 3 AS INTEGER) AS partition FROM accepted)
+SELECT *, row_number() OVER (PARTITION BY partition ORDER BY msg_id) - 1 AS "offset" FROM placed"""
     q["ingest_events"] = _with(SRC, ROUTED, ACCEPTED) + f"""
 SELECT msg_id AS id, device_id, latitude, longitude, make_timestamp("timestamp" * 1000) AS event_ts,
   {AS_OF_SQL} AS ingested_at
 FROM accepted"""
+    q["append_rows"] = q["ingest_events"]
+    q["cdc_rejects"] = _with(SRC) + """,
+images AS (
+  SELECT id, event_ts FROM src UNION ALL SELECT id, event_ts FROM src WHERE id % 211 = 0)
+SELECT '{"id":' || id || '}' AS key, CASE WHEN id % 401 = 0 THEN 'malformed' ELSE 'event_ts' END AS reject_reason
+FROM images WHERE id % 401 = 0 OR (id % 409 = 0 AND event_ts IS NOT NULL)"""
+    q["dq_broken"] = _with(SRC) + """,
+s AS (
+  SELECT CASE WHEN id % 71 = 0 THEN NULL WHEN id % 61 = 0 THEN id - 1 ELSE id END AS event_id, device_id, event_ts,
+    CASE WHEN id % 83 = 0 THEN event_type ELSE 'ok' END AS severity FROM src),
+g AS (
+  SELECT device_id, event_ts::DATE AS event_date, hour(event_ts) AS h, nullif(least(count(*), 3), 3) AS event_count FROM s GROUP BY ALL)
+SELECT 'unique' AS check_name, 'iot_validated' AS model, 'event_id' AS column_name,
+  (SELECT count(*) FROM (SELECT event_id FROM s WHERE event_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS failures
+UNION ALL SELECT 'not_null', 'iot_validated', 'event_id', count(*) - count(event_id) FROM s
+UNION ALL SELECT 'not_null', 'iot_validated', 'device_id', count(*) - count(device_id) FROM s
+UNION ALL SELECT 'not_null', 'iot_validated', 'event_ts', count(*) - count(event_ts) FROM s
+UNION ALL SELECT 'accepted_values', 'iot_validated', 'severity', count(DISTINCT severity) FROM s WHERE severity NOT IN ('ok', 'stale', 'out_of_bounds')
+UNION ALL SELECT 'not_null', 'device_daily', 'device_id', count(*) - count(device_id) FROM g
+UNION ALL SELECT 'not_null', 'device_daily', 'event_date', count(*) - count(event_date) FROM g
+UNION ALL SELECT 'not_null', 'device_daily', 'event_count', count(*) - count(event_count) FROM g
+UNION ALL SELECT 'unique_combination', 'device_daily', 'device_id,event_date', count(*)
+  FROM (SELECT 1 FROM g GROUP BY device_id, event_date HAVING count(*) > 1)"""
     q["cdc_unwrap"] = _with(SRC) + """
 SELECT id, device_id, latitude, longitude, event_ts, ingested_at FROM src
 UNION ALL
@@ -222,7 +251,7 @@ bronze AS (
   UNION ALL
   SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM src WHERE id % 307 = 0
 )"""
-    silver_cdc = SILVER.replace("FROM stg", "FROM stg_cdc").replace("silver AS", "silver_cdc AS")
+    silver_cdc = SILVER.replace("FROM stg", "FROM stg_cdc").replace("silver AS", "silver_cdc AS")  # and its tagged rows
     stg_cdc = """
 stg_cdc AS (
   SELECT CAST(id AS BIGINT) AS event_id, device_id, latitude, longitude, event_ts, ingested_at FROM bronze
@@ -235,7 +264,8 @@ FROM (SELECT event_id FROM silver_cdc WHERE event_id IS NOT NULL GROUP BY event_
   strftime(t, '%H') AS hour"""
     q["archive_hourly"] = _with(SRC, ROUTED, ACCEPTED) + f""",
 clocked AS (SELECT make_timestamp("timestamp" * 1000) AS t FROM accepted)
-SELECT {hour_cols}, count(*) AS record_count FROM clocked GROUP BY ALL"""
+SELECT {hour_cols}, count(*) AS record_count, true AS within_limit, true AS enough_objects FROM clocked GROUP BY ALL"""
+    q["archive_restore"] = _with(SRC, ROUTED, ACCEPTED) + "\nSELECT device_id, latitude, longitude, \"timestamp\" FROM accepted"
     q["retention_14d"] = _with(SRC, ROUTED, ACCEPTED) + f""",
 clocked AS (SELECT make_timestamp("timestamp" * 1000) AS t FROM accepted)
 SELECT {hour_cols}, count(*) AS record_count FROM clocked

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geofleet.functions.time import ntz_epoch_millis
-from geofleet.sources.tables import read_table, spread
+from geofleet.sources.tables import read_table
 
 # --- fixed values: fixture planting rules (event_id residues) --------------
 NULL_DEVICE_MOD = 97          # device_id NULL
@@ -39,6 +39,13 @@ TEXT_LATITUDE_EVENT_TYPE = "view" # latitude as a JSON string
 CDC_UPDATE_MOD = 211          # a second after-image, latitude moved
 CDC_DELETE_MOD = 307          # a tombstone (null value) after the row
 CDC_UPDATE_LATITUDE_SHIFT = 0.001
+# A damaged change feed: images cut short, and times that can't be read.
+CDC_CUT_MOD = 401
+CDC_BAD_TIME_MOD = 409
+# A silver and a gold table that break their declared checks.
+NULL_EVENT_ID_MOD = 71        # event_id NULL
+REPEATED_EVENT_ID_MOD = 61    # event_id of the row before it
+ODD_SEVERITY_MOD = 83         # severity = the event's type
 # ----------------------------------------------------------------------------
 
 
@@ -81,7 +88,7 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     It doubles as the bronze table: the change feed mirrors it 1:1.
     """
-    return events_to_source(spread(read_table(spark, sf_dir, "events"), "event_id"))
+    return events_to_source(read_table(spark, sf_dir, "events"))
 
 
 def events_to_source(ev: DataFrame) -> DataFrame:
@@ -142,7 +149,7 @@ def events_to_messages(ev: DataFrame) -> DataFrame:
 
 
 def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_messages(spread(read_table(spark, sf_dir, "events"), "event_id"))
+    return events_to_messages(read_table(spark, sf_dir, "events"))
 
 
 def _iso_zulu(c: Column) -> Column:
@@ -186,4 +193,28 @@ def source_to_cdc(src: DataFrame) -> DataFrame:
 
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_to_cdc(events_to_source(spread(read_table(spark, sf_dir, "events"), "event_id")))
+    return source_to_cdc(events_to_source(read_table(spark, sf_dir, "events")))
+
+
+def damaged_cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed with some after-images cut short, and some with an event time that can't be read."""
+    feed = cdc_messages(spark, sf_dir)
+    row = F.get_json_object("key", "$.id").cast("bigint")
+    value = F.col("value")
+    return feed.withColumn("value", F.when(row % CDC_CUT_MOD == 0, F.expr("left(value, length(value) - 1)"))
+                           .when(row % CDC_BAD_TIME_MOD == 0, F.regexp_replace(value, '"event_ts":"', '"event_ts":"on '))
+                           .otherwise(value))
+
+
+def broken_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Tables with the columns of silver and gold that break every declared check: null and repeated ids, null devices and
+    times, a severity outside the list, days listed once per hour, null counts."""
+    ev = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    event_id = F.when(eid % NULL_EVENT_ID_MOD == 0, None).when(eid % REPEATED_EVENT_ID_MOD == 0, eid - 1).otherwise(eid)
+    severity = F.when(eid % ODD_SEVERITY_MOD == 0, F.col("event_type")).otherwise(F.lit("ok"))
+    silver = ev.select(event_id.alias("event_id"), *[c for c in source_columns(ev)[1:5]], severity.alias("severity"))
+    day, hour = F.col("event_ts").cast("date"), F.extract(F.lit("HOUR"), F.col("event_ts"))
+    gold = silver.groupBy("device_id", day.alias("event_date"), hour.alias("h")).agg(F.count(F.lit(1)).alias("n")).select(
+        "device_id", "event_date", F.when(F.col("n") < 3, F.col("n")).alias("event_count"))
+    return {"iot_validated": silver, "device_daily": gold}

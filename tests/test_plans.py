@@ -18,7 +18,8 @@ def plan(df) -> str:
 
 
 def test_incremental_read_pushes_bound_into_silver_scan(spark, workdir):
-    names = build_medallion(spark, source_events(spark, SF_SMALL), f"{workdir}/wh")
+    source_events(spark, SF_SMALL).write.parquet(f"{workdir}/bronze")
+    names = build_medallion(spark, f"{workdir}/bronze", f"{workdir}/wh")
     rows = S.incremental_read(spark.table(names["silver"]), ntz("2024-01-29 00:00:00"))
     p = plan(rows)
     assert "PushedFilters: [IsNotNull(event_ts), GreaterThan(event_ts," in p
@@ -49,3 +50,41 @@ def test_top_n_is_take_ordered(spark):
     from geofleet.operators.medallion import device_daily
     p = plan(D.top_devices(device_daily(silver(spark, SF_SMALL))))
     assert "TakeOrderedAndProject" in p
+
+
+def exchanges(df) -> int:
+    return sum("Exchange " in line and "ReusedExchange" not in line for line in plan(df).splitlines())
+
+
+def scans(df) -> int:
+    return plan(df).count("FileScan")
+
+
+def test_no_global_sort_under_the_serving_queries(spark):
+    from geofleet.plans import catalog as C
+
+    assert exchanges(C.q_serving_rows(spark, SF_SMALL)) == 0
+    snapshot = C.serving_snapshot(spark, SF_SMALL)
+    assert exchanges(snapshot) == 1 and "rangepartitioning" not in plan(snapshot)
+    assert exchanges(C.q_device_count_1h(spark, SF_SMALL)) <= 2
+
+
+def test_devices_are_found_in_one_scan(spark):
+    from geofleet.plans import catalog as C
+
+    shown = C.q_active_devices(spark, SF_SMALL)
+    assert scans(shown) == 1 and exchanges(shown) == 1
+    s = silver(spark, SF_SMALL)
+    union = D.active_devices(D.latest_position(s), D.hourly_counts(s, C.AS_OF))
+    assert {r.device_id for r in shown.collect()} == {r.device_id for r in union.collect()}
+
+
+def test_a_table_is_read_once_for_its_column_checks(spark, workdir):
+    from geofleet.operators import quality as Q
+    from geofleet.operators.medallion import device_daily
+
+    silver(spark, SF_SMALL).write.parquet(f"{workdir}/silver")
+    s = spark.read.parquet(f"{workdir}/silver")
+    device_daily(s).write.parquet(f"{workdir}/gold")
+    checks = Q.run_checks({"iot_validated": s, "device_daily": spark.read.parquet(f"{workdir}/gold")})
+    assert scans(checks) == 4       # of each table, one for the columns and one for the key
