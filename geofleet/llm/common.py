@@ -27,8 +27,8 @@ def row_struct(df: DataFrame) -> Column:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-cases A-Z only; every other character stays."""
-    return F.translate(text, UPPER, UPPER.lower())
+    """Lower-cases A-Z only; every other character stays. All-ASCII texts take the quicker ``lower``."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def for_workers(df: DataFrame) -> DataFrame:

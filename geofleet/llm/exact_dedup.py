@@ -45,33 +45,43 @@ def _hot(docs: DataFrame, hot_share: int) -> DataFrame:
     return cut(docs.groupBy("digest").count().where(F.col("count") >= least).select("digest", F.lit(True).alias("is_hot")))
 
 
-def _combine(docs: DataFrame, hot: DataFrame, salts: int, aggs: Callable[[bool], list[Column]]) -> DataFrame:
-    """One row per (digest, norm). ``aggs(first)`` are the aggregates of step 2, then those of step 3."""
-    marked = docs.join(F.broadcast(hot), "digest", "left")
+def _winners(docs: DataFrame, hot: DataFrame, salts: int, aggs: list[Column]) -> DataFrame:
+    """Steps 1 and 2: one row per (digest, salt, norm). At most ``hot_share`` digests are broadcast."""
+    marked = docs.join(F.broadcast(hot), "digest", "left").withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
     salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(F.lit(0))
-    winners = lambda part: part.groupBy("digest", salt.alias("salt"), "norm").agg(*aggs(True))
-    done = winners(marked.where("is_hot is null"))
-    merged = winners(marked.where("is_hot")).groupBy("digest", "norm").agg(*aggs(False))
-    return done.drop("salt").unionByName(merged)
+    return marked.groupBy("digest", "is_hot", salt.alias("salt"), "norm").agg(*aggs)
+
+
+def _classes(docs: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
+    """digest, keep_id, group_size of every class of equal texts (without norm).
+
+    The winners are stored without their texts, but for the few of hot digests, which step 3 compares.
+    """
+    winners = _winners(docs, hot, salts, [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")])
+    stored = cut(winners.select("digest", "is_hot", "keep_id", "group_size", F.when(F.col("is_hot"), F.col("norm")).alias("norm")))
+    merged = stored.where("is_hot").groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    return stored.where("not is_hot").select("digest", "keep_id", "group_size").unionByName(merged.drop("norm"))
 
 
 def duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS,
                      hot_share: int = HOT_SHARE, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     docs = _digested(df, id_col, text_col, digest).drop("row")
-    hot = _hot(docs, hot_share)
-    aggs = lambda first: [F.max("doc_id" if first else "keep_id").alias("keep_id"),
-                          (F.count(F.lit(1)) if first else F.sum("group_size")).alias("group_size")]
-    groups = cut(_combine(docs, hot, salts, aggs).select("digest", "keep_id", "group_size", F.sha2("norm", 256).alias("text_sha256")))
-    shared = cut(groups.groupBy("digest").count().where("count > 1").select("digest"))
-    found = salted_lookup(docs.select("doc_id", "digest"), groups.join(shared, "digest", "left_anti"), "digest", "doc_id", salts)
-    clear = found.where("group_size is not null")
-    if not shared.isEmpty():
-        by_text = _combine(docs.join(shared, "digest", "left_semi"), hot, salts, aggs).drop("digest")
-        clear = clear.unionByName(salted_lookup(docs.join(shared, "digest", "left_semi"), by_text, "norm", "doc_id", salts)
-                                  .withColumn("text_sha256", F.sha2("norm", 256)).drop("norm"))
+    sha = F.col("digest") if digest is sha256 else sha256(F.col("norm"))
+    ids = cut(docs.select("doc_id", "digest", sha.alias("sha")))
+    hot = _hot(ids, hot_share)
+    classes = cut(_classes(docs, hot, salts))
+    shared = cut(classes.groupBy("digest").count().where("count > 1").select("digest"))
+    found = salted_lookup(ids, classes.join(shared, "digest", "left_anti"), "digest", "doc_id", salts)
+    verdicts = found.where("group_size is not null").select("doc_id", "keep_id", "group_size", "sha")
+    if not shared.isEmpty():  # a digest of several texts: its documents look their group up by the whole text
+        alike = docs.join(shared, "digest", "left_semi")
+        aggs = [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
+        by_text = _winners(alike, hot, salts, aggs).groupBy("norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        verdicts = verdicts.unionByName(salted_lookup(alike, by_text, "norm", "doc_id", salts).select(
+            "doc_id", "keep_id", "group_size", sha256(F.col("norm")).alias("sha")))
     kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
-    return clear.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    return verdicts.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_duplicates_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS,
@@ -82,7 +92,9 @@ def drop_duplicates_exact(df: DataFrame, id_col: str = "doc_id", text_col: str =
     on the id, the largest one stays, its columns compared in order (they must be of types with an order).
     """
     docs = _digested(df, id_col, text_col, digest)
-    best = F.max(F.struct("doc_id", "row"))
-    aggs = lambda first: [best.alias("best")] if first else [F.max("best").alias("best")]
-    out = _combine(docs, _hot(docs.select("digest"), hot_share), salts, aggs)
-    return out.select("best.row.*")
+    hot = _hot(docs.select("digest"), hot_share)
+    best = [F.max(F.struct("doc_id", "row")).alias("best")]
+    # Apart, so that only hot digests' winners are dealt a second time.
+    done = _winners(docs.join(F.broadcast(hot), "digest", "left_anti"), hot, salts, best)
+    merged = _winners(docs.join(F.broadcast(hot), "digest", "left_semi"), hot, salts, best).groupBy("digest", "norm").agg(F.max("best").alias("best"))
+    return done.select("best.row.*").unionByName(merged.select("best.row.*"))
