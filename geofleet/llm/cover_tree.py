@@ -177,7 +177,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     known = (entries.select("v", "entry", "least", "copies").join(counted, "entry", "left").join(labels, F.col("entry") == F.col("node"), "left")
              .select("v", "copies", "least", F.coalesce("label", "entry").alias("label"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     smallest = known.groupBy("label").agg(F.min("least").alias("component"))
-    by_vector = known.join(smallest, "label").select("v", "n_links", "component")
+    by_vector = salted_lookup(known, smallest, "label", "v").select("v", "n_links", "component")
     joined = salted_lookup(usable, by_vector, "v", "row").select("vec_id", "n_links", F.col("component").alias("component_id"))
     alone = rows.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))

@@ -129,7 +129,8 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labels = components(links(classes.select("fp"), max_bits))
     joined = classes.join(labels, classes["fp"] == labels["node"], "left").select(
         classes["fp"], "least", F.coalesce("label", "fp").alias("label"))
-    groups = joined.join(joined.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("fp", "component_id")
+    smallest = joined.groupBy("label").agg(F.min("least").alias("component_id"))
+    groups = salted_lookup(joined, smallest, "label", "fp").select("fp", "component_id")
     return salted_lookup(fps, groups, "fp", "doc_id").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
