@@ -75,9 +75,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own scratch folder. Results that are read lazily lie there until it ends; then it can go
+    (``sources.files.delete_folders``)."""
+    return f"{checkpoint_root(spark)}/geofleet/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the checkpoint root for one run."""
-    return f"{checkpoint_root(spark)}/geofleet/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder of this application for one run."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
