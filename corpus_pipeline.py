@@ -12,6 +12,7 @@ from geofleet.llm import exact_dedup, mixing, packing, simhash, toxicity
 from geofleet.llm.common import table
 from geofleet.llm.queries import tokenizer_path
 from geofleet.session import scratch_path
+from geofleet.sources.files import delete_folders
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the packed pieces."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; the packed pieces. A stage's table goes once the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        delete_folders(spark, before)
+        before = [path]
     return docs
