@@ -30,7 +30,9 @@ from geofleet.llm.common import cut, for_workers
 #: Fixed patterns of the base kinds.
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: ``[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)``. It can only fail for what follows a run of digits, so it is tried from the
+#: run's first digit alone; else a long run would be read once for each of its digits.
+IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Looser candidates.
