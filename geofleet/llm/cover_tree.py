@@ -74,9 +74,11 @@ class CoverTree:
                 owner[closer] = len(chosen)
                 nearest[closer] = d[far][closer]
                 chosen.append(far)
-            centres = np.array(chosen)
-            # nested: every centre above is a centre here, and its own parent
-            nets.append((centres, d[centres][:, above].argmin(axis=1)))
+            # nested: the centres above come first here too, each its own parent
+            parents = np.arange(len(chosen))
+            new = np.array(chosen[len(above):], np.int64)
+            parents[len(above):] = d[np.ix_(new, above)].argmin(axis=1) if len(new) else 0
+            nets.append((np.array(chosen), parents))
         nets.append((np.arange(len(x)), owner))
         self.levels = []
         for depth, (centres, parents) in enumerate(nets):
@@ -88,14 +90,54 @@ class CoverTree:
             self.levels.append((centres, parents, reach if depth < len(nets) - 1 else np.zeros(len(x), np.float32)))
 
 
-def dual_traversal(a: CoverTree, b: CoverTree, xa: np.ndarray, xb: np.ndarray, t: float) -> np.ndarray:
-    """Which pairs of entries can't be pruned, [entries of a, entries of b]."""
-    d = distances(xa, xb)
-    open_pairs = np.ones((1, 1), bool)
-    for (ca, pa, ra), (cb, pb, rb) in zip(a.levels, b.levels, strict=True):
-        open_pairs = open_pairs[pa][:, pb]
-        open_pairs &= d[ca][:, cb] <= ra[:, None] + (rb[None, :] + np.float32(t + SLACK))
-    return open_pairs
+def _children(parents: np.ndarray, above: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each node of the level above: its children are order[first:first + count]."""
+    order = np.argsort(parents, kind="stable")
+    count = np.bincount(parents, minlength=above)
+    return order, np.cumsum(count) - count, count
+
+
+def _expanded(pa: np.ndarray, pb: np.ndarray, ka: tuple, kb: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of children of the pairs of nodes (pa, pb)."""
+    many = ka[2][pa] * kb[2][pb]
+    pair = np.repeat(np.arange(len(pa)), many)
+    place = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many)
+    wide = kb[2][pb][pair]
+    return ka[0][ka[1][pa][pair] + place // wide], kb[0][kb[1][pb][pair] + place % wide]
+
+
+def dual_traversal(a: CoverTree, b: CoverTree, xa: np.ndarray, xb: np.ndarray, t: float, dense: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of entries (of a, of b) that can't be pruned.
+
+    Level by level, the children of the pairs left are tested. Where these are more than a ``dense`` share of all
+    pairs of the level, the level's pairs are tested by one matrix product instead: that tests more, and so prunes no link.
+    """
+    fa, fb = xa.astype(np.float32), xb.astype(np.float32)
+    t, chunk = np.float32(t + SLACK), 1 << 18
+    pa = pb = np.zeros(1, np.int64)
+    above = None
+    for (ca, ua, ra), (cb, ub, rb) in zip(a.levels, b.levels, strict=True):
+        if above:
+            ka, kb = _children(ua, above[0]), _children(ub, above[1])
+            size = int((ka[2][pa] * kb[2][pb]).sum())
+        else:
+            size = 1
+        if size > max(1024, dense * len(ca) * len(cb)):
+            # d <= t + ra + rb, by the cosine: cos >= 1 - (t + ra + rb)^2 / 2
+            reach = ra[:, None] + (rb + t)[None, :]
+            np.multiply(reach, reach, out=reach)
+            reach *= -0.5
+            reach += 1
+            pa, pb = np.nonzero(fa[ca] @ fb[cb].T >= reach)
+        else:
+            if above:
+                pa, pb = _expanded(pa, pb, ka, kb)
+            left = [np.flatnonzero(np.einsum("ij,ij->i", fa[ca[pa[k:k + chunk]]], fb[cb[pb[k:k + chunk]]])
+                                   >= 1 - 0.5 * (t + ra[pa[k:k + chunk]] + rb[pb[k:k + chunk]]) ** 2) + k for k in range(0, len(pa), chunk)]
+            left = np.concatenate(left) if left else np.zeros(0, np.int64)
+            pa, pb = pa[left], pb[left]
+        above = len(ca), len(cb)
+    return pa, pb
 
 
 def groups(linked: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -116,14 +158,20 @@ def groups(linked: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
 def links_between(a: dict, b: dict, cosine: float, same: bool) -> pd.DataFrame:
     """Of the entries of two blocks that link: entry, links (weighted by copies), leader (an entry it is connected with)."""
     xa, xb = unit(a["x"]), unit(b["x"])
-    left = dual_traversal(a["tree"], b["tree"], xa, xb, np.sqrt(max(0.0, 2 - 2 * cosine)))
+    ia, ib = dual_traversal(a["tree"], b["tree"], xa, xb, np.sqrt(max(0.0, 2 - 2 * cosine)))
     if same:
-        np.fill_diagonal(left, False)
-    ra, rb = np.flatnonzero(left.any(axis=1)), np.flatnonzero(left.any(axis=0))
-    linked = left[ra][:, rb] & (xa[ra] @ xb[rb].T >= cosine)
-    if same:  # as rounding may differ on the two sides of the diagonal
-        linked |= linked.T
-    ra, rb, linked = ra[linked.any(axis=1)], rb[linked.any(axis=0)], linked[linked.any(axis=1)][:, linked.any(axis=0)]
+        ia, ib = ia[ia != ib], ib[ia != ib]
+    ra, rb = np.unique(ia), np.unique(ib)
+    linked = np.zeros((len(ra), len(rb)), bool)
+    at = np.searchsorted(ra, ia), np.searchsorted(rb, ib)
+    linked[at] = (xa[ra] @ xb[rb].T)[at] >= cosine
+    if same:  # rounding may differ on the two sides of the diagonal
+        ra = rb = np.union1d(ra, rb)
+        full = np.zeros((len(ra), len(ra)), bool)
+        full[np.ix_(np.searchsorted(ra, np.unique(ia)), np.searchsorted(ra, np.unique(ib)))] = linked
+        linked = full | full.T
+    rows, cols = linked.any(axis=1), linked.any(axis=0)
+    ra, rb, linked = ra[rows], rb[cols], linked[rows][:, cols]
     la, lb = groups(linked, same)
     out = [pd.DataFrame({"entry": a["entry"][ra], "links": linked @ b["copies"][rb], "leader": a["entry"][ra][la]})]
     if not same:
@@ -147,7 +195,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         x = np.array(frame["v"].tolist())
-        body = {"x": x, "entry": frame["entry"].to_numpy(), "copies": frame["copies"].to_numpy(), "tree": CoverTree(unit(x))}
+        single = x.astype(np.float32)
+        body = {"x": single if (single == x).all() else x, "entry": frame["entry"].to_numpy(), "copies": frame["copies"].to_numpy(), "tree": CoverTree(unit(x))}
         return pd.DataFrame({"size": [frame["size"].iloc[0]], "cell": [frame["cell"].iloc[0]], "block": [frame["block"].iloc[0]], "body": [pickle.dumps(body)]})
 
     spread = F.create_map(*[x for c, n in blocks.items() for x in (F.concat_ws("/", F.lit(c[0]), F.lit(c[1])), F.lit(n))]) if blocks else None

@@ -50,8 +50,10 @@ def test_traversal_keeps_every_link_and_prunes():
     xa, xb = C.unit(clustered(rng, 300)), C.unit(clustered(rng, 200))
     xb[:20] = xa[:20]
     a, b = C.CoverTree(xa), C.CoverTree(xb)
-    left = C.dual_traversal(a, b, xa, xb, np.sqrt(0.2))
-    assert left[xa @ xb.T >= 0.9].all() and left.mean() < 0.3
+    for dense in (0.0, 0.05, 1.0):      # by matrix products, mixed, by lists of pairs
+        left = np.zeros((300, 200), bool)
+        left[C.dual_traversal(a, b, xa, xb, np.sqrt(0.2), dense)] = True
+        assert left[xa @ xb.T >= 0.9].all() and left.mean() < 0.3
     for (centres, parents, radii), r in zip(a.levels[1:-1], C.RADII):
         d = C.distances(xa[centres], xa[centres])
         assert (d[~np.eye(len(centres), dtype=bool)] > r - 1e-3).all()            # separated
