@@ -36,8 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: the pieces of every document in sequences of at most 4096 tokens."""
-    return packing.pack(docs, tokenizer_path())
+    """Operator 2: the pieces of every document in sequences of at most 4096 tokens, numbered in the order of the mix."""
+    return packing.pack_in_order(docs, tokenizer_path())
 
 
 STAGES = [

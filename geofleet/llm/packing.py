@@ -11,6 +11,9 @@ size, and only the last window of a partition is left noticeably short. A lost t
 split, with the same sequence ids (partition number in the high bits). The input's partitions must therefore be
 reproducible, as those of a file scan are.
 
+``pack_in_order`` follows an order that the rows have instead: slices of it go to the partitions one after the other, and each
+``slice_windows`` windows of remaining lengths are packed by themselves, so the sequence ids keep the order up to a slice.
+
 Defined results: a null or empty text is a document of the end id alone; empty input gives no rows; repeated rows
 are packed once each; null ids are passed on; a document of any length is cut at window boundaries; extra columns
 are ignored.
@@ -32,6 +35,8 @@ from geofleet.llm.common import for_workers
 
 END_ID = 2
 WINDOW = 4096
+#: Remaining lengths of so many windows are packed together where an order is followed.
+SLICE_WINDOWS = 64
 
 #: Characters whose splitting or lower-casing differs between Python and the tokenizer: such texts go to it whole.
 _WHOLE = "\x1c\x1d\x1e\x1fΣİ"
@@ -154,10 +159,29 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def _pack_partition(frames: Iterator[pd.DataFrame], encode: Callable[[str], bytes], window: int, end_id: int,
-                    first_sequence: int) -> Iterator[pd.DataFrame]:
+                    first_sequence: int, slice_windows: int | None = None) -> Iterator[pd.DataFrame]:
     end = pack_ids([end_id])
     sequence = first_sequence
     tails: dict[int, list[tuple]] = {}
+    held = 0
+
+    def flush() -> Iterator[list[tuple]]:
+        nonlocal sequence
+        rows = []
+        for chosen, times in minimum_bin_slack({k: len(v) for k, v in tails.items()}, window):
+            for _ in range(times):
+                offset = 0
+                for length, n in chosen:
+                    for _ in range(n):
+                        rows.append((*tails[length].pop(), sequence, offset))
+                        offset += length
+                sequence += 1
+            if len(rows) > 50_000:
+                yield rows
+                rows = []
+        tails.clear()
+        yield rows
+
     for frame in frames:
         rows = []
         for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
@@ -169,20 +193,14 @@ def _pack_partition(frames: Iterator[pd.DataFrame], encode: Callable[[str], byte
                 sequence += 1
             if rest := total - whole * window:
                 tails.setdefault(rest, []).append((doc, whole * window, rest, zlib.crc32(ids[4 * whole * window:]), total))
+                held += rest
+            if slice_windows and held >= slice_windows * window:
+                for packed in flush():
+                    rows += packed
+                held = 0
+        yield _pieces(rows)
+    for rows in flush():
         yield _pieces(rows)
-    rows = []
-    for chosen, times in minimum_bin_slack({k: len(v) for k, v in tails.items()}, window):
-        for _ in range(times):
-            offset = 0
-            for length, n in chosen:
-                for _ in range(n):
-                    rows.append((*tails[length].pop(), sequence, offset))
-                    offset += length
-            sequence += 1
-        if len(rows) > 50_000:
-            yield _pieces(rows)
-            rows = []
-    yield _pieces(rows)
 
 
 def _pieces(rows: list[tuple]) -> pd.DataFrame:
@@ -192,14 +210,28 @@ def _pieces(rows: list[tuple]) -> pd.DataFrame:
 
 
 def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         end_id: int = END_ID) -> DataFrame:
+         end_id: int = END_ID, slice_windows: int | None = None) -> DataFrame:
     """One row per piece: ``PIECES``. See the module's text for the method and the defined results."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         first = TaskContext.get().partitionId() << 32
-        yield from _pack_partition(frames, tokenizer_at(tokenizer_path).encode, window, end_id, first)
+        yield from _pack_partition(frames, tokenizer_at(tokenizer_path).encode, window, end_id, first, slice_windows)
 
     narrow = for_workers(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInPandas(run, PIECES)
+
+
+def pack_in_order(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                  end_id: int = END_ID, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
+    """``pack`` of Parquet files that Spark wrote, in the order of their rows: sequence ids follow it up to a slice.
+
+    A scan deals file splits by size, so the rows are put back by file number and row index, in one shuffle by range.
+    """
+    name = F.col("_metadata.file_name")
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).try_cast("long")
+    placed = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), number("^part-([0-9]+)").alias("_part"),
+                       number("-c([0-9]+)[.]").alias("_file"), name.alias("_name"), F.col("_metadata.row_index").alias("_row"))
+    order = ["_part", "_file", "_name", "_row"]
+    return pack(placed.repartitionByRange(*order).sortWithinPartitions(*order), tokenizer_path, window=window, end_id=end_id, slice_windows=slice_windows)

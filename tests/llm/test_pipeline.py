@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import corpus_pipeline
-from geofleet.llm import packing, simhash, toxicity
+from geofleet.llm import mixing, packing, simhash, toxicity
 from geofleet.llm.common import UPPER, table
 from geofleet.llm.queries import QUERIES, SQL, tokenizer_path
+from tests.llm.helpers import documents
 from tests.llm.test_simhash import grouped
 
 SF = "/root/testdata/sf0.001"
@@ -40,6 +42,28 @@ def test_stages_but_the_last_return_documents(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "mix_sources", "pack_sequences"]
 
 
+def test_sequences_follow_the_mix(spark, workdir):
+    """Files of unequal size, several to a scan partition: source shares over sequence_id stay near the targets."""
+    rng = random.Random(2)
+    sizes = {"a": 3200, "b": 1200, "c": 400}
+    rows = [(i, "alpha beta " * rng.randint(1, 60 if i % 7 else 900), s) for i, s in enumerate(x for x, n in sizes.items() for _ in range(n))]
+    docs = documents(spark, rows)
+    weights = spark.createDataFrame([(s, float(n)) for s, n in sizes.items()], "source string, weight double")
+    mixing.in_mixed_order(docs, weights, files=9, block_rows=4).write.parquet(f"{workdir}/mixed")
+    mixed = spark.read.parquet(f"{workdir}/mixed")
+    order = mixing.mix(docs, weights, block_rows=4).toPandas().set_index("doc_id").mix_position.rank()
+    out = packing.pack_in_order(mixed, tokenizer_path(), window=512, slice_windows=16).toPandas()
+    assert sorted(out[out.start == 0].doc_id) == [r[0] for r in rows]
+    docs_in_order = out.sort_values(["sequence_id", "offset"]).drop_duplicates("doc_id", keep="last").doc_id
+    moved = (order[docs_in_order].to_numpy() - range(1, len(rows) + 1))
+    assert abs(moved).max() < 400
+    source = {r[0]: r[2] for r in rows}
+    seen = dict.fromkeys(sizes, 0)
+    for t, d in enumerate(docs_in_order, start=1):
+        seen[source[d]] += 1
+        assert all(abs(seen[s] - t * n / len(rows)) < 120 for s, n in sizes.items())
+
+
 def test_stages_take_empty_input(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
