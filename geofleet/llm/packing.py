@@ -52,15 +52,16 @@ class WordTokenizer:
     """Ids of texts under a word-level BPE tokenizer file, with a cache of words.
 
     White space never crosses a pre-token, so a text's ids are its words' ids in a row. A plain word skips the
-    normaliser and goes to the BPE model directly; every other word goes through the tokenizer. ``cache_words``
-    bounds the memory; a full cache is emptied.
+    normaliser and goes to the BPE model directly; every other word goes through the tokenizer. A text that holds the string of
+    one of the file's added tokens, in whatever case, goes to it whole: there the raw text decides what is such a token.
+    ``cache_words`` bounds the memory; a full cache is emptied.
     """
 
     def __init__(self, path: str, cache_words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.model._resize_cache(0)  # the words are cached here already; filling its own cache doubles the time
         self.cache: dict[str, bytes] = {}
@@ -85,9 +86,10 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if any(c in text for c in _WHOLE):
+        lowered = text.lower()
+        if any(c in text for c in _WHOLE) or any(t in lowered for t in self.added):
             return self._whole(text)
-        cache, words = self.cache, text.lower().split()
+        cache, words = self.cache, lowered.split()
         try:
             return b"".join(map(cache.__getitem__, words))
         except KeyError:

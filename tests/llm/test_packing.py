@@ -7,6 +7,7 @@ from itertools import combinations
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from geofleet.llm import packing
 from geofleet.llm.queries import tokenizer_path
@@ -32,6 +33,25 @@ def test_special_strings_and_marks(words):
         assert words.encode(text) == packing.pack_ids(words.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+@pytest.fixture(scope="module")
+def contract():
+    """The tokenizer as its file says, nothing set on it."""
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def test_added_tokens_are_the_contracts(words, contract):
+    assert contract.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+    for text in ("a <|endoftext|> b", "<|startoftext|>a<|endoftext|>", "x<|endoftext|>y z", "<|ENDOFTEXT|> a", "<|EndOfText|><|endoftext|>", "<|endoftext| >",
+                 "<|endoftext|>\u0338", "a <|endof text|> b"):
+        assert words.encode(text) == packing.pack_ids(contract.encode(text, add_special_tokens=False).ids), text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", "Word", "é", ".", "\n"]), max_size=8).map("".join))
+def test_ids_are_those_of_a_fresh_tokenizer(words, contract, text):
+    assert words.encode(text) == packing.pack_ids(contract.encode(text, add_special_tokens=False).ids)
+
+
 def test_fill_is_closest_to_the_room():
     rng = random.Random(3)
     for _ in range(60):
