@@ -3,8 +3,9 @@
 A document is a mixture of languages: each of its character trigrams comes from language l with probability share_l, and
 then has likelihood P(trigram | l). The trigram likelihoods are counted by Spark over a bounded sample of labelled rows
 outside the held-out fold (``max_train`` rows of least id hash). For every document expectation-maximisation
-estimates the shares, over its best language alone, its best two, and so on up to ``max_languages``; the set of
-languages is the one of greatest penalised likelihood (half the log of the sample size for every further share). The
+estimates the shares, over its best language alone, its best two, and so on up to all of them; the set of
+languages is the one of greatest penalised likelihood (half the log of the sample size for every further share). A document
+leaves the search where the likelihood's upper bound, less the penalty, shows that no wider set can be better. The
 prediction is the language of the largest share, the score that share.
 
 Inference is one map over the rows, in chunks of bounded size, without a shuffle. Whole texts are read.
@@ -29,7 +30,6 @@ from geofleet.llm.common import cut, for_workers
 from geofleet.llm.sampling import bounded_sample, held_out
 
 MAX_TRAIN = 20_000
-MAX_LANGUAGES = 3
 BUCKETS = 1 << 15
 SMOOTH = 0.5
 CHUNK_CHARS = 400_000
@@ -109,7 +109,7 @@ def _em(doc: np.ndarray, n: np.ndarray, p: np.ndarray, size: np.ndarray, steps:
     return share, np.add.reduceat(n * np.log((share[at] * p).sum(axis=1)), first)
 
 
-def infer(texts: list[str], names: list[str], logp: np.ndarray, max_languages: int = MAX_LANGUAGES) -> list[tuple[str, float, list[tuple[str, float]]]]:
+def infer(texts: list[str], names: list[str], logp: np.ndarray) -> list[tuple[str, float, list[tuple[str, float]]]]:
     """(language, score, [(language, share)]) of each text."""
     if not names:
         return [(UNKNOWN, 0.0, [])] * len(texts)
@@ -122,7 +122,11 @@ def infer(texts: list[str], names: list[str], logp: np.ndarray, max_languages: i
     at = np.searchsorted(present, doc)
     size = np.add.reduceat(n, first)[at]
     single = np.add.reduceat(n[:, None] * logp[bucket], first, axis=0)
-    full, _ = _em(doc, n, np.exp(logp[bucket]), size)
+    p = np.exp(logp[bucket])
+    full, reached = _em(doc, n, p, size)
+    # The likelihood is concave in the shares, so its slope at ``full`` bounds it for every set of languages.
+    slope = np.add.reduceat(p * (n / (full[at] * p).sum(axis=1))[:, None], first, axis=0).max(axis=1)
+    bound = (reached + slope - size[first]) / OVERLAP
     merit = np.round(full, 9)
     np.put_along_axis(merit, np.argmax(single, axis=1)[:, None], 2.0, axis=1)  # the best alone comes first, then by share
     ranked = np.argsort(-merit, axis=1, kind="stable")
@@ -130,31 +134,35 @@ def infer(texts: list[str], names: list[str], logp: np.ndarray, max_languages: i
     best = np.take_along_axis(single, ranked[:, :1], axis=1)[:, 0] / OVERLAP
     shares = np.zeros_like(full)
     np.put_along_axis(shares, ranked[:, :1], 1.0, axis=1)
-    for k in range(2, min(max_languages, len(names)) + 1):
-        chosen = ranked[:, :k]
-        p = np.exp(np.take_along_axis(logp[bucket], chosen[at], axis=1))
-        share, fit = _em(doc, n, p, size)
-        fit = fit / OVERLAP - 0.5 * (k - 1) * np.log(np.maximum(observed, 2.0))
-        better = fit > best + 1e-9
-        best = np.where(better, fit, best)
-        wider = np.zeros_like(full)
+    penalty = 0.5 * np.log(np.maximum(observed, 2.0))
+    for k in range(2, len(names) + 1):
+        open_ = bound - (k - 1) * penalty > best + 1e-9
+        if not open_.any():
+            break
+        rows, entries = np.flatnonzero(open_), open_[at]
+        chosen = ranked[rows, :k]
+        own = np.searchsorted(rows, at[entries])
+        share, fit = _em(own, n[entries], np.take_along_axis(p[entries], chosen[own], axis=1), size[entries])
+        fit = fit / OVERLAP - (k - 1) * penalty[rows]
+        better = fit > best[rows] + 1e-9
+        best[rows[better]] = fit[better]
+        wider = np.zeros((len(rows), len(names)))
         np.put_along_axis(wider, chosen, share, axis=1)
-        shares = np.where(better[:, None], wider, shares)
+        shares[rows[better]] = wider[better]
     for d, s in zip(present, shares, strict=True):
         found = sorted(((names[i], float(s[i])) for i in np.flatnonzero(s > 0)), key=lambda x: (-round(x[1], 9), x[0]))
         out[d] = (found[0][0], min(1.0, found[0][1]), found)
     return [o if h else (UNKNOWN, 0.0, []) for h, o in zip(has, out, strict=True)]
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN,
-             max_languages: int = MAX_LANGUAGES) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, languages array<struct<lang, share>>."""
     names, logp = learn(docs, id_col, text_col, lang_col, max_train)
     model = docs.sparkSession.sparkContext.broadcast((names, logp))  # BUCKETS x languages numbers
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [r for part in chunks([t if isinstance(t, str) else "" for t in frame["text"]]) for r in infer(part, *model.value, max_languages)]
+            found = [r for part in chunks([t if isinstance(t, str) else "" for t in frame["text"]]) for r in infer(part, *model.value)]
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"].astype("Int64"), "held_out": frame["held_out"], "lang_pred": [r[0] for r in found], "score": [r[1] for r in found],
                 "languages": [[{"lang": a, "share": s} for a, s in r[2]] for r in found]})

@@ -54,6 +54,23 @@ def test_mixture_shares_are_the_likeliest():
     assert abs(share[0, 0] - np.linspace(0.001, 0.999, 999)[np.argmax(grid)]) < 0.01 and like[0] >= max(grid) - 1e-3
 
 
+def test_text_in_more_than_three_languages():
+    """Every language of a text is found, with its share; the penalty alone keeps others out."""
+    rng = np.random.default_rng(4)
+    letters = ["abcdefgh", "ijklmnop", "qrstuvwx", "äöüßéèçñ", "αβγδεζηθ"]
+    made = ["".join(" ".join("".join(rng.choice(list(x), 5)) for _ in range(400))) for x in letters]
+    n = np.zeros((langid.BUCKETS, len(letters)))
+    for i, text in enumerate(made):
+        _, bucket, count, _ = langid.trigrams([text])
+        np.add.at(n[:, i], bucket, count)
+    logp = np.log((n + langid.SMOOTH) / (n.sum(axis=0) + langid.SMOOTH * langid.BUCKETS))
+    names = ["l0", "l1", "l2", "l3", "l4"]
+    for k in (1, 2, 4, 5):
+        (_, score, found), = langid.infer([" ".join(made[:k])], names, logp)
+        assert {x for x, _ in found} == set(names[:k]) and abs(score - 1 / k) < 0.05
+        assert all(abs(share - 1 / k) < 0.05 for _, share in found)
+
+
 def test_languages_without_labels_and_empty_input(spark):
     assert [(r.lang_pred, r.score) for r in langid.identify(documents(spark, [(1, "abc", "s", None)])).collect()] == [("und", 0.0)]
     assert langid.identify(documents(spark, [])).count() == 0
