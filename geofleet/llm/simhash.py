@@ -55,14 +55,19 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED,
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row's whole text, as a signed 64-bit integer."""
+    """(doc_id, key, fp): a digest of every row's whole text and its fingerprint, as a signed 64-bit integer."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             fps = np.array([fingerprint(t if isinstance(t, str) else None, words) for t in frame["text"]], "u8").astype("i8")
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "fp": fps})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "key": frame["key"], "fp": fps})
 
-    return for_workers(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long")
+    narrow = for_workers(df).select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("key"), F.col(text_col).alias("text"))
+    return narrow.mapInPandas(run, "doc_id long, key binary, fp long")
+
+
+def _text_key(text_col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
 def _signed(bits: int) -> int:
@@ -121,27 +126,38 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .select("u", "v"))
 
 
-def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
-                   max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: doc_id, fp (signed long), fingerprint (16 hex digits), component_id."""
+def _labelled(df: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> DataFrame:
+    """One row per document: doc_id, key, fp, label (of the group), component_id (its smallest id)."""
     fps = cut(fingerprints(df, id_col, text_col, words))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     labels = components(links(classes.select("fp"), max_bits))
     joined = classes.join(labels, classes["fp"] == labels["node"], "left").select(
         classes["fp"], "least", F.coalesce("label", "fp").alias("label"))
     smallest = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    groups = salted_lookup(joined, smallest, "label", "fp").select("fp", "component_id")
-    return salted_lookup(fps, groups, "fp", "doc_id").select(
+    groups = salted_lookup(joined, smallest, "label", "fp").select("fp", "label", "component_id")
+    return salted_lookup(fps, groups, "fp", "doc_id").select("doc_id", "key", "fp", "label", "component_id")
+
+
+def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
+                   max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per document: doc_id, fp (signed long), fingerprint (16 hex digits), component_id."""
+    return _labelled(df, id_col, text_col, words, max_bits).select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                      max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its group; all its columns. Rows without an id stay.
+    """One row of ``df`` for each group, of its smallest id; all its columns. Rows without an id stay.
 
-    Rows that repeat an id and the whole text are one document: one of them stays.
+    Rows that repeat an id and the whole text are one document: one of them stays. Of a smallest id with several texts in
+    its group, the text of the least digest stays. An id with texts in several groups is judged in each by itself.
     """
-    groups = simhash_groups(df, id_col, text_col, words, max_bits)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    packed = df.select(row_struct(df).alias("row"), F.col(id_col).cast("long").alias("_id"))
-    return packed.join(gone, packed["_id"] == gone["_gone"], "left_anti").select("row.*")
+    found = cut(_labelled(df, id_col, text_col, words, max_bits))
+    tied = found.where("doc_id = component_id").select("label", "doc_id", "key").distinct()
+    one = tied.groupBy("label").agg(F.min("key").alias("_least"))
+    gone = (found.where("doc_id <> component_id").select("doc_id", "key")
+            .union(tied.join(one, "label").where("key <> _least").select("doc_id", "key")).distinct().toDF("_gone", "_gone_key"))
+    packed = df.select(row_struct(df).alias("row"), F.col(id_col).cast("long").alias("_id"), _text_key(text_col).alias("_key"))
+    kept = packed.join(gone, (packed["_id"] == gone["_gone"]) & (packed["_key"] == gone["_gone_key"]), "left_anti")
+    apart = kept.withColumn("_row", F.when(F.col("_id").isNull(), F.monotonically_increasing_id()))
+    return apart.dropDuplicates(["_id", "_key", "_row"]).select("row.*")

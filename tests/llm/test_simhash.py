@@ -83,6 +83,16 @@ def test_groups_match_brute_force(spark):
     assert sorted({r.doc_id for r in kept.collect()}) == sorted({d for d in label if label[d] == d})
 
 
+def test_each_group_keeps_one_row(spark):
+    near, far, other = "one two three four five six", "red green blue white black grey", "la le li lo lu ly"
+    rows = [(1, near), (2, near), (2, far), (3, far), (7, other), (7, other), (7, other), (8, "up down"), (8, "UP down"), (9, "up down"),
+            (None, far), (None, far)]
+    kept = sorted(((r.doc_id or 0, r.text.lower()) for r in S.keep_one_of_each(documents(spark, rows)).collect()))
+    assert kept == [(0, far), (0, far), (1, near), (2, far), (7, other), (8, "up down")]
+    rows = [(5, near), (5, far), (6, near), (6, far)]
+    assert sorted((r.doc_id, r.text) for r in S.keep_one_of_each(documents(spark, rows)).collect()) == [(5, near), (5, far)]
+
+
 def test_null_ids_and_empty_input(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (None, "alone here now")]
     out = {(r.doc_id, r.component_id) for r in S.simhash_groups(documents(spark, rows)).collect()}
