@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geofleet.llm import cover_tree, exact_dedup, langid, mixing, packing, pii, secrets, simhash, toxicity, warc
+from geofleet.llm import (
+    cover_tree, decontaminate, exact_dedup, langid, mixing, packing, periodic_runs, pii, prefix_trie, secrets, simhash, toxicity, warc)
 from geofleet.llm.common import table
 
 
@@ -58,9 +59,45 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefix_trie.graft(prefix_trie.number_turns(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, convs)
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): where crc32(doc_id) is divisible by ten, the words from a on repeat the p words there (a and p from the
+    checksum); other texts as they are. A null id leaves its text as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    block = F.slice(words, a + 1, p)
+    again = F.slice(F.concat(F.slice(words, 1, a), F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int")))), 1, n)
+    planted = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(planted, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    rank = lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))
+    best = found.withColumn("top", F.array_max(F.transform("runs", rank)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.s")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.q")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.q")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_pack_sequences, op3_warc_revisits, op4_language_mixture, op5_toxicity, op6_exact_duplicates,
-    op7_secret_ownership, op8_personal_data, op9_embedding_links, op10_simhash_groups)}
+    op7_secret_ownership, op8_personal_data, op9_embedding_links, op10_simhash_groups, op11_prefix_trie, op12_decontaminate,
+    op13_periodic_runs)}
 
 #: Host and so on of a URL, as RE2 reads it.
 URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)(?:\?([^#]*))?"
@@ -139,4 +176,52 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
                sha256(norm) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY norm)""",
+    # crc32 of the decimal id, bit by bit; a prefix is known by a digest of its turns' digests.
+    "op11_prefix_trie": """
+        WITH turned AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        whole AS (
+            SELECT c, list(struct_pack(m := md5(strlen(role) || ':' || role || text), l := length(text)) ORDER BY p) AS own,
+                   xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+                       lambda s, x: list_reduce([xor(s, x), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda y, z: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))),
+                       4294967295::UBIGINT) % 6 AS h
+            FROM turned GROUP BY c),
+        rebuilt AS (
+            SELECT w.c, list_concat(coalesce(b.own, [])[1:w.h], w.own[w.h + 1:]) AS t FROM whole w LEFT JOIN whole b ON b.c = w.c - w.c % 100),
+        prefixed AS (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt),
+        keyed AS (
+            SELECT c, d, len(t) AS n, CASE WHEN d = 0 THEN '' ELSE md5(array_to_string(list_transform(t[1:d], lambda x: x.m), '')) END AS k,
+                   CASE WHEN d = 1 THEN '' WHEN d > 1 THEN md5(array_to_string(list_transform(t[1:d - 1], lambda x: x.m), '')) END AS up,
+                   CASE WHEN d = 0 THEN 0 ELSE t[d].l END AS l
+            FROM prefixed),
+        nodes AS (
+            SELECT d, k, any_value(up) AS up, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * any_value(l) AS v,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+            FROM keyed GROUP BY d, k),
+        kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+        counted AS (SELECT x.*, coalesce(y.n, 0) AS n_children FROM nodes x LEFT JOIN kids y USING (d, k)),
+        chains AS (SELECT DISTINCT a.d AS ad, a.k AS ak, x.d, x.k FROM keyed a JOIN keyed x ON x.c = a.c AND x.d >= a.d),
+        sums AS (
+            SELECT ad AS d, ak AS k, sum(y.v)::BIGINT AS saved_tokens, count(*) FILTER (y.n_children = 0) AS n_leaves
+            FROM chains z JOIN counted y ON y.d = z.d AND y.k = z.k GROUP BY ALL)
+        SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n_convs, x.n_children, s.n_leaves, s.saved_tokens, x.ends_sha256
+        FROM counted x JOIN sums s USING (d, k) LEFT JOIN nodes p ON p.d = x.d - 1 AND p.k = x.up""",
+    "op12_decontaminate": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        items AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        cut AS (SELECT item, w, least(len(w), 10) AS t, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS s FROM items WHERE len(w) > 0),
+        known AS (SELECT DISTINCT item, t, array_to_string(w[s + 1:s + t], ' ') AS k FROM cut),
+        sized AS (SELECT r, w, t, unnest(range(0, len(w) - t + 1)) AS s FROM docs, (SELECT DISTINCT t FROM known) WHERE len(w) >= t),
+        hits AS (SELECT r, s, t, item FROM (SELECT r, s, t, array_to_string(w[s + 1:s + t], ' ') AS k FROM sized) JOIN known USING (t, k)),
+        covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + t)) AS p FROM (SELECT DISTINCT r, s, t FROM hits)) GROUP BY r),
+        named AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items, sha256(coalesce(i.l, '')) AS items_sha256,
+               coalesce(c.n, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN covered c USING (r) LEFT JOIN named i USING (r)""",
 }

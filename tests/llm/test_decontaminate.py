@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from geofleet.llm import decontaminate as D
+from tests.llm.helpers import documents
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, window=10):
+    known: dict[tuple, set[str]] = {}
+    for item, text in items:
+        w = words(text)
+        t = min(window, len(w))
+        for s in range(len(w) - t + 1 if t else 0):
+            known.setdefault(tuple(w[s:s + t]), set()).add("" if item is None else str(item))
+    sizes = {len(k) for k in known}
+    out = []
+    for doc, text in docs:
+        w, hit, held = words(text), set(), set()
+        for t in sizes:
+            for s in range(len(w) - t + 1):
+                if tuple(w[s:s + t]) in known:
+                    hit |= set(range(s, s + t))
+                    held |= known[tuple(w[s:s + t])]
+        out.append((doc, len(w), len(hit), len(held), hashlib.sha256(",".join(sorted(held)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def run(spark, docs, items, extra="", **options):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = D.contamination(documents(spark, docs, extra), bench, **options)
+    return sorted((tuple(r[c] for c in COLUMNS) for r in found.collect()), key=repr)
+
+
+def made(seed, n_words=6):
+    """Texts of few different words, so that k-grams and windows repeat within and between them."""
+    rng = random.Random(seed)
+    vocabulary = ["A", "bb", "é9", "Über", "x1", "zz"][:n_words]
+    text = lambda n: rng.choice([" ", ", ", "--"]).join(rng.choices(vocabulary, k=n))
+    items = [(i, text(rng.choice([1, 4, 5, 9, 10, 11, 30]) if i % 4 else 12)) for i in range(40)]
+    docs = [(i, text(rng.randint(0, 60))) for i in range(40)]
+    for i in range(40, 80):  # planted spans of 9, 10 and more words of an item
+        source = words(items[rng.randrange(40)][1])
+        at = rng.randrange(len(source))
+        docs.append((i, f"{text(7)} {' '.join(source[at:at + rng.choice([9, 10, 14, 30])]).upper() if i % 2 else ' '.join(source)} {text(5)}"))
+    return docs, items
+
+
+@pytest.mark.parametrize("seed, max_broadcast", [(1, 10**6), (2, 10**6), (3, 0)])
+def test_equals_brute_force(spark, seed, max_broadcast):
+    docs, items = made(seed)
+    assert run(spark, docs, items, max_broadcast=max_broadcast) == brute(docs, items)
+
+
+def test_only_whole_windows_hit(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, " ".join(f"w{i}" for i in range(3, 12))), (2, "pre " + " ".join(f"W{i}" for i in range(3, 13)) + " post"),
+            (3, " ".join(f"w{i}" for i in [*range(10), 77, *range(10, 20)])), (4, "w1 " * 400)]
+    out = run(spark, docs, [(7, item)])
+    assert out == brute(docs, [(7, item)])
+    assert [r[2] for r in out] == [0, 10, 20, 0]
+
+
+@pytest.mark.parametrize("max_broadcast", [10**6, 0])
+def test_edges(spark, max_broadcast):
+    item = "one two three four five six seven eight nine ten eleven"
+    docs = [(1, None), (2, ""), (3, "-- !"), (None, item), (4, item), (4, item), (5, f"{item} " * 3000), (6, "x" * 200_000), (7, "ab\x01cd")]
+    items = [(1, item), (1, item + " twelve"), (None, item), (2, None), (3, "..."), (4, "cd"), (10, "two three")]
+    extra = "h w digest t first last start wid item"
+    assert run(spark, docs, items, extra, max_broadcast=max_broadcast) == brute(docs, items)
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], [(1, "a b c")]) == []
+    docs = [(1, "a b c"), (2, None)]
+    assert run(spark, docs, []) == brute(docs, [])
+    assert run(spark, docs, [(1, None)]) == brute(docs, [])
+
+
+def test_copies_of_one_text_make_one_set_of_hits(spark):
+    item = " ".join(f"w{i}" for i in range(25))
+    docs = [(i, f"lead {item} tail") for i in range(500)] + [(i, f"{i} clean text") for i in range(500, 600)]
+    out = run(spark, docs, [(1, item), (2, item)])
+    assert out == brute(docs, [(1, item), (2, item)])
