@@ -1,53 +1,26 @@
-"""Every registered query against its DuckDB oracle on the smallest fixture."""
+"""Every registered device-data query against its DuckDB oracle on the smallest fixture."""
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
-import math
-import os
-
-import duckdb
 import pytest
 
 import __spark_entry__ as E
+from geofleet.plans import catalog
+from tests.compare import matches_oracle, views
 from tests.conftest import SF_SMALL
 
 SQL = E.oracle_sql()
 
 
-def canon(v):
-    if v is None:
-        return "NULL"
-    if isinstance(v, float):
-        return "NaN" if math.isnan(v) else repr(v)
-    if isinstance(v, decimal.Decimal):
-        return format(v.normalize(), "f")
-    if isinstance(v, (dt.datetime, dt.date)):
-        return v.isoformat()
-    return str(v)
-
-
 @pytest.fixture(scope="module")
 def duck():
-    con = duckdb.connect()
-    for t in ("events",):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
-    return con
+    return views(SF_SMALL, "events")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    cols = sorted(df.columns)
-    got = sorted(tuple(canon(r[c]) for c in cols) for r in df.collect())
     assert name in SQL, f"{name} has no oracle"
-    rel = duck.sql(SQL[name])
-    assert sorted(rel.columns) == cols
-    idx = [rel.columns.index(c) for c in cols]
-    want = sorted(tuple(canon(r[i]) for i in idx) for r in rel.fetchall())
-    assert len(got) == len(want)
-    assert got == want
+    matches_oracle(spark, duck, E.queries()[name], SQL[name], SF_SMALL)
 
 
 def test_entry_smoke(spark):
