@@ -71,6 +71,8 @@ ISO_DATE = r"(\d{4})-?(\d{2})-?(\d{2})"
 ISO_TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?"
 ISO_ZONE = r"(Z|z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)"
 ISO = f"^{ISO_DATE}(?:[Tt ]{ISO_TIME}{ISO_ZONE}?)?$"
+# The extended form with seconds and an offset that a plain cast reads the same way in every session zone.
+ISO_PLAIN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)$"
 
 
 def iso_to_millis(text: Column | str) -> Column:
@@ -80,6 +82,11 @@ def iso_to_millis(text: Column | str) -> Column:
     without an offset is read as UTC. NULL if it names no time.
     """
     t = F.trim(_col(text))
+    # Lazy: other forms alone are taken apart.
+    return F.when(t.rlike(ISO_PLAIN), F.floor(F.unix_micros(t.try_cast("timestamp")) / F.lit(1000)).cast("bigint")).otherwise(_any_iso_to_millis(t))
+
+
+def _any_iso_to_millis(t: Column) -> Column:
     part = lambda n: F.regexp_extract(t, ISO, n)
     two = lambda n: F.when(part(n) == "", "00").otherwise(part(n))
     micros = F.substring(F.concat(part(7), F.lit("000000")), 1, 6)

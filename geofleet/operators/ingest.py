@@ -21,9 +21,6 @@ from geofleet.operators.ranking import ordinal
 # declared as double, while the bridge accepts it. Text first, then a cast.
 ENVELOPE_SCHEMA = "payload STRUCT<device_id: STRING, latitude: DOUBLE, longitude: DOUBLE, timestamp: BIGINT>"
 
-# The member "timestamp" with a text as its value.
-QUOTED_TIMESTAMP = r'"timestamp"\s*:\s*"'
-
 READING_COLUMNS = ["msg_id", "device_id", "latitude", "longitude", "timestamp"]
 SOURCE_ROW_COLUMNS = ["id", "device_id", "latitude", "longitude", "event_ts", "ingested_at"]
 
@@ -41,25 +38,19 @@ def normalise_readings(routed: DataFrame) -> DataFrame:
     ``reject_reason`` names the first field that cannot be converted, in the
     order the bridge converts them, or is NULL for a good reading.
     """
-    # json_tuple parses each payload once and yields every field as text (a
-    # number's text, a string's contents, NULL for null/absent). As a
-    # generator it is also a plan barrier: the reject filter cannot be pushed
-    # beneath it and re-parse the JSON per referenced field. Text loses the
-    # timestamp's JSON type, on which its meaning depends: an all-digit text
-    # is told from a number by the quote before it in the payload.
-    fields = routed.select(
-        "msg_id", "topic", "payload",
-        F.json_tuple(F.col("payload"), "device_id", "latitude", "longitude", "timestamp").alias(
-            "_device", "_lat", "_lon", "_ts"),
-    )
-    is_number = F.col("_ts").try_cast("double").isNotNull() & ~F.col("payload").rlike(QUOTED_TIMESTAMP)
-    typed = fields.select(
-        "msg_id", "topic", "payload",
-        F.coalesce(F.col("_device"), F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
-        F.col("_lat").try_cast("double").alias("latitude"),
-        F.col("_lon").try_cast("double").alias("longitude"),
-        reading_time_to_millis(F.col("_ts"), is_number).alias("timestamp"),
+    # A generator's output is a plan barrier: the payload is parsed once, to a VARIANT that keeps each value's JSON type,
+    # and no filter above pulls the parse or the conversions into itself.
+    parsed = routed.select("msg_id", "topic", "payload", F.explode(F.array(F.try_parse_json("payload"))).alias("_v"))
+    stamp = F.try_variant_get("_v", "$.timestamp", "variant")
+    is_number = F.coalesce(F.schema_of_variant(stamp).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+    text = lambda name: F.try_variant_get("_v", f"$.{name}", "string")
+    converted = F.struct(
+        F.coalesce(text("device_id"), F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
+        text("latitude").try_cast("double").alias("latitude"),
+        text("longitude").try_cast("double").alias("longitude"),
+        reading_time_to_millis(text("timestamp"), is_number).alias("timestamp"),
     )
+    typed = parsed.select("msg_id", "topic", "payload", F.inline(F.array(converted)))
     reason = (
         F.when(F.col("latitude").isNull(), F.lit("latitude"))
         .when(F.col("longitude").isNull(), F.lit("longitude"))

@@ -66,6 +66,26 @@ def test_the_json_type_of_a_timestamp_decides(spark):
     assert {r.msg_id: r.reject_reason for r in I.rejected_readings(n).collect()} == {3: "timestamp"}
 
 
+def test_the_payloads_own_timestamp_counts(spark):
+    """Not a nested one, nor its spelling: members are found by parsing."""
+    rows = [(1, "iot/d/geolocation", '{"latitude":1,"longitude":2,"timestamp":1705312800000,"meta":{"timestamp":"x"}}'),
+            (2, "iot/d/geolocation", '{"latitude":1,"longitude":2,"\\u0074imestamp":"20240115"}'),
+            (3, "iot/d/geolocation", '{"meta":{"timestamp":7},"latitude":"1e1","longitude":-2.5,"timestamp":1705312800000.75}'),
+            (4, "iot/d/geolocation", '{"device_id":5,"latitude":1,"longitude":2,"timestamp":1.7053128E12,"note":"\\"timestamp\\": \\"x"}'),
+            (5, "iot/d/geolocation", '{"meta":{"timestamp":7},"latitude":1,"longitude":2}'),
+            (6, "iot/d/geolocation", None), (7, "iot/d/geolocation", "[1]"), (8, "iot/d/geolocation", "")]
+    n = normalised(spark, rows)
+    assert {r.msg_id: (r.device_id, r.latitude, r.timestamp) for r in I.accepted_readings(n).collect()} == {
+        1: ("unknown", 1.0, 1705312800000), 2: ("unknown", 1.0, 1705276800000), 3: ("unknown", 10.0, 1705312800000), 4: ("5", 1.0, 1705312800000)}
+    assert {r.msg_id: r.reject_reason for r in I.rejected_readings(n).collect()} == {5: "timestamp", 6: "latitude", 7: "latitude", 8: "latitude"}
+
+
+def test_a_payload_is_parsed_once(spark):
+    n = normalised(spark, [(1, "iot/d/geolocation", "{}")])
+    plan = I.accepted_readings(n)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("try_parse_json") + plan.count("parse_json") == 1
+
+
 def test_sink_rows(spark):
     acc = spark.createDataFrame([(5, "d1", 1.0, 2.0, 1704067207179)],
                                 "msg_id bigint, device_id string, latitude double, longitude double, timestamp bigint")
