@@ -1,26 +1,18 @@
 """Incremental load of the keyed serving table.
 
-Layout under ``root``::
-
-    data/batch_id=N/event_date=D/*.parquet        rows of one load, append-only
-    progress/batch_id=N/*.parquet                 one row per committed load
-    base/through=N/event_date=D/*.parquet         compacted days, as of load N
-    compaction/through=N/*.parquet                manifest: which base folder holds each day
-
-A load writes only its own rows (cost grows with the increment, not with the
-table). It replaces its whole ``batch_id`` folder, so a retry leaves nothing of
-an earlier attempt, and its progress row is written after the data. Readers see
-committed loads only, and take the newest version per (device_id, event_time).
-Batch ids only grow: an id at or below the newest committed one is refused.
-
-Compaction folds the loads since the last one into the days that they touch;
-other days keep their folder, which the new manifest names again. ``vacuum``
-deletes folders that no reader needs any more.
+Under ``root``: ``table`` holds the newest version of every key, partitioned by event_date and bucketed by device_id;
+``progress`` one row per committed load, whose newest is the mark; ``pending`` the load that is under way.
+
+A load merges its rows with those of the days that they touch and writes these days to ``pending``; its progress row commits
+it; then the days replace the table's (dynamic partition overwrite) and ``pending`` goes. A load that dies before
+its progress row is made anew in its place. One that dies after it is finished from ``pending`` by the next writer; until
+then readers may find some of its days old. Batch ids only grow.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,69 +28,48 @@ from geofleet.operators.serving import (
     recent_scan,
     serving_rows,
 )
-from geofleet.sources.files import delete_folders, read_or_empty
+from geofleet.session import checkpoint_root
+from geofleet.sources.files import delete_folders, folder_exists, read_or_empty
 
-ROW_SCHEMA = (f"device_id STRING, event_time BIGINT, latitude {COORD_DECIMAL}, longitude {COORD_DECIMAL}, "
-              "event_ts STRING, event_id BIGINT, event_date DATE")
-VERSION_SCHEMA = f"{ROW_SCHEMA}, batch_id BIGINT"
-BASE_SCHEMA = f"{VERSION_SCHEMA}, through BIGINT"
+VERSION_SCHEMA = (f"device_id STRING, event_time BIGINT, latitude {COORD_DECIMAL}, longitude {COORD_DECIMAL}, "
+                  "event_ts STRING, event_id BIGINT, batch_id BIGINT, event_date DATE")
 PROGRESS_SCHEMA = "last_event_ts TIMESTAMP_NTZ, rows_written BIGINT, source STRING, batch_id BIGINT"
-MANIFEST_SCHEMA = "event_date DATE, folder BIGINT, through BIGINT"
+BUCKETS = 8
 
 
 class ServingStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """``name`` is the table's name in the catalog, from the root unless given; ``buckets`` is fixed when it is created."""
+
+    def __init__(self, spark: SparkSession, root: str, name: str | None = None, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.data_path = f"{self.root}/data"
+        self.name = name or "serving_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+        self.buckets = buckets
         self.progress_path = f"{self.root}/progress"
-        self.base_path = f"{self.root}/base"
-        self.compaction_path = f"{self.root}/compaction"
+        self.pending_path = f"{self.root}/pending"
 
     # -- reads ------------------------------------------------------------
-    def compacted_through(self) -> int | None:
-        """Newest committed compaction point (one scalar to the driver)."""
-        return read_or_empty(self.spark, self.compaction_path, MANIFEST_SCHEMA).agg(F.max("through")).first()[0]
-
-    def manifest(self, through: int | None) -> DataFrame:
-        """(event_date, folder) of the compacted days."""
-        if through is None:
-            return self.spark.createDataFrame([], "event_date DATE, folder BIGINT")
-        path = f"{self.compaction_path}/through={through}"
-        return self.spark.read.schema("event_date DATE, folder BIGINT").parquet(path)
-
-    def base(self, through: int | None) -> DataFrame:
-        """Compacted rows: of every day, those of the folder that the manifest names (both are partition columns)."""
-        rows, live = read_or_empty(self.spark, self.base_path, BASE_SCHEMA), self.manifest(through)
-        return rows.join(live, (rows["event_date"] == live["event_date"]) & (rows["through"] == live["folder"]), "left_semi").drop("through")
-
-    def loads_after(self, through: int | None) -> DataFrame:
-        """Rows of committed loads after a compaction point; the semi-join prunes batch folders."""
-        done = self.progress().select("batch_id").where(F.col("batch_id") > F.lit(-1 if through is None else through))
-        return read_or_empty(self.spark, self.data_path, VERSION_SCHEMA).join(done, "batch_id", "left_semi").select(
-            *SERVING_COLUMNS, "event_date", "batch_id")
-
-    def versions(self) -> DataFrame:
-        """Live committed versions: the compacted days plus every load after them."""
-        through = self.compacted_through()
-        loads = self.loads_after(through)
-        return loads if through is None else self.base(through).unionByName(loads)
+    def rows(self) -> DataFrame:
+        """The catalog's table; registered at its place where this catalog doesn't know it."""
+        if not self.spark.catalog.tableExists(self.name):
+            self.spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} ({VERSION_SCHEMA}) USING parquet PARTITIONED BY (event_date)
+                               CLUSTERED BY (device_id) SORTED BY (device_id, event_time) INTO {self.buckets} BUCKETS LOCATION '{self.root}/table'""")
+            if folder_exists(self.spark, f"{self.root}/table"):
+                self.spark.catalog.recoverPartitions(self.name)
+        return self.spark.table(self.name)
 
     def table(self) -> DataFrame:
-        """Current serving table: newest version of each key."""
-        return latest_per_key(self.versions()).select(*SERVING_COLUMNS, "batch_id")
+        """Current serving table: newest version of each key, with the load that wrote it."""
+        return self.rows().select(*SERVING_COLUMNS, "batch_id")
 
     def series(self, device_id: str) -> DataFrame:
-        """Key query. The device predicate is pushed below the newest-version
-        window (it is a window partition column) into the parquet scan, where
-        files sorted by device skip row groups."""
-        return device_series(self.table(), device_id)
+        """Key query: the device's bucket alone is read, of which row-group statistics skip the rest."""
+        return device_series(self.rows(), device_id)
 
     def recent(self, since_ms: int) -> DataFrame:
         """Range scan; the event_date bound prunes whole date folders first."""
         since_day = (dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=since_ms)).date()
-        pruned = self.versions().where(F.col("event_date") >= F.lit(since_day))
-        return recent_scan(latest_per_key(pruned), since_ms)
+        return recent_scan(self.rows().where(F.col("event_date") >= F.lit(since_day)), since_ms)
 
     def progress(self) -> DataFrame:
         return read_or_empty(self.spark, self.progress_path, PROGRESS_SCHEMA).select(
@@ -124,26 +95,32 @@ class ServingStore:
         return self.state(batch_id)[2]
 
     # -- writes -----------------------------------------------------------
+    def _pending(self, batch_id: int) -> str:
+        return f"{self.pending_path}/batch_id={batch_id}"
+
+    def finish(self, newest: int | None) -> None:
+        """Finish the newest committed load if it died before its days were in the table."""
+        if newest is not None and folder_exists(self.spark, self._pending(newest)):
+            self._replace_days(newest)
+
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one load's serving rows (already projected) as version ``batch_id``, in place of any earlier attempt."""
+        """Write one load's serving rows (already projected), merged into the days that they touch, to ``pending``."""
         newest = self.state()[1]
         if newest is not None and batch_id <= newest:
             raise ValueError(f"batch {batch_id} isn't after the newest committed batch {newest}")
-        out = rows.select(*SERVING_COLUMNS).withColumn("event_date", F.to_date(epoch_millis_to_ntz(F.col("event_time"))))
-        # Range partitioning on (event_date, device_id, event_time): a backfill
-        # whose rows crowd into one day or one device is still cut into
-        # evenly sized tasks.
-        (
-            out.repartitionByRange("event_date", "device_id", "event_time")
-            .sortWithinPartitions("event_date", "device_id", "event_time")
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("event_date").parquet(f"{self.data_path}/batch_id={batch_id}")
-        )
+        self.finish(newest)
+        new = rows.select(*SERVING_COLUMNS).select(
+            "*", F.lit(batch_id).cast("bigint").alias("batch_id"), F.to_date(epoch_millis_to_ntz(F.col("event_time"))).alias("event_date"))
+        # Stored, so that the days and the rows are those of one evaluation.
+        checkpoint_root(self.spark)
+        new = new.checkpoint()
+        touched = self.rows().join(new.select("event_date").distinct(), "event_date", "left_semi").select(new.columns)
+        latest_per_key(touched.unionByName(new)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._pending(batch_id))
 
     def commit(self, batch_id: int, watermark: dt.datetime, source: str | None = None) -> None:
-        """Record the load after its data, from its own folder only: newest event_ts written, or the old mark."""
-        written = self.spark.read.schema(ROW_SCHEMA).parquet(f"{self.data_path}/batch_id={batch_id}")
-        marker = written.agg(
+        """Record the load (newest event_ts that it wrote, or the old mark), then bring its days into the table."""
+        own = self._merged(batch_id).where(F.col("batch_id") == F.lit(batch_id))
+        marker = own.agg(
             F.greatest(ntz_literal(watermark), F.max(F.to_timestamp_ntz("event_ts"))).alias("last_event_ts"),
             F.count(F.lit(1)).alias("rows_written"),
         ).withColumn("source", F.lit(source).cast("string"))
@@ -151,56 +128,25 @@ class ServingStore:
             marker.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
             .parquet(f"{self.progress_path}/batch_id={batch_id}")
         )
-
-
-def compact(store: ServingStore) -> int | None:
-    """Fold the committed loads since the last point into the days they touch; the new point, or None if nothing is new.
-
-    Day folders are written first (again, if an earlier attempt died), the
-    manifest after them, so a crash leaves readers on the previous one.
-    """
-    committed = store.state()[1]
-    current = store.compacted_through()
-    if committed is None or (current is not None and committed <= current):
-        return None
-    loads = store.loads_after(current).where(F.col("batch_id") <= F.lit(committed))
-    touched = loads.select("event_date").distinct()
-    merged = loads if current is None else loads.unionByName(store.base(current).join(touched, "event_date", "left_semi").select(loads.columns))
-    (
-        latest_per_key(merged).repartitionByRange("event_date", "device_id", "event_time")
-        .sortWithinPartitions("event_date", "device_id", "event_time")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("event_date").parquet(f"{store.base_path}/through={committed}")
-    )
-    new = touched.select("event_date", F.lit(committed).cast("bigint").alias("folder"))
-    kept = store.manifest(current).join(touched, "event_date", "left_anti").select("event_date", "folder")
-    (
-        kept.unionByName(new).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .parquet(f"{store.compaction_path}/through={committed}")
-    )
-    return committed
-
-
-def vacuum(store: ServingStore) -> int:
-    """Delete what the newest manifest makes needless: load folders up to its point, base days that it
-    doesn't name, and older manifests. How many folders went.
-
-    To be run when no reader still uses an older manifest. The lists are names of folders, one
-    per load since the last vacuum and one per rewritten day.
-    """
-    through = store.compacted_through()
-    if through is None:
-        return 0
-    spark = store.spark
-    loads = store.progress().where(F.col("batch_id") <= F.lit(through)).select("batch_id")
-    folders = (read_or_empty(spark, store.base_path, BASE_SCHEMA).where(F.col("through") <= F.lit(through))
-               .select("event_date", F.col("through").alias("folder")).distinct())
-    stale = folders.join(store.manifest(through), ["event_date", "folder"], "left_anti")
-    older = read_or_empty(spark, store.compaction_path, MANIFEST_SCHEMA).where(F.col("through") < F.lit(through)).select("through").distinct()
-    paths = [f"{store.data_path}/batch_id={r.batch_id}" for r in loads.toLocalIterator()]
-    paths += [f"{store.base_path}/through={r.folder}/event_date={r.event_date}" for r in stale.toLocalIterator()]
-    paths += [f"{store.compaction_path}/through={r.through}" for r in older.toLocalIterator()]
-    return delete_folders(spark, paths)
+        self._replace_days(batch_id)
+
+    def _merged(self, batch_id: int) -> DataFrame:
+        return self.spark.read.schema(VERSION_SCHEMA).parquet(self._pending(batch_id))
+
+    def _replace_days(self, batch_id: int) -> None:
+        """The pending days in place of the table's. Range partitioning cuts a day or a device with many rows into
+        evenly sized tasks; a bucket then has several files."""
+        columns = self.rows().columns
+        bucket = F.pmod(F.hash("device_id"), F.lit(self.buckets))
+        dealt = self._merged(batch_id).select(*columns).repartitionByRange("event_date", bucket, "device_id", "event_time")
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            dealt.write.insertInto(self.name, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+        delete_folders(self.spark, [self._pending(batch_id)])
 
 
 def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime, batch_id: int) -> bool:
@@ -208,8 +154,9 @@ def load_increment(store: ServingStore, validated: DataFrame, as_of: dt.datetime
 
     Returns False when ``batch_id`` is already committed (a repeated trigger is a no-op).
     """
-    watermark, _, committed = store.state(batch_id)
+    watermark, newest, committed = store.state(batch_id)
     if committed:
+        store.finish(newest)
         return False
     watermark = watermark or first_run_watermark(as_of)
     newer = after_mark(validated, watermark)
@@ -226,6 +173,7 @@ def load_epoch(store: ServingStore, validated: DataFrame, source: str) -> bool:
     """
     watermark, newest, committed = store.state(source=source)
     if committed:
+        store.finish(newest)
         return False
     batch_id = 0 if newest is None else newest + 1
     store.write_batch(serving_rows(validated), batch_id)

@@ -26,3 +26,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, base: str | None
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder))

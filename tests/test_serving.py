@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from geofleet.functions.time import ntz_literal
 from geofleet.operators import serving as S
-from geofleet.plans.serving_job import ServingStore, compact, load_epoch, load_increment, vacuum
+from geofleet.plans.serving_job import ServingStore, load_epoch, load_increment
 from tests.conftest import ntz
 
 SILVER = ("event_id bigint, device_id string, latitude double, longitude double, event_ts timestamp_ntz, "
@@ -61,10 +62,10 @@ def test_incremental_loads_and_restart(spark, workdir):
     newer = s.where(F.col("event_ts") > ntz_literal(as_of1))
     store.write_batch(S.serving_rows(newer), 2)
     assert load_increment(store, s, base + dt.timedelta(hours=12), 2)
-    assert store.versions().where("batch_id = 2").count() == 5
+    assert store.table().where("batch_id = 2").count() == 5
     assert not load_increment(store, s, base + dt.timedelta(hours=12), 2)     # repeated trigger: no-op
     assert load_increment(store, s, base + dt.timedelta(hours=12), 3)         # nothing new: writes zero rows
-    assert store.versions().where("batch_id = 3").count() == 0
+    assert store.table().where("batch_id = 3").count() == 0
     assert store.table().count() == 10 and store.watermark() == base + dt.timedelta(hours=10)
     series = S.device_series(store.table(), "d1").collect()
     assert [r.event_time for r in series] == sorted(r.event_time for r in series) and len(series) == 5
@@ -75,25 +76,80 @@ def test_late_row_skipped_by_high_water_mark(spark):
     assert S.incremental_read(s, ntz("2024-01-01 09:30:00")).count() == 1
 
 
-def test_compaction_keeps_table_and_bounds_versions(spark, workdir):
+def loaded(spark, root):
+    """A store with two days of two devices each."""
     base = ntz("2024-01-10 00:00:00")
-    rows = [(i, f"d{i % 3}", float(i), 0.0, base + dt.timedelta(hours=i)) for i in range(1, 13)]
-    s = silver(spark, rows)
-    store = ServingStore(spark, f"{workdir}/serving")
-    for k in range(1, 4):    # three loads, four new hours each
-        cut = base + dt.timedelta(hours=4 * k)
-        load_increment(store, s.where(F.col("event_ts") <= ntz_literal(cut)), cut, k)
-    # an upsert of an existing key in load 4, after compaction
-    before = sorted(map(tuple, store.table().drop("batch_id").collect()))
-    assert compact(store) == 3 and compact(store) is None
-    assert sorted(map(tuple, store.table().drop("batch_id").collect())) == before
-    assert store.versions().count() == 12
-    moved = s.where("event_id = 5").withColumn("latitude", F.lit(99.0))
-    store.write_batch(S.serving_rows(moved), 4)
-    store.commit(4, store.watermark())
-    t = {r.event_id: r for r in store.table().collect()}
-    assert float(t[5].latitude) == 99.0 and t[5].batch_id == 4 and len(t) == 12
-    assert compact(store) == 4 and store.versions().count() == 12
+    store = ServingStore(spark, root)
+    store.write_batch(S.serving_rows(silver(spark, [(i, f"d{i % 2}", float(i), 0.0, base + dt.timedelta(hours=12 * i)) for i in range(4)])), 1)
+    store.commit(1, base)
+    return store, base
+
+
+def contents(store):
+    return sorted((r.event_id, r.batch_id, float(r.latitude)) for r in store.table().collect())
+
+
+def test_a_load_replaces_the_days_that_it_touches_only(spark, workdir):
+    import glob
+    import os
+
+    store, base = loaded(spark, f"{workdir}/serving")
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{store.root}/table/event_date=2024-01-11/*.parquet")}
+    before = files()
+    # a late key, far behind the mark, and a newer version of a key of the same day
+    late = silver(spark, [(9, "d9", 9.0, 0.0, base + dt.timedelta(hours=1)), (10, "d1", 7.0, 0.0, base + dt.timedelta(hours=12))])
+    assert load_epoch(store, late, "s#0")
+    assert contents(store) == [(0, 1, 0.0), (2, 1, 2.0), (3, 1, 3.0), (9, 2, 9.0), (10, 2, 7.0)]
+    assert before and files() == before
+    assert not os.path.exists(store._pending(2)) and store.watermark() == base + dt.timedelta(hours=36)
+
+
+@pytest.mark.parametrize("point", ["pending", "commit", "replace"])
+def test_a_load_that_dies_is_made_anew_or_finished(spark, workdir, monkeypatch, point):
+    store, base = loaded(spark, f"{workdir}/serving")
+    wrong = silver(spark, [(50, "x", 1.0, 1.0, base)])
+    good = silver(spark, [(i, f"d{i % 2}", 20.0, 0.0, base + dt.timedelta(hours=12 * i)) for i in range(2, 6)])
+
+    def die(*_):
+        raise RuntimeError("dead")
+
+    if point == "pending":                     # other rows pending, not committed: replaced
+        store.write_batch(S.serving_rows(wrong), 2)
+        assert len(contents(store)) == 4
+        assert load_epoch(store, good, "s#0")
+    elif point == "commit":                    # committed, but no day replaced yet: the next writer finishes it
+        with monkeypatch.context() as m:
+            m.setattr(ServingStore, "_replace_days", die)
+            with pytest.raises(RuntimeError):
+                load_epoch(store, good, "s#0")
+        assert len(contents(store)) == 4
+        assert not load_epoch(store, good, "s#0")
+    else:                                      # days replaced, pending still there: replacing them again changes nothing
+        with monkeypatch.context() as m:
+            m.setattr("geofleet.plans.serving_job.delete_folders", die)
+            with pytest.raises(RuntimeError):
+                load_epoch(store, good, "s#0")
+        assert load_epoch(store, silver(spark, []), "s#1")
+    assert contents(store) == [(0, 1, 0.0), (1, 1, 1.0), (2, 2, 20.0), (3, 2, 20.0), (4, 2, 20.0), (5, 2, 20.0)]
+
+
+def test_key_query_reads_one_bucket(spark, workdir):
+    store, _ = loaded(spark, f"{workdir}/serving")
+    # Files of other buckets are passed over in any case; the plan names the buckets only where the scan keeps them as partitions.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        plan = store.series("d1")._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 8" in plan and "EqualTo(device_id,d1)" in plan
+    assert [r.event_time for r in store.series("d1").collect()] == [S.epoch_ms(ntz("2024-01-10 12:00:00")), S.epoch_ms(ntz("2024-01-11 12:00:00"))]
+
+
+def test_another_catalog_finds_the_table_by_its_place(spark, workdir):
+    store, _ = loaded(spark, f"{workdir}/serving")
+    again = ServingStore(spark, store.root, name="serving_seen_elsewhere")
+    assert contents(again) == contents(store) and len(contents(again)) == 4
 
 
 def test_decimals_are_the_doubles_own_text(spark):
@@ -121,14 +177,11 @@ def test_retry_leaves_nothing_of_a_dead_attempt(spark, workdir):
 
 
 def test_batch_ids_only_grow(spark, workdir):
-    import pytest
-
     day = ntz("2024-01-10 00:00:00")
     rows = [S.serving_rows(silver(spark, [(i, f"d{i}", 1.0, 1.0, day) for i in range(k, k + 8)])) for k in (0, 8)]
     store = ServingStore(spark, f"{workdir}/serving")
     store.write_batch(rows[0], 6)
     store.commit(6, day)
-    compact(store)
     with pytest.raises(ValueError, match="isn't after the newest"):
         store.write_batch(rows[1], 0)
     assert load_epoch(store, silver(spark, [(i, f"d{i}", 1.0, 1.0, day) for i in range(8, 15)]), "stream#0")
@@ -137,29 +190,7 @@ def test_batch_ids_only_grow(spark, workdir):
     assert {(r.batch_id, r.source) for r in store.progress().collect()} == {(6, None), (7, "stream#0")}
 
 
-def test_compaction_rewrites_touched_days_only_and_vacuum_deletes_the_rest(spark, workdir):
-    import glob
-    import os
-
-    base = ntz("2024-01-10 00:00:00")
-    store = ServingStore(spark, f"{workdir}/serving")
-    for k in range(3):     # a day each, then the first day once more
-        store.write_batch(S.serving_rows(silver(spark, [(i, f"d{i}", float(k), 0.0, base + dt.timedelta(days=k % 2)) for i in range(4)])), k)
-        store.commit(k, base)
-        compact(store)
-    folders = lambda p: sorted(os.path.relpath(x, store.root) for x in glob.glob(f"{store.root}/{p}"))
-    assert folders("base/through=2/event_date=*") == ["base/through=2/event_date=2024-01-10"]
-    before = sorted(map(tuple, store.table().collect()))
-    assert vacuum(store) == 3 + 1 + 2
-    assert folders("data/*") == [] and folders("base/*/event_date=*") == ["base/through=1/event_date=2024-01-11", "base/through=2/event_date=2024-01-10"]
-    assert folders("compaction/*") == ["compaction/through=2"]
-    assert sorted(map(tuple, store.table().collect())) == before and len(before) == 8
-    assert float(store.series("d1").first().latitude) == 2.0
-
-
 def test_other_errors_than_a_missing_path_are_raised(spark, workdir):
-    import pytest
-
     store = ServingStore(spark, f"nosuchscheme://{workdir}/serving")
     with pytest.raises(Exception, match="nosuchscheme"):
         store.watermark()
