@@ -2,9 +2,9 @@
 
 bronze is an existing table or Parquet folder; staging is a view over it
 (Catalyst inlines it into silver's plan); silver and gold are full rebuilds.
-A build writes its tables into folders of its own beside those in use, then
-points the catalog names, and the ``_current`` file under the root, at them. Gold
-is computed from the *written* silver table, so its job starts from files
+A build writes its tables into folders of its own beside those in use; the catalog
+names are views over these folders, each replaced in one statement, so a reader sees
+the old table whole or the new one. Gold is computed from the *written* silver table, so its job starts from files
 rather than re-running silver's lineage.
 """
 
@@ -24,12 +24,9 @@ SILVER_TABLE = "iot_validated"
 GOLD_TABLE = "device_daily"
 
 
-def _external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
-    """Point a catalog name at a folder of Parquet files. Metadata only: the files stay as they are."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partitioned:
-        spark.catalog.recoverPartitions(name)
+def _over_folder(spark: SparkSession, name: str, path: str) -> None:
+    """Point a catalog name at a folder of Parquet files, in one statement. Metadata only: the files stay as they are."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
 
 
 def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[str, str] | None = None) -> dict[str, str]:
@@ -46,7 +43,7 @@ def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[s
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}'")
     if "/" in bronze:
         bronze_name = f"{raw}.{BRONZE_TABLE}"
-        _external(spark, bronze_name, bronze)
+        _over_folder(spark, bronze_name, bronze)
     else:
         bronze_name = bronze
     names = {"bronze": bronze_name, "staging": f"{raw}.{STAGING_VIEW}", "silver": f"{clean}.{SILVER_TABLE}", "gold": f"{analytics}.{GOLD_TABLE}"}
@@ -67,17 +64,15 @@ def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[s
         .write.partitionBy("event_date").parquet(silver_path)
     )
     device_daily(spark.read.parquet(silver_path).drop("event_date")).write.parquet(gold_path)
-    _external(spark, names["silver"], silver_path, partitioned=True)
-    _external(spark, names["gold"], gold_path)
-    current = spark.createDataFrame([("silver", silver_path), ("gold", gold_path)], "layer STRING, path STRING")
-    current.coalesce(1).write.mode("overwrite").parquet(f"{root}/_current")
+    _over_folder(spark, names["silver"], silver_path)
+    _over_folder(spark, names["gold"], gold_path)
     return names
 
 
-def built_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """silver and gold of the last build under ``root``, by location: a separate run has a catalog of its own."""
-    paths = {r.layer: r.path for r in spark.read.parquet(f"{root.rstrip('/')}/_current").collect()}  # two rows
-    return {layer: spark.read.parquet(path) for layer, path in paths.items()}
+def built_tables(spark: SparkSession, schemas: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """silver and gold of the last build, by their names in the catalog."""
+    schemas = schemas or K.LAYER_SCHEMAS
+    return {"silver": spark.table(f"{schemas['silver']}.{SILVER_TABLE}"), "gold": spark.table(f"{schemas['gold']}.{GOLD_TABLE}")}
 
 
 def table_counts(spark: SparkSession, names: dict[str, str]) -> DataFrame:

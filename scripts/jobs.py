@@ -1,11 +1,9 @@
 """Scheduled jobs: ``spark-submit scripts/jobs.py <command> [options]``.
 
   medallion --bronze PATH --root DIR             staging view, silver and gold tables under DIR
-  quality   --root DIR                           the nine data tests; exit status 1 on any failure
+  quality                                        the nine data tests over the last build; exit status 1 on any failure
   serve     --silver PATH --store DIR --batch-id N [--as-of TS]
                                                  one incremental serving load (no-op if N is committed)
-  compact   --store DIR                          fold committed serving loads into the days they touch
-  vacuum    --store DIR                          delete serving folders that compaction made needless
   expire    --archive DIR [--as-of TS]           delete archive hours older than 14 days
 
 Streams, each until stopped, or with --once over what is there now:
@@ -17,6 +15,11 @@ Streams, each until stopped, or with --once over what is there now:
   archive   --topic T --out DIR --records-per-file N [--clock arrival|event]
                                                  event topic -> hourly JSON archive
   serving   --silver DIR --store DIR             silver -> serving table, every minute
+  current   --topic T --out DIR                  change feed -> latest image per id, every 10 s
+  latest    --silver DIR --out DIR               silver -> newest reading per device
+  distinct  --silver DIR --out DIR --delay D     silver -> the same without repeated (device, event time)
+  daily     --silver DIR --out DIR --delay D     silver -> gold, each day once its end is D behind the newest event
+  hourly    --silver DIR --out DIR --delay D     silver -> events per device and hour, likewise
 
 A topic comes from --bootstrap BROKERS (Kafka), or from --folder DIR with a
 folder of JSON lines for each topic; --checkpoint DIR is the stream's own.
@@ -41,10 +44,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from geofleet.operators import archive as A  # noqa: E402
 from geofleet.operators import quality as Q  # noqa: E402
 from geofleet.plans.medallion_build import build_medallion, built_tables  # noqa: E402
-from geofleet.plans.serving_job import ServingStore, compact, load_increment, vacuum  # noqa: E402
+from geofleet.plans.serving_job import ServingStore, load_increment  # noqa: E402
 from geofleet.session import build_session, size_for  # noqa: E402
 from geofleet.sources.topics import read_topic  # noqa: E402
 from geofleet.streaming import jobs as J  # noqa: E402
+from geofleet.streaming import state as W  # noqa: E402
 
 
 def _as_of(text: str | None) -> dt.datetime:
@@ -53,9 +57,10 @@ def _as_of(text: str | None) -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-BATCH = {"medallion": "bronze root", "quality": "root", "serve": "silver store", "compact": "store", "vacuum": "store", "expire": "archive"}
+BATCH = {"medallion": "bronze root", "quality": "", "serve": "silver store", "expire": "archive"}
 STREAMS = {"ingest": "topic out rejects", "append": "topic out", "bronze": "topic out rejects", "silver": "bronze out", "archive": "topic out",
-           "serving": "silver store"}
+           "serving": "silver store", "current": "topic out", "latest": "silver out", "distinct": "silver out delay", "daily": "silver out delay",
+           "hourly": "silver out delay"}
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -94,6 +99,13 @@ def _stream(args: argparse.Namespace, spark):
         return J.archive_stream(records, args.out, args.checkpoint, args.records_per_file, args.clock, args.once)
     if args.command == "silver":
         return J.silver_stream(J.table_stream(spark, args.bronze), args.out, args.checkpoint, args.once)
+    if args.command == "current":
+        return W.current_images_stream(records.withColumnRenamed("msg_id", "position"), args.out, args.checkpoint, args.once)
+    if args.command == "latest":
+        return W.latest_position_stream(J.table_stream(spark, args.silver), args.out, args.checkpoint, args.once)
+    if args.command in ("distinct", "daily", "hourly"):
+        start = {"distinct": W.distinct_stream, "daily": W.daily_stream, "hourly": W.hourly_stream}[args.command]
+        return start(J.table_stream(spark, args.silver), args.out, args.checkpoint, args.delay, available_now=args.once)
     return J.serving_stream(J.table_stream(spark, args.silver), ServingStore(spark, args.store), args.checkpoint, args.once)
 
 
@@ -106,8 +118,7 @@ def main(argv: list[str], spark=None) -> int:
         size_for(spark, args.bronze)
         print(build_medallion(spark, args.bronze, args.root))
     elif args.command == "quality":
-        size_for(spark, args.root)
-        built = built_tables(spark, args.root)
+        built = built_tables(spark)
         failing = Q.failing(Q.run_checks({"iot_validated": built["silver"], "device_daily": built["gold"]})).collect()  # at most nine rows
         for row in failing:
             print(f"FAIL {row.check_name} {row.model}.{row.column_name}: {row.failures}")
@@ -115,10 +126,6 @@ def main(argv: list[str], spark=None) -> int:
     elif args.command == "serve":
         done = load_increment(ServingStore(spark, args.store), spark.read.parquet(args.silver), _as_of(args.as_of), args.batch_id)
         print("loaded" if done else "already committed")
-    elif args.command == "compact":
-        print(f"compacted through {compact(ServingStore(spark, args.store))}")
-    elif args.command == "vacuum":
-        print(f"deleted {vacuum(ServingStore(spark, args.store))} folders")
     elif args.command == "expire":
         print(f"deleted {A.expire_archive(spark, args.archive, _as_of(args.as_of))} hours")
     return 0
