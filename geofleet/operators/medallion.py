@@ -10,7 +10,7 @@ gold:    one row per (device_id, event_date) with counts, averages, first and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,21 +66,23 @@ def validate_events(staged: DataFrame) -> DataFrame:
     )
 
 
-def device_daily(validated: DataFrame) -> DataFrame:
-    """Gold: daily aggregate per device.
-
-    Two-phase hash aggregation: the partial aggregate collapses each map
-    partition to one row per (device, day) before the shuffle, so a device
-    holding a third of all rows still ships only a few rows per partition.
-    """
+def daily_measures() -> list[Column]:
     flagged = F.when(F.col("severity") != K.SEVERITY_OK, 1).otherwise(0)
-    return validated.groupBy(
-        "device_id", F.col("event_ts").cast("date").alias("event_date")
-    ).agg(
+    return [
         F.count(F.lit(1)).alias("event_count"),
         F.avg("latitude").alias("avg_latitude"),
         F.avg("longitude").alias("avg_longitude"),
         F.min("event_ts").alias("first_event_ts"),
         F.max("event_ts").alias("last_event_ts"),
         F.sum(flagged).cast("bigint").alias("flagged_event_count"),
-    )
+    ]
+
+
+def device_daily(validated: DataFrame) -> DataFrame:
+    """Gold: daily aggregate per device.
+
+    Two-phase hash aggregation: the partial aggregate collapses each map
+    partition to one row per (device, day) before the shuffle, so a device
+    holding a third of all rows still ships only a few rows per partition.
+    """
+    return validated.groupBy("device_id", F.col("event_ts").cast("date").alias("event_date")).agg(*daily_measures())

@@ -22,10 +22,11 @@ from geofleet.operators import ingest as I
 from geofleet.operators import quality as Q
 from geofleet.operators import serving as S
 from geofleet.operators.medallion import device_daily, stage_events, validate_events
+from geofleet.operators.newest import distinct_rows
 from geofleet.plans.medallion_build import build_medallion, table_counts
-from geofleet.plans.serving_job import ServingStore, compact, load_increment, vacuum
+from geofleet.plans.serving_job import ServingStore, load_increment
 from geofleet.session import scratch_path
-from geofleet.sources.cdc import cdc_images, cdc_rejects, unwrap_cdc
+from geofleet.sources.cdc import cdc_current, cdc_images, cdc_rejects, unwrap_cdc
 from geofleet.sources.fixtures import (
     broken_tables,
     cdc_messages,
@@ -36,9 +37,11 @@ from geofleet.sources.fixtures import (
     source_events,
     source_to_cdc,
 )
-from geofleet.sources.tables import stream_table
+from geofleet.sources.tables import read_table, stream_table
+from geofleet.sources.topics import publish, read_topic
 from geofleet.functions.time import epoch_millis_to_ntz, ntz_literal
 from geofleet.streaming import jobs as J
+from geofleet.streaming import state as W
 
 AS_OF = dt.datetime(2024, 1, 30, 0, 0, 0)
 SERIES_DEVICE = "device-001"
@@ -46,6 +49,10 @@ SERVING_RELOAD_DAYS = 7           # the upsert query re-loads the last week ...
 SERVING_UPDATE_SHIFT = 0.001      # ... with corrected (moved) latitudes
 ARCHIVE_OBJECT_RECORDS = 100_000  # objects of tens of MB, where the ten-record layout isn't the point
 
+SLICE_DAYS_AGO = (21, 13, 6)      # streams with state read the table in slices that end so many days before now
+DISTINCT_DELAY = "1 day"
+WINDOW_DELAY = "2 hours"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -179,8 +186,8 @@ def q_serving_upsert(spark, sf):
 
 
 def q_serving_load(spark, sf):
-    """Two scheduled loads through the file-backed store: data known at 01-29, then everything. The second is
-    tried once before with other rows and dies before its commit; afterwards the store is compacted and vacuumed."""
+    """Two scheduled loads into the serving table: data known at 01-29, then everything. The second is
+    tried once before with other rows and dies before its commit."""
     s = silver(spark, sf)
     store = ServingStore(spark, scratch_path(spark, "serving"))
     first_as_of = AS_OF - dt.timedelta(days=1)
@@ -188,11 +195,17 @@ def q_serving_load(spark, sf):
     store.write_batch(S.serving_rows(s), 2)
     load_increment(store, s, AS_OF, 2)
     load_increment(store, s, AS_OF, 2)   # repeated trigger: no-op
-    compact(store)
-    vacuum(store)
     return store.table()
 
 
+def q_bucketed_series(spark, sf):
+    """The key query over the loaded serving table: one bucket of it is read."""
+    store = ServingStore(spark, scratch_path(spark, "serving"))
+    store.write_batch(S.serving_rows(silver(spark, sf)), 1)
+    store.commit(1, AS_OF)
+    return store.series(SERIES_DEVICE)
+
+
 def q_advance_watermark(spark, sf):
     wm = S.first_run_watermark(AS_OF)
     return S.advance_watermark(S.after_mark(silver(spark, sf), wm), wm)
@@ -298,6 +311,95 @@ def q_stream_silver(spark, sf):
     return _run_stream(spark, "silver-stream", lambda out, ck: J.silver_stream(bronze, out, ck))
 
 
+# --- streams with state ---------------------------------------------------------
+def _run_slices(spark, name: str, slices: list[DataFrame], start) -> str:
+    """A feed that arrives in slices: after each, the stream is started again on its checkpoint and runs until it has read all. Its output."""
+    root = scratch_path(spark, name)
+    for rows in slices:
+        rows.write.mode("append").parquet(f"{root}/feed")
+        start(J.table_stream(spark, f"{root}/feed"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+def _by_time(rows: DataFrame) -> list[DataFrame]:
+    """Consecutive slices by event time; rows without one come with the first."""
+    at, cuts = F.col("event_ts"), [ntz_literal(AS_OF - dt.timedelta(days=d)) for d in SLICE_DAYS_AGO]
+    return [rows.where(at.isNull() | (at < cuts[0])), *[rows.where((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:])], rows.where(at >= cuts[-1])]
+
+
+def replayed(rows: DataFrame) -> list[DataFrame]:
+    """An at-least-once feed: each slice repeats rows of its own, of the slice before and of all earlier ones."""
+    slices = _by_time(rows)
+    out = []
+    for i, own in enumerate(slices):
+        again = [own.where("event_id % 5 = 0"), *[s.where("event_id % 7 = 0") for s in slices[max(0, i - 1):i]], *[s.where("event_id % 11 = 0") for s in slices[:i]]]
+        out.append(functools.reduce(DataFrame.unionByName, [own, *again]))
+    return out
+
+
+def q_cdc_current(spark, sf):
+    return cdc_current(cdc_messages(spark, sf))
+
+
+def q_cdc_current_stream(spark, sf):
+    """The latest image per id as keyed state; updates and deletes come in a later slice than their rows."""
+    feed = cdc_messages(spark, sf)
+    slices = [feed.where("position % 3 = 0"), feed.where("position % 3 = 1"), feed.where("position % 3 = 2")]
+    return W.read_current_images(spark, _run_slices(spark, "current", slices, W.current_images_stream))
+
+
+def q_dq_unique_current(spark, sf):
+    """The unique(event_id) check over silver built from the latest images: it passes, where the append-only bronze fails."""
+    current = validate_events(stage_events(cdc_current(cdc_messages(spark, sf))))
+    return Q.run_checks({"iot_validated": current}, tuple(c for c in Q.DEFAULT_CHECKS if c.kind == "unique"))
+
+
+def q_distinct_readings(spark, sf):
+    rows = functools.reduce(DataFrame.unionByName, replayed(silver(spark, sf)))
+    return distinct_rows(rows, ["device_id", "event_ts"], ["event_id"])
+
+
+def q_distinct_readings_stream(spark, sf):
+    start = functools.partial(W.distinct_stream, delay=DISTINCT_DELAY)
+    return spark.read.parquet(_run_slices(spark, "distinct", replayed(silver(spark, sf)), start))
+
+
+def _heartbeat(spark, sf) -> DataFrame:
+    """A silver row without a device, some days after the last event: it closes the windows before it."""
+    rows = silver(spark, sf)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != "event_ts"]
+    later = (F.max("ts") + F.expr("INTERVAL 3 DAYS")).alias("event_ts")
+    return read_table(spark, sf, "events").agg(later).select(*nulls, "event_ts").select(rows.columns)
+
+
+def q_device_daily_stream(spark, sf):
+    start = functools.partial(W.daily_stream, delay=WINDOW_DELAY)
+    out = _run_slices(spark, "daily", [*_by_time(silver(spark, sf)), _heartbeat(spark, sf)], start)
+    return _round9(spark.read.parquet(out), "avg_latitude", "avg_longitude")
+
+
+def q_hourly_counts_stream(spark, sf):
+    start = functools.partial(W.hourly_stream, delay=WINDOW_DELAY)
+    return spark.read.parquet(_run_slices(spark, "hourly", [*_by_time(silver(spark, sf)), _heartbeat(spark, sf)], start))
+
+
+def q_latest_position_stream(spark, sf):
+    """The newest slice comes first, so all later ones are out of order."""
+    out = _run_slices(spark, "latest", _by_time(silver(spark, sf))[::-1], W.latest_position_stream)
+    return W.read_newest(spark, out, ["device_id"])
+
+
+def q_topic_table(spark, sf):
+    """Readings published to the event topic in two parts, subscribed to, and appended to the relational table."""
+    root = scratch_path(spark, "topic")
+    records = I.envelope(accepted(spark, sf)).withColumn("timestamp", F.timestamp_millis("timestamp"))
+    for part in ("msg_id % 2 = 0", "msg_id % 2 = 1"):
+        publish(records.where(part), K.EVENTS_TOPIC, folder=f"{root}/topics")
+        topic = read_topic(spark, K.EVENTS_TOPIC, folder=f"{root}/topics")
+        J.table_sink_stream(topic, f"{root}/out", f"{root}/checkpoint", ingested_at=AS_OF).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
 # --- archive and counts ---------------------------------------------------------
 def _written_archive(spark, sf, records_per_file: int = ARCHIVE_OBJECT_RECORDS) -> str:
     path = scratch_path(spark, "archive")
@@ -386,6 +488,16 @@ _QUERIES: dict[str, Query] = {
     "silver_from_cdc": q_silver_from_cdc,
     "dq_unique_cdc": q_dq_unique_cdc,
     "stream_silver": q_stream_silver,
+    "cdc_current": q_cdc_current,
+    "cdc_current_stream": q_cdc_current_stream,
+    "dq_unique_current": q_dq_unique_current,
+    "distinct_readings": q_distinct_readings,
+    "distinct_readings_stream": q_distinct_readings_stream,
+    "device_daily_stream": q_device_daily_stream,
+    "hourly_counts_stream": q_hourly_counts_stream,
+    "latest_position_stream": q_latest_position_stream,
+    "topic_table": q_topic_table,
+    "bucketed_series": q_bucketed_series,
     "archive_hourly": q_archive_hourly,
     "archive_restore": q_archive_restore,
     "retention_14d": q_retention_14d,

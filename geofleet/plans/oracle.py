@@ -260,6 +260,23 @@ stg_cdc AS (
     q["dq_unique_cdc"] = _with(SRC, bronze_cdc, stg_cdc, silver_cdc) + """
 SELECT 'unique' AS check_name, 'iot_validated' AS model, 'event_id' AS column_name, count(*) AS failures
 FROM (SELECT event_id FROM silver_cdc WHERE event_id IS NOT NULL GROUP BY event_id HAVING count(*) > 1)"""
+    # The feed's last word on each id: deleted ones are gone, updated ones moved.
+    current = """
+bronze AS (
+  SELECT id, device_id, latitude + if(id % 211 = 0, CAST(0.001 AS DOUBLE), CAST(0 AS DOUBLE)) AS latitude, longitude, event_ts, ingested_at
+  FROM src WHERE id % 307 <> 0)"""
+    q["cdc_current"] = _with(SRC, current) + "\nSELECT * FROM bronze"
+    q["cdc_current_stream"] = q["cdc_current"]
+    q["dq_unique_current"] = q["dq_unique"]
+    q["distinct_readings"] = _with(*BASE) + """
+SELECT * FROM silver QUALIFY row_number() OVER (PARTITION BY device_id, event_ts ORDER BY event_id) = 1"""
+    q["distinct_readings_stream"] = q["distinct_readings"]
+    q["device_daily_stream"] = q["device_daily"]
+    q["hourly_counts_stream"] = _with(*BASE) + """
+SELECT device_id, time_bucket(INTERVAL 1 HOUR, event_ts) AS event_hour, count(*) AS event_count FROM silver GROUP BY ALL"""
+    q["latest_position_stream"] = q["latest_position"]
+    q["topic_table"] = q["append_rows"]
+    q["bucketed_series"] = q["device_series"]
     hour_cols = """strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day,
   strftime(t, '%H') AS hour"""
     q["archive_hourly"] = _with(SRC, ROUTED, ACCEPTED) + f""",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geofleet.functions.time import instant_to_ntz
+from geofleet.operators.newest import newest
 
 # Flattened after-image; timestamps are ISO-8601 text with a zone.
 AFTER_IMAGE_SCHEMA = (
@@ -21,7 +22,7 @@ BRONZE_COLUMNS = ["id", "device_id", "latitude", "longitude", "event_ts", "inges
 
 
 def cdc_images(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """key, value, BRONZE_COLUMNS and reject_reason of each change message.
+    """key, position, value, BRONZE_COLUMNS and reject_reason of each change message (key and position where it has them).
 
     A tombstone is an all-NULL row without a reason. An image that isn't JSON
     of these types, or whose times can't be read, has a reason and may have NULL columns.
@@ -29,7 +30,7 @@ def cdc_images(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """
     # One parse per message: the struct is a column of its own projection.
     options = {"columnNameOfCorruptRecord": "_corrupt"}
-    keep = [c for c in ("key",) if c in messages.columns]
+    keep = [c for c in ("key", "position") if c in messages.columns]
     parsed = messages.select(*keep, F.col(value_col).alias("value"), F.from_json(F.col(value_col), AFTER_IMAGE_SCHEMA, options).alias("_a"))
     timed = parsed.select(
         *keep, "value", "_a",
@@ -56,3 +57,19 @@ def cdc_rejects(images: DataFrame) -> DataFrame:
 def unwrap_cdc(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """After-image columns of each readable change message; a tombstone becomes an all-NULL row."""
     return cdc_rows(cdc_images(messages, value_col))
+
+
+def cdc_changes(images: DataFrame) -> DataFrame:
+    """id, position, deleted and the other BRONZE_COLUMNS of each readable image and tombstone, whose id is its key's.
+
+    An image that can't be read changes nothing: the one before it stays the latest.
+    """
+    row = F.coalesce(F.col("id"), F.get_json_object("key", "$.id").try_cast("bigint"))
+    readable = images.where(F.col("reject_reason").isNull())
+    return readable.select(row.alias("id"), "position", F.col("value").isNull().alias("deleted"), *BRONZE_COLUMNS[1:]).where(F.col("id").isNotNull())
+
+
+def cdc_current(messages: DataFrame) -> DataFrame:
+    """The table as the feed(key, value, position) leaves it: the latest image of every id that isn't deleted."""
+    latest = newest(cdc_changes(cdc_images(messages)), ["id"], ["position"], ["deleted", *BRONZE_COLUMNS[1:]])
+    return latest.where("not deleted").select(*BRONZE_COLUMNS)
