@@ -106,7 +106,8 @@ URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))
 SECRETS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""),
     ("access", "AKIA[A-Z0-9]{16,}"), ("hex", "[0-9a-f]{24,}"),
-    ("vendor", r"-----BEGIN [A-Z ]*PRIVATE KEY-----|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    ("vendor", r"-----BEGIN [A-Z ]*PRIVATE KEY-----|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
 )
 
 SQL = {
@@ -143,19 +144,19 @@ SQL = {
                     ELSE 'date=' || modified END AS headers
         FROM judged""",
     "op7_secret_ownership": f"""
-        WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+        WITH d AS (SELECT doc_id, source, min(doc_id) OVER (PARTITION BY source, coalesce(text, '')) AS repo, coalesce(text, '') AS t FROM documents),
         cut AS (
-            {" UNION ALL ".join(f"SELECT doc_id, source, {n} AS no, '{kind}' AS kind, regexp_extract_all(t, '{p}') AS ms, regexp_split_to_array(t, '{p}') AS gaps FROM d"
+            {" UNION ALL ".join(f"SELECT doc_id, source, repo, {n} AS no, '{kind}' AS kind, regexp_extract_all(t, '{p}') AS ms, regexp_split_to_array(t, '{p}') AS gaps FROM d"
                                 for n, (kind, p) in enumerate(SECRETS))}),
         each AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM cut),
         placed AS (
-            SELECT doc_id, source, no, kind, ms[i] AS m, CASE WHEN no = 0 THEN regexp_extract(ms[i], '{SECRETS[0][1]}', 2) ELSE ms[i] END AS value,
+            SELECT doc_id, source, repo, no, kind, ms[i] AS m, CASE WHEN no = 0 THEN regexp_extract(ms[i], '{SECRETS[0][1]}', 2) ELSE ms[i] END AS value,
                    (list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS first
             FROM each),
         found AS (SELECT *, kind || ':' || first || ':' || (first + length(m)) AS span FROM placed WHERE no <> 0 OR length(value) >= 6),
-        held AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repos FROM found GROUP BY value),
+        held AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT repo) AS repos FROM found GROUP BY value),
         judged AS (
-            SELECT f.*, CASE WHEN h.owners >= 3 OR h.repos >= 10 THEN 'copied'
+            SELECT f.*, CASE WHEN h.owners >= 3 OR h.owners = 2 AND h.repos >= 10 THEN 'copied'
                              WHEN length(value) >= 16 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
                                   AND len(list_distinct(string_split(value, ''))) >= 8 THEN 'live' ELSE 'unclear' END AS verdict
             FROM found f JOIN held h USING (value))
