@@ -111,12 +111,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS,
     known = cut(item_windows(items, window, item_id_col, item_text_col))
     fps = known.select("h").distinct()
     lengths = sorted(r.t for r in known.select("t").distinct().collect())  # at most ``window`` numbers
-    rows = read.select("doc_id", F.size("w").cast("long").alias("n_words"), "digest")
+    rows = cut(read.select("doc_id", F.size("w").cast("long").alias("n_words"), "digest"))
     if not lengths:
         return rows.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
                            none.alias("items_sha256"), F.lit(False).alias("contaminated"))
     few = fps.limit(max_broadcast + 1).count() <= max_broadcast
-    extended = _windows(_candidates(read.select("digest", "w"), fps, lengths, few), "digest").distinct()
+    extended = cut(_windows(_candidates(read.select("digest", "w"), fps, lengths, few), "digest").distinct())  # read twice by the lookup
     wids = known.select("wid").distinct().withColumn("_known", F.lit(True))
     hits = cut(salted_lookup(extended, wids, "wid", "digest").where("_known").select("digest", "start", "t", "wid"))
 
