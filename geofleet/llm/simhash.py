@@ -7,8 +7,10 @@ bit share the variant that deletes this bit. For an even k the last segment need
 segment differs in two bits or more, nothing is left for it, so it is equal. Variants are equality-joined and every
 candidate pair is verified by its whole bit distance.
 
-Only distinct fingerprints are indexed, so a group of any number of equal texts is one entry, and the pairs that
-the join makes are true links between different fingerprints, of which each has a bounded number.
+Only distinct fingerprints are indexed, so a group of any number of equal texts is one entry. The join makes every pair of
+fingerprints that share a variant, then verifies it. A variant of over ``hot`` fingerprints (a segment that many share) isn't
+paired: its members are told apart by the same method on the bits that the variant leaves open, and again, until groups are small
+or 8 bits are open.
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero and links like any other;
 repeated rows are one row each in the result; a null id stays a row, and is never the smallest id of a group unless
@@ -30,6 +32,9 @@ from geofleet.llm.common import components, cut, for_workers, row_struct, salted
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
+#: Fingerprints of one variant that are paired as they are, and open bits below which any number is.
+HOT = 64
+LAST_BITS = 8
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED, chunk: int = 8192) -> int:
@@ -113,17 +118,77 @@ def _first_found(a: Column, b: Column, slot: Column, max_bits: int) -> Column:
     return slot == first
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def _near(max_bits: int) -> Column:
+    return F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
+
+
+def _one(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+
+
+def _wildcard_keys(segment: int, mask: Column, bits: Column) -> Column:
+    def key(bit: Column) -> Column:
+        kept = F.when(bit < 0, F.lit(-1).cast("long")).otherwise(F.bitwise_not(_one(bit)))
+        rest = F.col("fp").bitwiseAND(mask).bitwiseAND(kept)
+        return F.struct(F.xxhash64("path", F.lit(segment), bit, rest).alias("path"), F.col("open").bitwiseAND(F.bitwise_not(mask)).alias("open"))
+
+    return F.transform(bits, key)
+
+
+def _open_variants(max_bits: int) -> tuple[Column, Column]:
+    """Keys (path with the variant, bits that it leaves open) of a member (fp, path, open), over its open bits in segments of about equal size,
+    and the places of these bits, a column ``bits``."""
+    parts = max_bits // 2 + 1
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.col("open").bitwiseAND(_one(b)) != 0)
+    keys = []
+    for n in range(parts):
+        at = lambda i: F.floor(F.size("bits") * i / parts).cast("int")
+        own = F.slice("bits", at(n) + 1, at(n + 1) - at(n))
+        mask = F.aggregate(own, F.lit(0).cast("long"), lambda m, b: m.bitwiseOR(_one(b)))
+        wildcards = own if max_bits % 2 == 1 or n < parts - 1 else F.array(F.lit(-1))
+        keys.append(_wildcard_keys(n, mask, wildcards))
+    return F.concat(*keys), bits
+
+
+def _links_within(members: DataFrame, max_bits: int, hot: int) -> list[DataFrame]:
+    """Links between members (fp, path, open) of the same path; ``open`` has the bits that the path leaves open."""
+    found = []
+    while True:
+        keys, bits = _open_variants(max_bits)
+        done = F.bit_count("open") <= LAST_BITS
+        index = cut(members.where(~done).withColumn("bits", bits).select("fp", F.explode(keys).alias("k")).select("fp", "k.path", "k.open")
+                    .union(members.where(done).select("fp", "path", F.lit(0).cast("long").alias("open"))))
+        large = cut(index.where("open <> 0").groupBy("path").count().where(F.col("count") > hot).select("path"))
+        cold = index.join(large, "path", "left_anti")
+        a, b = cold.select(F.col("fp").alias("u"), "path"), cold.select(F.col("fp").alias("v"), "path")
+        found.append(a.join(b, "path").where((F.col("u") < F.col("v")) & _near(max_bits)).select("u", "v").distinct())
+        if large.isEmpty():
+            return found
+        members = index.join(large, "path", "left_semi")
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFrame:
     """(u, v): every pair of different fingerprints at ``max_bits`` or fewer differing bits, once, u < v.
 
     ``fps`` has distinct values in ``fp``.
     """
     index = fps.select("fp", F.explode(_variants(F.col("fp"), max_bits)).alias("k")).select("fp", "k.slot", "k.rest")
-    a, b = index.withColumnRenamed("fp", "u"), index.withColumnRenamed("fp", "v")
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
-    return (a.join(b, (a["slot"] == b["slot"]) & (a["rest"] == b["rest"]) & (F.col("u") < F.col("v")) & near
-                   & _first_found(F.col("u"), F.col("v"), a["slot"], max_bits))
-            .select("u", "v"))
+    large = cut(index.groupBy("slot", "rest").count().where(F.col("count") > hot).select("slot", "rest"))
+    many = not large.isEmpty()
+    cold = index.join(large, ["slot", "rest"], "left_anti") if many else index
+    a, b = cold.withColumnRenamed("fp", "u"), cold.withColumnRenamed("fp", "v")
+    pairs = (a.join(b, (a["slot"] == b["slot"]) & (a["rest"] == b["rest"]) & (F.col("u") < F.col("v")) & _near(max_bits)
+                    & _first_found(F.col("u"), F.col("v"), a["slot"], max_bits))
+             .select("u", "v"))
+    if not many:
+        return pairs
+    whole = (1 << 64) - 1
+    rest_of = F.array(*[F.lit(_signed(whole & ~(((1 << width) - 1) << shift))) for shift, width, _ in _segments(max_bits)])
+    members = index.join(large, ["slot", "rest"], "left_semi").select(
+        "fp", F.xxhash64("slot", "rest").alias("path"), F.get(rest_of, F.floor((F.col("slot") + 1) / 100).cast("int")).alias("open"))
+    for more in _links_within(members, max_bits, hot):
+        pairs = pairs.union(more)
+    return pairs.distinct()
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> DataFrame:

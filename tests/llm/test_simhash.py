@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 import xxhash
@@ -109,3 +110,33 @@ def test_components_of_paths_cliques_and_stars(spark):
         sets.setdefault(r.label, set()).add(r.node)
     assert sorted(map(sorted, sets.values())) == [list(range(101)), list(range(200, 215)), list(range(300, 340))]
     assert all(label in nodes for label, nodes in sets.items())
+
+
+@pytest.mark.parametrize("max_bits", [2, 3])
+def test_hot_variants_keep_every_link(spark, max_bits):
+    """Fingerprints that share one half, three quarters or all but ten bits, so that groups are cut again and again."""
+    rng = random.Random(max_bits)
+    high = rng.getrandbits(64)
+    fps = {(high >> keep << keep) | rng.getrandbits(keep) for keep in (10, 16, 32) for _ in range(40)}
+    for fp in list(fps)[:40]:
+        for k in range(1, max_bits + 2):
+            fps.add(fp ^ sum(1 << b for b in rng.sample(range(64), k)))
+    want = {(u, v) for u in map(S._signed, fps) for v in map(S._signed, fps) if u < v and ((u ^ v) & (1 << 64) - 1).bit_count() <= max_bits}
+    df = spark.createDataFrame([(S._signed(f),) for f in fps], "fp long")
+    got = [(r.u, r.v) for r in S.links(df, max_bits, hot=4).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_shared_half_costs_about_as_much_as_none(spark):
+    rng = random.Random(9)
+
+    def took(high):
+        df = spark.createDataFrame([(S._signed(high() << 32 | rng.getrandbits(32)),) for _ in range(16_000)], "fp long").cache()
+        df.count()
+        started = time.time()
+        S.links(df).count()
+        return time.time() - started
+
+    took(lambda: rng.getrandbits(32))
+    plain = took(lambda: rng.getrandbits(32))
+    assert took(lambda: 12345) < max(3 * plain, 12)
