@@ -76,10 +76,11 @@ def hour_start(year: Column, month: Column, day: Column, hour: Column) -> Column
 def expire_archive(spark, path: str, as_of: dt.datetime, days: int = K.ARCHIVE_RETENTION_DAYS) -> int:
     """Delete the hour folders that ended ``days`` or more before ``as_of``; how many there were.
 
-    Only the expired folders are touched: the predicate is on partition
-    columns, so the others aren't read, and what is kept isn't rewritten.
+    The folders are taken from the file listing; no content is read, and what is kept isn't rewritten.
     """
     ended = hour_start(*[F.col(c) for c in PARTITION_COLUMNS]) + F.expr("INTERVAL 1 HOUR")
-    expired = read_archive(spark, path).where(ended <= ntz_literal(as_of - dt.timedelta(days=days))).select(*PARTITION_COLUMNS).distinct()
+    files = spark.read.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, "
+                                                   + ", ".join(f"{c} STRING" for c in PARTITION_COLUMNS)).load(path)
+    expired = files.where(ended <= ntz_literal(as_of - dt.timedelta(days=days))).select(*PARTITION_COLUMNS).distinct()
     folders = ["/".join(f"{c}={r[c]}" for c in PARTITION_COLUMNS) for r in expired.toLocalIterator()]
     return delete_folders(spark, [f"{path.rstrip('/')}/{x}" for x in folders])

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geofleet import constants as K
@@ -57,6 +57,37 @@ def _table_pass(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
         "check_name", F.lit(model).alias("model"), "column_name", "failures")
 
 
+def observed(df: DataFrame, model: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its own column checks' failing rows while it is written, without a scan of their own.
+
+    To be put last before the write, in the stage whose tasks count once each, and not below a shuffle: sampling for a range
+    partitioning runs what is below it twice.
+    """
+    metrics = Observation()
+    own = _column_checks(checks, model)
+    bad = [F.count_if(_null(c.columns[0]) if c.kind == "not_null" else ~F.col(c.columns[0]).isin(*c.values)).alias(f"f{i}") for i, c in enumerate(own)]
+    return (df.observe(metrics, *bad) if bad else df), metrics
+
+
+def _column_checks(checks: tuple[Check, ...], model: str) -> list[Check]:
+    return [c for c in checks if c.model == model and c.kind in ("not_null", "accepted_values")]
+
+
+def checks_after_write(spark: SparkSession, tables: dict[str, DataFrame], metrics: dict[str, Observation], checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+    """What ``run_checks`` gives, with the column checks taken from the write's own counts. Keys that must be unique are grouped as ever;
+    a list of accepted values is scanned again only if the write met others, to say how many."""
+    known, left = [], []
+    for c in checks:
+        own = _column_checks(checks, c.model)
+        rows = metrics[c.model].get[f"f{own.index(c)}"] if c in own else None
+        if rows is None or (rows and c.kind == "accepted_values"):
+            left.append(c)
+        else:
+            known.append((c.kind, c.model, c.column_name, rows))
+    counted = spark.createDataFrame(known, "check_name STRING, model STRING, column_name STRING, failures BIGINT")  # a row per check
+    return counted.unionByName(run_checks(tables, tuple(left))) if left else counted
+
+
 def _grouped_pass(df: DataFrame, c: Check) -> DataFrame:
     """Groups of equal key with more than one row. ``unique`` skips null keys, a combination counts them."""
     rows = df.select(*c.columns)

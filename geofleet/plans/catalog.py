@@ -27,6 +27,7 @@ from geofleet.plans.medallion_build import build_medallion, table_counts
 from geofleet.plans.serving_job import ServingStore, load_increment
 from geofleet.session import scratch_path
 from geofleet.sources.cdc import cdc_current, cdc_images, cdc_rejects, unwrap_cdc
+from geofleet.sources.files import stored_counts
 from geofleet.sources.fixtures import (
     broken_tables,
     cdc_messages,
@@ -114,12 +115,14 @@ def q_medallion_build(spark, sf):
     return table_counts(spark, built_medallion(spark, sf))
 
 
-def built_medallion(spark: SparkSession, sf: str) -> dict[str, str]:
+def built_medallion(spark: SparkSession, sf: str, metrics: dict | None = None, paths: dict[str, str] | None = None) -> dict[str, str]:
     """The three layers built from a bronze folder, under databases of this run's own."""
     root = scratch_path(spark, "medallion")
     source_events(spark, sf).write.parquet(f"{root}/bronze")
     run = root.rsplit("-", 1)[1]
-    return build_medallion(spark, f"{root}/bronze", root, {k: f"{v}_{run}" for k, v in K.LAYER_SCHEMAS.items()})
+    if paths is not None:
+        paths["bronze"] = f"{root}/bronze"
+    return build_medallion(spark, f"{root}/bronze", root, {k: f"{v}_{run}" for k, v in K.LAYER_SCHEMAS.items()}, metrics, paths)
 
 
 # --- dashboard ----------------------------------------------------------------
@@ -427,16 +430,25 @@ def q_retention_14d(spark, sf):
 
 
 def q_layer_counts(spark, sf):
-    """Rows per stored layer, each counted where it is stored: a built medallion, a loaded serving store, a written archive."""
-    names = built_medallion(spark, sf)
+    """Rows per stored layer, each counted where it is stored: Parquet layers from their footers (staging is a view of
+    bronze without a filter), the archive's from its lines."""
+    paths: dict[str, str] = {}
+    names = built_medallion(spark, sf, paths=paths)
     store = ServingStore(spark, scratch_path(spark, "serving"))
     store.write_batch(S.serving_rows(spark.table(names["silver"])), 1)
     store.commit(1, AS_OF)
+    stored = stored_counts(spark, {"iot_events": paths["bronze"], "stg_iot_events": paths["bronze"], "iot_validated": paths["silver"],
+                                   "device_daily": paths["gold"], "serving": f"{store.root}/table"})
     archive = A.read_archive(spark, _written_archive(spark, sf))
-    layers = {"iot_events": spark.table(names["bronze"]), "stg_iot_events": spark.table(names["staging"]), "iot_validated": spark.table(names["silver"]),
-              "device_daily": spark.table(names["gold"]), "serving": store.table(), "archive_records": archive}
-    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), "row_count") for layer, df in layers.items()]
-    return functools.reduce(DataFrame.unionByName, counts)
+    lines = archive.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("archive_records").alias("layer"), "row_count")
+    return spark.createDataFrame(stored.collect(), "layer STRING, row_count BIGINT").unionByName(lines)  # five rows
+
+
+def q_dq_while_writing(spark, sf):
+    """All nine checks of a build: column checks from what its writes counted, unique keys by grouping its tables."""
+    metrics: dict = {}
+    names = built_medallion(spark, sf, metrics)
+    return Q.checks_after_write(spark, {"iot_validated": spark.table(names["silver"]), "device_daily": spark.table(names["gold"])}, metrics)
 
 
 def _utc(fn: Query) -> Query:
@@ -467,6 +479,7 @@ _QUERIES: dict[str, Query] = {
     "dq_accepted": _checks("accepted_values"),
     "dq_unique_combo": _checks("unique_combination"),
     "dq_broken": q_dq_broken,
+    "dq_while_writing": q_dq_while_writing,
     "incremental_read": q_incremental_read,
     "serving_rows": q_serving_rows,
     "serving_upsert": q_serving_upsert,

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geofleet import constants as K
 from geofleet.operators.medallion import device_daily, staging_exprs, validate_events
+from geofleet.operators.quality import observed
 
 BRONZE_TABLE = "iot_events"
 STAGING_VIEW = "stg_iot_events"
@@ -29,9 +30,12 @@ def _over_folder(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
 
 
-def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[str, str] | None = None) -> dict[str, str]:
+def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[str, str] | None = None,
+                    metrics: dict[str, Observation] | None = None, paths: dict[str, str] | None = None) -> dict[str, str]:
     """Build staging view, silver and gold; their qualified names by layer.
 
+    ``metrics`` is given what the writes count of the declared checks (``quality.checks_after_write``), ``paths`` the folders of silver and gold.
+
     ``bronze`` is a table name, or the path of a Parquet folder (it has a
     slash), which is registered where it lies and not copied. ``schemas``
     gives the catalog's database of each layer: runs at the same time on one
@@ -56,14 +60,18 @@ def build_medallion(spark: SparkSession, bronze: str, root: str, schemas: dict[s
     # cuts a device holding a third of all rows into many tasks by time,
     # where hash partitioning on device_id would give it a single task.
     silver_path, gold_path = (f"{root}/{x}/build={build}" for x in (SILVER_TABLE, GOLD_TABLE))
-    (
+    silver, silver_metrics = observed(
         validate_events(spark.table(names["staging"]))
         .withColumn("event_date", F.col("event_ts").cast("date"))
         .repartitionByRange("event_date", "device_id", "event_ts")
-        .sortWithinPartitions("event_date", "device_id", "event_ts")
-        .write.partitionBy("event_date").parquet(silver_path)
-    )
-    device_daily(spark.read.parquet(silver_path).drop("event_date")).write.parquet(gold_path)
+        .sortWithinPartitions("event_date", "device_id", "event_ts"), SILVER_TABLE)
+    silver.write.partitionBy("event_date").parquet(silver_path)
+    gold, gold_metrics = observed(device_daily(spark.read.parquet(silver_path).drop("event_date")), GOLD_TABLE)
+    gold.write.parquet(gold_path)
+    if metrics is not None:
+        metrics |= {SILVER_TABLE: silver_metrics, GOLD_TABLE: gold_metrics}
+    if paths is not None:
+        paths |= {"silver": silver_path, "gold": gold_path}
     _over_folder(spark, names["silver"], silver_path)
     _over_folder(spark, names["gold"], gold_path)
     return names

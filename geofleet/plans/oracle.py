@@ -155,6 +155,7 @@ FROM (SELECT DISTINCT severity FROM silver
 SELECT 'unique_combination' AS check_name, 'device_daily' AS model, 'device_id,event_date' AS column_name,
   count(*) AS failures
 FROM (SELECT device_id, event_date FROM gold GROUP BY device_id, event_date HAVING count(*) > 1)"""
+    q["dq_while_writing"] = "\nUNION ALL\n".join(f"(SELECT * FROM ({q[x]}))" for x in ("dq_unique", "dq_not_null", "dq_accepted", "dq_unique_combo"))
     q["incremental_read"] = _with(*BASE) + """
 SELECT device_id, latitude, longitude, event_ts, event_id FROM silver
 WHERE event_ts > TIMESTAMP '2024-01-29 00:00:00' ORDER BY event_ts, event_id"""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def delete_folders(spark: SparkSession, paths: Iterable[str]) -> int:
@@ -32,3 +34,16 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     sc = spark.sparkContext
     folder = sc._jvm.org.apache.hadoop.fs.Path(path)
     return bool(folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder))
+
+
+def stored_counts(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """(layer, row_count) of Parquet folders from their footers: the count is pushed into the reader, and no column is read.
+
+    This needs Spark's V2 Parquet reader, so a session of its own has it switched on.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = [own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), "row_count")
+              for layer, path in folders.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
