@@ -77,9 +77,44 @@ def test_reliabilities_find_the_noisy_labeler():
 
 
 def test_classifier_learns_the_targets():
-    kind, bits = np.array([0, 0, 1, 1]), np.array([1, 2, 1, 2])
-    table = pii.train(kind, bits, np.full(4, 500.0), np.array([0.95, 0.1, 0.9, 0.05]))
-    assert table[0, 1] > 0.8 and table[0, 2] < 0.2 and table[1, 1] > 0.8
+    word, shape = pii.FEATURES[1] * pii.FEATURES[2] * pii.FEATURES[3], pii.FEATURES[2] * pii.FEATURES[3]
+    bits = np.array([word * 3, word * 5, word * 3 + shape, word * 5 + shape * 2])
+    w = pii.train(bits, np.full(4, 500.0), np.array([0.95, 0.1, 0.9, 0.05]))
+    at = [w[0] + sum(w[p[i]] for p in pii._places(bits)) for i in range(4)]
+    assert at[0] > 1.5 and at[2] > 1.5 and at[1] < -1.5 and at[3] < -1.5
+
+
+def iban(n: int) -> str:
+    body = f"DE00{37040044000000 + n:018d}"
+    check = 98 - int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97
+    text = f"DE{check:02d}{body[4:]}"
+    return " ".join(text[i:i + 4] for i in range(0, len(text), 4))
+
+
+def planted(n: int) -> tuple[list[tuple], dict[int, set[tuple[str, str]]]]:
+    """Rows in four languages; what each holds of (kind, text). Every second row has look-alikes that aren't personal data."""
+    phones = (f"020 7946 {1000 + n}", f"030 {9018000 + n}", f"01 23 45 67 {10 + n % 80}", f"612 345 {100 + n % 800}")
+    people, born = ("Mary Hill", "Hans Vogel", "Claire Blanc", "Luis Campo"), f"{1 + n % 28:02d}.{1 + n % 12:02d}.19{50 + n % 50}"
+    streets = (f"{12 + n % 80} Church Road", f"Bahnhofstra\u00dfe {1 + n % 90}", f"{1 + n % 90} rue de la Paix", f"calle Mayor {1 + n % 90}")
+    say = ("Hello, my name is {0}, born {1}. Call {2}. I live at {3}. IBAN {4}.", "Guten Tag, ich hei\u00dfe {0}, geboren {1}. Tel {2}. Ich wohne {3}. Konto {4}.",
+           "Bonjour, je m'appelle {0}, n\u00e9 le {1}. Tel {2}. J'habite {3}. Compte {4}.", "Hola, me llamo {0}, nacido {1}. Tel {2}. Vivo en {3}. Cuenta {4}.")
+    at = n % 4
+    truth = {("name", people[at]), ("birth", born), ("national", phones[at]), ("street", streets[at]), ("iban", iban(n))}
+    noise = f"Release 01.13.20{10 + n % 80} of part x00 0000 00000 and AB12 3456 7890 1234 {1000 + n}."
+    return [(2 * n, say[at].format(people[at], born, phones[at], streets[at], iban(n))), (2 * n + 1, noise)], {2 * n: truth, 2 * n + 1: set()}
+
+
+def test_added_spans_on_planted_rows_in_four_languages(spark):
+    rows, truth = [], {}
+    for n in range(120):
+        more, held = planted(n)
+        rows, truth = rows + more, truth | held
+    right = found = held = 0
+    for r in pii.scan(documents(spark, rows)).collect():
+        text = dict(rows)[r.doc_id]
+        got = {(f.kind, text[f.start:f.end]) for f in r.findings}
+        right, found, held = right + len(got & truth[r.doc_id]), found + len(got), held + len(truth[r.doc_id])
+    assert right / held >= 0.9 and right / found >= 0.9, (right, found, held)
 
 
 def test_empty_input(spark):
