@@ -18,6 +18,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A stream's keyed state on the executors' disks, not their heaps; restored from its checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A repeated member of a JSON payload: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
