@@ -43,8 +43,8 @@ def test_hot_device_split_across_files(spark, workdir):
 
         store = ServingStore(spark, f"{workdir}/store")
         store.write_batch(serving_rows(silver), 1)
-        versions = spark.read.parquet(store.data_path)
-        assert files_holding(versions, F.col("device_id") == "device-hot") > 1
+        store.commit(1, dt.datetime(2024, 1, 1))
+        assert files_holding(store.rows(), F.col("device_id") == "device-hot") > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
