@@ -1,21 +1,24 @@
 """Operator 1: mixing sources to target weights by Pfair scheduling. DataFrame functions only.
 
 The rows of each source, in an order drawn by hash, are cut into blocks of ``block_rows``. One block takes one slot of
-the mix. A source of weight w releases its block k (from 0) at slot floor(k / w) with deadline ceil((k + 1) / w), and each
-slot goes to the released block of the earliest deadline. Weights are shares a_i / S of a cycle of
-S = sum(a_i) slots, so every deadline is met and after any number t of slots a source has had more than w t - 1 and fewer than w t + 1 blocks.
-
-The schedule repeats by cycle: what a cycle holds changes only where a source comes to its last, partial cycle. So one
-schedule is folded for each of these stretches (at most 2 n + 1 for n sources, each at most about ``cycle`` slots, whatever
-the size of the data), and blocks find their slot in it by equality join. When sources have run out, a stretch's targets
-are the shares of what its cycles still hold, and the bound holds against these.
+the mix. A source of weight a and b blocks is due min(b, a v) of them at virtual time v, and slot t is where all dues add up to
+t: each source gets its share of the weights, and of the weights that are left when others have run out. Its block k (from 0) is
+released at floor(t(k / a)), has its deadline at ceil(t((k + 1) / a)), and each slot goes to the released block of the
+earliest deadline. Every deadline is met, no slot stays empty, and after any number of slots a source has had less than one block more or
+less than its due. Weights are whole multiples of the largest one's 10^-9th part (at least one), and t is computed exactly.
+
+The schedule is made in stretches of deadlines, all at once. Earliest deadline first gives each block, in the order of deadlines, the
+first free slot from its release on. So a stretch needs to know the free slots that the blocks before it leave. Let r be the first
+release among blocks of this stretch or later ones: slots before r are taken, those blocks released before r take the slots up to their
+number, and the others lie in the stretch before, as a stretch is at least as long as the longest window. A task
+gets two stretches of blocks, whatever the size of the data.
 
 A source may hold most rows: its rows are numbered in hash buckets of about ``bucket_rows`` rows, offset by the buckets'
 counts. The rows move in one shuffle by (source, bucket).
 
-Defined results: a null source is a source of its own; a source without a positive, finite weight gets one slot of a cycle;
-every row is kept, null ids, repeated rows and empty texts included; extra columns stay, and a result column replaces an
-input column of its name; empty input gives no rows; over ``cycle`` sources raise an error.
+Defined results: a null source is a source of its own; a source without a positive, finite weight gets ``stray`` of
+the sum of the others' weights (or 1 if there is none); every row is kept, null ids, repeated rows and empty texts included; extra columns stay, and
+a result column replaces an input column of its name; empty input gives no rows; any number of sources.
 """
 
 from __future__ import annotations
@@ -25,12 +28,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-from geofleet.llm.common import quoted, row_struct
+from geofleet.llm.common import cut, quoted, row_struct, salted_lookup
 
 BLOCK_ROWS = 64
-CYCLE = 1000
 BUCKET_ROWS = 2048
 SMOOTHING = 0.5
+STRAY = 0.001
+#: Weights are whole numbers up to this.
+RESOLUTION = 10**9
+#: Least number of slots in a stretch, and of blocks in one part of its fold.
+STRETCH = 4096
+FOLD = 256
+#: Sources of more bytes are looked up by a shuffle.
+BROADCAST_BYTES = 8 << 20
 
 
 def source_key(source: Column) -> Column:
@@ -43,71 +53,109 @@ def smoothed_weights(df: DataFrame, source_col: str = "source", exponent: float
     return df.groupBy(F.col(source_col).alias("source")).agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(exponent)).alias("weight"))
 
 
-def _sources(keyed: DataFrame, weights: DataFrame, block_rows: int, cycle: int) -> DataFrame:
-    """One row per source: key, a (slots of a cycle), blocks, rows. At most ``cycle`` rows, or an error."""
+def _sources(keyed: DataFrame, weights: DataFrame, block_rows: int, stray: float) -> DataFrame:
+    """One row per source: key, a (its weight as a whole number), blocks, rows."""
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     weight = F.col("weight").cast("double")
     sane = F.when((weight > 0) & (weight < float("inf")), weight)
     given = weights.groupBy(source_key(F.col("source")).alias("key")).agg(F.max(sane).alias("w"))
-    everything = Window.partitionBy(F.lit(1))  # over a row per source: bounded by ``cycle`` below
-    share = F.col("w") / F.sum("w").over(everything)
-    a = F.greatest(F.lit(1), F.coalesce(F.round(share * cycle), F.lit(1))).cast("long")
-    many = F.count(F.lit(1)).over(everything) > cycle
-    return (counts.join(given, "key", "left")
-            .withColumn("a", F.when(many, F.raise_error(F.lit(f"mixing: more than {cycle} sources")).cast("long")).otherwise(a))
-            .select("key", "a", "rows", F.ceil(F.col("rows") / block_rows).alias("blocks")))
+    everything = Window.partitionBy(F.lit(1))  # over a row per source
+    filled = (counts.join(given, "key", "left").withColumn("top", F.max("w").over(everything))
+              .withColumn("u", F.col("w") / F.col("top"))
+              .withColumn("u", F.coalesce("u", stray * F.sum("u").over(everything), F.lit(1.0)))
+              .withColumn("u", F.col("u") / F.max("u").over(everything)))
+    return filled.select("key", F.greatest(F.lit(1), F.round(F.col("u") * RESOLUTION)).cast("long").alias("a"), "rows",
+                         F.ceil(F.col("rows") / block_rows).alias("blocks"))
 
 
-def _cycle_schedule(jobs: Column) -> Column:
-    """Earliest deadline first over one cycle: jobs array<struct(key, c)> -> array<struct(key, j, release, deadline, slot)>.
+def pfair_windows(ranges: DataFrame, sources: DataFrame) -> DataFrame:
+    """(key, block, release, deadline) of the blocks of ``ranges(key, lo, hi)``, from all ``sources(key, a, blocks)``.
 
-    Source ``key`` has c blocks in the cycle of S = sum(c) slots. Ties go to the first key. The fold's state is the number
-    of blocks each source has been given.
+    t(k / a) = sum over sources of min(blocks, their a * k / a). Within a range, sources that have run out by its start add
+    their blocks and those that last beyond its end add their a; only the others are asked for each block.
+    """
+    exact = lambda c: c.cast("decimal(38,0)")
+    every = sources.agg(F.collect_list(F.struct("a", "blocks")).alias("s")).scalar()
+    done = lambda x: x["blocks"] * F.col("a") <= x["a"] * F.col("lo")
+    lasts = lambda x: x["blocks"] * F.col("a") >= x["a"] * (F.col("hi") + 1)
+    zero = F.lit(0).cast("long")
+    split = (ranges.join(sources.select("key", "a"), "key").withColumn("s", every)
+             .select("key", "a", "lo", "hi",
+                     F.aggregate(F.filter("s", done), zero, lambda t, x: t + x["blocks"]).alias("gone"),
+                     F.aggregate(F.filter("s", lambda x: ~done(x) & lasts(x)), zero, lambda t, x: t + x["a"]).alias("rate"),
+                     F.filter("s", lambda x: ~done(x) & ~lasts(x)).alias("ending")))
+
+    def times_a(k: Column) -> Column:
+        return F.aggregate("ending", exact(exact(F.col("gone")) * F.col("a") + exact(F.col("rate")) * k),
+                           lambda t, x: exact(t + F.least(x["blocks"] * F.col("a"), x["a"] * k)))
+
+    blocks = split.select("*", F.explode(F.sequence("lo", "hi")).alias("block"))
+    return (blocks.select("key", "block", exact(F.col("a")).alias("a"), times_a(F.col("block")).alias("from"), times_a(F.col("block") + 1).alias("to"))
+            .selectExpr("key", "block", "`from` div a as release", "(`to` + a - 1) div a as deadline"))
+
+
+def _first_free_slots(jobs: Column, taken: Column) -> Column:
+    """jobs array<struct(own, deadline, key, block, release)> -> the own jobs with ``mix_slot``: the first free slot from the release on.
+
+    Slots before ``taken`` are taken. The fold's state is the end of the taken slots and the holes before it. It runs in
+    parts, so that no long array is copied for each job.
     """
-    total = F.aggregate(jobs, F.lit(0).cast("long"), lambda s, x: s + x["c"])
-    start = F.struct(F.transform(jobs, lambda x: F.lit(0).cast("long")).alias("given"),
-                     F.array().cast("array<struct<at:int,j:bigint,release:bigint,deadline:bigint,slot:bigint>>").alias("out"))
+    placed = "array<struct<key:string,block:bigint,release:bigint,deadline:bigint,mix_slot:bigint>>"
+
+    def state_of(end: Column, holes: Column, out: Column) -> Column:
+        return F.struct(end.alias("end"), holes.alias("holes"), out.alias("out"))
+
+    def step(state: Column, job: Column) -> Column:
+        end, release = state["end"], job["release"]
+        hole = F.array_min(F.filter(state["holes"], lambda h: h >= release))
+
+        def place(slot: Column) -> Column:
+            holes = (F.when(slot < end, F.array_remove(state["holes"], slot))
+                     .when(slot > end, F.concat(state["holes"], F.sequence(end, slot - 1))).otherwise(state["holes"]))
+            mine = F.array(F.struct(job["key"].alias("key"), job["block"].alias("block"), release.alias("release"),
+                                    job["deadline"].alias("deadline"), slot.alias("mix_slot")))
+            return state_of(F.greatest(end, slot + 1), holes, F.when(job["own"], F.concat(state["out"], mine)).otherwise(state["out"]))
+
+        return F.transform(F.array(F.coalesce(hole, F.greatest(end, release))), place)[0]
 
-    def step(state: Column, slot: Column) -> Column:
-        offers = F.transform(F.arrays_zip(jobs, state["given"].alias("given")), lambda z, i: F.struct(
-            F.ceil((z["given"] + 1) * total / z["jobs"]["c"]).alias("deadline"), i.alias("at"), z["given"].alias("j"),
-            F.floor(z["given"] * total / z["jobs"]["c"]).alias("release"), (z["given"] < z["jobs"]["c"]).alias("open")))
-        best = F.array_min(F.filter(offers, lambda o: o["open"] & (o["release"] <= slot)))
-        return F.struct(
-            F.transform(state["given"], lambda g, i: F.when(i == best["at"], g + 1).otherwise(g)).alias("given"),
-            F.concat(state["out"], F.array(F.struct(best["at"].alias("at"), best["j"].alias("j"), best["release"].alias("release"),
-                                                    best["deadline"].alias("deadline"), slot.alias("slot")))).alias("out"))
+    def part(state: Column, some: Column) -> Column:
+        fresh = state_of(state["end"], state["holes"], F.array().cast(placed))
+        return F.transform(F.array(F.aggregate(some, fresh, step)),
+                           lambda n: state_of(n["end"], n["holes"], F.concat(state["out"], F.array(n["out"]))))[0]
 
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), total - 1), start, step, lambda s: s["out"])
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(jobs) - 1) / FOLD).cast("int")), lambda i: F.slice(jobs, i * FOLD + 1, FOLD))
+    start = state_of(taken.cast("long"), F.array().cast("array<bigint>"), F.array().cast(f"array<{placed}>"))
+    return F.flatten(F.aggregate(parts, start, part, lambda n: n["out"]))
 
 
-def pfair_schedule(sources: DataFrame) -> DataFrame:
-    """The schedule of every stretch of equal cycles, from ``sources(key, a, blocks)``.
+def earliest_deadline_first(windows: DataFrame, stretch: int) -> DataFrame:
+    """``windows(key, block, release, deadline)`` with their slot. ``stretch`` is at least the longest deadline - release.
 
-    (key, j, first_cycle, next_stretch, stretch_slot, stretch_slots, slot, release, deadline): the j-th block of ``key`` in
-    each cycle of the stretch. The block's slot is stretch_slot + (cycle - first_cycle) * stretch_slots + slot.
+    Ties go to the first key.
     """
-    all_sources = sources.agg(F.array_sort(F.collect_list(F.struct("key", "a", "blocks"))).alias("s"))
-    bounds = F.array_sort(F.array_distinct(F.concat(
-        F.array(F.lit(0).cast("long")),
-        F.transform("s", lambda x: F.floor(x["blocks"] / x["a"])), F.transform("s", lambda x: F.ceil(x["blocks"] / x["a"])))))
-    stretches = (all_sources.withColumn("b", bounds)
-                 .withColumn("p", F.explode(F.transform(F.slice("b", 1, F.size("b") - 1), lambda x, i: F.struct(
-                     x.alias("first_cycle"), F.element_at("b", i + 2).alias("next_stretch")))))
-                 .select("s", "p.*"))
-    left = lambda x: F.greatest(F.lit(0).cast("long"), F.least(x["a"], x["blocks"] - F.col("first_cycle") * x["a"]))
-    jobs = F.filter(F.transform("s", lambda x: F.struct(x["key"].alias("key"), left(x).alias("c"))), lambda y: y["c"] > 0)
-    before = F.aggregate("s", F.lit(0).cast("long"), lambda t, x: t + F.least(x["blocks"], F.col("first_cycle") * x["a"]))
-    planned = (stretches.select("first_cycle", "next_stretch", jobs.alias("jobs"), before.alias("stretch_slot"))
-               .where(F.size("jobs") > 0)
-               .withColumn("stretch_slots", F.aggregate("jobs", F.lit(0).cast("long"), lambda t, x: t + x["c"])))
-    return (planned.withColumn("o", F.explode(_cycle_schedule(F.col("jobs"))))
-            .select(F.element_at("jobs", F.col("o.at") + 1)["key"].alias("key"), "o.j", "first_cycle", "next_stretch",
-                    "stretch_slot", "stretch_slots", "o.slot", "o.release", "o.deadline"))
+    jobs = windows.withColumn("stretch", F.floor((F.col("deadline") - 1) / stretch))
+    in_order = Window.partitionBy(F.lit(1)).orderBy("stretch")  # over a row per stretch
+    starts = (jobs.groupBy("stretch").agg(F.count(F.lit(1)).alias("n"), F.min("release").alias("r"))
+              .select("stretch", (F.sum("n").over(in_order) - F.col("n")).alias("before"),
+                      F.min("r").over(in_order.rowsBetween(0, Window.unboundedFollowing)).alias("first_release")))
+    twice = (jobs.withColumn("at", F.explode(F.array(F.col("stretch"), F.col("stretch") + 1)))
+             .select(F.col("at").alias("stretch"), (F.col("at") == F.col("stretch")).alias("own"), "deadline", "key", "block", "release"))
+    gathered = (twice.join(starts, "stretch").where(F.col("own") | (F.col("release") >= F.col("first_release")))
+                .groupBy("stretch").agg(
+                    (F.first("before") - F.count_if(~F.col("own"))).alias("taken"),
+                    F.array_sort(F.collect_list(F.struct("own", "deadline", "key", "block", "release"))).alias("jobs")))
+    return gathered.select(F.inline(_first_free_slots(F.col("jobs"), F.col("taken"))))
+
+
+def pfair_schedule(ranges: DataFrame, sources: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """(key, block, release, deadline, mix_slot) of the blocks of ``ranges(key, lo, hi)``, all blocks of ``sources(key, a, blocks)``."""
+    windows = cut(pfair_windows(ranges, sources))
+    longest = windows.agg(F.max(F.col("deadline") - F.col("release"))).first()[0]
+    return earliest_deadline_first(windows, max(stretch, longest or 0))
 
 
 def mix(df: DataFrame, weights: DataFrame, source_col: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS,
-        cycle: int = CYCLE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+        bucket_rows: int = BUCKET_ROWS, stray: float = STRAY, stretch: int = STRETCH) -> DataFrame:
     """``df`` with its place in the mix: source_block (from 0), release, deadline and mix_slot of this block, and
     mix_position = mix_slot * block_rows + place in the block: an order of all rows, with gaps only after sources' last blocks.
 
@@ -116,10 +164,11 @@ def mix(df: DataFrame, weights: DataFrame, source_col: str = "source", id_col: s
     hashable = [F.col(quoted(f.name)) for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
     keyed = df.select(row_struct(df).alias("row"), source_key(F.col(source_col)).alias("key"),
                       F.xxhash64(F.col(id_col), F.col(source_col)).alias("h"), F.xxhash64(*hashable).alias("whole"))
-    sources = _sources(keyed.select("key"), weights, block_rows, cycle)
-    # At most ``cycle`` rows: _sources raises beyond.
-    spread = F.broadcast(sources.select("key", F.ceil(F.col("rows") / bucket_rows).alias("buckets")))
-    dealt = keyed.join(spread, "key").withColumn("bucket", F.pmod(F.xxhash64("h", F.col("whole")), F.col("buckets")))
+    sources = cut(_sources(keyed.select("key"), weights, block_rows, stray))
+    spread = sources.select("key", F.ceil(F.col("rows") / bucket_rows).alias("buckets"))
+    size = sources.agg(F.sum(F.octet_length("key") + 64)).first()[0] or 0
+    known = keyed.join(F.broadcast(spread), "key") if size <= BROADCAST_BYTES else salted_lookup(keyed, spread, "key", "h")
+    dealt = known.withColumn("bucket", F.pmod(F.xxhash64("h", F.col("whole")), F.col("buckets")))
 
     # Buckets: their first row's number within the source, and the slots of the blocks that they reach into.
     counts = dealt.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -127,16 +176,11 @@ def mix(df: DataFrame, weights: DataFrame, source_col: str = "source", id_col: s
     firsts = counts.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     reached = firsts.select("key", "bucket", "first", F.explode(F.sequence(
         F.floor(F.col("first") / block_rows), F.floor((F.col("first") + F.col("n") - 1) / block_rows))).alias("block"))
-    blocks = (reached.join(sources.select("key", "a"), "key")
-              .withColumn("turn", F.floor(F.col("block") / F.col("a"))).withColumn("j", F.col("block") % F.col("a")))
-    slotted = (blocks.join(pfair_schedule(sources), ["key", "j"])
-               .where("turn >= first_cycle and turn < next_stretch")
-               .select("key", "bucket", "first", "block",
-                       (F.col("stretch_slot") + (F.col("turn") - F.col("first_cycle")) * F.col("stretch_slots")).alias("turn_slot"),
-                       "slot", "release", "deadline"))
+    starting = firsts.select("key", F.ceil(F.col("first") / block_rows).alias("lo"),
+                             F.floor((F.col("first") + F.col("n") - 1) / block_rows).alias("hi")).where("lo <= hi")
+    slotted = reached.join(pfair_schedule(starting, sources, stretch), ["key", "block"])
     places = slotted.groupBy("key", "bucket").agg(F.first("first").alias("first"), F.array_sort(F.collect_list(F.struct(
-        "block", (F.col("turn_slot") + F.col("slot")).alias("mix_slot"), (F.col("turn_slot") + F.col("release")).alias("release"),
-        (F.col("turn_slot") + F.col("deadline")).alias("deadline")))).alias("places"))
+        "block", "mix_slot", "release", "deadline"))).alias("places"))
 
     order = Window.partitionBy("key", "bucket").orderBy("h", "whole")
     numbered = dealt.select("key", "bucket", "row", F.row_number().over(order).alias("n"))
