@@ -1,12 +1,13 @@
 """Operator 9: embedding near-duplicates by dual traversal of cover trees, exact.
 
 Unit vectors with cosine >= c lie within distance t = sqrt(2 - 2 c). Equal vectors are one entry with a count. The top of
-the tree is global: pivots (a net of a bounded sample), each entry under its nearest pivot, each pivot's covering radius
-taken over all its entries. A cell is cut into blocks of about ``block_rows`` entries, so no cell is one task's. Each block builds its own tree of
+the tree is global: up to ``most_pivots`` pivots (a net of a bounded sample), each entry in the cell of its nearest pivot where that is within
+``CELL_RADIUS``, with the radius that covers the cell's entries. Entries far from all pivots are the rest. Cells are gathered into
+blocks of about ``block_rows`` entries, large cells and the rest cut into several, so no cell is one task's. Each block builds its own tree of
 nested nets with halving radii, every node with the exact radius that covers its descendants.
 
-Two nodes are pruned when their centres are further apart than t and both radii; first pivots against pivots, then, in one task for each
-pair of blocks left, level by level down to entries, whose cosines are computed in double precision. A task returns for each of
+Two nodes are pruned when their centres are further apart than t and both radii; first cells against cells (the rest is compared with all), then, in one task for each
+pair of blocks with a pair of cells left, level by level down to entries, whose cosines are computed in double precision. A task returns for each of
 its vectors the number of links and one leader of its group there, so groups of thousands of near copies make no list of pairs.
 Leaders are the edges of the components.
 
@@ -32,8 +33,9 @@ from geofleet.llm.common import components, cut, for_workers, salted_lookup
 
 COSINE = 0.9
 BLOCK_ROWS = 2048
-SAMPLE = 2048
-PIVOTS = 32
+SAMPLE = 8192
+PIVOTS = 2048
+CELL_RADIUS = 0.5
 RADII = (1.0, 0.5, 0.25)
 #: Distances for pruning are computed in single precision.
 SLACK = 1e-3
@@ -46,11 +48,12 @@ def unit(rows: list | np.ndarray) -> np.ndarray:
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2 - 2 * (a.astype(np.float32) @ b.astype(np.float32).T), 0))
+    return np.sqrt(np.maximum(2 - 2 * (a.astype(np.float32, copy=False) @ b.astype(np.float32, copy=False).T), 0))
 
 
 def pivots(sample: np.ndarray, most: int) -> np.ndarray:
     """Centres of a farthest-first net: until all of the sample is within 0.25 of one, or there are ``most``."""
+    sample = sample.astype(np.float32)
     centres = [0]
     least = distances(sample, sample[:1])[:, 0]
     while len(centres) < most and least.max() > 0.25:
@@ -188,31 +191,35 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                .withColumn("v", F.when(good, F.col("v"))))
     usable = rows.where("v is not null")
     entries = cut(usable.groupBy("v").agg(F.min("row").alias("entry"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")).withColumn("size", F.size("v")))
-    placed, near = _place(entries, cosine, sample, most_pivots)
-    cells = {(r["size"], r["cell"]): r["n"] for r in placed.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = {c: -(-n // block_rows) for c, n in cells.items()}
-    tree_type = "size int, cell int, block int, body binary"
+    placed, near, cells = _place(entries, cosine, sample, most_pivots)
+    if not cells:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    blocks = blocks_of(cells, block_rows)
+    meets = block_partners(blocks, near)
+    tree_type = "size int, home int, block int, body binary"
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         x = np.array(frame["v"].tolist())
         single = x.astype(np.float32)
         body = {"x": single if (single == x).all() else x, "entry": frame["entry"].to_numpy(), "copies": frame["copies"].to_numpy(), "tree": CoverTree(unit(x))}
-        return pd.DataFrame({"size": [frame["size"].iloc[0]], "cell": [frame["cell"].iloc[0]], "block": [frame["block"].iloc[0]], "body": [pickle.dumps(body)]})
+        return pd.DataFrame({"size": [frame["size"].iloc[0]], "home": [frame["home"].iloc[0]], "block": [frame["block"].iloc[0]], "body": [pickle.dumps(body)]})
 
-    spread = F.create_map(*[x for c, n in blocks.items() for x in (F.concat_ws("/", F.lit(c[0]), F.lit(c[1])), F.lit(n))]) if blocks else None
-    if spread is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    many = F.element_at(spread, F.concat_ws("/", "size", "cell"))
-    trees = (placed.withColumn("block", F.pmod(F.xxhash64("entry"), many).cast("int"))
-             .groupBy("size", "cell", "block").applyInPandas(build, tree_type))
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            first, count = np.array([blocks[c] for c in zip(frame["size"].tolist(), frame["cell"].tolist())], np.int64).reshape(-1, 2).T
+            mixed = pd.util.hash_array(frame["entry"].to_numpy()) >> np.uint64(11)
+            yield frame[["size", "entry", "copies", "v"]].assign(home=first.astype(np.int32), block=(first + mixed.astype(np.int64) % count).astype(np.int32))
+
+    kind = dict(placed.dtypes)["v"]
+    trees = (placed.mapInPandas(deal, f"size int, entry long, copies long, v {kind}, home int, block int")
+             .groupBy("size", "home", "block").applyInPandas(build, tree_type))
 
     def partners(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for size, cell, block, body in frame.itertuples(index=False):
-                for other in near[size, cell]:
-                    for their in range(blocks[size, other]):
-                        first, second = sorted([(cell, block), (other, their)])
-                        yield pd.DataFrame({"pair": [f"{size}/{first[0]}/{first[1]}/{second[0]}/{second[1]}"], "is_first": [first == (cell, block)], "body": [body]})
+            for size, home, block, body in frame.itertuples(index=False):
+                for other in (b for start, many in meets[size, home] for b in range(start, start + many)):
+                    first, second = sorted([block, other])
+                    yield pd.DataFrame({"pair": [f"{size}/{first}/{second}"], "is_first": [first == block], "body": [body]})
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("is_first", ascending=False)
@@ -232,8 +239,42 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return joined.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _place(entries: DataFrame, cosine: float, sample: int, most: int) -> tuple[DataFrame, dict[tuple[int, int], list[int]]]:
-    """``entries`` with the cell of their nearest pivot; of each (size, cell), the cells that may hold a partner.
+def blocks_of(cells: dict[tuple[int, int], int], block_rows: int) -> dict[tuple[int, int], tuple[int, int]]:
+    """Of each (size, cell) with its number of entries: its first block and its number of blocks.
+
+    Cells of more than ``block_rows`` entries have blocks of their own; others share blocks of at most so many. Vectors of different
+    sizes never share one.
+    """
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    free, left, of = -1, 0, None
+    following = 0
+    for (size, cell), n in sorted(cells.items()):
+        if n > block_rows:
+            many = -(-n // block_rows)
+            out[size, cell] = following, many
+            following += many
+            continue
+        if of != size or n > left:
+            free, left, of = following, block_rows, size
+            following += 1
+        out[size, cell] = free, 1
+        left -= n
+    return out
+
+
+def block_partners(blocks: dict[tuple[int, int], tuple[int, int]], near: dict[tuple[int, int], list[int]]) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """Of each (size, first block of a cell), the ranges (first block, number) that may hold a partner, its own included.
+
+    By cells, not by blocks: it is as large as the pivots allow at any number of entries.
+    """
+    meets: dict[tuple[int, int], set[tuple[int, int]]] = {}
+    for (size, cell), (first, _) in blocks.items():
+        meets.setdefault((size, first), set()).update(blocks[size, c] for c in near[size, cell])
+    return {k: sorted(v) for k, v in meets.items()}
+
+
+def _place(entries: DataFrame, cosine: float, sample: int, most: int) -> tuple[DataFrame, dict[tuple[int, int], list[int]], dict[tuple[int, int], int]]:
+    """``entries`` with their cell; of each (size, cell), the cells that may hold a partner, and the number of its entries.
 
     The pivots come from a sample of at most ``sample`` entries, drawn by hash.
     """
@@ -251,14 +292,19 @@ def _place(entries: DataFrame, cosine: float, sample: int, most: int) -> tuple[D
             for size, own in frame.groupby("size"):
                 d = distances(unit(own["v"].tolist()), centres(int(size)))
                 cell = d.argmin(axis=1)
-                yield own.assign(cell=cell.astype(np.int32), far=d[np.arange(len(d)), cell].astype(np.float64))
+                far = d[np.arange(len(d)), cell].astype(np.float64)
+                rest = far > CELL_RADIUS
+                yield own.assign(cell=np.where(rest, d.shape[1], cell).astype(np.int32), far=np.where(rest, np.inf, far))
 
     kind = dict(entries.dtypes)["v"]
     placed = cut(entries.select("size", "entry", "copies", "v").mapInPandas(place, f"size int, entry long, copies long, v {kind}, cell int, far double"))
-    reach = {(r["size"], r["cell"]): r["reach"] for r in placed.groupBy("size", "cell").agg(F.max("far").alias("reach")).collect()}
+    # A row per cell: at most ``most`` + 1 of each vector length.
+    found = placed.groupBy("size", "cell").agg(F.max("far").alias("reach"), F.count(F.lit(1)).alias("n")).toPandas().sort_values(["size", "cell"])
     t = np.sqrt(max(0.0, 2 - 2 * cosine)) + SLACK
     near: dict[tuple[int, int], list[int]] = {}
-    for (size, cell), r in reach.items():
-        d = distances(centres(size)[cell:cell + 1], centres(size))[0]
-        near[size, cell] = sorted(c for (s, c), other in reach.items() if s == size and d[c] <= t + r + other)
-    return placed, near
+    for size, own in found.groupby("size"):
+        cell, reach = own["cell"].to_numpy(), own["reach"].to_numpy()
+        middle = np.vstack([centres(int(size)), np.zeros((1, int(size)))])[cell]  # the rest has no centre, and is near all
+        for k in range(len(cell)):
+            near[int(size), int(cell[k])] = cell[distances(middle[k:k + 1], middle)[0] <= t + reach[k] + reach].tolist()
+    return placed, near, {(int(x), int(c)): int(n) for x, c, n in zip(found["size"], found["cell"], found["n"])}

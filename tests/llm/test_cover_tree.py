@@ -62,6 +62,44 @@ def test_traversal_keeps_every_link_and_prunes():
         assert set(above) <= set(here) and (parents < len(above)).all()           # nested
 
 
+def tight(rng: np.random.Generator, n: int, clusters: int, dims: int = 64) -> np.ndarray:
+    centres = C.unit(rng.normal(size=(clusters, dims)))
+    return C.unit(centres[rng.integers(clusters, size=n)] + rng.normal(scale=0.01, size=(n, dims)))
+
+
+@pytest.mark.parametrize("clusters", [40, 300])
+def test_clustered_vectors_prune_most_pairs_of_blocks_and_copies_stay_flat(spark, clusters):
+    """Copies of a block: about one at any size, where dealing cells at random gives one per block."""
+    rng, per_block = np.random.default_rng(clusters), {}
+    for n in (2000, 8000):
+        x = tight(rng, n, clusters)
+        df = spark.createDataFrame([(i, 64, 1, v) for i, v in enumerate(x.tolist())], "entry long, size int, copies long, v array<double>")
+        _, near, cells = C._place(df, 0.9, 2000, 512)
+        blocks = C.blocks_of(cells, 100)
+        assert sum(cells.values()) == n
+        width = {first: many for first, many in blocks.values()}
+        copies = sum(width[home] * sum(many for _, many in ranges) for (_, home), ranges in C.block_partners(blocks, near).items())
+        per_block[n] = copies / sum(width.values())
+    assert per_block[8000] < 0.2 * 80 and per_block[8000] < 4 * max(1, 8000 / clusters / 100) + 2
+
+
+def test_blocks_hold_each_entry_once_and_no_more_than_asked():
+    cells = {(2, 0): 250, (2, 1): 30, (2, 2): 60, (2, 3): 20, (3, 0): 5}
+    blocks = C.blocks_of(cells, 100)
+    assert blocks == {(2, 0): (0, 3), (2, 1): (3, 1), (2, 2): (3, 1), (2, 3): (4, 1), (3, 0): (5, 1)}
+    meets = C.block_partners(blocks, {(2, 0): [0, 1], (2, 1): [0, 1], (2, 2): [2], (2, 3): [3], (3, 0): [0]})
+    assert meets == {(2, 0): [(0, 3), (3, 1)], (2, 3): [(0, 3), (3, 1)], (2, 4): [(4, 1)], (3, 5): [(5, 1)]}
+
+
+def test_tight_groups_match_brute_force_over_many_blocks(spark):
+    rng = np.random.default_rng(11)
+    x = [v.tolist() for v in np.vstack([tight(rng, 400, 20, 16), C.unit(rng.normal(size=(100, 16)))]).astype(np.float32)]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<float>")
+    out = C.near_duplicates(df, block_rows=25, sample=200, most_pivots=15).collect()
+    stored = [r.embedding for r in df.orderBy("vec_id").collect()]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == sorted(brute(list(range(500)), stored, 0.9).values())
+
+
 def test_null_and_repeated_ids_and_empty_input(spark):
     schema = "vec_id long, embedding array<float>"
     rows = [(None, [1.0, 0.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (None, [0.0, 1.0]), (None, None)]
