@@ -36,6 +36,13 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return bool(folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder))
 
 
+def mounted_path(spark: SparkSession, path: str) -> str | None:
+    """The path of a folder as programs see it, where the store is a mounted file system (``file:``); None on any other store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return folder.toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
 def stored_counts(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """(layer, row_count) of Parquet folders from their footers: the count is pushed into the reader, and no column is read.
 
