@@ -43,6 +43,21 @@ def test_records_are_made_once_and_objects_need_no_program_each(spark, workdir):
     assert A.archive_objects(spark, f"{workdir}/arch").agg(F.max("largest_object")).first()[0] == 10
 
 
+def test_large_objects_make_records_once_too(spark, workdir):
+    made = spark.sparkContext.accumulator(0)
+
+    def value(i):
+        made.add(1)
+        return f'{{"n":{i}}}'
+
+    n = 3000
+    hour = F.format_string("%02d", F.col("id") % 24)
+    records = spark.range(n).select(F.col("id").alias("msg_id"), F.udf(value, "string")("id").alias("value"), *[F.lit("01").alias(c) for c in A.PARTITION_COLUMNS[:3]], hour.alias("hour"))
+    A.write_archive(records, f"{workdir}/arch", 100_000)
+    assert made.value == n                                                     # twice before
+    assert A.read_archive(spark, f"{workdir}/arch").select("value").distinct().count() == n
+
+
 def test_small_objects_hold_odd_rows_as_large_ones_do(spark, workdir):
     odd = [(1, "a", "2024", "01", "02", "03"), (1, "a", "2024", "01", "02", "03"), (None, None, None, None, None, None), (2, "", "2024", "01", "02", "03"),
            (3, "b", None, "01", "02", "03"), (4, "c", "+10000", "01", "02", "a=b/%"), (5, "c\rd", "2024", "01", "02", "04")]
