@@ -82,8 +82,9 @@ def iso_to_millis(text: Column | str) -> Column:
     without an offset is read as UTC. NULL if it names no time.
     """
     t = F.trim(_col(text))
-    # Lazy: other forms alone are taken apart.
-    return F.when(t.rlike(ISO_PLAIN), F.floor(F.unix_micros(t.try_cast("timestamp")) / F.lit(1000)).cast("bigint")).otherwise(_any_iso_to_millis(t))
+    # Lazy: other forms alone are taken apart, in a lambda, whose code stays out of the compiled stage.
+    other = F.get(F.transform(F.array(t), _any_iso_to_millis), 0)
+    return F.when(t.rlike(ISO_PLAIN), F.floor(F.unix_micros(t.try_cast("timestamp")) / F.lit(1000)).cast("bigint")).otherwise(other)
 
 
 def _any_iso_to_millis(t: Column) -> Column:

@@ -39,18 +39,22 @@ def normalise_readings(routed: DataFrame) -> DataFrame:
     order the bridge converts them, or is NULL for a good reading.
     """
     # A generator's output is a plan barrier: the payload is parsed once, to a VARIANT that keeps each value's JSON type,
-    # and no filter above pulls the parse or the conversions into itself.
+    # and no filter above pulls the parse or the conversions into itself. Fields are taken out in a step of their own, so
+    # the conversions repeat a column and not its lookup, and each step's code stays small enough to be compiled.
     parsed = routed.select("msg_id", "topic", "payload", F.explode(F.array(F.try_parse_json("payload"))).alias("_v"))
     stamp = F.try_variant_get("_v", "$.timestamp", "variant")
     is_number = F.coalesce(F.schema_of_variant(stamp).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
     text = lambda name: F.try_variant_get("_v", f"$.{name}", "string")
+    fields = F.struct(text("device_id").alias("_device"), text("latitude").alias("_latitude"), text("longitude").alias("_longitude"),
+                      text("timestamp").alias("_time"), is_number.alias("_is_number"))
+    read = parsed.select("msg_id", "topic", "payload", F.inline(F.array(fields)))
     converted = F.struct(
-        F.coalesce(text("device_id"), F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
-        text("latitude").try_cast("double").alias("latitude"),
-        text("longitude").try_cast("double").alias("longitude"),
-        reading_time_to_millis(text("timestamp"), is_number).alias("timestamp"),
+        F.coalesce("_device", F.lit(K.UNKNOWN_DEVICE)).alias("device_id"),
+        F.col("_latitude").try_cast("double").alias("latitude"),
+        F.col("_longitude").try_cast("double").alias("longitude"),
+        reading_time_to_millis("_time", F.col("_is_number")).alias("timestamp"),
     )
-    typed = parsed.select("msg_id", "topic", "payload", F.inline(F.array(converted)))
+    typed = read.select("msg_id", "topic", "payload", F.inline(F.array(converted)))
     reason = (
         F.when(F.col("latitude").isNull(), F.lit("latitude"))
         .when(F.col("longitude").isNull(), F.lit("longitude"))

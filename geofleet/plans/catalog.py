@@ -88,8 +88,9 @@ def accepted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def archive_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Enveloped records with the hour partition of their event time."""
-    rec = I.envelope(accepted(spark, sf))
+    """Enveloped records with the hour partition of their event time. Messages are dealt evenly before they are parsed:
+    a table's file may have too few splits for work that costs so much more than its bytes."""
+    rec = I.envelope(I.accepted_readings(I.normalise_readings(routed(spark, sf).hint("rebalance"))))
     return A.with_archive_partition(rec, epoch_millis_to_ntz(F.col("timestamp")))
 
 

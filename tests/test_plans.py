@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from geofleet.operators import dashboard as D
 from geofleet.operators import serving as S
-from geofleet.plans.catalog import silver
+from geofleet.plans.catalog import accepted, archive_records, normalised, silver
 from geofleet.plans.medallion_build import build_medallion
 from geofleet.plans.serving_job import ServingStore, load_increment
 from geofleet.sources.fixtures import source_events
@@ -88,3 +89,16 @@ def test_a_table_is_read_once_for_its_column_checks(spark, workdir):
     device_daily(s).write.parquet(f"{workdir}/gold")
     checks = Q.run_checks({"iot_validated": s, "device_daily": spark.read.parquet(f"{workdir}/gold")})
     assert scans(checks) == 4       # of each table, one for the columns and one for the key
+
+
+def test_reading_conversions_stay_small_enough_to_be_compiled(spark, capsys):
+    normalised(spark, SF_SMALL).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000                      # the JVM interprets longer methods
+
+
+def test_archive_records_are_dealt_before_they_are_parsed(spark):
+    records = archive_records(spark, SF_SMALL)
+    p = plan(records)
+    assert "REBALANCE_PARTITIONS" in p and p.rindex("Generate ") < p.index("REBALANCE_PARTITIONS")
+    assert sorted(r.msg_id for r in records.collect()) == sorted(r.msg_id for r in accepted(spark, SF_SMALL).collect())
