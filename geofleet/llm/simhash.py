@@ -12,6 +12,9 @@ fingerprints that share a variant, then verifies it. A variant of over ``hot`` f
 paired: its members are told apart by the same method on the bits that the variant leaves open, and again, until groups are small
 or 8 bits are open.
 
+Spark sizes an index by the fingerprints that it was exploded from, tens of times too low, so the index's self joins are sort-merge
+joins by a hint: none of its sides may be broadcast for its estimate.
+
 Defined results: a null text counts as empty; a text without words has fingerprint zero and links like any other;
 repeated rows are one row each in the result; a null id stays a row, and is never the smallest id of a group unless
 all ids in it are null; empty input gives no rows; extra columns are ignored.
@@ -161,7 +164,7 @@ def _links_within(members: DataFrame, max_bits: int, hot: int) -> list[DataFrame
         large = cut(index.where("open <> 0").groupBy("path").count().where(F.col("count") > hot).select("path"))
         cold = index.join(large, "path", "left_anti")
         a, b = cold.select(F.col("fp").alias("u"), "path"), cold.select(F.col("fp").alias("v"), "path")
-        found.append(a.join(b, "path").where((F.col("u") < F.col("v")) & _near(max_bits)).select("u", "v").distinct())
+        found.append(a.hint("merge").join(b, "path").where((F.col("u") < F.col("v")) & _near(max_bits)).select("u", "v").distinct())
         if large.isEmpty():
             return found
         members = index.join(large, "path", "left_semi")
@@ -177,7 +180,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFrame
     many = not large.isEmpty()
     cold = index.join(large, ["slot", "rest"], "left_anti") if many else index
     a, b = cold.withColumnRenamed("fp", "u"), cold.withColumnRenamed("fp", "v")
-    pairs = (a.join(b, (a["slot"] == b["slot"]) & (a["rest"] == b["rest"]) & (F.col("u") < F.col("v")) & _near(max_bits)
+    pairs = (a.hint("merge").join(b, (a["slot"] == b["slot"]) & (a["rest"] == b["rest"]) & (F.col("u") < F.col("v")) & _near(max_bits)
                     & _first_found(F.col("u"), F.col("v"), a["slot"], max_bits))
              .select("u", "v"))
     if not many:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 
 import pytest
@@ -127,6 +128,17 @@ def test_hot_variants_keep_every_link(spark, max_bits):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("hot", [64, 2])
+def test_an_index_is_never_broadcast(spark, hot):
+    """However few the fingerprints: an index is tens of times what Spark takes it for."""
+    rng = random.Random(hot)
+    fps = spark.createDataFrame([(5 << 32 | rng.getrandbits(32),) for _ in range(200)], "fp long").repartition(2).distinct()
+    found = S.links(fps, hot=hot)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"(\w+Join) .*Inner", plan)) == {"SortMergeJoin"}, plan
+
+
 def test_a_shared_half_costs_about_as_much_as_none(spark):
     rng = random.Random(9)
 
