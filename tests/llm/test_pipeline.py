@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import corpus_pipeline
@@ -42,6 +43,14 @@ def test_stages_but_the_last_return_documents(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "mix_sources", "pack_sequences"]
 
 
+def test_the_near_copies_stage_never_broadcasts_an_index(spark, monkeypatch):
+    linked, components = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda edges: linked.append(edges) or components(edges))
+    corpus_pipeline.drop_near_copies(spark, table(spark, SF, "documents"), SF)
+    plan = linked[0]._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"(\w+Join) .*Inner", plan)) == {"SortMergeJoin"}, plan
+
+
 def test_sequences_follow_the_mix(spark, workdir):
     """Files of unequal size, several to a scan partition: source shares over sequence_id stay near the targets."""
     rng = random.Random(2)
