@@ -6,13 +6,15 @@ the tree is global: up to ``most_pivots`` pivots (a net of a bounded sample), ea
 blocks of about ``block_rows`` entries, large cells and the rest cut into several, so no cell is one task's. Each block builds its own tree of
 nested nets with halving radii, every node with the exact radius that covers its descendants.
 
-Two nodes are pruned when their centres are further apart than t and both radii; first cells against cells (the rest is compared with all), then, in one task for each
-pair of blocks with a pair of cells left, level by level down to entries, whose cosines are computed in double precision. A task returns for each of
+Two nodes are pruned when their centres are further apart than t and both radii; first cells against cells (the rest is compared with all), then, for each
+pair of blocks with a pair of cells left, level by level down to entries, whose cosines are computed in double precision. A pair of blocks gives for each of
 its vectors the number of links and one leader of its group there, so groups of thousands of near copies make no list of pairs.
 Leaders are the edges of the components.
 
-Vectors without structure (all about equally far apart) can't be pruned by any metric tree; then every pair of blocks is compared, and the blocks'
-copies in the shuffle grow with the number of blocks.
+Vectors without structure (all about equally far apart) can't be pruned by any metric tree; then every pair of blocks is compared. So that this takes
+time but not disk, consecutive blocks form sides, a task compares all pairs of two sides (a tile), and tiles are shuffled in rounds: a round holds
+about two copies of each block, and its shuffle files go before the next one. Vectors are stored once at a time (rows, entries, placed entries, trees;
+each goes when the next is there); what is joined to rows later is an entry's number.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing and are their own component;
 so do vectors of different lengths with each other; equal vectors link, repeated rows included; a null id stays a row, and is never the smallest id
@@ -26,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geofleet.llm.common import components, cut, for_workers, salted_lookup
+from geofleet.llm.common import components, cut, drop_cut, for_workers, salted_lookup, shuffles_freed
+from geofleet.session import scratch_path
 
 COSINE = 0.9
 BLOCK_ROWS = 2048
@@ -37,6 +40,9 @@ SAMPLE = 8192
 PIVOTS = 2048
 CELL_RADIUS = 0.5
 RADII = (1.0, 0.5, 0.25)
+#: Components of vectors on one side of a tile, and in the copies of a round where twice all blocks are fewer.
+SIDE_VALUES = 1 << 20
+ROUND_VALUES = 1 << 25
 #: Distances for pruning are computed in single precision.
 SLACK = 1e-3
 
@@ -126,12 +132,10 @@ def dual_traversal(a: CoverTree, b: CoverTree, xa: np.ndarray, xb: np.ndarray, t
         else:
             size = 1
         if size > max(1024, dense * len(ca) * len(cb)):
-            # d <= t + ra + rb, by the cosine: cos >= 1 - (t + ra + rb)^2 / 2
-            reach = ra[:, None] + (rb + t)[None, :]
-            np.multiply(reach, reach, out=reach)
-            reach *= -0.5
-            reach += 1
-            pa, pb = np.nonzero(fa[ca] @ fb[cb].T >= reach)
+            # d <= t + ra + rb, by the cosine: cos >= 1 - (t + ra + rb)^2 / 2, so cos + p q + p^2 / 2 + q^2 / 2 - 1 >= 0
+            p, q, ones = ra + t / 2, rb + t / 2, np.ones(max(len(ca), len(cb)), np.float32)
+            room = np.column_stack([fa[ca], p, (p * p - 1) / 2, ones[:len(ca)]]) @ np.column_stack([fb[cb], q, ones[:len(cb)], (q * q - 1) / 2]).T
+            pa, pb = np.divmod(np.flatnonzero(room >= 0), len(cb))
         else:
             if above:
                 pa, pb = _expanded(pa, pb, ka, kb)
@@ -160,7 +164,7 @@ def groups(linked: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
 
 def links_between(a: dict, b: dict, cosine: float, same: bool) -> pd.DataFrame:
     """Of the entries of two blocks that link: entry, links (weighted by copies), leader (an entry it is connected with)."""
-    xa, xb = unit(a["x"]), unit(b["x"])
+    xa, xb = a["unit"], b["unit"]
     ia, ib = dual_traversal(a["tree"], b["tree"], xa, xb, np.sqrt(max(0.0, 2 - 2 * cosine)))
     if same:
         ia, ib = ia[ia != ib], ib[ia != ib]
@@ -187,16 +191,25 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """One row per vector: vec_id, n_links, component_id, kept."""
     good = F.coalesce((F.size("v") > 0) & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
                       & F.exists("v", lambda c: c != 0), F.lit(False))
+    spark = vectors.sparkSession
     rows = cut(for_workers(vectors).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
                .withColumn("v", F.when(good, F.col("v"))))
-    usable = rows.where("v is not null")
-    entries = cut(usable.groupBy("v").agg(F.min("row").alias("entry"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")).withColumn("size", F.size("v")))
-    placed, near, cells = _place(entries, cosine, sample, most_pivots)
+    with shuffles_freed(spark):
+        usable = rows.where("v is not null")
+        entries = cut(usable.groupBy("v").agg(F.min("row").alias("entry"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+                      .withColumn("size", F.size("v")))
+        members = cut(_members(usable, entries).unionByName(rows.where("v is null").select("row", "vec_id", F.lit(None).cast("long").alias("entry"))))
+        drop_cut(rows)
+        facts = cut(entries.select("entry", "least", "copies"))
+        placed, near, cells = _place(entries, cosine, sample, most_pivots)
+        drop_cut(entries)
     if not cells:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return members.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     blocks = blocks_of(cells, block_rows)
-    meets = block_partners(blocks, near)
-    tree_type = "size int, home int, block int, body binary"
+    meets = {home: _merged(ranges) for home, ranges in block_partners(blocks, near).items()}
+    n_blocks = max(first + many for first, many in blocks.values())
+    values = block_rows * max(size for size, _ in blocks)
+    side = max(1, min(-(-n_blocks // 8), SIDE_VALUES // values))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         x = np.array(frame["v"].tolist())
@@ -211,34 +224,106 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             yield frame[["size", "entry", "copies", "v"]].assign(home=first.astype(np.int32), block=(first + mixed.astype(np.int64) % count).astype(np.int32))
 
     kind = dict(placed.dtypes)["v"]
-    trees = (placed.mapInPandas(deal, f"size int, entry long, copies long, v {kind}, home int, block int")
-             .groupBy("size", "home", "block").applyInPandas(build, tree_type))
-
-    def partners(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for size, home, block, body in frame.itertuples(index=False):
-                for other in (b for start, many in meets[size, home] for b in range(start, start + many)):
-                    first, second = sorted([block, other])
-                    yield pd.DataFrame({"pair": [f"{size}/{first}/{second}"], "is_first": [first == block], "body": [body]})
+    with shuffles_freed(spark):
+        trees = cut(placed.mapInPandas(deal, f"size int, entry long, copies long, v {kind}, home int, block int")
+                    .groupBy("size", "home", "block").applyInPandas(build, "size int, home int, block int, body binary"))
+        drop_cut(placed)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("is_first", ascending=False)
-        bodies = [pickle.loads(x) for x in frame["body"]]
-        return links_between(bodies[0], bodies[-1], cosine, len(bodies) == 1)
-
-    found = cut(trees.mapInPandas(partners, "pair string, is_first boolean, body binary").groupBy("pair")
-                .applyInPandas(compare, "entry long, links long, leader long"))
+        held = [(size, home, block, pickle.loads(body)) for size, home, block, body
+                in frame.sort_values("block")[["size", "home", "block", "body"]].itertuples(index=False)]
+        for *_, body in held:
+            body["unit"] = unit(body["x"])
+        first, second = map(int, frame["tile"].iloc[0].split("/"))
+        out = [pd.DataFrame({"entry": [], "links": [], "leader": []}, dtype=np.int64)]
+        for i, (size, home, block, a) in enumerate(held):
+            for _, _, other, b in held[i:]:
+                if (block // side, other // side) == (first, second) and any(lo <= other < hi for lo, hi in meets[size, home]):
+                    out.append(links_between(a, b, cosine, block == other))
+        return pd.concat(out, ignore_index=True)
+
+    path = scratch_path(spark, "embedding-links")
+    with shuffles_freed(spark):
+        for turn, (low, high) in enumerate(rounds_of(meets, blocks, side, max(2 * n_blocks, ROUND_VALUES // values))):
+
+            def tiles(frames: Iterator[pd.DataFrame], low: int = low, high: int = high) -> Iterator[pd.DataFrame]:
+                for frame in frames:
+                    for size, home, block, body in frame.itertuples(index=False):
+                        own = block // side
+                        for other in _sides(meets[size, home], side):
+                            first, second = sorted([own, other])
+                            if low <= first < high:
+                                yield pd.DataFrame({"tile": [f"{first}/{second}"], "size": [size], "home": [home], "block": [block], "body": [body]})
+
+            (trees.mapInPandas(tiles, "tile string, size int, home int, block int, body binary").groupBy("tile")
+             .applyInPandas(compare, "entry long, links long, leader long").write.parquet(f"{path}/round={turn}"))
+    drop_cut(trees)
+    found = spark.read.schema("entry long, links long, leader long, round int").parquet(path)
     counted = found.groupBy("entry").agg(F.sum("links").alias("links"))
     labels = components(found.where("entry <> leader").select(F.col("entry").alias("u"), F.col("leader").alias("v")))
-    known = (entries.select("v", "entry", "least", "copies").join(counted, "entry", "left").join(labels, F.col("entry") == F.col("node"), "left")
-             .select("v", "copies", "least", F.coalesce("label", "entry").alias("label"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    known = (facts.join(counted, "entry", "left").join(labels, F.col("entry") == F.col("node"), "left")
+             .select("entry", "copies", "least", F.coalesce("label", "entry").alias("label"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     smallest = known.groupBy("label").agg(F.min("least").alias("component"))
-    by_vector = salted_lookup(known, smallest, "label", "v").select("v", "n_links", "component")
-    joined = salted_lookup(usable, by_vector, "v", "row").select("vec_id", "n_links", F.col("component").alias("component_id"))
-    alone = rows.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    by_entry = salted_lookup(known, smallest, "label", "entry").select("entry", "n_links", "component")
+    joined = salted_lookup(members.where("entry is not null"), by_entry, "entry", "row").select("vec_id", "n_links", F.col("component").alias("component_id"))
+    alone = members.where("entry is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def _hash(v: Column) -> Column:
+    return F.xxhash64(v)
+
+
+def _members(usable: DataFrame, entries: DataFrame) -> DataFrame:
+    """(row, vec_id, entry) of ``usable(row, vec_id, v)``; ``entries`` has each v once.
+
+    By hashes of v, which are shorter than v, unless two vectors have the same one.
+    """
+    hashed = entries.select(_hash(F.col("v")).alias("hash"), "entry")
+    if hashed.groupBy("hash").count().where("count > 1").isEmpty():
+        return salted_lookup(usable.select("row", "vec_id", _hash(F.col("v")).alias("hash")), hashed, "hash", "row").select("row", "vec_id", "entry")
+    return salted_lookup(usable, entries.select("v", "entry"), "v", "row").select("row", "vec_id", "entry")
+
+
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges (first, end), apart from each other, of what sorted ranges (first, number) hold."""
+    out: list[tuple[int, int]] = []
+    for first, many in ranges:
+        if out and first <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], first + many)
+        else:
+            out.append((first, first + many))
+    return out
+
+
+def _sides(ranges: list[tuple[int, int]], side: int) -> list[int]:
+    """The sides that have a block of ``ranges(first, end)``, in order."""
+    return sorted({s for first, end in ranges for s in range(first // side, (end - 1) // side + 1)})
+
+
+def rounds_of(meets: dict[tuple[int, int], list[tuple[int, int]]], blocks: dict[tuple[int, int], tuple[int, int]], side: int, most: int) -> list[tuple[int, int]]:
+    """Ranges (low, high) of tiles' first sides, whose tiles take about ``most`` copies of blocks, or are of one first side.
+
+    A block has a copy in each tile of its side with a side that holds a partner of its.
+    """
+    n_sides = -(-max(first + many for first, many in blocks.values()) // side)
+    copies = np.zeros(n_sides, np.int64)
+    for home, (first, many) in {(size, first): (first, many) for (size, _), (first, many) in blocks.items()}.items():
+        others = np.array(_sides(meets[home], side), np.int64)
+        for own in range(first // side, (first + many - 1) // side + 1):
+            here = min(first + many, (own + 1) * side) - max(first, own * side)
+            before = others[others < own]
+            copies[before] += here
+            copies[own] += here * (len(others) - len(before))
+    out, low, held = [], 0, 0
+    for s, n in enumerate(copies.tolist()):
+        if s > low and held + n > most:
+            out.append((low, s))
+            low, held = s, 0
+        held += n
+    return [*out, (low, n_sides)]
+
+
 def blocks_of(cells: dict[tuple[int, int], int], block_rows: int) -> dict[tuple[int, int], tuple[int, int]]:
     """Of each (size, cell) with its number of entries: its first block and its number of blocks.
 

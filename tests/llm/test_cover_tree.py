@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+import contextlib
+import os
+import threading
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from geofleet.llm import cover_tree as C
 
@@ -107,3 +112,57 @@ def test_null_and_repeated_ids_and_empty_input(spark):
     assert out == sorted([(None, 2, 4, False), (4, 2, 4, True), (4, 2, 4, True), (None, 0, None, True), (None, 0, None, True)], key=str)
     assert C.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     assert C.near_duplicates(spark.createDataFrame([(1, None)], schema)).count() == 1
+
+
+def shuffle_bytes(spark) -> int:
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    total = 0
+    for at, _, names in (x for f in folders for x in os.walk(f.getPath())):
+        for name in (n for n in names if n.startswith("shuffle_")):
+            with contextlib.suppress(OSError):  # it went meanwhile
+                total += os.stat(os.path.join(at, name)).st_size
+    return total
+
+
+def test_vectors_without_structure_take_little_disk(spark, monkeypatch):
+    """About equally far apart, so every block meets all 50: shuffled are a few copies of the input at a time, and no files stay."""
+    monkeypatch.setattr(C, "ROUND_VALUES", 1, raising=False)
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(1960, 64)), rng.normal(size=(1, 64)) + rng.normal(scale=0.01, size=(40, 64))]).astype(np.float32)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    spark.sparkContext._jvm.System.gc()
+    before, most, done = shuffle_bytes(spark), [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.02):
+            most[0] = max(most[0], shuffle_bytes(spark) - before)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    out = C.near_duplicates(df, block_rows=40, sample=100, most_pivots=5)
+    done.set()
+    watcher.join()
+    assert most[0] < 8 * x.nbytes
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert got == {i: (39, 1960) if i >= 1960 else (0, i) for i in range(2000)}
+
+
+def test_rounds_hold_about_twice_the_blocks_and_each_tile_once():
+    for n, side in ((50, 7), (64, 8), (9, 1), (3, 8)):
+        blocks = {(2, 0): (0, n - 2), (2, 1): (n - 2, 2)}
+        meets = {(2, 0): [(0, n)], (2, n - 2): [(0, n)]}
+        rounds = C.rounds_of(meets, blocks, side, 2 * n)
+        sides = -(-n // side)
+        assert [x for low, high in rounds for x in range(low, high)] == list(range(sides))
+        for low, high in rounds:
+            copies = sum(sum(low <= min(b // side, s) < high for s in range(sides)) for b in range(n))
+            assert copies <= 2 * n or high == low + 1
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_rows_find_their_vector_also_where_hashes_clash(spark, monkeypatch, clash):
+    if clash:
+        monkeypatch.setattr(C, "_hash", lambda v: F.lit(1).cast("long"))
+    rows = [(1, [1.0, 0.0]), (2, [1.0, -0.0]), (3, [0.0, 1.0]), (4, [0.1, 1.0]), (5, None), (3, [1.0, 0.0])]
+    out = C.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 2, 1), (2, 2, 1), (3, 1, 3), (3, 2, 1), (4, 1, 3), (5, 0, 5)]
